@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ def batches_by_bytes(batches: Iterator[pa.RecordBatch], limit: int, column: str
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths, dtype=np.int64)
         begin, base = 0, 0
         while begin < batch.num_rows:

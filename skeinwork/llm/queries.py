@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, quality, secrets
 from .common import documents
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    llr = secrets.fit(secrets.labelled_samples(spark, secrets.ordinary_words(docs, labels)))
+    return secrets.find_secrets(docs, llr)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup,)}
+    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
