@@ -111,13 +111,16 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[ord(c) for c in SPACES]] = True
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts, byte ends and row numbers of the words (runs of bytes other than SPACES); rows end words."""
+def word_spans(data: np.ndarray, bounds: np.ndarray, ink: np.ndarray | None = None, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts, byte ends and row numbers of the words; rows end words.
+
+    Words are runs of the bytes in `ink` (of others than SPACES, if not given); a byte in `breaks` begins a word anew.
+    """
     if not len(data):
         return (np.zeros(0, np.int64),) * 3
-    ink = ~_SPACE[data]
+    ink = ~_SPACE[data] if ink is None else ink
     first = ink.copy()
-    first[1:] &= ~ink[:-1]
+    first[1:] &= ~ink[:-1] if breaks is None else ~ink[:-1] | breaks[1:]
     starts_of_rows = bounds[:-1][(bounds[:-1] < len(data)) & (np.diff(bounds) > 0)]
     first[starts_of_rows] = ink[starts_of_rows]
     last = ink.copy()
@@ -131,9 +134,10 @@ def word_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     """Numbers of the words within this batch (equal bytes, equal number) and the distinct words."""
     if not len(starts):
         return np.zeros(0, np.int64), pa.array([], pa.large_binary())
+    full = ends > starts  # their starts differ from one another, and so do their ends
     mark = np.zeros(len(data) + 1, np.int8)
-    mark[starts] += 1
-    np.subtract.at(mark, ends, 1) if len(np.unique(ends)) != len(ends) else mark.__setitem__(ends, mark[ends] - 1)
+    mark[starts[full]] += 1
+    mark[ends[full]] -= 1
     packed = data[np.cumsum(mark[:-1], dtype=np.int8).astype(bool)]
     offsets = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=offsets[1:])

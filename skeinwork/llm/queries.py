@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality, secrets
+from . import exact_dedup, quality, secrets, token_counts
 from .common import documents
 
 
@@ -22,8 +23,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality)}
+    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op5_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
