@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality, secrets, token_counts
-from .common import documents
+from . import exact_dedup, quality, secrets, token_counts, token_files
+from .common import documents, shared_folder
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +29,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/skeinwork/token-files-{uuid.uuid4().hex}"
+    token_files.write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_token_files(spark, path)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op5_token_counts)}
+    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op5_token_counts, op6_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
