@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality, secrets, token_counts, token_files
+from . import exact_dedup, near_dup, quality, secrets, token_counts, token_files
 from .common import documents, shared_folder
 
 
@@ -35,8 +35,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op5_token_counts, op6_token_files)}
+    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op4_near_dedup, op5_token_counts, op6_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
