@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dup, paragraphs, quality, secrets, token_counts, token_files
+from . import exact_dedup, mixing, near_dup, packing, paragraphs, quality, secrets, token_counts, token_files
 from .common import documents, shared_folder
 
 
@@ -39,13 +39,21 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return paragraphs.summary(docs, paragraphs.repeated_paragraphs(docs))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op4_near_dedup, op5_token_counts, op6_token_files, op10_paragraphs)}
+    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op4_near_dedup, op5_token_counts, op6_token_files, op7_mixing, op8_packing, op10_paragraphs)}
 
 
 def oracle_sql() -> dict[str, str]:
