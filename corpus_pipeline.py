@@ -4,18 +4,39 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skeinwork.llm.common import documents, shared_folder
 from skeinwork.llm.exact_dedup import drop_exact_duplicates
+from skeinwork.llm.mixing import mixed_documents
+from skeinwork.llm.near_dup import drop_near_duplicates
+from skeinwork.llm.packing import pack
+from skeinwork.llm.quality import keep_good
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_good(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_duplicates(docs)
 
 
-STAGES = [("exact dedup", exact_stage)]
-ORACLE_SQL = None
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality rules", quality_stage), ("exact dedup", exact_stage), ("near dedup", near_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
+ORACLE_SQL = None  # compression, signatures and tokens are beyond SQL; tests/llm holds the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
