@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, near_dup, packing, paragraphs, quality, secrets, token_counts, token_files
+from . import exact_dedup, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
 from .common import documents, shared_folder
 
 
@@ -47,13 +47,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_free.removed_bytes(documents(spark, sf_dir))
+
+
 def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return paragraphs.summary(docs, paragraphs.repeated_paragraphs(docs))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op4_near_dedup, op5_token_counts, op6_token_files, op7_mixing, op8_packing, op10_paragraphs)}
+    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op4_near_dedup, op5_token_counts, op6_token_files, op7_mixing, op8_packing, op9_prefix_free, op10_paragraphs)}
 
 
 def oracle_sql() -> dict[str, str]:
