@@ -73,7 +73,7 @@ def word_rules(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     row_of = np.searchsorted(bounds, newline, side="right") - 1
     begin = np.concatenate([bounds[:-1], newline + 1])
     end_row = np.concatenate([np.arange(n), row_of])
-    order = np.argsort(begin, kind="stable")
+    order = np.lexsort((begin, end_row))  # a row's empty last line begins where the next row does
     begin, end_row = begin[order], end_row[order]
     if n:
         stop = np.append(begin[1:], len(data) + 1) - 1
