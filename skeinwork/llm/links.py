@@ -3,7 +3,7 @@
 `id` may be any orderable column (a long, or a struct). In a bucket (band, key) every member is compared with one
 leader, the member that meets most others over all its buckets: with near copies, that is the text they come from. The
 links give components. Where a bucket still holds several components, members of different ones are compared too, if
-their sketches let them be similar at all; so a link is lost only where banding itself or a sketch four standard
+what they share with others and their sketches let them be similar at all; so a link is lost only where banding itself or a sketch four standard
 deviations off loses it, and groups of like texts, which form one component at once, are never expanded into pairs.
 """
 
@@ -27,35 +27,33 @@ def buckets(rows: DataFrame) -> DataFrame:
     return write_table(each.join(shared, ["band", "key"]), "buckets")
 
 
-def leader_pairs(members: DataFrame) -> DataFrame:
-    """Distinct (a, b): each member and its bucket's leader."""
+def leaders(members: DataFrame) -> DataFrame:
+    """(band, key, b): each bucket's leader."""
     score = members.groupBy("id").agg(F.sum("n").alias("score"))
-    first = members.join(score, "id").groupBy("band", "key").agg(F.max(F.struct("score", "id")).alias("m")).select("band", "key", F.col("m.id").alias("b"))
-    return members.join(first, ["band", "key"]).where("id != b").select(F.col("id").alias("a"), "b").distinct()
+    return members.join(score, "id").groupBy("band", "key").agg(F.max(F.struct("score", "id")).alias("m")).select("band", "key", F.col("m.id").alias("b"))
 
 
-def similar(pairs: DataFrame, content: DataFrame, least: float, weighted: bool = True) -> DataFrame:
-    """The pairs (a, b) whose exact (weighted) Jaccard similarity is `least` or more; content: (id, elements, weights)."""
+def similarities(pairs: DataFrame, content: DataFrame, weighted: bool = True) -> DataFrame:
+    """(a, b, sim): the exact (weighted) Jaccard similarity of each pair (a, b); content: (id, elements, weights)."""
     one = content.select(F.col("id").alias("a"), F.col("elements").alias("ea"), F.col("weights").alias("wa"))
     two = content.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("weights").alias("wb"))
-    # a pair is compared where its b (a leader: few of them) meets it
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "ea", "wa", "eb", "wb")
-    kept = pairs.select("a", "b").schema
+    out = pairs.select("a", "b").withColumn("sim", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ea, wa, eb, wb = (batch.column(k) for k in range(2, 6))
-            keep = []
+            sim = np.zeros(batch.num_rows)
             for i in range(batch.num_rows):
                 x, y = (np.asarray(c[i].values) for c in (ea, eb))
                 u, v = (np.asarray(c[i].values) for c in (wa, wb)) if weighted else (np.ones(len(x)), np.ones(len(y)))
                 _, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
                 inner = np.minimum(u[p], v[q]).sum()
                 whole = u.sum() + v.sum() - inner
-                keep.append(bool(whole) and inner >= least * whole)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                sim[i] = inner / whole if whole else 0.0
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sim)], names=["a", "b", "sim"])
 
-    return both.mapInArrow(run, kept)
+    return both.mapInArrow(run, out)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -76,29 +74,62 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def rest_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, done: DataFrame, least: float, size: int) -> DataFrame:
-    """Pairs of one bucket but different components that may be similar by their sketches, without those in `done`."""
+def shared_weights(content: DataFrame, weighted: bool) -> DataFrame:
+    """(id, total, shared): an id's weight, and the part of it in elements that another id of content has too.
+
+    Elements that one id alone has are found by an aggregate that combines early; frequent elements never meet their ids.
+    """
+    pair = "arrays_zip(elements, weights)" if weighted else "transform(elements, x -> named_struct('elements', x, 'weights', 1))"
+    each = content.select("id", F.expr(f"explode({pair})").alias("e")).select("id", "e.elements", "e.weights")
+    alone = each.groupBy("elements").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("weights").alias("w")).where("n = 1").groupBy("id").agg(F.sum("w").alias("alone"))
+    total = F.aggregate("weights", F.lit(0).cast("long"), lambda n, w: n + w) if weighted else F.size("elements").cast("long")
+    return content.select("id", total.alias("total")).join(alone, "id", "left").select("id", "total", (F.col("total") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members (band, key, id, label, ...) of the buckets that hold several labels."""
+    several = members.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band", "key")
+    return members.join(several, ["band", "key"])
+
+
+def rest_pairs(members: DataFrame, first: DataFrame, known: DataFrame, labels: DataFrame, rows: DataFrame, content: DataFrame, least: float, size: int, weighted: bool) -> DataFrame:
+    """Pairs of one bucket but different components that can be similar, without those already known (a, b, sim).
+
+    Exact bounds come first, and texts edited too much to be anyone's near copy drop out before they are paired:
+    a pair of similarity `least` has at least least / (1 + least) of both weights together in common, which is no more
+    than either shares with anything; and as 1 - similarity is a metric, it is no less than the difference of both
+    members' distances from their bucket's leader, which are known. What passes must also agree in its sketches, to
+    four standard deviations. A pair that shares several buckets is made in the first one only.
+    """
     agree = max(1, int(size * least - 4 * sqrt(size * least * (1 - least))))
-    own = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = own.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band", "key")
-    own = write_table(own.join(mixed, ["band", "key"]).join(sketches, "id"), "mixed-buckets")
-    one = own.select("band", "key", F.col("id").alias("a"), F.col("label").alias("x"), F.col("sketch").alias("s"))
-    two = own.select("band", "key", F.col("id").alias("b"), F.col("label").alias("y"), F.col("sketch").alias("t"))
+    own = members.select("band", "key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    own = write_table(_mixed(own), "mixed-buckets")
+    weights = shared_weights(content.join(own.select("id").distinct(), "id", "left_semi"), weighted).where(F.col("shared") >= least * F.col("total") - 1e-9)
+    own = _mixed(own.join(weights, "id")).join(first, ["band", "key"])
+    own = own.join(known.select(F.col("a").alias("id"), "b", "sim"), ["id", "b"], "left").withColumn("far", F.when(F.col("id") == F.col("b"), 0.0).otherwise(1 - F.coalesce("sim", F.lit(0.0))))
+    own = write_table(own.join(rows.select("id", "bands", "sketch"), "id"), "mixed-buckets")
+    side = lambda **names: own.select("band", "key", *[F.col(c).alias(n) for c, n in names.items()])
+    one = side(id="a", label="x", sketch="s", bands="g", total="m", shared="u", far="d", b="c")
+    two = side(id="b", label="y", sketch="t", bands="h", total="n", shared="v", far="e")
+    enough = F.least("u", "v") >= least / (1 + least) * (F.col("m") + F.col("n")) - 1e-9
+    near = F.abs(F.col("d") - F.col("e")) <= 1 - least + 1e-9
+    fresh = (F.col("a") != F.col("c")) & (F.col("b") != F.col("c"))  # the leader has met all of its bucket
     may = F.expr(f"aggregate(zip_with(s, t, (p, q) -> if(p = q, 1, 0)), 0, (n, z) -> n + z) >= {agree}")
-    pairs = one.join(two, (one.band == two.band) & (one.key == two.key) & (F.col("x") < F.col("y")) & may).select("a", "b").distinct()
-    return pairs.join(done.select("a", "b").union(done.select("b", "a")), ["a", "b"], "left_anti")
+    once = F.expr("array_position(zip_with(g, h, (p, q) -> p = q), true)") == one.band + 1
+    met = (one.band == two.band) & (one.key == two.key) & (F.col("x") < F.col("y"))
+    pairs = one.join(two, met & enough & near & fresh & may & once).select("a", "b").distinct()
+    return pairs.join(known.select("a", "b").union(known.select("b", "a")), ["a", "b"], "left_anti")
 
 
 def classes(rows: DataFrame, content_of, least: float, size: int, weighted: bool = True) -> DataFrame:
     """(id, label) for each linked id of rows (id, bands, sketch); content_of(ids) gives (id, elements, weights)."""
     members = buckets(rows)
-    pairs = write_table(leader_pairs(members), "pairs")
-    ids = members.select("id").distinct()
-    content = write_table(content_of(ids), "content")
-    links = write_table(similar(pairs, content, least, weighted), "links")
+    first = write_table(leaders(members), "leaders")
+    pairs = members.join(first, ["band", "key"]).where("id != b").select(F.col("id").alias("a"), "b").distinct()
+    content = write_table(content_of(members.select("id").distinct()), "content")
+    known = write_table(similarities(pairs, content, weighted), "similarities")
+    links = known.where(F.col("sim") >= least)
     labels = components(links)
-    more = write_table(rest_pairs(members, labels, rows.select("id", "sketch"), pairs, least, size), "rest-pairs")
-    if more.isEmpty():
-        return labels
-    extra = write_table(similar(more, content, least, weighted), "links")
+    more = rest_pairs(members, first, known, labels, rows, content, least, size, weighted)
+    extra = write_table(similarities(more, content, weighted), "similarities").where(F.col("sim") >= least)
     return labels if extra.isEmpty() else components(links.unionByName(extra))

@@ -69,18 +69,21 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, r
     are each alone. Rows with a null id are each alone, with a null class_id, and are kept. Repeated rows share a class.
     """
     base = id_and_text(docs, id_col, text_col)
-    marked = signed(base, bands, rows)
-    same = marked.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"))
+    marked = write_table(signed(base, bands, rows), "signatures")
+    same = marked.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("print", "rep")
+    # apart from the join, so that a print which many rows share is not one task's
+    same = write_table(same, "same-prints")
     known = write_table(marked.join(same, "print", "left").withColumn("rep", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("rep", "doc_id"))), "signed")
     reps = known.where("doc_id = rep and print is not null").select(F.col("doc_id").alias("id"), "bands", "sketch")
 
     def of(ids: DataFrame) -> DataFrame:
-        return content(base.join(ids, base.doc_id == ids.id, "left_semi"))
+        # a merge join at every size: a few ids would be broadcast, many would not, and the plan should not depend on it
+        return content(base.join(ids.hint("merge"), base.doc_id == ids.id, "left_semi"))
 
     labels = classes(reps, of, least, bands * rows).withColumnRenamed("id", "rep")
     out = known.select("doc_id", "rep", "n_shingles").join(labels, "rep", "left").withColumn("class_id", F.coalesce("label", "rep"))
     out = write_table(out.select("doc_id", "class_id", "n_shingles"), "near-classes")
-    sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
+    sizes = write_table(out.groupBy("class_id").agg(F.count("*").alias("class_size")).where("class_size > 1 and class_id is not null"), "class-sizes")
     return out.join(sizes, "class_id", "left").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"), "n_shingles")
 
 

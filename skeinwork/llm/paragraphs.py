@@ -91,14 +91,15 @@ def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int =
     base = id_and_text(docs, id_col, text_col).where("doc_id is not null")
     marked = marked_paragraphs(base, min_words, bands, rows)
     known = write_table(marked, "paragraphs")
-    same = known.groupBy("print").agg(F.min("id").alias("rep"))
-    where = write_table(known.select("id", "start", "end", "print").join(same, "print").select("id", "start", "end", "rep"), "paragraph-reps")
-    reps = known.join(same.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "bands", "sketch")
+    # apart from the joins, so that a line which many documents share is not one task's
+    same = write_table(known.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("print", "rep"), "same-paragraphs")
+    where = write_table(known.select("id", "start", "end", "print").join(same, "print", "left").select("id", "start", "end", F.coalesce("rep", "id").alias("rep")), "paragraph-reps")
+    reps = write_table(known.join(same, "print", "left").where("rep is null or rep = id").select("id", "bands", "sketch"), "representatives")
 
     def of(ids: DataFrame) -> DataFrame:
         ids = ids.select("id")
         docs_of = ids.select(F.col("id.doc_id").alias("of")).distinct()
-        return paragraph_content(base.join(docs_of, base.doc_id == docs_of.of, "left_semi"), min_words).join(ids, "id", "left_semi").withColumn("weights", F.lit(None).cast("array<int>"))
+        return paragraph_content(base.join(docs_of.hint("merge"), base.doc_id == docs_of.of, "left_semi"), min_words).join(ids.hint("merge"), "id", "left_semi").withColumn("weights", F.lit(None).cast("array<int>"))
 
     labels = classes(reps, of, least, bands * rows, weighted=False).withColumnRenamed("id", "rep")
     out = where.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")).where("id != label").distinct()
