@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def is_json(c: Column) -> Column:
@@ -68,3 +72,40 @@ def status_not_200(meta: Column) -> Column:
 def compact_row(*columns: str) -> Column:
     """A row as JSON without its null fields; nulls inside lists stay."""
     return F.to_json(F.struct(*columns))
+
+
+def with_member(c: Column, key: str, value: Column) -> Column:
+    """An object's text with one member added at its end; any other value (or null) becomes {"value": ..., key: ...}."""
+    member = F.concat(F.lit(f'"{key}":'), value)
+    inner = F.trim(F.substr(F.trim(c), F.lit(2), F.length(F.trim(c)) - 2))
+    added = F.concat(F.lit("{"), F.concat_ws(",", F.nullif(inner, F.lit("")), member), F.lit("}"))
+    quoted = F.when(is_json(c), c).otherwise(F.coalesce(F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r"^\{\"v\":(.*)\}$", 1), F.lit("null")))
+    return F.when(json_kind(c) == "OBJECT", added).otherwise(F.concat(F.lit('{"value":'), F.when(c.isNull(), F.lit("null")).otherwise(quoted), F.lit(","), member, F.lit("}")))
+
+
+@F.pandas_udf(T.StringType())
+def expanded_json(texts: pd.Series) -> pd.Series:
+    """JSON text with strings that are themselves JSON objects or arrays expanded, however deep; malformed text as it is.
+
+    Recursion is beyond column functions, so this is an Arrow function; it is for output, not for filters.
+    """
+
+    def grow(x):
+        if isinstance(x, str) and x.lstrip()[:1] in ("{", "["):
+            try:
+                return grow(json.loads(x))
+            except ValueError:
+                return x
+        if isinstance(x, dict):
+            return {k: grow(v) for k, v in x.items()}
+        return [grow(v) for v in x] if isinstance(x, list) else x
+
+    def one(t):
+        if t is None:
+            return None
+        try:
+            return json.dumps(grow(json.loads(t)), ensure_ascii=False, separators=(",", ":"))
+        except ValueError:
+            return t
+
+    return texts.map(one)
