@@ -15,6 +15,8 @@ from .links import classes
 from .signatures import bag_minhash, band_keys, shingles, sketch
 
 BANDS, ROWS = 24, 5  # a pair of similarity 0.8 shares a band with probability 0.99993
+#: Places of a signature; the first BANDS * ROWS are banded, all of them estimate similarities.
+PLACES = 320
 LEAST = 0.8
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int16()))])
 _CONTENT = pa.schema([("id", pa.int64()), ("elements", pa.list_(pa.int64())), ("weights", pa.list_(pa.int32()))])
@@ -37,12 +39,12 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
             data, bounds = flat_bytes(table["text"])
             n = table.num_rows
             row, element, weight = shingles(data, *word_spans(data, bounds), n)
-            sig = bag_minhash(row, element, weight, n, bands * rows)
+            sig = bag_minhash(row, element, weight, n, max(PLACES, bands * rows))
             at = np.searchsorted(row, np.arange(n + 1))
             both = np.stack([element, weight.astype(np.uint64)], axis=1)
             prints = [xxhash.xxh3_128_digest(both[a:b].tobytes()) if b > a else None for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             total = np.bincount(row, weight, n).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(prints, pa.binary()), pa.array(total), _rows(band_keys(sig, bands), pa.int64()), _rows(sketch(sig), pa.int16())], schema=_SIGNED)
+            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(prints, pa.binary()), pa.array(total), _rows(band_keys(np.ascontiguousarray(sig[:, : bands * rows]), bands), pa.int64()), _rows(sketch(sig), pa.int16())], schema=_SIGNED)
 
     return docs.mapInArrow(run, "doc_id long, print binary, n_shingles long, bands array<long>, sketch array<short>")
 
@@ -80,7 +82,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, r
         # a merge join at every size: a few ids would be broadcast, many would not, and the plan should not depend on it
         return content(base.join(ids.hint("merge"), base.doc_id == ids.id, "left_semi"))
 
-    labels = classes(reps, of, least, bands * rows).withColumnRenamed("id", "rep")
+    labels = classes(reps, of, least, max(PLACES, bands * rows)).withColumnRenamed("id", "rep")
     out = known.select("doc_id", "rep", "n_shingles").join(labels, "rep", "left").withColumn("class_id", F.coalesce("label", "rep"))
     out = write_table(out.select("doc_id", "class_id", "n_shingles"), "near-classes")
     sizes = write_table(out.groupBy("class_id").agg(F.count("*").alias("class_size")).where("class_size > 1 and class_id is not null"), "class-sizes")
