@@ -7,19 +7,58 @@ come from a bounded cache. Nothing is cut off, however long a text or a word is.
 
 from __future__ import annotations
 
-import array
 import os
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import flat_bytes, word_ids, word_spans
 
-#: Words each worker remembers (of at most CACHE_BYTES bytes each); when full it starts anew.
-CACHE_WORDS, CACHE_BYTES = 400_000, 64
-
-_caches: dict[str, dict] = {}
+#: Words each worker remembers; when there would be more, it starts anew from its last batch.
+CACHE_WORDS = 600_000
+
+
+class _Known:
+    """Words met before in this worker, as Arrow and numpy arrays: their ids end to end, and how many each has."""
+
+    def __init__(self) -> None:
+        self.words, self.flat, self.size = pa.array([], pa.large_binary()), np.zeros(0, np.uint16), np.zeros(0, np.int64)
+
+    def look_up(self, distinct: pa.Array, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat, first, size): each distinct word's ids are flat[first : first + size]; unknown words are encoded in one call."""
+        at = pc.index_in(distinct, value_set=self.words)
+        new = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        at = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = distinct.take(pa.array(new))
+        flat, size = encode(fresh.cast(pa.large_string()).to_pylist()) if len(new) else (np.zeros(0, np.uint16), np.zeros(0, np.int64))
+        known = len(self.words)
+        at[new] = known + np.arange(len(new))
+        if known + len(new) > CACHE_WORDS and known:
+            all_flat, all_size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+            first = np.cumsum(all_size) - all_size
+            out = all_flat, first[at], all_size[at]
+            self.__init__()
+            self._add(fresh, flat, size)
+            return out
+        self._add(fresh, flat, size)
+        first = np.cumsum(self.size) - self.size
+        return self.flat, first[at], self.size[at]
+
+    def _add(self, words: pa.Array, flat: np.ndarray, size: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+
+
+#: Of ASCII bytes: 1 letters, 2 digits, 3 other signs, 4 the apostrophe; 0 all else.
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = 3
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = 2
+_KIND[39] = 4
+
+_caches: dict[str, _Known] = {}
 _models: dict[str, object] = {}
 
 
@@ -41,20 +80,6 @@ def sentence_pieces(path: str):
     return _models[path]
 
 
-def _looked_up(name: str, words: list[bytes], encode: Callable[[list[str]], list]) -> list:
-    """encode() of each distinct word, from the worker's cache where it has it."""
-    cache = _caches.setdefault(name, {})
-    out = [cache.get(w) for w in words]
-    missing = [k for k, x in enumerate(out) if x is None]
-    if len(cache) + len(missing) > CACHE_WORDS:
-        cache.clear()
-    for k, x in zip(missing, encode([words[k].decode() for k in missing]) if missing else [], strict=True):
-        out[k] = x
-        if len(words[k]) <= CACHE_BYTES and len(cache) < CACHE_WORDS:
-            cache[words[k]] = x
-    return out
-
-
 def _pieces(data: np.ndarray, bounds: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of the pieces between the bytes marked in cut, which belong to none; a row has one at least."""
     at = np.flatnonzero(cut)
@@ -70,59 +95,65 @@ def _pieces(data: np.ndarray, bounds: np.ndarray, cut: np.ndarray) -> tuple[np.n
     return starts[order], ends, rows
 
 
-def _word_bpe(path: str, words: list[str]) -> list[bytes]:
-    """Ids of each word. Words of letters alone go in long lines of many: such a word is one run of the model's
-    pre-tokenizer, so exactly its last id is one that ends a word, which tells the words of a line apart again."""
+def _word_bpe(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words, end to end, and how many each has. Words of letters alone go in long lines of many: such a word
+    is one run of the model's pre-tokenizer, so exactly its last id is one that ends a word, which tells them apart."""
     model = tokenizer(path)
     if path + "#ends" not in _models:
         _models[path + "#ends"] = np.array([t.endswith("</w>") for t, _ in sorted(model.get_vocab().items(), key=lambda x: x[1])])
     ends = _models[path + "#ends"]
-    out: list[bytes] = [b""] * len(words)
-    single = [k for k, w in enumerate(words) if not w.isalpha()]
     plain = [k for k, w in enumerate(words) if w.isalpha()]
+    rest = [k for k, w in enumerate(words) if not w.isalpha()]
     lines = [plain[i : i + 512] for i in range(0, len(plain), 512)]
+    flat, size, order = [], [], []
     for line, e in zip(lines, model.encode_batch_fast([" ".join([words[k] for k in line]) for line in lines], add_special_tokens=False), strict=True):
         ids = np.array(e.ids, np.uint16)
         stop = np.flatnonzero(ends[ids]) + 1
-        if len(stop) != len(line):
-            single += line
+        if len(stop) != len(line):  # not one run each, after all
+            rest += line
             continue
-        raw, begin = ids.tobytes(), 0
-        for k, end in zip(line, (2 * stop).tolist(), strict=True):
-            out[k] = raw[begin:end]
-            begin = end
-    for k, e in zip(single, model.encode_batch_fast([words[k] for k in single], add_special_tokens=False), strict=True):
-        out[k] = array.array("H", e.ids).tobytes()
-    return out
+        flat.append(ids)
+        size.append(np.diff(stop, prepend=0))
+        order += line
+    for k, e in zip(rest, model.encode_batch_fast([words[k] for k in rest], add_special_tokens=False), strict=True):
+        flat.append(np.array(e.ids, np.uint16))
+        size.append(np.array([len(e.ids)]))
+        order.append(k)
+    flat, size, order = np.concatenate(flat), np.concatenate(size), np.array(order)
+    first = np.cumsum(size) - size
+    back = np.argsort(order)
+    return flat[_spread(first[back], size[back])], size[back]
+
+
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... size[0] of them, then from first[1], and so on."""
+    total = np.cumsum(size)
+    return np.repeat(first - (total - size), size) + np.arange(total[-1] if len(total) else 0)
 
 
 def word_bpe_ids(texts: pa.ChunkedArray | pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids, bounds): ids of all texts end to end (uint16: the vocabulary has 49,408) and where each text's begin.
 
     As Tokenizer.encode(text, add_special_tokens=False) gives them; strings of special tokens inside a text become
-    their ids, as is its default. This model drops white space, lowers letters and merges within words only, where a
-    point or comma beside a letter ends a word too.
+    their ids, as is its default. This model drops white space, lowers letters and merges within words only; letters,
+    digits (each alone) and other signs are words apart, but for an apostrophe and what follows it.
     """
     data, bounds = flat_bytes(texts)
     n = len(bounds) - 1
     ink = (data != 32) & (data != 10)
+    breaks = None
     if not ((data[:-1] == 60) & (data[1:] == 124)).any():  # no "<|", so no special token's string
+        kind = _KIND[data]
         data = np.where((data >= 65) & (data <= 90), data | 32, data)
-    letter = (data >= 97) & (data <= 122) | (data >= 65) & (data <= 90)
-    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-    point = (data == 44) | (data == 46)
-    breaks = np.zeros(len(data), bool)
-    breaks[1:] = letter[:-1] & point[1:]
+        letter = kind == 1
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        breaks = np.zeros(len(data), bool)
+        breaks[1:] = letter[:-1] & (kind[1:] >= 3) | (kind[:-1] == 3) & (kind[1:] == 1) | (kind[1:] == 2) | (kind[:-1] == 2)
     starts, ends, rows = word_spans(data, bounds, ink, breaks)
     words, distinct = word_ids(data, starts, ends)
-    found = _looked_up(path, distinct.to_pylist(), lambda w: _word_bpe(path, w))
-    flat = np.frombuffer(b"".join(found), np.uint16)
-    size = np.fromiter(map(len, found), np.int64, len(found)) // 2
-    first = np.cumsum(size) - size
+    flat, first, size = _caches.setdefault(path, _Known()).look_up(distinct, lambda w: _word_bpe(path, w))
     each = size[words]
-    total = np.cumsum(each)
-    shift = np.repeat(first[words] - (total - each), each)
-    ids = flat[shift + np.arange(len(shift))] if len(shift) else np.zeros(0, np.uint16)
+    ids = flat[_spread(first[words], each)]
     out = np.zeros(n + 1, np.int64)
     np.cumsum(np.bincount(rows, each, n).astype(np.int64), out=out[1:])
     return ids, out
@@ -144,9 +175,11 @@ def piece_bpe_counts(texts: pa.ChunkedArray | pa.Array, path: str) -> np.ndarray
     model = sentence_pieces(path)
     starts, ends, rows = _pieces(data, bounds, cut)
     words, distinct = word_ids(data, starts, ends)
-    spelled = distinct.to_pylist()
-    counts = np.array(_looked_up(path, spelled, lambda w: [len(x) for x in model.encode(w, num_threads=1)]), np.int64) if spelled else np.zeros(0, np.int64)
-    each = counts[words] if len(words) else counts
+    # the "ids" kept for a piece are its count, in two 16-bit halves
+    halves = lambda w: (np.array([len(x) for x in model.encode(w, num_threads=1)], np.uint32).view(np.uint16), np.full(len(w), 2, np.int64))
+    flat, first, _ = _caches.setdefault(path, _Known()).look_up(distinct, halves)
+    counts = flat[first].astype(np.int64) + (flat[first + 1].astype(np.int64) << 16) if len(first) else np.zeros(0, np.int64)
+    each = counts[words]
     lone = (ends == starts) & np.append(False, rows[1:] == rows[:-1])  # a last single space: the mark alone
     each = np.where(lone, len(model.encode("a ")) - len(model.encode("a")), each)
     out = np.bincount(rows, each, n).astype(np.int64)
