@@ -80,10 +80,10 @@ class _Model:
         self.at = at = self.base + ((self.f2 << 3) + np.where(self.c1 == self.c2, _SAME, self.f1))
         return self.w2[at], self.lead[at], self.w0[at], self.wu[at]
 
-    def learn(self, x: np.ndarray, h2: np.ndarray) -> None:
+    def learn(self, x: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
         fresh = x << 3
-        self.last2[self.at2] = fresh + _NEXT[self.f2] * h2
-        self.last1[self.at1] = fresh + _NEXT[self.f1] * (x == self.c1)
+        self.last2[self.at2] = fresh + _NEXT[self.f2] * right2
+        self.last1[self.at1] = fresh + _NEXT[self.f1] * right1
         self.prev = x
 
 
@@ -111,15 +111,22 @@ def _runs(ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _history_ranks(ids: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
     """For ids from m on: how many of the block's first m ids are less, and how many less or equal."""
-    order = np.argsort(ids, axis=1, kind="stable")
-    known = np.cumsum(order < m, axis=1, dtype=np.int32)
-    first, last = _runs(np.take_along_axis(ids, order, 1))
-    less = np.where(first > 0, np.take_along_axis(known, np.maximum(first - 1, 0), 1), 0)
-    upto = np.take_along_axis(known, last - 1, 1)
-    a, b = np.empty_like(less), np.empty_like(upto)
-    np.put_along_axis(a, order, less, 1)
-    np.put_along_axis(b, order, upto, 1)
-    return a[:, m:], b[:, m:]
+    n, width = ids.shape
+    order = np.argsort(ids, axis=1, kind="stable").astype(np.int32)
+    ranked = np.take_along_axis(ids, order, 1)
+    known = np.cumsum(order < m, axis=1, dtype=np.int32).reshape(-1)
+    new = np.ones((n, width), bool)
+    new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+    begin = np.flatnonzero(new)
+    upto = known[np.append(begin[1:], n * width) - 1]  # of each run of equal ids
+    less = known[begin] - (order.reshape(-1)[begin] < m)
+    run = np.cumsum(new.reshape(-1), dtype=np.int32) - 1
+    late = np.flatnonzero(order.reshape(-1) >= m)
+    place = order.reshape(-1)[late] - m + (late // width) * (width - m)
+    a, b = np.empty((n, width - m), np.int32), np.empty((n, width - m), np.int32)
+    a.reshape(-1)[place] = less[run[late]]
+    b.reshape(-1)[place] = upto[run[late]]
+    return a, b
 
 
 def _lanes(n: int, block: int) -> tuple[int, int]:
@@ -161,7 +168,9 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
             known = np.ascontiguousarray(upto > less)
             a_rows = np.where(known, less.astype(np.int64) << (16 - k), a_rows)
             b_rows = np.where(known, upto.astype(np.int64) << (16 - k), b_rows)
-        where, taken = np.zeros(x_rows.shape, np.int64), np.zeros(x_rows.shape, np.int8)
+        counted = t1 < block  # what the last segment shows is of no more use
+        shape = x_rows.shape if counted else (0, live)
+        where, taken = np.zeros(shape, np.int64), np.zeros(shape, np.int8)
         for t in range(t1 - t0):
             if t0 + t == tail and live == blocks and tail < block:
                 live -= 1
@@ -172,17 +181,18 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
                 model.narrow(live)
             x, h0 = x_rows[t, :live], known[t, :live]
             w2, lead, w0, wu = model.split()
-            h2 = x == model.c2
-            h1 = (x == model.c1) & ~h2
+            h2, is1 = x == model.c2, x == model.c1
+            h1 = is1 & ~h2
             width = np.where(h0, w0, wu)
             start = width * a_rows[t, :live] >> 16
             size = (width * b_rows[t, :live] >> 16) - start
             start += lead + np.where(h0, 0, w0)
             start = np.where(h2, 0, np.where(h1, w2, start))
             size = np.where(h2, w2, np.where(h1, lead - w2, size))
-            where[t, :live] = model.at
-            taken[t, :live] = np.where(h2, 0, np.where(h1, 1, 3 - h0))
-            model.learn(x, h2)
+            if counted:
+                where[t, :live] = model.at
+                taken[t, :live] = np.where(h2, 0, np.where(h1, 1, 3 - h0))
+            model.learn(x, h2, is1)
             unit = span >> _U32
             before = low
             low = low + unit * start.view(np.uint64)
@@ -197,7 +207,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
                 low, span = low << shift, span << shift
                 at = at + small
                 small = span < _SMALL
-        if t1 < block:
+        if counted:
             model.count(where[:, :live], taken[:, :live], k >= 0)
             model.weigh(True)
     flush(0)
@@ -238,7 +248,9 @@ def decode(parts: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
             first, last = ((z << (16 - k)).reshape(-1) for z in _runs(ranked))
             ranked = ranked.reshape(-1)
             row = np.arange(live, dtype=np.int64) << k
-        where, taken = np.zeros((t1 - t0, live), np.int64), np.zeros((t1 - t0, live), np.int8)
+        counted = t1 < block
+        shape = (t1 - t0 if counted else 0, live)
+        where, taken = np.zeros(shape, np.int64), np.zeros(shape, np.int8)
         for t in range(t0, t1):
             if t == tail and live == blocks and tail < block:
                 live -= 1
@@ -256,7 +268,8 @@ def decode(parts: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
             z = y - lead
             h0 = z < w0
             width = np.where(h0, w0, wu)
-            v = ((np.maximum(np.where(h0, z, z - w0), 0) + 1 << 16) - 1) // np.maximum(width, 1)
+            v = (np.maximum(np.where(h0, z, z - w0), 0) + 1 << 16) - 1
+            v = (v.view(np.uint64) // np.maximum(width, 1).view(np.uint64)).view(np.int64)  # unsigned division is faster
             a, b, x = v, v + 1, v
             if k >= 0:
                 place = row + np.minimum(v >> (16 - k), (1 << k) - 1)
@@ -267,9 +280,10 @@ def decode(parts: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
             x = np.where(h2, model.c2, np.where(h1, model.c1, x))
             start = np.where(h2, 0, np.where(h1, w2, start))
             size = np.where(h2, w2, np.where(h1, lead - w2, size))
-            where[t - t0, :live] = model.at
-            taken[t - t0, :live] = np.where(h2, 0, np.where(h1, 1, 3 - (h0 & (k >= 0))))
-            model.learn(x, h2)
+            if counted:
+                where[t - t0, :live] = model.at
+                taken[t - t0, :live] = np.where(h2, 0, np.where(h1, 1, 3 - (h0 & (k >= 0))))
+            model.learn(x, h2, x == model.c1)
             out[t, :live] = x
             code = code - unit * start.view(np.uint64)
             span = unit * size.view(np.uint64)
@@ -279,7 +293,7 @@ def decode(parts: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
                 span = span << (small.astype(np.uint64) << np.uint64(4))
                 at = at + small
                 small = span < _SMALL
-        if t1 < block:
+        if counted:
             model.count(where[:, :live], taken[:, :live], k >= 0)
             model.weigh(True)
     return np.ascontiguousarray(out.T).reshape(-1)[:n]
