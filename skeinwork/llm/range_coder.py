@@ -18,6 +18,7 @@ import numpy as np
 
 BLOCK = 4096
 _FIRST = 16  # ids before order 0 begins
+_STEPS = 128  # for which the encoder makes all intervals at once
 _SLOTS1, _SLOTS2 = 11, 12  # bits of a block's hash tables
 _NEXT = np.array([1, 2, 3, 3, 0, 0, 0, 0], np.int64)  # confidence after a right guess
 _NONE, _SAME = 4, 5  # in place of a confidence: no guess yet; order 1 guesses what order 2 does
@@ -30,15 +31,11 @@ _PRIOR = np.array([3, 9, 16, 22, 0, 0, 0, 0])
 _PRIOR0 = 20
 
 
-class _Model:
-    """What all blocks know at one step. split() gives the shares, learn() takes the ids."""
+class _Shares:
+    """For each block and pair of confidences, the shares of the orders, from how often each was right."""
 
     def __init__(self, blocks: int) -> None:
-        self.lane = np.arange(blocks, dtype=np.int64)
-        self.base1, self.base2, self.base = self.lane << _SLOTS1, self.lane << _SLOTS2, self.lane << 6
-        self.last1 = np.full(blocks << _SLOTS1, _EMPTY, np.int32)
-        self.last2 = np.full(blocks << _SLOTS2, _EMPTY, np.int32)
-        self.prev, self.part = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+        self.base = np.arange(blocks, dtype=np.int64) << 6
         f2, f1 = np.divmod(np.arange(64), 8)
         # right[order][block, confidences] and tried: a prior of 32 tries
         self.right = [np.tile(c.astype(np.int64), (blocks, 1)) for c in (_PRIOR[f2], _PRIOR[f1], np.full(64, _PRIOR0))]
@@ -54,17 +51,30 @@ class _Model:
         w1 = (_TOTAL - w2) * share[1] >> 16
         rest = _TOTAL - w2 - w1
         w0 = rest * share[2] >> 16 if order0 else np.zeros_like(rest)
-        self.w2, self.lead, self.w0, self.wu = (np.ascontiguousarray(w).reshape(-1) for w in (w2, w2 + w1, w0, rest - w0))
+        self.w2, self.lead, self.w0 = (np.ascontiguousarray(w).reshape(-1) for w in (w2, w2 + w1, w0))
 
-    def count(self, at: np.ndarray, taken: np.ndarray, order0: bool) -> None:
-        """After a segment: taken[step, block] is the order's place (0: order 2, 1: order 1, 2: order 0, 3: none)."""
-        n = np.bincount((at << 2 | taken).reshape(-1), minlength=self.tried[0].size * 4).reshape(-1, 64, 4)
+    def count(self, seen: np.ndarray, order0: bool) -> None:
+        """After a segment: how often each place of (base + confidences) << 2 | order was taken (0: order 2, 1: order 1,
+        2: order 0, 3: none)."""
+        n = seen.reshape(-1, 64, 4)
         left = n.sum(axis=2)
         for o in range(3 if order0 else 2):
             self.right[o] += n[:, :, o]
             self.tried[o] += left
             left = left - n[:, :, o]
 
+
+class _Model(_Shares):
+    """What all blocks know at one step of decoding. split() gives the shares, learn() takes the ids."""
+
+    def __init__(self, blocks: int) -> None:
+        super().__init__(blocks)
+        lane = np.arange(blocks, dtype=np.int64)
+        self.base1, self.base2 = lane << _SLOTS1, lane << _SLOTS2
+        self.last1 = np.full(blocks << _SLOTS1, _EMPTY, np.int32)
+        self.last2 = np.full(blocks << _SLOTS2, _EMPTY, np.int32)
+        self.prev, self.part = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+
     def narrow(self, blocks: int) -> None:
         """The last blocks have ended; go on with the first ones."""
         for k in ("base1", "base2", "base", "prev", "part"):
@@ -75,15 +85,16 @@ class _Model:
         self.at1 = self.base1 + (mixed >> 5 & ((1 << _SLOTS1) - 1))
         self.at2 = self.base2 + ((mixed >> 4 ^ self.part) & ((1 << _SLOTS2) - 1))
         self.part = mixed >> 9
-        e1, e2 = self.last1[self.at1], self.last2[self.at2]
-        self.c1, self.c2, self.f1, self.f2 = e1 >> 3, e2 >> 3, e1 & 7, e2 & 7
+        e1, e2 = self.last1.take(self.at1), self.last2.take(self.at2)
+        self.c1, self.c2, self.f2 = e1 >> 3, e2 >> 3, e2 & 7
+        self.f1 = e1 & 7
         self.at = at = self.base + ((self.f2 << 3) + np.where(self.c1 == self.c2, _SAME, self.f1))
-        return self.w2[at], self.lead[at], self.w0[at], self.wu[at]
+        return self.w2.take(at), self.lead.take(at), self.w0.take(at)
 
     def learn(self, x: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
         fresh = x << 3
-        self.last2[self.at2] = fresh + _NEXT[self.f2] * right2
-        self.last1[self.at1] = fresh + _NEXT[self.f1] * right1
+        self.last2[self.at2] = fresh + _NEXT.take(self.f2) * right2
+        self.last1[self.at1] = fresh + _NEXT.take(self.f1) * right1
         self.prev = x
 
 
@@ -135,6 +146,45 @@ def _lanes(n: int, block: int) -> tuple[int, int]:
     return blocks, n - (blocks - 1) * block
 
 
+def _guesses(slots: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What one order guesses at each id, and how sure it is, from whole blocks (rows): what last followed in its slot."""
+    order = np.argsort(slots, axis=1, kind="stable")
+    place = np.arange(ids.shape[1], dtype=np.int32)
+    slot, sorted_ids = np.take_along_axis(slots, order, 1), np.take_along_axis(ids, order, 1)
+    other = np.ones(ids.shape, bool)  # not the slot of the place before
+    other[:, 1:] = slot[:, 1:] != slot[:, :-1]
+    new = other.copy()
+    new[:, 1:] |= sorted_ids[:, 1:] != sorted_ids[:, :-1]
+    run = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
+    guess, sure = np.full(ids.shape, 0xFFFF, np.uint16), np.full(ids.shape, _NONE, np.uint8)
+    guess[:, 1:] = np.where(other[:, 1:], 0xFFFF, sorted_ids[:, :-1])
+    sure[:, 1:] = np.where(other[:, 1:], _NONE, np.minimum(run[:, :-1], 3))
+    c, f = np.empty_like(guess), np.empty_like(sure)
+    np.put_along_axis(c, order, guess, 1)
+    np.put_along_axis(f, order, sure, 1)
+    return c, f
+
+
+def _foreseen(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(step, block): the pair of confidences, and which order is right (0: order 2, 1: order 1, 2: neither).
+
+    The encoder knows all ids, so what decode() learns step by step comes from sorting each block by slots.
+    """
+    blocks, block = grid.shape
+    cell, right = np.empty((block, blocks), np.uint8), np.empty((block, blocks), np.uint8)
+    for k in range(0, blocks, 64):
+        ids = grid[k : k + 64]
+        mixed = np.zeros(ids.shape, np.uint32)
+        mixed[:, 1:] = ids[:, :-1].astype(np.uint32) * np.uint32(40503)
+        part = np.zeros(ids.shape, np.uint32)
+        part[:, 1:] = mixed[:, :-1] >> 9
+        c1, f1 = _guesses((mixed >> 5 & ((1 << _SLOTS1) - 1)).astype(np.uint16), ids)
+        c2, f2 = _guesses(((mixed >> 4 ^ part) & ((1 << _SLOTS2) - 1)).astype(np.uint16), ids)
+        cell[:, k : k + 64] = ((f2 << 3) + np.where(c1 == c2, np.uint8(_SAME), f1)).T
+        right[:, k : k + 64] = np.where(ids == c2, np.uint8(0), np.where(ids == c1, np.uint8(1), np.uint8(2))).T
+    return cell, right
+
+
 def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     """One byte string for each block of `block` ids; ids are below 65,535."""
     n = len(ids)
@@ -150,7 +200,8 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     begin = at.copy()
     ends = np.zeros(blocks, np.int64)
     low, span = np.zeros(blocks, np.uint64), np.full(blocks, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    model, live = _Model(blocks), blocks
+    model, live = _Shares(blocks), blocks
+    cells, rights = _foreseen(grid)
 
     def flush(keep: int) -> None:
         for _ in range(4):
@@ -160,55 +211,52 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         ends[keep : len(at)] = at[keep:] - begin[keep : len(at)]
 
     for t0, t1, k in _segments(block):
-        x_rows = np.ascontiguousarray(grid[:live, t0:t1].T).astype(np.int64)
-        a_rows, b_rows = x_rows, x_rows + 1  # in 2**16ths of the stretch that all ids share alike
-        known = np.zeros(x_rows.shape, bool)
-        if k >= 0:
-            less, upto = (z.T for z in _history_ranks(grid[:live, :t1], t0))
-            known = np.ascontiguousarray(upto > less)
-            a_rows = np.where(known, less.astype(np.int64) << (16 - k), a_rows)
-            b_rows = np.where(known, upto.astype(np.int64) << (16 - k), b_rows)
-        counted = t1 < block  # what the last segment shows is of no more use
-        shape = x_rows.shape if counted else (0, live)
-        where, taken = np.zeros(shape, np.int64), np.zeros(shape, np.int8)
-        for t in range(t1 - t0):
-            if t0 + t == tail and live == blocks and tail < block:
-                live -= 1
-                flush(live)
-                if not live:
-                    return _words(out, begin, ends, cap)
-                at, low, span = at[:live], low[:live], span[:live]
-                model.narrow(live)
-            x, h0 = x_rows[t, :live], known[t, :live]
-            w2, lead, w0, wu = model.split()
-            h2, is1 = x == model.c2, x == model.c1
-            h1 = is1 & ~h2
-            width = np.where(h0, w0, wu)
-            start = width * a_rows[t, :live] >> 16
-            size = (width * b_rows[t, :live] >> 16) - start
-            start += lead + np.where(h0, 0, w0)
-            start = np.where(h2, 0, np.where(h1, w2, start))
-            size = np.where(h2, w2, np.where(h1, lead - w2, size))
-            if counted:
-                where[t, :live] = model.at
-                taken[t, :live] = np.where(h2, 0, np.where(h1, 1, 3 - h0))
-            model.learn(x, h2, is1)
-            unit = span >> _U32
-            before = low
-            low = low + unit * start.view(np.uint64)
-            carry = low < before
-            if carry.any():
-                out[at[carry] - 1] += 1
-            span = unit * size.view(np.uint64)
-            small = span < _SMALL
-            while small.any():
-                out[at] = low >> _U48
-                shift = small.astype(np.uint64) << np.uint64(4)
-                low, span = low << shift, span << shift
-                at = at + small
+        less, upto = _history_ranks(grid[:, :t1], t0) if k >= 0 else (None, None)
+        seen = np.zeros(model.tried[0].size * 4, np.int64)
+        for p in range(t0, t1, _STEPS):
+            q = min(p + _STEPS, t1)
+            a = np.ascontiguousarray(grid[:, p:q].T).astype(np.int64)
+            b = a + 1  # in 2**16ths of the stretch that all ids share alike
+            known = np.zeros(a.shape, bool)
+            if k >= 0:
+                x, y = (np.ascontiguousarray(z[:, p - t0 : q - t0].T) for z in (less, upto))
+                known = y > x
+                a, b = np.where(known, x.astype(np.int64) << (16 - k), a), np.where(known, y.astype(np.int64) << (16 - k), b)
+            where = model.base + cells[p:q]
+            h2, h1 = rights[p:q] == 0, rights[p:q] == 1
+            w2, lead, w0 = model.w2.take(where), model.lead.take(where), model.w0.take(where)
+            width = np.where(known, w0, _TOTAL - lead - w0)
+            start = width * a >> 16
+            size = (width * b >> 16) - start
+            start += np.where(known, lead, lead + w0)
+            start = np.where(h2, 0, np.where(h1, w2, start)).view(np.uint64)
+            size = np.where(h2, w2, np.where(h1, lead - w2, size)).view(np.uint64)
+            if t1 < block:  # what the last segment shows is of no more use
+                taken = np.where(rights[p:q] == 2, 3 - known, rights[p:q])
+                seen += np.bincount((where << 2 | taken).reshape(-1), minlength=len(seen))
+            for t in range(q - p):
+                if p + t == tail and live == blocks and tail < block:
+                    live -= 1
+                    flush(live)
+                    if not live:
+                        return _words(out, begin, ends, cap)
+                    at, low, span = at[:live], low[:live], span[:live]
+                unit = span >> _U32
+                before = low
+                low = low + unit * start[t, :live]
+                carry = low < before
+                if carry.any():
+                    out[at[carry] - 1] += 1
+                span = unit * size[t, :live]
                 small = span < _SMALL
-        if counted:
-            model.count(where[:, :live], taken[:, :live], k >= 0)
+                while small.any():
+                    out[at] = low >> _U48
+                    shift = small.astype(np.uint64) << np.uint64(4)
+                    low, span = low << shift, span << shift
+                    at = at + small
+                    small = span < _SMALL
+        if t1 < block:
+            model.count(seen, k >= 0)
             model.weigh(True)
     flush(0)
     return _words(out, begin, ends, cap)
@@ -260,14 +308,14 @@ def decode(parts: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
                 model.narrow(live)
                 if k >= 0:
                     row = row[:live]
-            w2, lead, w0, wu = model.split()
+            w2, lead, w0 = model.split()
             unit = span >> _U32
             y = np.minimum(code // unit, top).view(np.int64)
             h2 = y < w2
             h1 = (y < lead) & ~h2
             z = y - lead
             h0 = z < w0
-            width = np.where(h0, w0, wu)
+            width = np.where(h0, w0, _TOTAL - lead - w0)
             v = (np.maximum(np.where(h0, z, z - w0), 0) + 1 << 16) - 1
             v = (v.view(np.uint64) // np.maximum(width, 1).view(np.uint64)).view(np.int64)  # unsigned division is faster
             a, b, x = v, v + 1, v
@@ -294,6 +342,6 @@ def decode(parts: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
                 at = at + small
                 small = span < _SMALL
         if counted:
-            model.count(where[:, :live], taken[:, :live], k >= 0)
+            model.count(np.bincount((where[:, :live] << 2 | taken[:, :live]).reshape(-1), minlength=model.tried[0].size * 4), k >= 0)
             model.weigh(True)
     return np.ascontiguousarray(out.T).reshape(-1)[:n]
