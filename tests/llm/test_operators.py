@@ -154,6 +154,33 @@ def test_compression_bands(spark):
     assert got[4].n_bad_chunks > 0
 
 
+def test_production_bands_reject_noise_and_repeats_and_keep_prose(spark, sf_dir):
+    import base64
+
+    r = random.Random(5)
+    labels = {x.doc_id for x in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").collect()}
+    good = [x for x in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if x.doc_id in labels and len((x.text or "").encode()) >= 256]
+    assert {x.lang for x in good} == {"en", "de", "es", "fr"}
+    long = {lang: "\n".join(x.text for x in good if x.lang == lang) for lang in ("en", "de", "es", "fr")}
+
+    def dump(n):
+        return base64.encodebytes(r.randbytes(n)).decode()[:n]
+
+    def letters(n):
+        return " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(r.randrange(4, 30))) for _ in range(n // 10))[:n]
+
+    bad = [f(n) for n in (4000, 20_000, 100_000) for f in (dump, letters)] + [letters(1200)]
+    for t in long.values():
+        bad += [t[: n - int(s * n)] + "\n" + dump(int(s * n)) for n in (3000, 8000) for s in (0.34, 0.5)]
+        bad += [t[:6000] + t[:3000], t[:3000] + t[:1500]]  # a third is said twice
+    bad.append(long["en"][:20_000] + dump(4500))
+    rows = [(k, t) for k, t in enumerate(bad)] + [(10_000 + k, x.text) for k, x in enumerate(good)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert not [x for x in got if x.doc_id < 10_000 and x.kept]
+    assert sum(not x.base_failed for x in got if x.doc_id < 10_000) > 20
+    assert not [x for x in got if x.doc_id >= 10_000 and not x.kept and not x.base_failed]
+
+
 # 4
 
 
