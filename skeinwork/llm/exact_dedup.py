@@ -52,10 +52,19 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return found.select("doc_id", keep.alias("keep_id"), F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["__keep"]), "left_semi")
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+    """One row of docs for each text, with all its columns: that of exact_duplicates' choice, by the same two aggregates.
+
+    The row itself is carried to the choice, so repeated ids and null ids leave one row too. Rows alike in code points
+    and id are told apart by a hash of their columns.
+    """
+    plain = [docs[f.name] for f in docs.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), F.xxhash64(*plain).alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rank = F.struct(F.char_length("text").alias("chars"), (-F.coalesce("doc_id", F.lit(2**63 - 1))).alias("neg"), "hash")
+    keyed = rows.select(without_spaces(F.col("text")).alias("norm"), rank.alias("rank"), F.pmod("hash", F.lit(salts)).cast("int").alias("salt"), "row")
+    keyed = keyed.withColumn("digest", F.unhex(F.sha2("norm", 256)))
+    salted = keyed.groupBy("digest", "salt", "norm").agg(F.max("rank").alias("rank"), F.max_by("row", "rank").alias("row"))
+    return salted.groupBy("digest", "norm").agg(F.max_by("row", "rank").alias("row")).select("row.*")
 
 
 ORACLE = r"""

@@ -51,7 +51,7 @@ def bisect_exponent(shares: DataFrame, n_sources: int, scale: float, entropy: fl
     return round(max(low_e, high_r), 6)
 
 
-def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, blocks: int = BLOCKS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, blocks: int = BLOCKS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", with_row: bool = False) -> DataFrame:
     """One row per use of a document: doc_id, source, epoch, block_rank, block, n_tokens, weight.
 
     A source's weight is its share of all tokens (words) to the power found by bisect_exponent, normalised; its quota is
@@ -60,16 +60,19 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     of them, the last one those that fit the rest of the quota and, of the block at its edge, documents (in hash order)
     up to it: a source misses its quota by less than one document. A null source is a source of its own. Sources without
     a token have no weight and give no rows; null or empty texts of others go with their block. Repeated rows are used
-    each. An empty table gives no rows.
+    each; rows without an id are dealt by their text. An empty table gives no rows. with_row adds the input row, a struct.
     """
-    named = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), count_words(docs[text_col]).alias("n_tokens"))
+    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if with_row else []
+    more = ["row"] if with_row else []
+    dealt = F.coalesce(docs[id_col].cast("long"), F.xxhash64(docs[text_col]))
+    named = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), count_words(docs[text_col]).alias("n_tokens"), dealt.alias("dealt"), *row)
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
-    rows = write_table(named.withColumn("key", key).withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(blocks)).cast("int")), "mix-rows")
+    rows = write_table(named.withColumn("key", key).withColumn("block", F.pmod(F.xxhash64("dealt", F.lit(seed)), F.lit(blocks)).cast("int")), "mix-rows")
     held = rows.groupBy("key", "block").agg(F.sum("n_tokens").alias("tokens"))
     sources = write_table(held.groupBy("key").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "mix-sources")
     total, n = sources.agg(F.sum("tokens"), F.count("*")).first()
     if not n:
-        return rows.select("doc_id", "source", F.lit(0).alias("epoch"), F.lit(0).alias("block_rank"), "block", "n_tokens", F.lit(0.0).alias("weight")).where(F.lit(False))
+        return rows.select("doc_id", "source", F.lit(0).alias("epoch"), F.lit(0).alias("block_rank"), "block", "n_tokens", F.lit(0.0).alias("weight"), *more).where(F.lit(False))
     budget = int(budget or total)
     shares = sources.select("key", "tokens", (F.col("tokens") / F.lit(total)).alias("p"))
     exponent = bisect_exponent(shares, n, budget / total, entropy, repeats)
@@ -82,14 +85,12 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     order = Window.partitionBy("key", "epoch").orderBy(F.xxhash64("epoch", "block", F.lit(seed + 1)), "block")
     turns = turns.select("key", "block", "weight", "epoch", "block_tokens", F.least(F.col("quota") - F.col("epoch") * F.col("tokens"), F.col("tokens")).alias("most"), F.row_number().over(order).alias("block_rank"), (F.sum("block_tokens").over(order) - F.col("block_tokens")).alias("before"))
     turns = turns.withColumn("room", F.col("most") - F.col("before")).where("room > 0")
-    within = Window.partitionBy("key", "block").orderBy(F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("key", "block").orderBy(F.xxhash64("dealt", F.lit(seed + 2)), "dealt").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("upto", F.sum("n_tokens").over(within))
     used = placed.join(turns.select("key", "block", "weight", "epoch", "block_rank", "room"), ["key", "block"]).where("upto <= room")
-    return used.select("doc_id", "source", F.col("epoch").cast("int").alias("epoch"), "block_rank", "block", "n_tokens", "weight")
+    return used.select("doc_id", "source", F.col("epoch").cast("int").alias("epoch"), "block_rank", "block", "n_tokens", "weight", *more)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs with each row as often as the mix uses it, with all their columns."""
-    uses = mix(docs, id_col=id_col, **options).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").cast("int").alias("__uses"))
-    joined = docs.join(uses, docs[id_col].cast("long").eqNullSafe(uses["__id"]))
-    return joined.withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__uses")))).select(*[docs[c] for c in docs.columns])
+    """docs with each row as often as the mix uses it, with all their columns; the row is carried through the mix."""
+    return mix(docs, id_col=id_col, with_row=True, **options).select("row.*")

@@ -90,6 +90,13 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, r
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay (one document of each class), with all their columns."""
-    gone = near_duplicates(docs, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    """The rows of docs that stay, with all their columns: of each class the row with the smallest id (null ids last).
+
+    Rows are told apart by a key of their own, written with them, so near copies under one id or without an id meet too.
+    """
+    keyed = write_table(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    classes_of = near_duplicates(keyed, id_col="__row", text_col=text_col).where("class_size > 1").select(F.col("doc_id").alias("__member"), "class_id")
+    members = write_table(classes_of.join(keyed.select("__row", keyed[id_col].cast("long").alias("id")), F.col("__member") == F.col("__row")).select("__member", "class_id", F.struct(F.col("id").isNull().alias("none"), "id", F.col("__member").alias("row")).alias("place")), "near-members")
+    stay = members.groupBy("class_id").agg(F.min("place")["row"].alias("__stays")).select("__stays")
+    gone = members.select("__member").join(stay, F.col("__member") == F.col("__stays"), "left_anti")
+    return keyed.join(gone, keyed["__row"] == gone["__member"], "left_anti").select(*[keyed[c] for c in docs.columns])

@@ -481,6 +481,30 @@ def test_batches_hold_about_their_bytes():
     assert all(t.num_rows == 1 or sum(map(len, t["text"].to_pylist())) <= 10 for t in out)
 
 
+def test_stages_keep_rows_apart_that_share_an_id_or_have_none(spark):
+    r = random.Random(21)
+    a, b, c, d = (prose(r, 80, False) for _ in range(4))
+    schema = "doc_id long, text string, source string"
+    # exact: equal rows under one id, equal texts without an id, two texts under one id
+    rows = [(4, a, "x"), (4, a, "x"), (4, b, "x"), (9, a, "y"), (None, c, "x"), (None, c, "x"), (None, a, "x"), (None, d, "y"), (2, d, "x"), (2, d + " ", "x")]
+    got = exact_dedup.drop_exact_duplicates(spark.createDataFrame(rows, schema))
+    assert got.columns == ["doc_id", "text", "source"]
+    assert sorted(((x.doc_id or 0), x.text) for x in got.collect()) == sorted([(4, a), (4, b), (0, c), (2, d + " ")])
+    # near: near copies under one id, or without one
+    rows = [(4, a, "x"), (4, a + " more", "x"), (4, b, "x"), (None, c, "x"), (None, c + " more", "x"), (7, d + " more", "x"), (5, d, "y"), (None, "less " + d, "x")]
+    got = [((x.doc_id or 0), x.text) for x in near_dup.drop_near_duplicates(spark.createDataFrame(rows, schema)).collect()]
+    assert len(got) == 4 and sorted(i for i, _ in got) == [0, 4, 4, 5] and {(4, b), (5, d)} <= set(got)
+    # mixing: as many rows as uses, within the budget, whatever the ids
+    rows = [(None if k % 3 == 0 else k // 4, prose(r, 20), "hot" if k % 5 else "rare") for k in range(300)] + [(1000, "again and again", "hot")] * 5
+    docs = spark.createDataFrame(rows, schema)
+    used, total = mixing.mix(docs, blocks=16).collect(), sum(len(re.findall(SPLIT, t)) for _, t, _ in rows)
+    out = [tuple(x) for x in mixing.mixed_documents(docs, blocks=16).collect()]
+    assert len(out) == len(used) and sum(len(re.findall(SPLIT, t)) for _, t, _ in out) <= total
+    given, times = collections.Counter(rows), collections.Counter(out)
+    assert all(n <= 4 * given[x] for x, n in times.items())
+    assert len({x.block for x in used if x.doc_id is None}) > 8
+
+
 def test_pipeline_stages(spark, sf_dir, tmp_path):
     import corpus_pipeline as cp
 
