@@ -19,6 +19,8 @@ KINDS = ("assign", "access", "hex", "markov")
 #: Strings that the models judge: runs of these characters, at least so long.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 LEAST = 20
+#: Of a run, the least stretch; it may lose a character or two of a key at either end.
+LEAST_STRETCH = 16
 CANDIDATE = r"[A-Za-z0-9+/_=.-]{%d,}" % LEAST
 #: Log-likelihood ratio (nats) a random string needs: in all, and for each character.
 LEAST_LLR, LEAST_LLR_EACH = 10.0, 0.35
@@ -118,9 +120,11 @@ def find_secrets(docs: DataFrame, llr: list[float], id_col: str = "doc_id", text
     """One row per input row: doc_id, n_assign, n_access, n_hex, n_markov (long), base_sha256, spans.
 
     spans is "kind:start:end" of every span by start, then kind (assign, access, hex, markov), comma-joined; code
-    points, end exclusive, of the whole match. base_sha256 is SHA-256 of the same over the three pattern kinds. A markov
-    span is a run of ALPHABET, LEAST long, that overlaps no base span and whose character pairs are likelier under the
-    model of random strings by LEAST_LLR in all and LEAST_LLR_EACH a pair. Null or empty text: no spans, counts 0.
+    points, end exclusive, of the whole match. base_sha256 is SHA-256 of the same over the three pattern kinds. Markov
+    spans come from the runs of ALPHABET, each cut at the base spans in it. A piece of LEAST characters or more is a
+    span if its character pairs are likelier under the model of random strings by LEAST_LLR in all and LEAST_LLR_EACH a
+    pair. If not, its best stretch is one (the greatest sum over the pairs) if it has LEAST_STRETCH characters
+    and reaches the same limits: ordinary text beside a key does not hide it. Null or empty text: no spans, counts 0.
     Repeated rows are judged each alone; extra columns are ignored.
     """
     table = ",".join(f"{x:.6g}" for x in llr)
@@ -135,11 +139,32 @@ def find_secrets(docs: DataFrame, llr: list[float], id_col: str = "doc_id", text
         F.expr(_spans(3, CANDIDATE)).alias("candidates"),
     )
     found = found.select("doc_id", "assign", "access", "hex", F.expr("array_sort(concat(assign, access, hex))").alias("base"), F.expr("if(size(candidates) = 0, cast(array() as array<struct<start:int,kind:int,end:int,s:string>>), zip_with(candidates, regexp_extract_all(text, '%s', 0), (c, s) -> named_struct('start', c.start, 'kind', c.kind, 'end', c.end, 's', s)))" % CANDIDATE).alias("candidates"))
-    ratio = f"split('{table}', ',')"
+    # what the base spans leave of each run, in code points of the text
+    cut = "filter(base, b -> c.start < b.end and b.start < c.end)"
+    gaps = (
+        f"aggregate({cut}, named_struct('at', c.start, 'out', cast(array() as array<struct<start:int,end:int>>)), (a, b) -> named_struct('at', greatest(a.at, b.end), "
+        f"'out', if(b.start - a.at >= {LEAST}, concat(a.out, array(named_struct('start', a.at, 'end', b.start))), a.out)), "
+        f"a -> if(c.end - a.at >= {LEAST}, concat(a.out, array(named_struct('start', a.at, 'end', c.end))), a.out))"
+    )
+    piece = f"flatten(transform(candidates, c -> transform({gaps}, g -> named_struct('start', g.start, 'end', g.end, 's', substring(c.s, g.start - c.start + 1, g.end - g.start)))))"
+    found = found.withColumn("pieces", F.expr(piece))
     code = f"transform(split(c.s, ''), x -> locate(x, '{ALPHABET}'))"
-    score = f"aggregate(zip_with(slice({code}, 1, c.end - c.start - 1), slice({code}, 2, c.end - c.start - 1), (x, y) -> cast({ratio} as array<double>)[(x - 1) * {size} + y - 1]), 0D, (a, x) -> a + x)"
-    least = f"greatest({LEAST_LLR}D, {LEAST_LLR_EACH}D * (c.end - c.start - 1))"
-    found = found.withColumn("markov", F.expr(f"transform(filter(candidates, c -> not exists(base, b -> c.start < b.end and b.start < c.end) and {score} >= {least}), c -> named_struct('start', c.start, 'kind', c.kind, 'end', c.end))"))
+    ratios = f"zip_with(slice(k, 1, size(k) - 1), slice(k, 2, size(k) - 1), (x, y) -> t[(x - 1) * {size} + y - 1])"
+    # one fold: the sum of all pairs; the running stretch (begin, sum over the limit) and the best one so far
+    fold = (
+        f"aggregate({ratios}, named_struct('i', 0, 'all', 0D, 'from', 0, 'run', 0D, 'start', 0, 'end', 0, 'best', 0D), (a, x) -> named_struct("
+        "'i', a.i + 1, 'all', a.all + x, "
+        f"'from', if(a.run > 0, a.from, a.i), 'run', greatest(a.run, 0D) + x, "
+        f"'start', if(greatest(a.run, 0D) + x > a.best, if(a.run > 0, a.from, a.i), a.start), "
+        f"'end', if(greatest(a.run, 0D) + x > a.best, a.i + 2, a.end), "
+        f"'best', greatest(a.best, greatest(a.run, 0D) + x)))"
+    )
+    judged = f"transform(pieces, c -> transform(array({code}), k -> named_struct('p', c.start, 'q', c.end, 'f', {fold}))[0])".replace("t[(", f"cast(split('{table}', ',') as array<double>)[(")
+    whole = f"j.f.all >= greatest({LEAST_LLR}D, {LEAST_LLR_EACH}D * (j.q - j.p - 1))"
+    part = f"j.f.end - j.f.start >= {LEAST_STRETCH} and j.f.best >= greatest({LEAST_LLR}D, {LEAST_LLR_EACH}D * (j.f.end - j.f.start - 1))"
+    found = found.withColumn("judged", F.expr(judged))
+    spans = f"transform(filter(judged, j -> ({whole}) or ({part})), j -> named_struct('start', if({whole}, j.p, j.p + j.f.start), 'kind', 3, 'end', if({whole}, j.q, j.p + j.f.end)))"
+    found = found.withColumn("markov", F.expr(spans))
     names = "array(" + ",".join(f"'{k}'" for k in KINDS) + ")"
     said = "array_join(transform({}, s -> concat({}[s.kind], ':', s.start, ':', s.end)), ',')"
     n = lambda c: F.size(c).cast("long").alias(f"n_{c}")

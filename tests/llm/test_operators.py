@@ -98,6 +98,23 @@ def test_markov_models_tell_held_out_strings_apart(spark, model):
     assert got[k].spans.startswith("markov:4:")
 
 
+def test_markov_models_find_keys_within_longer_runs(spark, model):
+    import base64
+
+    r = random.Random(7)
+    keys = [base64.b64encode(r.randbytes(n * 3 // 4)).decode()[:n] for n in (32, 40) for _ in range(50)]
+    around = [("/var/lib/service/data/client/connection/", ""), ("https/example.com/service/config/database.settings.key=", ""), ("NAME_of_the_setting=", "/with/ordinary/path/after/it"), ("AKIA" + "Q" * 16 + "/", "")]
+    rows = [(f"see {a}{k}{b} there", len(f"see {a}"), len(k)) for a, b in around for k in keys]
+    got = {x.doc_id: x.spans for x in secrets.find_secrets(spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows)], "doc_id long, text string"), model).collect()}
+    for g in range(len(around)):
+        hits = 0
+        for i in range(g * len(keys), (g + 1) * len(keys)):
+            _, at, n = rows[i]
+            spans = [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s.startswith("markov")]
+            hits += any(min(b, at + n) - max(a, at) >= 0.8 * n for a, b in spans)
+        assert hits >= 0.9 * len(keys), (around[g], hits)
+
+
 # 2
 
 
