@@ -5,7 +5,7 @@
 2. Parse order. Phrases are grouped by content; a group's first occurrence is the dictionary's, and every start in
    a later one is a repeat. This settles copies of whole phrases, the bulk of repetitive text, without looking inside.
 3. Dictionary order. Only dictionary phrases that share a trigger with another can hold a string in common. Their
-   suffixes (cut to 100 bytes, beyond which order does not matter) are sorted; equal neighbours are the strings that
+   suffixes (cut to 100 bytes) are sorted by a hash, not in byte order; equal neighbours are the strings that
    several phrases hold, and combined with the phrases' first places they give each string's first place in the corpus.
 The parse beyond a phrase is never consulted, for the overlap already holds all that a 100-byte suffix can reach.
 """
