@@ -49,7 +49,40 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/skeinwork/{name}-{uuid.uuid4().hex}"
     with shuffle_cleanup(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of write_table whose readers have all been written themselves; what a returned DataFrame reads stays."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: A key with more rows than this, and than 1/1000 of all, is dealt over several tasks; so there are at most 1000 such keys.
+HOT_ROWS, HOT_KEYS = 20_000, 1000
+
+
+def hot_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", n: str = "n", sizes: DataFrame | None = None) -> DataFrame:
+    """big joined to small (one row for each key), without hot tasks; column n of small, or of sizes, counts a key's rows in big.
+
+    Rows of a hot key are dealt over as many tasks as they are times too many, and small's row goes to each of these.
+    Hot keys are at most HOT_KEYS by their definition, so the broadcast list of them is bounded whatever the data's size.
+    """
+    sizes = small if sizes is None else sizes
+    total, most = sizes.agg(F.sum(n), F.max(n)).first()
+    cut = max(HOT_ROWS, (total or 0) // HOT_KEYS)
+    if (most or 0) <= cut:
+        return big.join(small.hint("merge"), key, how)
+    hot = F.broadcast(sizes.where(F.col(n) > cut).select(F.col(key).alias("__key"), F.ceil(F.col(n) / cut).cast("int").alias("__copies")))
+    copies = F.coalesce("__copies", F.lit(1))
+    deal = F.when(F.col("__copies") > 1, F.pmod(F.xxhash64(*big.columns), copies)).otherwise(0).cast("int")
+    many = big.join(hot, big[key].eqNullSafe(F.col("__key")), "left").withColumn("__deal", deal).drop("__key", "__copies")
+    few = small.join(hot, small[key].eqNullSafe(F.col("__key")), "left").withColumn("__deal", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__key", "__copies")
+    return many.join(few.hint("merge"), [key, "__deal"], how).drop("__deal")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,57 +1,79 @@
 """From band keys to verified links and components, without pairs within a group.
 
-`id` may be any orderable column (a long, or a struct). In a bucket (band, key) every member is compared with one
-leader, the member that meets most others over all its buckets: with near copies, that is the text they come from. The
-links give components. Where a bucket still holds several components, members of different ones are compared too, if
-what they share with others and their sketches let them be similar at all; so a link is lost only where banding itself or a sketch four standard
-deviations off loses it, and groups of like texts, which form one component at once, are never expanded into pairs.
+`id` may be any orderable column (a long, or a struct). In a bucket (the ids of one band key) every member is compared
+with one leader, the member that meets most others over all its buckets: with near copies, that is the text they come
+from. The links give components. Ids that are still in a bucket with other components are then joined by prefixes: a
+pair of similarity `least` must share an element within the rarest parts of both, so like texts that are not near copies
+are mostly never paired, and no pair is lost that a bucket holds. Hot keys are dealt over tasks in every join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import hot_join, release, write_table
+
+#: Ids of one prefix element that one task pairs with as many others.
+BLOCK = 512
 
 
 def buckets(rows: DataFrame) -> DataFrame:
-    """(band, key, id) of the buckets with more than one member, from rows (id, bands)."""
-    each = rows.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = each.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    return write_table(each.join(shared, ["band", "key"]), "buckets")
+    """(key, id, n): members of the buckets with more than one, and how many these are; from rows (id, keys), keys an array."""
+    each = rows.select("id", F.explode("keys").alias("key"))
+    shared = write_table(each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
+    members = write_table(hot_join(each, shared, "key"), "buckets")
+    release(shared)
+    return members
 
 
 def leaders(members: DataFrame) -> DataFrame:
-    """(band, key, b): each bucket's leader."""
+    """(key, b, n): each bucket's leader and size."""
     score = members.groupBy("id").agg(F.sum("n").alias("score"))
-    return members.join(score, "id").groupBy("band", "key").agg(F.max(F.struct("score", "id")).alias("m")).select("band", "key", F.col("m.id").alias("b"))
+    return members.join(score.hint("merge"), "id").groupBy("key").agg(F.max(F.struct("score", "id")).alias("m"), F.count("*").alias("n")).select("key", F.col("m.id").alias("b"), "n")
+
+
+def _row_of(values: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values of a list column and the number of the row of each."""
+    return values.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(values)), values.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def similarities(pairs: DataFrame, content: DataFrame) -> DataFrame:
+    """(a, b, sim): the exact (weighted) Jaccard similarity of each pair (a, b).
+
+    content: (id, elements) and weights too, if they are not all 1. Each id's content is joined by the number of its
+    pairs, so one that a third of all others meet goes to many tasks.
+    """
+    weighted = "weights" in content.columns
+    sized = content.select("id", "elements", *(["weights"] if weighted else []))
 
+    def with_content(rows: DataFrame, side: str) -> DataFrame:
+        names = {"id": side, "elements": f"e{side}", "weights": f"w{side}"}
+        mine = sized.select(*[F.col(c).alias(names[c]) for c in sized.columns])
+        return hot_join(rows, mine, side, sizes=pairs.groupBy(side).agg(F.count("*").alias("n")))
 
-def similarities(pairs: DataFrame, content: DataFrame, weighted: bool = True) -> DataFrame:
-    """(a, b, sim): the exact (weighted) Jaccard similarity of each pair (a, b); content: (id, elements, weights)."""
-    one = content.select(F.col("id").alias("a"), F.col("elements").alias("ea"), F.col("weights").alias("wa"))
-    two = content.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("weights").alias("wb"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "ea", "wa", "eb", "wb")
+    columns = ["ea", "eb", "wa", "wb"] if weighted else ["ea", "eb"]
+    both = with_content(with_content(pairs.select("a", "b"), "a"), "b").select("a", "b", *columns)
     out = pairs.select("a", "b").withColumn("sim", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ea, wa, eb, wb = (batch.column(k) for k in range(2, 6))
-            sim = np.zeros(batch.num_rows)
-            for i in range(batch.num_rows):
-                x, y = (np.asarray(c[i].values) for c in (ea, eb))
-                u, v = (np.asarray(c[i].values) for c in (wa, wb)) if weighted else (np.ones(len(x)), np.ones(len(y)))
-                _, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                inner = np.minimum(u[p], v[q]).sum()
-                whole = u.sum() + v.sum() - inner
-                sim[i] = inner / whole if whole else 0.0
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sim)], names=["a", "b", "sim"])
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1024):
+                batch = whole.slice(k, 1024)
+                n = batch.num_rows
+                (x, p), (y, q) = _row_of(batch.column("ea")), _row_of(batch.column("eb"))
+                u, v = (batch.column("wa").flatten().to_numpy(), batch.column("wb").flatten().to_numpy()) if weighted else (np.ones(len(x)), np.ones(len(y)))
+                element, row, weight = np.concatenate([x, y]), np.concatenate([p, q]), np.concatenate([u, v])
+                order = np.lexsort((element, row))
+                element, row, weight = element[order], row[order], weight[order]
+                same = np.flatnonzero((row[1:] == row[:-1]) & (element[1:] == element[:-1]))  # an element is once in a set
+                inner = np.bincount(row[same], np.minimum(weight[same], weight[same + 1]), n)
+                union = np.bincount(row, weight, n) - inner
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.divide(inner, union, out=np.zeros(n), where=union > 0))], names=["a", "b", "sim"])
 
     return both.mapInArrow(run, out)
 
@@ -60,76 +82,83 @@ def components(links: DataFrame) -> DataFrame:
     """(id, label): each linked id and the least id of its component.
 
     Labels go to the least of the neighbours' and then to their label's label, until none changes; each round is written
-    to the shared folder, and only whether anything changed comes to the driver.
+    to the shared folder, and only whether anything changed comes to the driver. An id that very many link to is dealt
+    over tasks, as neighbour and as label.
     """
     edges = write_table(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = write_table(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
+    labels = write_table(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("label"), F.count("*").alias("n")), "labels")
     while True:
-        near = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        hop = labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = hop.join(labels.select(F.col("id").alias("label"), F.col("label").alias("far")), "label", "left")
-        new = write_table(jump.select("id", F.least("label", "far").alias("label"), (F.least("label", "far") != F.col("old")).alias("moved")), "labels")
-        labels = new.select("id", "label")
+        near = hot_join(edges, labels.select(F.col("id").alias("b"), "label", "n"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        hop = write_table(labels.join(near.hint("merge"), "id").select("id", "n", F.col("label").alias("old"), F.least("label", "near").alias("label")), "hops")
+        far = hop.groupBy("label").agg(F.count("*").alias("m")).join(labels.select(F.col("id").alias("label"), F.col("label").alias("far")).hint("merge"), "label")
+        jump = hot_join(hop, far, "label", "left", "m")
+        new = write_table(jump.select("id", "n", F.least("label", "far").alias("label"), (F.least("label", "far") != F.col("old")).alias("moved")), "labels")
+        release(hop, labels)
+        labels = new
         if new.where("moved").isEmpty():
-            return labels
+            release(edges)
+            return labels.select("id", "label")
 
 
-def shared_weights(content: DataFrame, weighted: bool) -> DataFrame:
-    """(id, total, shared): an id's weight, and the part of it in elements that another id of content has too.
+def _prefixes(content: DataFrame, least: float) -> DataFrame:
+    """(e, id, label, total, shared): of each id of content (id, label, elements[, weights]), the elements of its prefix that others have too.
 
-    Elements that one id alone has are found by an aggregate that combines early; frequent elements never meet their ids.
+    Elements are in order of how many ids have them, rarest first; the prefix ends where what is left weighs less than
+    `least` of the whole. Two ids of that similarity share an element of both prefixes: the first they have in common
+    has at most 1 - least of either before it.
     """
-    pair = "arrays_zip(elements, weights)" if weighted else "transform(elements, x -> named_struct('elements', x, 'weights', 1))"
-    each = content.select("id", F.expr(f"explode({pair})").alias("e")).select("id", "e.elements", "e.weights")
-    alone = each.groupBy("elements").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("weights").alias("w")).where("n = 1").groupBy("id").agg(F.sum("w").alias("alone"))
-    total = F.aggregate("weights", F.lit(0).cast("long"), lambda n, w: n + w) if weighted else F.size("elements").cast("long")
-    return content.select("id", total.alias("total")).join(alone, "id", "left").select("id", "total", (F.col("total") - F.coalesce("alone", F.lit(0))).alias("shared"))
-
-
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members (band, key, id, label, ...) of the buckets that hold several labels."""
-    several = members.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band", "key")
-    return members.join(several, ["band", "key"])
-
-
-def rest_pairs(members: DataFrame, first: DataFrame, known: DataFrame, labels: DataFrame, rows: DataFrame, content: DataFrame, least: float, size: int, weighted: bool) -> DataFrame:
-    """Pairs of one bucket but different components that can be similar, without those already known (a, b, sim).
-
-    Exact bounds come first, and texts edited too much to be anyone's near copy drop out before they are paired:
-    a pair of similarity `least` has at least least / (1 + least) of both weights together in common, which is no more
-    than either shares with anything; and as 1 - similarity is a metric, it is no less than the difference of both
-    members' distances from their bucket's leader, which are known. What passes must also agree in its sketches, to
-    four standard deviations. A pair that shares several buckets is made in the first one only.
+    pair = "arrays_zip(elements, weights)" if "weights" in content.columns else "transform(elements, x -> named_struct('elements', x, 'weights', 1))"
+    each = content.select("id", "label", F.expr(f"explode({pair})").alias("p")).select("id", "label", F.col("p.elements").alias("e"), F.col("p.weights").cast("long").alias("w"))
+    common = write_table(each.groupBy("e").agg(F.count("*").alias("n")).where("n > 1"), "common-elements")
+    known = hot_join(each, common, "e", "left").select("id", "label", F.struct(F.coalesce("n", F.lit(1)).alias("n"), "e", "w").alias("x"))
+    lists = known.groupBy("id").agg(F.first("label").alias("label"), F.array_sort(F.collect_list("x")).alias("xs"))
+    total, shared = "aggregate(xs, 0L, (s, x) -> s + x.w)", "aggregate(xs, 0L, (s, x) -> s + if(x.n > 1, x.w, 0L))"
+    lists = lists.select("id", "label", "xs", F.expr(total).alias("total"), F.expr(shared).alias("shared")).where(F.col("shared") >= least * F.col("total") - 1e-9)
+    # the prefix's length: elements that have at most 1 - least of the weight before them
+    size = f"aggregate(xs, named_struct('w', 0L, 'k', 0), (s, x) -> named_struct('w', s.w + x.w, 'k', s.k + if(s.w <= {1 - least} * total + 1e-9, 1, 0)), s -> s.k)"
+    prefix = F.expr(f"filter(slice(xs, 1, {size}), x -> x.n > 1)")
+    out = write_table(lists.select(F.explode(prefix).alias("x"), "id", "label", "total", "shared").select("x.e", "id", "label", "total", "shared"), "prefixes")
+    release(common)
+    return out
+
+
+def rest_pairs(members: DataFrame, labels: DataFrame, content: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """(a, b): ids of different components, each in a bucket with another component, that can have similarity `least`.
+
+    A prefix join over all of these ids: no pair of one bucket is lost. Of a pair both shared weights (what others have
+    too) bound the overlap, and so do the totals. An element that many prefixes hold is split into blocks of about
+    BLOCK ids, and each pair of blocks is a key of its own.
     """
-    agree = max(1, int(size * least - 4 * sqrt(size * least * (1 - least))))
-    own = members.select("band", "key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    own = write_table(_mixed(own), "mixed-buckets")
-    weights = shared_weights(content.join(own.select("id").distinct(), "id", "left_semi"), weighted).where(F.col("shared") >= least * F.col("total") - 1e-9)
-    own = _mixed(own.join(weights, "id")).join(first, ["band", "key"])
-    own = own.join(known.select(F.col("a").alias("id"), "b", "sim"), ["id", "b"], "left").withColumn("far", F.when(F.col("id") == F.col("b"), 0.0).otherwise(1 - F.coalesce("sim", F.lit(0.0))))
-    own = write_table(own.join(rows.select("id", "bands", "sketch"), "id"), "mixed-buckets")
-    side = lambda **names: own.select("band", "key", *[F.col(c).alias(n) for c, n in names.items()])
-    one = side(id="a", label="x", sketch="s", bands="g", total="m", shared="u", far="d", b="c")
-    two = side(id="b", label="y", sketch="t", bands="h", total="n", shared="v", far="e")
-    enough = F.least("u", "v") >= least / (1 + least) * (F.col("m") + F.col("n")) - 1e-9
-    near = F.abs(F.col("d") - F.col("e")) <= 1 - least + 1e-9
-    fresh = (F.col("a") != F.col("c")) & (F.col("b") != F.col("c"))  # the leader has met all of its bucket
-    may = F.expr(f"aggregate(zip_with(s, t, (p, q) -> if(p = q, 1, 0)), 0, (n, z) -> n + z) >= {agree}")
-    once = F.expr("array_position(zip_with(g, h, (p, q) -> p = q), true)") == one.band + 1
-    met = (one.band == two.band) & (one.key == two.key) & (F.col("x") < F.col("y"))
-    pairs = one.join(two, met & enough & near & fresh & may & once).select("a", "b").distinct()
-    return pairs.join(known.select("a", "b").union(known.select("b", "a")), ["a", "b"], "left_anti")
-
-
-def classes(rows: DataFrame, content_of, least: float, size: int, weighted: bool = True) -> DataFrame:
-    """(id, label) for each linked id of rows (id, bands, sketch); content_of(ids) gives (id, elements, weights)."""
+    own = write_table(members.join(labels.hint("merge"), "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("label")), "labelled-members")
+    several = own.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("key", "m")
+    ids = hot_join(own.select("key", "id", "label"), write_table(several, "mixed-buckets"), "key", n="m").select("id", "label").distinct()
+    prefixes = _prefixes(write_table(content.drop("label").join(ids.hint("merge"), "id"), "mixed-content"), least)
+    several = prefixes.groupBy("e").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("e", "m")
+    dealt = hot_join(prefixes, write_table(several, "mixed-elements"), "e", n="m").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    dealt = write_table(dealt.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int")), "dealt-prefixes")
+    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    one = dealt.select("e", F.col("own").alias("i"), all_blocks.alias("j"), F.col("id").alias("a"), F.col("label").alias("x"), F.col("total").alias("s"), F.col("shared").alias("u"))
+    two = dealt.select("e", F.col("own").alias("j"), all_blocks.alias("i"), F.col("id").alias("b"), F.col("label").alias("y"), F.col("total").alias("t"), F.col("shared").alias("v")).hint("merge")
+    met = (one.e == two.e) & (one.i == two.i) & (one.j == two.j) & (F.col("x") < F.col("y"))
+    enough = (F.least("u", "v") >= least / (1 + least) * (F.col("s") + F.col("t")) - 1e-9) & (F.least("s", "t") >= least * F.greatest("s", "t") - 1e-9)
+    pairs = one.join(two, met & enough).select("a", "b").distinct()
+    return pairs.join(known.select("a", "b").union(known.select("b", "a")).hint("merge"), ["a", "b"], "left_anti")
+
+
+def classes(rows: DataFrame, content_of, least: float) -> tuple[DataFrame, DataFrame]:
+    """((id, label) of each linked id, content) of rows (id, keys); content_of(ids) gives (id, elements[, weights], ...)."""
     members = buckets(rows)
     first = write_table(leaders(members), "leaders")
-    pairs = members.join(first, ["band", "key"]).where("id != b").select(F.col("id").alias("a"), "b").distinct()
+    pairs = write_table(hot_join(members.select("key", "id"), first, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct(), "pairs")
     content = write_table(content_of(members.select("id").distinct()), "content")
-    known = write_table(similarities(pairs, content, weighted), "similarities")
+    known = write_table(similarities(pairs, content), "similarities")
     links = known.where(F.col("sim") >= least)
     labels = components(links)
-    more = rest_pairs(members, first, known, labels, rows, content, least, size, weighted)
-    extra = write_table(similarities(more, content, weighted), "similarities").where(F.col("sim") >= least)
-    return labels if extra.isEmpty() else components(links.unionByName(extra))
+    more = write_table(rest_pairs(members, labels, content, known, least), "rest-pairs")
+    release(members, first, pairs)
+    if not more.isEmpty():
+        extra = write_table(similarities(more, content), "similarities").where(F.col("sim") >= least)
+        if not extra.isEmpty():
+            labels = components(links.unionByName(extra))
+    release(known, more)
+    return labels, content

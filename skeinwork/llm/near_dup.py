@@ -10,15 +10,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, flat_bytes, id_and_text, word_spans, write_table
+from .common import batches_by_bytes, flat_bytes, hot_join, id_and_text, release, word_spans, write_table
 from .links import classes
-from .signatures import bag_minhash, band_keys, shingles, sketch
+from .signatures import bag_minhash, band_keys, shingles
 
 BANDS, ROWS = 24, 5  # a pair of similarity 0.8 shares a band with probability 0.99993
-#: Places of a signature; the first BANDS * ROWS are banded, all of them estimate similarities.
-PLACES = 320
 LEAST = 0.8
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int16()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("n_shingles", pa.int64()), ("keys", pa.list_(pa.int64()))])
 _CONTENT = pa.schema([("id", pa.int64()), ("elements", pa.list_(pa.int64())), ("weights", pa.list_(pa.int32()))])
 
 
@@ -32,21 +30,21 @@ def _rows(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, print, n_shingles, bands, sketch) of each document; print identifies its multiset of shingles."""
+    """(doc_id, print, n_shingles, keys) of each document; print identifies its multiset of shingles, keys are its bands'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches_by_bytes(batches, 2 << 20):
             data, bounds = flat_bytes(table["text"])
             n = table.num_rows
             row, element, weight = shingles(data, *word_spans(data, bounds), n)
-            sig = bag_minhash(row, element, weight, n, max(PLACES, bands * rows))
+            sig = bag_minhash(row, element, weight, n, bands * rows)
             at = np.searchsorted(row, np.arange(n + 1))
             both = np.stack([element, weight.astype(np.uint64)], axis=1)
             prints = [xxhash.xxh3_128_digest(both[a:b].tobytes()) if b > a else None for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             total = np.bincount(row, weight, n).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(prints, pa.binary()), pa.array(total), _rows(band_keys(np.ascontiguousarray(sig[:, : bands * rows]), bands), pa.int64()), _rows(sketch(sig), pa.int16())], schema=_SIGNED)
+            yield pa.RecordBatch.from_arrays([table["doc_id"].combine_chunks(), pa.array(prints, pa.binary()), pa.array(total), _rows(band_keys(sig, bands), pa.int64())], schema=_SIGNED)
 
-    return docs.mapInArrow(run, "doc_id long, print binary, n_shingles long, bands array<long>, sketch array<short>")
+    return docs.mapInArrow(run, "doc_id long, print binary, n_shingles long, keys array<long>")
 
 
 def content(docs: DataFrame) -> DataFrame:
@@ -72,21 +70,25 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, r
     """
     base = id_and_text(docs, id_col, text_col)
     marked = write_table(signed(base, bands, rows), "signatures")
-    same = marked.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("print", "rep")
-    # apart from the join, so that a print which many rows share is not one task's
+    same = marked.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1")
     same = write_table(same, "same-prints")
-    known = write_table(marked.join(same, "print", "left").withColumn("rep", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("rep", "doc_id"))), "signed")
-    reps = known.where("doc_id = rep and print is not null").select(F.col("doc_id").alias("id"), "bands", "sketch")
+    known = hot_join(marked, same, "print", "left").withColumn("rep", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("rep", "doc_id")))
+    known = write_table(known.select("doc_id", "rep", "print", "n_shingles", "keys"), "signed")
+    release(marked, same)
+    reps = known.where("doc_id = rep and print is not null").select(F.col("doc_id").alias("id"), "keys").distinct()
 
     def of(ids: DataFrame) -> DataFrame:
         # a merge join at every size: a few ids would be broadcast, many would not, and the plan should not depend on it
-        return content(base.join(ids.hint("merge"), base.doc_id == ids.id, "left_semi"))
+        return content(base.join(ids.hint("merge"), base.doc_id == ids.id, "left_semi")).distinct()
 
-    labels = classes(reps, of, least, max(PLACES, bands * rows)).withColumnRenamed("id", "rep")
-    out = known.select("doc_id", "rep", "n_shingles").join(labels, "rep", "left").withColumn("class_id", F.coalesce("label", "rep"))
-    out = write_table(out.select("doc_id", "class_id", "n_shingles"), "near-classes")
+    labels, contents = classes(reps, of, least)
+    sizes = known.groupBy("rep").agg(F.count("*").alias("n"))
+    out = hot_join(known.select("doc_id", "rep", "n_shingles"), labels.withColumnRenamed("id", "rep"), "rep", "left", sizes=sizes)
+    out = write_table(out.select("doc_id", F.coalesce("label", "rep").alias("class_id"), "n_shingles"), "near-classes")
+    release(known, contents)
     sizes = write_table(out.groupBy("class_id").agg(F.count("*").alias("class_size")).where("class_size > 1 and class_id is not null"), "class-sizes")
-    return out.join(sizes, "class_id", "left").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"), "n_shingles")
+    out = hot_join(out, sizes, "class_id", "left", "class_size")
+    return out.select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"), "n_shingles")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

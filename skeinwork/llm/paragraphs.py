@@ -1,4 +1,14 @@
-"""Substring dedup by paragraphs: MinHash banding, exact Jaccard of what collides, removal by components."""
+"""Substring dedup by paragraphs: MinHash banding, exact Jaccard of what collides, removal by components.
+
+Two kinds of paragraphs are compared, each with its own kind. A line of MIN_WORDS words or more is one: edited copies of
+whole lines meet. A passage that stands within a line, or over several, has no line of its own; so every text is also cut
+at content-defined places, those where the hash of the next five words is less than at the two places on either side. Of
+each SPAN successive places the one of least hash begins a paragraph of MIN_WORDS words. These overlap lines and each other
+as they come, but begin three words apart at least, so that no two of a text are alike for their overlap. A passage of 51
+words (MIN_WORDS + SPAN - 1 and two on either side) holds a whole one, cut alike in every text that has the passage. What
+such a paragraph shares with the first of its component on either side (REACH words, as far as the next one) is removed
+with it, so a repeated passage goes as a whole.
+"""
 
 from __future__ import annotations
 
@@ -6,123 +16,264 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, flat_bytes, id_and_text, word_spans, write_table
+from .common import batches_by_bytes, flat_bytes, hot_join, id_and_text, mix64, release, word_hashes, word_ids, word_spans, write_table
 from .links import classes
 from .near_dup import _lists, _rows
-from .signatures import bag_minhash, band_keys, shingles, sketch
+from .signatures import band_keys
 
-#: Tuned for recall: similarity 0.8 shares a band with probability 0.9998, 0.7 with 0.988.
-BANDS, ROWS = 16, 4
 LEAST = 0.8
 MIN_WORDS = 20
+SPAN = 28
+REACH = SPAN + 3
+WIDTH = 5  # words of a shingle
+#: Bands and places in each. Lines are tuned for recall: similarity 0.8 shares a band with probability 0.995. A passage
+#: has untouched paragraphs, which share all bands; one that differs in an end word (0.88) shares one with 0.99.
+LINE_BANDS, PASSAGE_BANDS = (10, 4), (3, 2)
+
+_KEY = "struct<doc_id:long,place:long>"
+_KEY_TYPE = pa.struct([("doc_id", pa.int64()), ("place", pa.int64())])
+_MARKED = pa.schema([("id", _KEY_TYPE), ("keys", pa.list_(pa.int64()))])
+_CONTENT = pa.schema([("id", _KEY_TYPE), ("start", pa.int64()), ("end", pa.int64()), ("elements", pa.list_(pa.int64())), *[(f"{side}_{what}", pa.list_(kind)) for side in ("before", "after") for what, kind in (("words", pa.int32()), ("chars", pa.int32()))]])
+_CONTENT_SQL = f"id {_KEY}, start long, end long, elements array<long>, before_words array<int>, before_chars array<int>, after_words array<int>, after_chars array<int>"
+
+
+def text_key(text: Column) -> Column:
+    """31 bits of a text's hash, which tell apart texts that share an id; a null text is empty."""
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 33)
+
+
+class _Words:
+    """A batch's words: byte starts and ends, row, hash, and the hash of the five words from each on (where has_five)."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.data, self.bounds = flat_bytes(table["text"])
+        self.n = table.num_rows
+        self.starts, self.ends, self.rows = word_spans(self.data, self.bounds)
+        ids, distinct = word_ids(self.data, self.starts, self.ends)
+        self.hash = word_hashes(distinct)[ids] if len(ids) else np.zeros(0, np.uint64)
+        size = len(self.hash)
+        five = np.zeros(size, np.uint64)
+        for k in range(WIDTH):
+            five[: max(size - k, 0)] = five[: max(size - k, 0)] * np.uint64(0x9E3779B97F4A7C15) + self.hash[k:]
+        self.five = mix64(five)
+        self.per_row = np.bincount(self.rows, minlength=self.n)
+        self.first = np.cumsum(self.per_row) - self.per_row
+        self.text = table["key"].to_numpy()
+
+    def lines(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last + 1 word of each line with a word."""
+        if not len(self.starts):
+            return (np.zeros(0, np.int64),) * 2
+        breaks = np.cumsum(self.data == 10)[self.starts]
+        edge = np.flatnonzero(np.append(True, (breaks[1:] != breaks[:-1]) | (self.rows[1:] != self.rows[:-1])))
+        return edge, np.append(edge[1:], len(self.starts))
+
+    def passages(self, size: int, span: int) -> np.ndarray:
+        """First word of each paragraph of `size` words that begins at a content-defined place."""
+        places = self.per_row - size + 1  # of a row, where one can begin
+        total = len(self.five)
+        if not total or places.max() < 1:
+            return np.zeros(0, np.int64)
+        bits = np.uint64(max(24, int(total).bit_length()))
+        mask = (np.uint64(1) << bits) - np.uint64(1)
+        key = (self.five & ~mask) | np.arange(total, dtype=np.uint64)
+        own = np.arange(total) - self.first[self.rows]
+        key[own >= places[self.rows]] = np.iinfo(np.uint64).max
+        lower = np.zeros(total, bool)
+        for k in (1, 2):
+            if total > k:
+                near = self.rows[k:] == self.rows[:-k]
+                lower[k:] |= near & (key[:-k] < key[k:])
+                lower[:-k] |= near & (key[k:] < key[:-k])
+        key[lower] = np.iinfo(np.uint64).max
+        found = []
+        few = np.flatnonzero((places > 0) & (places <= span))
+        if len(few):
+            edges = np.stack([self.first[few], self.first[few] + places[few]], axis=1).reshape(-1)
+            found.append(np.minimum.reduceat(np.append(key, key[-1]), edges)[::2])
+        if (places > span).any():
+            least, width = key, 1
+            while 2 * width <= span:
+                least = np.minimum(least[:-width], least[width:])
+                width *= 2
+            n = total - span + 1
+            least = np.minimum(least[:n], least[span - width : span - width + n])
+            found.append(least[(own <= places[self.rows] - span)[:n]])
+        found = np.unique(np.concatenate(found))
+        return np.sort(found[found < np.iinfo(np.uint64).max] & mask).astype(np.int64)
+
+
+def _signatures(words: _Words, first: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """(paragraphs, size) MinHash values of the five-word shingles that begin in [first, end - 4)."""
+    out = np.zeros((len(first), size), np.uint64)
+    if len(first):
+        edges = np.stack([first, end - WIDTH + 1], axis=1).reshape(-1)
+        for k in range(size):
+            hashed = np.append(words.five * (mix64(np.array([k + 1], np.uint64)) | np.uint64(1)), np.uint64(0))
+            out[:, k] = np.minimum.reduceat(hashed, edges)[::2]
+    return out
+
+
+def _ids(table: pa.Table, words: _Words, first: np.ndarray, kind: int) -> pa.StructArray:
+    """doc_id, and place: 31 bits of the text's hash, 31 of the paragraph's first word, and its kind (1: within lines)."""
+    row = words.rows[first]
+    place = words.text[row] << 32 | (first - words.first[row]) << 1 | kind
+    return pa.StructArray.from_arrays([table["doc_id"].combine_chunks().take(pa.array(row)), pa.array(place)], fields=list(_KEY_TYPE))
+
+
+def marked_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN) -> DataFrame:
+    """(id, keys): the band keys of each paragraph of documents (doc_id, text, key)."""
 
-_KEY = "struct<doc_id:long,para:int>"
-_KEY_TYPE = pa.struct([("doc_id", pa.int64()), ("para", pa.int32())])
-_MARKED = pa.schema([("id", _KEY_TYPE), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int32()), ("print", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int16()))])
-_CONTENT = pa.schema([("id", _KEY_TYPE), ("elements", pa.list_(pa.int64()))])
-
-
-def _paragraphs(table: pa.Table, min_words: int):
-    """Of a batch: (document row, number, start and end in code points, words) of each paragraph long enough, and their shingle sets."""
-    data, bounds = flat_bytes(table["text"])
-    n = table.num_rows
-    newline = np.flatnonzero(data == 10)
-    owner = np.searchsorted(bounds, newline, side="right") - 1
-    begin = np.concatenate([bounds[:-1], newline + 1])
-    row = np.concatenate([np.arange(n), owner])
-    order = np.lexsort((begin, row))
-    begin, row = begin[order], row[order]
-    stop = np.concatenate([newline, bounds[1:]])
-    stop = stop[np.lexsort((stop, np.concatenate([owner, np.arange(n)])))]
-    number = np.arange(len(row)) - np.searchsorted(row, row)
-    starts, ends, _ = word_spans(data, bounds, None, None)
-    para = np.searchsorted(begin, starts, side="right") - 1
-    # rows without a byte share their begin with the next row; no word is theirs
-    words = np.bincount(para, minlength=len(begin))
-    points = np.zeros(len(data) + 1, np.int64)
-    np.cumsum((data & 0xC0) != 0x80, out=points[1:])
-    chosen = np.flatnonzero(words >= min_words)
-    place = np.full(len(begin), -1)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[para] >= 0
-    r, element, _ = shingles(data, starts[keep], ends[keep], place[para[keep]], len(chosen))
-    base = points[bounds[row[chosen]]]
-    return row[chosen], number[chosen], points[begin[chosen]] - base, points[stop[chosen]] - base, words[chosen], r, element
-
-
-def _keys(table: pa.Table, row: np.ndarray, number: np.ndarray) -> pa.StructArray:
-    return pa.StructArray.from_arrays([table["doc_id"].combine_chunks().take(pa.array(row)), pa.array(number, pa.int32())], fields=list(_KEY_TYPE))
-
-
-def marked_paragraphs(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches_by_bytes(batches, 2 << 20):
-            row, number, start, end, words, r, element = _paragraphs(table, min_words)
-            n = len(row)
-            sig = bag_minhash(r, element, np.ones(len(r), np.int64), n, bands * rows)
-            at = np.searchsorted(r, np.arange(n + 1))
-            prints = [xxhash.xxh3_128_digest(element[a:b].tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([_keys(table, row, number), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(words, pa.int32()), pa.array(prints, pa.binary()), _rows(band_keys(sig, bands), pa.int64()), _rows(sketch(sig), pa.int16())], schema=_MARKED)
+            words = _Words(table)
+            first, end = words.lines()
+            long = end - first >= min_words
+            inner = words.passages(min_words, span)
+            for kind, a, b, (bands, rows) in ((0, first[long], end[long], LINE_BANDS), (1, inner, inner + min_words, PASSAGE_BANDS)):
+                keys = band_keys(np.ascontiguousarray(_signatures(words, a, b, bands * rows)), bands) ^ kind
+                yield pa.RecordBatch.from_arrays([_ids(table, words, a, kind), _rows(keys, pa.int64())], schema=_MARKED)
 
-    return docs.mapInArrow(run, f"id {_KEY}, start long, end long, n_words int, print binary, bands array<long>, sketch array<short>")
+    return docs.mapInArrow(run, f"id {_KEY}, keys array<long>")
 
 
-def paragraph_content(docs: DataFrame, min_words: int) -> DataFrame:
+def _around(values: np.ndarray, at: np.ndarray, step: int, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """values[at], values[at + step], ... n of them for each at, end to end; and their bounds."""
+    bounds = np.append(0, np.cumsum(n))
+    k = np.arange(bounds[-1]) - np.repeat(bounds[:-1], n)
+    return values[np.repeat(at, n) + step * k], bounds
+
+
+def paragraph_content(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Of documents (doc_id, text, key, places): the paragraphs at these places, with their shingle sets, and of each one within
+    lines the REACH words on either side: hashes, nearest first, and how many code points they lie from it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches_by_bytes(batches, 2 << 20):
-            row, number, _, _, _, r, element = _paragraphs(table, min_words)
-            yield pa.RecordBatch.from_arrays([_keys(table, row, number), _lists(element.astype(np.int64), np.searchsorted(r, np.arange(len(row) + 1)), pa.int64())], schema=_CONTENT)
+            words = _Words(table)
+            lists = table["places"].combine_chunks()
+            place = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(words.n), lists.value_lengths().to_numpy())
+            own = place >> 32 == words.text[row]  # else it is of another text of this id
+            place, row = place[own], row[own]
+            kind, a = place & 1, (place >> 1 & 0x7FFFFFFF) + words.first[row]
+            first, end = words.lines()
+            b = np.where(kind == 1, a + min_words, end[np.searchsorted(first, a, side="right") - 1] if len(first) else a)
+            points = np.append(0, np.cumsum((words.data & 0xC0) != 0x80))
+            start_at, end_at = points[words.starts], points[words.ends]
+            element, bounds = _around(words.five, a, 1, b - a - WIDTH + 1)
+            owner = np.repeat(np.arange(len(a)), np.diff(bounds))
+            order = np.lexsort((element, owner))
+            element, owner = element[order], owner[order]
+            new = np.append(True, (element[1:] != element[:-1]) | (owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, bool)
+            element, bounds = element[new].view(np.int64), np.searchsorted(owner[new], np.arange(len(a) + 1))
+            left = np.where(kind == 1, np.minimum(a - words.first[row], REACH), 0)
+            right = np.where(kind == 1, np.minimum(words.first[row] + words.per_row[row] - b, REACH), 0)
+            short = words.hash.astype(np.uint32).view(np.int32)
+            sides = []
+            for at, step, n, edge, reach in ((a - 1, -1, left, start_at[a], start_at), (b, 1, right, end_at[b - 1], end_at)):
+                values, limits = _around(short, at, step, n)
+                far, _ = _around(reach, at, step, n)
+                sides += [_lists(values, limits, pa.int32()), _lists(np.abs(far - np.repeat(edge, n)).astype(np.int32), limits, pa.int32())]
+            base = points[words.bounds[row]]
+            ids = pa.StructArray.from_arrays([table["doc_id"].combine_chunks().take(pa.array(row)), pa.array(place)], fields=list(_KEY_TYPE))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(start_at[a] - base), pa.array(end_at[b - 1] - base), _lists(element, bounds, pa.int64()), *sides], schema=_CONTENT)
+
+    return docs.mapInArrow(run, _CONTENT_SQL)
 
-    return docs.mapInArrow(run, f"id {_KEY}, elements array<long>")
 
+def _grown(pairs: DataFrame) -> DataFrame:
+    """(doc_id, text, start, end, source_id) of each pair of a paragraph to remove and the one that stays: its place, as far
+    as the words on either side are alike."""
+    sql = "doc_id long, text long, start long, end long, source_id long"
+    kind = pa.schema([(x.split()[0], pa.int64()) for x in sql.split(", ")])
+
+    def alike(one: pa.ListArray, two: pa.ListArray) -> np.ndarray:
+        """How many values agree from the first on, row by row."""
+        n = np.minimum(one.value_lengths().to_numpy(), two.value_lengths().to_numpy())
+        (x, _), (y, _) = (_around(c.flatten().to_numpy(), np.append(0, np.cumsum(c.value_lengths().to_numpy()))[:-1], 1, n) for c in (one, two))
+        row = np.repeat(np.arange(len(n)), n)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        out = n.copy()
+        np.minimum.at(out, row[x != y], k[x != y])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            reach = {}
+            for side in ("before", "after"):
+                n = alike(get[f"{side}_words"], get[f"source_{side}"])
+                chars = get[f"{side}_chars"]
+                at = np.append(0, np.cumsum(chars.value_lengths().to_numpy()))[:-1] + n - 1
+                flat = np.append(chars.flatten().to_numpy(), 0)
+                reach[side] = np.where(n > 0, flat[np.where(n > 0, at, 0)], 0)
+            start, end = (get[c].to_numpy() for c in ("start", "end"))
+            yield pa.RecordBatch.from_arrays([get["doc_id"], pa.array(get["place"].to_numpy() >> 32), pa.array(start - reach["before"]), pa.array(end + reach["after"]), get["source_id"]], schema=kind)
+
+    return pairs.mapInArrow(run, sql)
 
-def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, para, start, end, source_id, source_para) of each paragraph to remove.
 
-    A paragraph is a line of min_words words or more; two are linked if the sets of their five-word shingles have a
-    Jaccard similarity of `least` or more. Of each component the first paragraph (smallest doc_id, then place) stays.
-    start and end are code points of the text, end exclusive. Null or empty texts and rows with a null id have none;
-    repeated rows of one id are one document; a line repeated within a document is removed there too.
+def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, start, end, source_id) of each paragraph to remove; start and end are code points, end exclusive.
+
+    Two paragraphs (see above) of one kind are linked if the sets of their five-word shingles have a Jaccard similarity
+    of `least` or more. Of each component the first (smallest doc_id, then place) stays; source_id is its document. A
+    paragraph within lines is grown by the words on either side that the first has too, up to REACH. Null or empty
+    texts and rows with a null id have none. Rows that share id and text are one document; of rows that share an id but
+    not the text each is a document, and `text` (31 bits of the text's hash, as text_key gives) tells them apart. A
+    passage repeated within a document is removed there too. An empty table gives no rows.
     """
-    base = id_and_text(docs, id_col, text_col).where("doc_id is not null")
-    marked = marked_paragraphs(base, min_words, bands, rows)
-    known = write_table(marked, "paragraphs")
-    # apart from the joins, so that a line which many documents share is not one task's
-    same = write_table(known.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("print", "rep"), "same-paragraphs")
-    where = write_table(known.select("id", "start", "end", "print").join(same, "print", "left").select("id", "start", "end", F.coalesce("rep", "id").alias("rep")), "paragraph-reps")
-    reps = write_table(known.join(same, "print", "left").where("rep is null or rep = id").select("id", "bands", "sketch"), "representatives")
+    base = id_and_text(docs, id_col, text_col).where("doc_id is not null").withColumn("key", text_key(F.col("text")))
+    marked = write_table(marked_paragraphs(base, min_words, span), "paragraphs")
+    made = [marked]
 
     def of(ids: DataFrame) -> DataFrame:
-        ids = ids.select("id")
-        docs_of = ids.select(F.col("id.doc_id").alias("of")).distinct()
-        return paragraph_content(base.join(docs_of.hint("merge"), base.doc_id == docs_of.of, "left_semi"), min_words).join(ids.hint("merge"), "id", "left_semi").withColumn("weights", F.lit(None).cast("array<int>"))
+        release(made.pop())
+        wanted = ids.groupBy(F.col("id.doc_id").alias("of")).agg(F.collect_list("id.place").alias("places"))
+        mine = base.join(wanted.hint("merge"), base.doc_id == F.col("of")).select("doc_id", "text", "key", "places")
+        return paragraph_content(mine, min_words).distinct()
+
+    labels, content = classes(marked, of, least)
+    sizes = write_table(labels.groupBy("label").agg(F.count("*").alias("n")), "paragraph-classes")
+    gone = labels.where("id != label").join(content.drop("elements").hint("merge"), "id")
+    gone = gone.select("label", "id.doc_id", "id.place", "start", "end", "before_words", "before_chars", "after_words", "after_chars")
+    stays = content.select(F.col("id").alias("label"), F.col("id.doc_id").alias("source_id"), F.col("before_words").alias("source_before"), F.col("after_words").alias("source_after"))
+    out = write_table(_grown(hot_join(gone, stays, "label", sizes=sizes).drop("label")).distinct(), "removed-paragraphs")
+    release(content, sizes)
+    return out
 
-    labels = classes(reps, of, least, bands * rows, weighted=False).withColumnRenamed("id", "rep")
-    out = where.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")).where("id != label").distinct()
-    return out.select("id.doc_id", "id.para", "start", "end", F.col("label.doc_id").alias("source_id"), F.col("label.para").alias("source_para"))
+
+def _spans(removed: DataFrame) -> DataFrame:
+    """(of, of_text, spans, source_ids) of each document: its removed spans, in order, joined where only one character parts them."""
+    lists = removed.groupBy(F.col("doc_id").alias("of"), F.col("text").alias("of_text")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("at"), F.array_sort(F.collect_set("source_id")).alias("source_ids"))
+    none = "cast(array() as array<struct<start:bigint,end:bigint>>)"
+    fold = f"aggregate(at, named_struct('done', {none}, 's', -1L, 'e', -1L), (a, x) -> case when a.e < 0 then named_struct('done', a.done, 's', x.start, 'e', x.end) when x.start <= a.e + 1 then named_struct('done', a.done, 's', a.s, 'e', greatest(a.e, x.end)) else named_struct('done', concat(a.done, array(named_struct('start', a.s, 'end', a.e))), 's', x.start, 'e', x.end) end, a -> concat(a.done, array(named_struct('start', a.s, 'end', a.e))))"
+    return lists.select("of", "of_text", F.expr(fold).alias("spans"), "source_ids")
 
 
 def without_paragraphs(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the removed paragraphs' lines taken out of their texts; other columns stay as they are."""
-    cut = removed.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("para").alias("__cut"))
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__cut", i)), "\n")
-    joined = docs.join(cut, docs[id_col].cast("long") == cut["__id"], "left")
-    return joined.withColumn(text_col, F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(kept)).drop("__id", "__cut")
-
-
-def summary(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, n_removed, removed_chars, spans ("start:end" in order, comma-joined), source_ids (sorted)."""
-    each = removed.groupBy(F.col("doc_id").alias("of")).agg(
-        F.count("*").alias("n_removed"),
-        F.sum(F.col("end") - F.col("start")).alias("removed_chars"),
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("at"),
-        F.array_sort(F.collect_set("source_id")).alias("source_ids"),
-    )
-    joined = docs.select(docs[id_col].cast("long").alias("doc_id")).join(each, F.col("doc_id") == F.col("of"), "left")
-    spans = F.array_join(F.transform("at", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
-    return joined.select("doc_id", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("removed_chars", F.lit(0)).alias("removed_chars"), F.coalesce(spans, F.lit("")).alias("spans"), F.coalesce("source_ids", F.array().cast("array<long>")).alias("source_ids"))
+    """docs with the removed spans taken out of their texts; all other columns, rows and null texts stay as they are."""
+    out = [f"c{k}" for k in range(len(docs.columns))]  # so that no column of docs can clash
+    rows = docs.select(*[docs[c].alias(x) for c, x in zip(docs.columns, out, strict=True)])
+    id_, text = out[docs.columns.index(id_col)], out[docs.columns.index(text_col)]
+    joined = rows.withColumn("key", text_key(F.col(text))).join(_spans(removed).hint("merge"), (F.col(id_).cast("long") == F.col("of")) & (F.col("key") == F.col("of_text")), "left")
+    kept = f"array_join(zip_with(spans, concat(array(0L), transform(spans, s -> s.end)), (s, b) -> if(s is null, substring({text}, cast(b + 1 as int)), substring({text}, cast(b + 1 as int), cast(s.start - b as int)))), '')"
+    cut = F.when(F.col("spans").isNull(), F.col(text)).otherwise(F.expr(kept))
+    return joined.select(*[(cut if x == text else F.col(x)).alias(c) for c, x in zip(docs.columns, out, strict=True)])
+
+
+def summary(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_removed (spans), removed_chars, spans ("start:end" in order, comma-joined), source_ids (sorted).
+
+    A row without an id, without a text or with nothing repeated has 0, 0, "" and none.
+    """
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_key(docs[text_col]).alias("key"))
+    joined = rows.join(_spans(removed).hint("merge"), (F.col("doc_id") == F.col("of")) & (F.col("key") == F.col("of_text")), "left")
+    spelled = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    chars = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    zero = F.lit(0).cast("long")
+    return joined.select("doc_id", F.coalesce(F.size("spans").cast("long"), zero).alias("n_removed"), F.coalesce(chars, zero).alias("removed_chars"), F.coalesce(spelled, F.lit("")).alias("spans"), F.coalesce("source_ids", F.array().cast("array<long>")).alias("source_ids"))

@@ -98,14 +98,8 @@ def bag_minhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int
 
 def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     """(rows, bands) 64-bit keys: equal where all of a band's places are."""
-    places = sig.view(np.uint64).reshape(len(sig), bands, -1)
+    places = sig.view(np.uint64).reshape(len(sig), bands, sig.shape[1] // bands)
     key = np.zeros((len(sig), bands), np.uint64)
     for k in range(places.shape[2]):
         key = mix64(key * _STEP + places[:, :, k])
     return (key + np.arange(bands, dtype=np.uint64) * _STEP).view(np.int64)
-
-
-def sketch(sig: np.ndarray) -> np.ndarray:
-    """16 bits of each place, enough to estimate a similarity."""
-    return (mix64(sig.view(np.uint64)) >> np.uint64(48)).astype(np.uint16).view(np.int16)
-

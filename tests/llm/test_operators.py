@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from skeinwork.llm import exact_dedup, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
@@ -461,28 +462,123 @@ def test_repeated_bytes(spark, docs, texts, empty, segment, large):
 # 10
 
 
-def test_paragraphs(docs, texts, empty):
-    marked = []
-    for i, t in texts:
-        at = 0
-        for k, line in enumerate((t or "").split("\n")):
-            w = re.findall(SPLIT, line)
-            if len(w) >= 20:
-                marked.append(((i, k), set(zip(*[w[j:] for j in range(5)], strict=False)), at, at + len(line)))
-            at += len(line) + 1
-    ids = [m[0] for m in marked]
-    linked = [(a[0], b[0]) for k, a in enumerate(marked) for b in marked[k + 1 :] if len(a[1] & b[1]) >= 0.8 * len(a[1] | b[1])]
-    want = components(ids, linked)
-    spans = {(i, k): (a, b) for (i, k), _, a, b in marked}
-    got = {(r.doc_id, r.para): (r.start, r.end, (r.source_id, r.source_para)) for r in paragraphs.repeated_paragraphs(docs).collect()}
-    assert got == {i: (*spans[i], c) for i, c in want.items() if c != i} and got
-    removed_rows = paragraphs.repeated_paragraphs(docs)
-    clean = {r.doc_id: r.text for r in paragraphs.without_paragraphs(docs, removed_rows).collect()}
-    for i, t in texts:
-        assert clean[i] == (t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in got))
-    total = {r.doc_id: r.n_removed for r in paragraphs.summary(docs, removed_rows).collect()}
-    assert len(total) == len(texts) and sum(total.values()) == len(got)
-    assert paragraphs.repeated_paragraphs(empty).count() == 0
+def mixed(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> shift)) * factor & 2**64 - 1
+    return x ^ (x >> 31)
+
+
+def removed_passages(rows, least=0.8, size=20, span=28, most=31):
+    """All pairs of lines and of passages at content-defined places, compared one by one: {doc_id: (spans, source ids)}."""
+    units = []
+    for i, t in rows:
+        t = t or ""
+        words = list(re.finditer(SPLIT, t))
+        five = []
+        for k in range(len(words)):
+            h = 0
+            for j in range(5):
+                h = (h * 0x9E3779B97F4A7C15 + xxhash.xxh3_64_intdigest(words[k + j].group()) if k + j < len(words) else h) & 2**64 - 1
+            five.append(mixed(h) >> 24)
+        starts = range(len(words) - size + 1)
+        low = {k for k in starts if all((five[k], k) <= (five[j], j) for j in range(max(0, k - 2), min(len(starts), k + 3)))}
+        tries = [[k for k in starts[a : a + span] if k in low] for a in range(max(1, len(starts) - span + 1))]
+        places = {min(x, key=lambda k: (five[k], k)) for x in tries if x}
+        lines = collections.defaultdict(list)
+        for k, w in enumerate(words):
+            lines[t.count("\n", 0, w.start())].append(k)
+        found = [(0, x[0], x[-1] + 1) for x in lines.values() if len(x) >= size] + [(1, a, a + size) for a in places]
+        text = [w.group() for w in words]
+        units += [((i, a, kind), b, {tuple(text[k : k + 5]) for k in range(a, b - 4)}, words, text) for kind, a, b in found]
+    units.sort(key=lambda u: u[0])
+    linked = [(u[0], v[0]) for k, u in enumerate(units) for v in units[k + 1 :] if u[0][2] == v[0][2] and len(u[2] & v[2]) >= least * len(u[2] | v[2])]
+    first, at = components([u[0] for u in units], linked), {u[0]: u for u in units}
+    out = {i: (set(), set()) for i, _ in rows}
+    for key, stays in first.items():
+        if key == stays:
+            continue
+        (i, a, kind), b, _, words, text = at[key]
+        (_, c, _), d, _, _, other = at[stays]
+        if kind:
+            reach = next((k for k in range(most) if a - k < 1 or c - k < 1 or text[a - k - 1] != other[c - k - 1]), most)
+            more = next((k for k in range(most) if b + k >= len(text) or d + k >= len(other) or text[b + k] != other[d + k]), most)
+            a, b = a - reach, b + more
+        out[i][0].add((words[a].start(), words[b - 1].end()))
+        out[i][1].add(stays[0])
+    for i, (spans, sources) in out.items():
+        joined = []
+        for a, b in sorted(spans):
+            if joined and a <= joined[-1][1] + 1:
+                joined[-1][1] = max(joined[-1][1], b)
+            else:
+                joined.append([a, b])
+        out[i] = (joined, sorted(sources))
+    return out
+
+
+def passage_rows(seed=5):
+    """Passages of 51 words and more within lines, over several lines, edited, and beside clean text."""
+    r = random.Random(seed)
+    passages = [prose(r, n, n % 2 == 0) for n in (51, 54, 70, 90)]
+    out = []
+    for k in range(24):
+        before, after = prose(r, r.randrange(60), False), prose(r, r.randrange(1, 60), k % 3 == 0)
+        p = passages[k % 4]
+        out.append((1000 + k, before + (edited(r, p, 0.02) if k > 19 else p) + after))
+    return out
+
+
+def test_paragraphs(spark, docs, texts, empty):
+    for rows, df in ((texts, docs), (passage_rows(), spark.createDataFrame(passage_rows(), "doc_id long, text string"))):
+        want = removed_passages(rows)
+        gone = paragraphs.repeated_paragraphs(df)
+        got = {r.doc_id: r for r in paragraphs.summary(df, gone).collect()}
+        assert len(got) == len(rows)
+        for i, (spans, sources) in want.items():
+            assert (got[i].spans, got[i].n_removed, got[i].source_ids) == (",".join(f"{a}:{b}" for a, b in spans), len(spans), sources)
+            assert got[i].removed_chars == sum(b - a for a, b in spans)
+        clean = paragraphs.without_paragraphs(df, gone)
+        assert clean.schema == df.schema
+        left = {r.doc_id: r.text for r in clean.collect()}
+        for i, t in rows:
+            for a, b in reversed(want[i][0]):
+                t = t[:a] + t[b:]
+            assert left[i] == t
+    assert [i for i, t in rows if i < 1020 and not got[i].n_removed] == [1000, 1001, 1002, 1003]
+    none = paragraphs.repeated_paragraphs(empty)
+    assert none.count() == 0 and paragraphs.summary(empty, none).count() == 0
+
+
+def test_a_passage_of_51_words_is_found_wherever_it_stands(spark):
+    r = random.Random(8)
+    rows = []
+    for k in range(60):
+        passage = " ".join(f"w{r.randrange(10**6)}" for _ in range(51))
+        for j in range(2):
+            rows.append((2 * k + j, " ".join(f"z{r.randrange(10**6)}" for _ in range(r.randrange(150))) + " " + passage + " " + " ".join(f"y{r.randrange(10**6)}" for _ in range(r.randrange(150)))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x for x in paragraphs.summary(df, paragraphs.repeated_paragraphs(df)).collect()}
+    for i, t in rows:
+        at = re.search(r"w.*w\d+", t)
+        if i % 2:  # all of it; an end word beside it goes too where the paragraph that has it is 0.88 alike
+            (a, b) = map(int, got[i].spans.split(":"))
+            assert a <= at.start() and at.end() <= b and b - a <= at.end() - at.start() + 16
+        else:
+            assert got[i].spans == ""
+
+
+def test_paragraphs_of_repeated_and_missing_ids(spark):
+    r = random.Random(4)
+    passage, own = prose(r, 70, False), prose(r, 30, False)
+    rows = [(1, own + passage), (1, own + passage), (1, passage + prose(r, 40, False)), (None, passage), (None, None), (2, None), (3, ""), (4, prose(r, 10, False) + passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = paragraphs.repeated_paragraphs(df)
+    got = sorted((x.doc_id or 0, x.n_removed, x.removed_chars) for x in paragraphs.summary(df, gone).collect())
+    size = len(passage.rstrip())
+    assert got.count((0, 0, 0)) == 2 and (2, 0, 0) in got and (3, 0, 0) in got and (4, 1, size) in got
+    # equal rows of one id are one document; one of its two texts is first, and the other (or both equal rows) loses the passage
+    assert [x for x in got if x[0] == 1] in ([(1, 0, 0), (1, 0, 0), (1, 1, size)], [(1, 0, 0), (1, 1, size), (1, 1, size)])
+    assert paragraphs.without_paragraphs(df, gone).count() == len(rows)
 
 
 # all
