@@ -5,9 +5,8 @@ whole lines meet. A passage that stands within a line, or over several, has no l
 at content-defined places, those where the hash of the next five words is less than at the two places on either side. Of
 each SPAN successive places the one of least hash begins a paragraph of MIN_WORDS words. These overlap lines and each other
 as they come, but begin three words apart at least, so that no two of a text are alike for their overlap. A passage of 51
-words (MIN_WORDS + SPAN - 1 and two on either side) holds a whole one, cut alike in every text that has the passage. What
-such a paragraph shares with the first of its component on either side (REACH words, as far as the next one) is removed
-with it, so a repeated passage goes as a whole.
+words (MIN_WORDS + SPAN - 1 and two on either side) holds a whole one, cut alike in every text that has the passage. All that lie
+in a repeated passage go; up to REACH words at its ends, where none is whole, can stay.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ from .signatures import band_keys
 LEAST = 0.8
 MIN_WORDS = 20
 SPAN = 28
-REACH = SPAN + 3
+REACH = SPAN + 3  # in passages of which no paragraph is lost, the words at either end that none covers
 WIDTH = 5  # words of a shingle
 #: Bands and places in each. Lines are tuned for recall: similarity 0.8 shares a band with probability 0.995. A passage
 #: has untouched paragraphs, which share all bands; one that differs in an end word (0.88) shares one with 0.99.
@@ -35,9 +35,8 @@ LINE_BANDS, PASSAGE_BANDS = (10, 4), (3, 2)
 
 _KEY = "struct<doc_id:long,place:long>"
 _KEY_TYPE = pa.struct([("doc_id", pa.int64()), ("place", pa.int64())])
-_MARKED = pa.schema([("id", _KEY_TYPE), ("keys", pa.list_(pa.int64()))])
-_CONTENT = pa.schema([("id", _KEY_TYPE), ("start", pa.int64()), ("end", pa.int64()), ("elements", pa.list_(pa.int64())), *[(f"{side}_{what}", pa.list_(kind)) for side in ("before", "after") for what, kind in (("words", pa.int32()), ("chars", pa.int32()))]])
-_CONTENT_SQL = f"id {_KEY}, start long, end long, elements array<long>, before_words array<int>, before_chars array<int>, after_words array<int>, after_chars array<int>"
+_MARKED = pa.schema([("id", _KEY_TYPE), ("start", pa.int32()), ("end", pa.int32()), ("print", pa.binary()), ("keys", pa.list_(pa.int64()))])
+_CONTENT = pa.schema([("id", _KEY_TYPE), ("elements", pa.list_(pa.int64()))])
 
 
 def text_key(text: Column) -> Column:
@@ -125,31 +124,28 @@ def _ids(table: pa.Table, words: _Words, first: np.ndarray, kind: int) -> pa.Str
 
 
 def marked_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN) -> DataFrame:
-    """(id, keys): the band keys of each paragraph of documents (doc_id, text, key)."""
+    """(id, start, end, print, keys) of each paragraph of documents (doc_id, text, key): its place in code points, a hash of
+    its words, and its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches_by_bytes(batches, 2 << 20):
             words = _Words(table)
+            points = np.append(0, np.cumsum((words.data & 0xC0) != 0x80))
             first, end = words.lines()
             long = end - first >= min_words
             inner = words.passages(min_words, span)
             for kind, a, b, (bands, rows) in ((0, first[long], end[long], LINE_BANDS), (1, inner, inner + min_words, PASSAGE_BANDS)):
-                keys = band_keys(np.ascontiguousarray(_signatures(words, a, b, bands * rows)), bands) ^ kind
-                yield pa.RecordBatch.from_arrays([_ids(table, words, a, kind), _rows(keys, pa.int64())], schema=_MARKED)
-
-    return docs.mapInArrow(run, f"id {_KEY}, keys array<long>")
-
+                keys = band_keys(_signatures(words, a, b, bands * rows), bands) ^ kind
+                base = points[words.bounds[words.rows[a]]]
+                seed = bytes([kind])
+                prints = [xxhash.xxh3_128_digest(seed + words.hash[x:y].tobytes()) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([_ids(table, words, a, kind), pa.array(points[words.starts[a]] - base, pa.int32()), pa.array(points[words.ends[b - 1]] - base, pa.int32()), pa.array(prints, pa.binary()), _rows(keys, pa.int64())], schema=_MARKED)
 
-def _around(values: np.ndarray, at: np.ndarray, step: int, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """values[at], values[at + step], ... n of them for each at, end to end; and their bounds."""
-    bounds = np.append(0, np.cumsum(n))
-    k = np.arange(bounds[-1]) - np.repeat(bounds[:-1], n)
-    return values[np.repeat(at, n) + step * k], bounds
+    return docs.mapInArrow(run, f"id {_KEY}, start int, end int, print binary, keys array<long>")
 
 
 def paragraph_content(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Of documents (doc_id, text, key, places): the paragraphs at these places, with their shingle sets, and of each one within
-    lines the REACH words on either side: hashes, nearest first, and how many code points they lie from it."""
+    """(id, elements): of documents (doc_id, text, key, places), the shingle sets of the paragraphs at these places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches_by_bytes(batches, 2 << 20):
@@ -159,92 +155,52 @@ def paragraph_content(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             row = np.repeat(np.arange(words.n), lists.value_lengths().to_numpy())
             own = place >> 32 == words.text[row]  # else it is of another text of this id
             place, row = place[own], row[own]
-            kind, a = place & 1, (place >> 1 & 0x7FFFFFFF) + words.first[row]
+            a = (place >> 1 & 0x7FFFFFFF) + words.first[row]
             first, end = words.lines()
-            b = np.where(kind == 1, a + min_words, end[np.searchsorted(first, a, side="right") - 1] if len(first) else a)
-            points = np.append(0, np.cumsum((words.data & 0xC0) != 0x80))
-            start_at, end_at = points[words.starts], points[words.ends]
-            element, bounds = _around(words.five, a, 1, b - a - WIDTH + 1)
-            owner = np.repeat(np.arange(len(a)), np.diff(bounds))
+            b = np.where(place & 1 == 1, a + min_words, end[np.searchsorted(first, a, side="right") - 1] if len(first) else a)
+            n = b - a - WIDTH + 1
+            bounds = np.append(0, np.cumsum(n))
+            owner = np.repeat(np.arange(len(a)), n)
+            element = words.five[np.repeat(a, n) + np.arange(len(owner)) - bounds[owner]]
             order = np.lexsort((element, owner))
             element, owner = element[order], owner[order]
             new = np.append(True, (element[1:] != element[:-1]) | (owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, bool)
-            element, bounds = element[new].view(np.int64), np.searchsorted(owner[new], np.arange(len(a) + 1))
-            left = np.where(kind == 1, np.minimum(a - words.first[row], REACH), 0)
-            right = np.where(kind == 1, np.minimum(words.first[row] + words.per_row[row] - b, REACH), 0)
-            short = words.hash.astype(np.uint32).view(np.int32)
-            sides = []
-            for at, step, n, edge, reach in ((a - 1, -1, left, start_at[a], start_at), (b, 1, right, end_at[b - 1], end_at)):
-                values, limits = _around(short, at, step, n)
-                far, _ = _around(reach, at, step, n)
-                sides += [_lists(values, limits, pa.int32()), _lists(np.abs(far - np.repeat(edge, n)).astype(np.int32), limits, pa.int32())]
-            base = points[words.bounds[row]]
             ids = pa.StructArray.from_arrays([table["doc_id"].combine_chunks().take(pa.array(row)), pa.array(place)], fields=list(_KEY_TYPE))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(start_at[a] - base), pa.array(end_at[b - 1] - base), _lists(element, bounds, pa.int64()), *sides], schema=_CONTENT)
-
-    return docs.mapInArrow(run, _CONTENT_SQL)
-
+            yield pa.RecordBatch.from_arrays([ids, _lists(element[new].view(np.int64), np.searchsorted(owner[new], np.arange(len(a) + 1)), pa.int64())], schema=_CONTENT)
 
-def _grown(pairs: DataFrame) -> DataFrame:
-    """(doc_id, text, start, end, source_id) of each pair of a paragraph to remove and the one that stays: its place, as far
-    as the words on either side are alike."""
-    sql = "doc_id long, text long, start long, end long, source_id long"
-    kind = pa.schema([(x.split()[0], pa.int64()) for x in sql.split(", ")])
-
-    def alike(one: pa.ListArray, two: pa.ListArray) -> np.ndarray:
-        """How many values agree from the first on, row by row."""
-        n = np.minimum(one.value_lengths().to_numpy(), two.value_lengths().to_numpy())
-        (x, _), (y, _) = (_around(c.flatten().to_numpy(), np.append(0, np.cumsum(c.value_lengths().to_numpy()))[:-1], 1, n) for c in (one, two))
-        row = np.repeat(np.arange(len(n)), n)
-        k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        out = n.copy()
-        np.minimum.at(out, row[x != y], k[x != y])
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            reach = {}
-            for side in ("before", "after"):
-                n = alike(get[f"{side}_words"], get[f"source_{side}"])
-                chars = get[f"{side}_chars"]
-                at = np.append(0, np.cumsum(chars.value_lengths().to_numpy()))[:-1] + n - 1
-                flat = np.append(chars.flatten().to_numpy(), 0)
-                reach[side] = np.where(n > 0, flat[np.where(n > 0, at, 0)], 0)
-            start, end = (get[c].to_numpy() for c in ("start", "end"))
-            yield pa.RecordBatch.from_arrays([get["doc_id"], pa.array(get["place"].to_numpy() >> 32), pa.array(start - reach["before"]), pa.array(end + reach["after"]), get["source_id"]], schema=kind)
-
-    return pairs.mapInArrow(run, sql)
+    return docs.mapInArrow(run, f"id {_KEY}, elements array<long>")
 
 
 def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, start, end, source_id) of each paragraph to remove; start and end are code points, end exclusive.
 
     Two paragraphs (see above) of one kind are linked if the sets of their five-word shingles have a Jaccard similarity
-    of `least` or more. Of each component the first (smallest doc_id, then place) stays; source_id is its document. A
-    paragraph within lines is grown by the words on either side that the first has too, up to REACH. Null or empty
-    texts and rows with a null id have none. Rows that share id and text are one document; of rows that share an id but
-    not the text each is a document, and `text` (31 bits of the text's hash, as text_key gives) tells them apart. A
-    passage repeated within a document is removed there too. An empty table gives no rows.
+    of `least` or more. Of each component the first (smallest doc_id, then place) stays; source_id is its document. Null
+    or empty texts and rows with a null id have none. Rows that share id and text are one document; of rows that share
+    an id but not the text each is a document, and `text` (see text_key) tells them apart. A passage repeated within a
+    document is removed there too. An empty table gives no rows.
     """
     base = id_and_text(docs, id_col, text_col).where("doc_id is not null").withColumn("key", text_key(F.col("text")))
     marked = write_table(marked_paragraphs(base, min_words, span), "paragraphs")
-    made = [marked]
+    # of paragraphs with the same words the first stands for all
+    same = write_table(marked.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1"), "same-paragraphs")
+    named = hot_join(marked, same, "print", "left").withColumn("rep", F.coalesce("rep", "id"))
+    known = write_table(named.select("id", "start", "end", "rep", F.when(F.col("rep") == F.col("id"), F.col("keys")).alias("keys")), "known-paragraphs")
+    release(marked, same)
 
     def of(ids: DataFrame) -> DataFrame:
-        release(made.pop())
         wanted = ids.groupBy(F.col("id.doc_id").alias("of")).agg(F.collect_list("id.place").alias("places"))
         mine = base.join(wanted.hint("merge"), base.doc_id == F.col("of")).select("doc_id", "text", "key", "places")
         return paragraph_content(mine, min_words).distinct()
 
-    labels, content = classes(marked, of, least)
-    sizes = write_table(labels.groupBy("label").agg(F.count("*").alias("n")), "paragraph-classes")
-    gone = labels.where("id != label").join(content.drop("elements").hint("merge"), "id")
-    gone = gone.select("label", "id.doc_id", "id.place", "start", "end", "before_words", "before_chars", "after_words", "after_chars")
-    stays = content.select(F.col("id").alias("label"), F.col("id.doc_id").alias("source_id"), F.col("before_words").alias("source_before"), F.col("after_words").alias("source_after"))
-    out = write_table(_grown(hot_join(gone, stays, "label", sizes=sizes).drop("label")).distinct(), "removed-paragraphs")
-    release(content, sizes)
-    return out
+    labels, content = classes(known.where("keys is not null").select("id", "keys"), of, least)
+    release(content)
+    sizes = known.groupBy("rep").agg(F.count("*").alias("n"))
+    out = hot_join(known.select("id", "start", "end", "rep"), labels.withColumnRenamed("id", "rep"), "rep", "left", sizes=sizes).withColumn("label", F.coalesce("label", "rep"))
+    gone = out.where("id != label").select("id.doc_id", F.shiftright("id.place", 32).alias("text"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("label.doc_id").alias("source_id"))
+    gone = write_table(gone, "removed-paragraphs")
+    release(known)
+    return gone
 
 
 def _spans(removed: DataFrame) -> DataFrame:
