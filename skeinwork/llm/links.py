@@ -122,40 +122,51 @@ def _prefixes(content: DataFrame, least: float) -> DataFrame:
     return out
 
 
-def rest_pairs(members: DataFrame, labels: DataFrame, content: DataFrame, known: DataFrame, least: float) -> DataFrame:
-    """(a, b): ids of different components, each in a bucket with another component, that can have similarity `least`.
+def rest_pairs(met: DataFrame, labels: DataFrame, content: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """(a, b): ids of different components that can have similarity `least`, of those (met: key, id) that share a bucket
+    with a third one, their leader, which both have met, and with another component.
 
     A prefix join over all of these ids: no pair of one bucket is lost. Of a pair both shared weights (what others have
     too) bound the overlap, and so do the totals. An element that many prefixes hold is split into blocks of about
     BLOCK ids, and each pair of blocks is a key of its own.
     """
-    own = write_table(members.join(labels.hint("merge"), "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("label")), "labelled-members")
+    own = write_table(met.join(labels.hint("merge"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")), "labelled-members")
     several = own.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("key", "m")
-    ids = hot_join(own.select("key", "id", "label"), write_table(several, "mixed-buckets"), "key", n="m").select("id", "label").distinct()
-    prefixes = _prefixes(write_table(content.drop("label").join(ids.hint("merge"), "id"), "mixed-content"), least)
+    several = write_table(several, "mixed-buckets")
+    ids = hot_join(own, several, "key", n="m").select("id", "label").distinct()
+    mixed = write_table(content.join(ids.hint("merge"), "id"), "mixed-content")
+    release(own, several)
+    prefixes = _prefixes(mixed, least)
+    release(mixed)
     several = prefixes.groupBy("e").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("e", "m")
-    dealt = hot_join(prefixes, write_table(several, "mixed-elements"), "e", n="m").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    several = write_table(several, "mixed-elements")
+    dealt = hot_join(prefixes, several, "e", n="m").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     dealt = write_table(dealt.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int")), "dealt-prefixes")
+    release(prefixes, several)
     all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     one = dealt.select("e", F.col("own").alias("i"), all_blocks.alias("j"), F.col("id").alias("a"), F.col("label").alias("x"), F.col("total").alias("s"), F.col("shared").alias("u"))
     two = dealt.select("e", F.col("own").alias("j"), all_blocks.alias("i"), F.col("id").alias("b"), F.col("label").alias("y"), F.col("total").alias("t"), F.col("shared").alias("v")).hint("merge")
-    met = (one.e == two.e) & (one.i == two.i) & (one.j == two.j) & (F.col("x") < F.col("y"))
+    together = (one.e == two.e) & (one.i == two.i) & (one.j == two.j) & (F.col("x") < F.col("y"))
     enough = (F.least("u", "v") >= least / (1 + least) * (F.col("s") + F.col("t")) - 1e-9) & (F.least("s", "t") >= least * F.greatest("s", "t") - 1e-9)
-    pairs = one.join(two, met & enough).select("a", "b").distinct()
-    return pairs.join(known.select("a", "b").union(known.select("b", "a")).hint("merge"), ["a", "b"], "left_anti")
+    pairs = one.join(two, together & enough).select("a", "b").distinct()
+    fresh = write_table(pairs.join(known.select("a", "b").union(known.select("b", "a")).hint("merge"), ["a", "b"], "left_anti"), "rest-pairs")
+    release(dealt)
+    return fresh
 
 
 def classes(rows: DataFrame, content_of, least: float) -> tuple[DataFrame, DataFrame]:
     """((id, label) of each linked id, content) of rows (id, keys); content_of(ids) gives (id, elements[, weights], ...)."""
     members = buckets(rows)
     first = write_table(leaders(members), "leaders")
-    pairs = write_table(hot_join(members.select("key", "id"), first, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct(), "pairs")
     content = write_table(content_of(members.select("id").distinct()), "content")
+    met = write_table(hot_join(members.select("key", "id"), first, "key").where("id != b").select("key", "id", "b"), "met")
+    release(members, first)
+    pairs = write_table(met.select(F.col("id").alias("a"), "b").distinct(), "pairs")
     known = write_table(similarities(pairs, content), "similarities")
     links = known.where(F.col("sim") >= least)
     labels = components(links)
-    more = write_table(rest_pairs(members, labels, content, known, least), "rest-pairs")
-    release(members, first, pairs)
+    more = rest_pairs(met, labels, content, known, least)
+    release(met, pairs)
     if not more.isEmpty():
         extra = write_table(similarities(more, content), "similarities").where(F.col("sim") >= least)
         if not extra.isEmpty():

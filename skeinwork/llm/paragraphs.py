@@ -30,8 +30,8 @@ SPAN = 28
 REACH = SPAN + 3  # in passages of which no paragraph is lost, the words at either end that none covers
 WIDTH = 5  # words of a shingle
 #: Bands and places in each. Lines are tuned for recall: similarity 0.8 shares a band with probability 0.995. A passage
-#: has untouched paragraphs, which share all bands; one that differs in an end word (0.88) shares one with 0.99.
-LINE_BANDS, PASSAGE_BANDS = (10, 4), (3, 2)
+#: within lines has untouched paragraphs, which share all bands, so two are enough, and few that only resemble share any.
+LINE_BANDS, PASSAGE_BANDS = (10, 4), (2, 4)
 
 _KEY = "struct<doc_id:long,place:long>"
 _KEY_TYPE = pa.struct([("doc_id", pa.int64()), ("place", pa.int64())])
@@ -123,7 +123,7 @@ def _ids(table: pa.Table, words: _Words, first: np.ndarray, kind: int) -> pa.Str
     return pa.StructArray.from_arrays([table["doc_id"].combine_chunks().take(pa.array(row)), pa.array(place)], fields=list(_KEY_TYPE))
 
 
-def marked_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN) -> DataFrame:
+def marked_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN, line_bands: tuple[int, int] = LINE_BANDS, passage_bands: tuple[int, int] = PASSAGE_BANDS) -> DataFrame:
     """(id, start, end, print, keys) of each paragraph of documents (doc_id, text, key): its place in code points, a hash of
     its words, and its band keys."""
 
@@ -134,7 +134,7 @@ def marked_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, span: int = S
             first, end = words.lines()
             long = end - first >= min_words
             inner = words.passages(min_words, span)
-            for kind, a, b, (bands, rows) in ((0, first[long], end[long], LINE_BANDS), (1, inner, inner + min_words, PASSAGE_BANDS)):
+            for kind, a, b, (bands, rows) in ((0, first[long], end[long], line_bands), (1, inner, inner + min_words, passage_bands)):
                 keys = band_keys(_signatures(words, a, b, bands * rows), bands) ^ kind
                 base = points[words.bounds[words.rows[a]]]
                 seed = bytes([kind])
@@ -171,7 +171,7 @@ def paragraph_content(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return docs.mapInArrow(run, f"id {_KEY}, elements array<long>")
 
 
-def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, span: int = SPAN, line_bands: tuple[int, int] = LINE_BANDS, passage_bands: tuple[int, int] = PASSAGE_BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, start, end, source_id) of each paragraph to remove; start and end are code points, end exclusive.
 
     Two paragraphs (see above) of one kind are linked if the sets of their five-word shingles have a Jaccard similarity
@@ -181,7 +181,7 @@ def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int =
     document is removed there too. An empty table gives no rows.
     """
     base = id_and_text(docs, id_col, text_col).where("doc_id is not null").withColumn("key", text_key(F.col("text")))
-    marked = write_table(marked_paragraphs(base, min_words, span), "paragraphs")
+    marked = write_table(marked_paragraphs(base, min_words, span, line_bands, passage_bands), "paragraphs")
     # of paragraphs with the same words the first stands for all
     same = write_table(marked.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1"), "same-paragraphs")
     named = hot_join(marked, same, "print", "left").withColumn("rep", F.coalesce("rep", "id"))

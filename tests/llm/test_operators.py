@@ -526,7 +526,7 @@ def passage_rows(seed=5):
 def test_paragraphs(spark, docs, texts, empty):
     for rows, df in ((texts, docs), (passage_rows(), spark.createDataFrame(passage_rows(), "doc_id long, text string"))):
         want = removed_passages(rows)
-        gone = paragraphs.repeated_paragraphs(df)
+        gone = paragraphs.repeated_paragraphs(df, passage_bands=(12, 2))  # enough bands to find all pairs
         got = {r.doc_id: r for r in paragraphs.summary(df, gone).collect()}
         assert len(got) == len(rows)
         for i, (spans, sources) in want.items():
