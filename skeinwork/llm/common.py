@@ -63,7 +63,7 @@ def release(*tables: DataFrame) -> None:
 
 
 #: A key with more rows than this, and than 1/1000 of all, is dealt over several tasks; so there are at most 1000 such keys.
-HOT_ROWS, HOT_KEYS = 20_000, 1000
+HOT_ROWS, HOT_KEYS = 1000, 1000
 
 
 def hot_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", n: str = "n", sizes: DataFrame | None = None) -> DataFrame:

@@ -2,14 +2,16 @@
 
 `id` may be any orderable column (a long, or a struct). In a bucket (the ids of one band key) every member is compared
 with one leader, the member that meets most others over all its buckets: with near copies, that is the text they come
-from. The links give components. Ids that are still in a bucket with other components are then joined by prefixes: a
-pair of similarity `least` must share an element within the rarest parts of both, so like texts that are not near copies
-are mostly never paired, and no pair is lost that a bucket holds. Hot keys are dealt over tasks in every join.
+from. The links give components. Members of a bucket that are of different components even so are compared too, if exact
+bounds and their sketches let them be similar; sketches=False keeps to the exact bounds, and then no pair is lost that a
+bucket holds. Groups of like texts, which form one component at once, are never expanded into pairs, and hot keys are
+dealt over tasks in every join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import hot_join, release, write_table
+from .signatures import bag_minhash, minhash_bits
 
-#: Ids of one prefix element that one task pairs with as many others.
+#: Bits of a sketch, one for each place of a signature: they differ with probability (1 - similarity) / 2.
+BITS = 1024
+#: A pair of similarity `least` differs by more standard deviations with probability 0.0002.
+DEVIATIONS = 3.5
+#: Members of a mixed bucket that one task compares with as many others.
 BLOCK = 512
 
 
@@ -100,61 +107,78 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("id", "label")
 
 
-def _prefixes(content: DataFrame, least: float) -> DataFrame:
-    """(e, id, label, total, shared): of each id of content (id, label, elements[, weights]), the elements of its prefix that others have too.
+def shared_weights(content: DataFrame) -> DataFrame:
+    """content (id, label, elements[, weights]) with total, an id's weight, and shared, that of elements which others have too.
 
-    Elements are in order of how many ids have them, rarest first; the prefix ends where what is left weighs less than
-    `least` of the whole. Two ids of that similarity share an element of both prefixes: the first they have in common
-    has at most 1 - least of either before it.
+    Elements that one id alone has are found by an aggregate that combines early; frequent elements never meet their ids.
     """
-    pair = "arrays_zip(elements, weights)" if "weights" in content.columns else "transform(elements, x -> named_struct('elements', x, 'weights', 1))"
-    each = content.select("id", "label", F.expr(f"explode({pair})").alias("p")).select("id", "label", F.col("p.elements").alias("e"), F.col("p.weights").cast("long").alias("w"))
-    common = write_table(each.groupBy("e").agg(F.count("*").alias("n")).where("n > 1"), "common-elements")
-    known = hot_join(each, common, "e", "left").select("id", "label", F.struct(F.coalesce("n", F.lit(1)).alias("n"), "e", "w").alias("x"))
-    lists = known.groupBy("id").agg(F.first("label").alias("label"), F.array_sort(F.collect_list("x")).alias("xs"))
-    total, shared = "aggregate(xs, 0L, (s, x) -> s + x.w)", "aggregate(xs, 0L, (s, x) -> s + if(x.n > 1, x.w, 0L))"
-    lists = lists.select("id", "label", "xs", F.expr(total).alias("total"), F.expr(shared).alias("shared")).where(F.col("shared") >= least * F.col("total") - 1e-9)
-    # the prefix's length: elements that have at most 1 - least of the weight before them
-    size = f"aggregate(xs, named_struct('w', 0L, 'k', 0), (s, x) -> named_struct('w', s.w + x.w, 'k', s.k + if(s.w <= {1 - least} * total + 1e-9, 1, 0)), s -> s.k)"
-    prefix = F.expr(f"filter(slice(xs, 1, {size}), x -> x.n > 1)")
-    out = write_table(lists.select(F.explode(prefix).alias("x"), "id", "label", "total", "shared").select("x.e", "id", "label", "total", "shared"), "prefixes")
-    release(common)
-    return out
-
-
-def rest_pairs(met: DataFrame, labels: DataFrame, content: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    weighted = "weights" in content.columns
+    pair = "arrays_zip(elements, weights)" if weighted else "transform(elements, x -> named_struct('elements', x, 'weights', 1))"
+    each = content.select("id", F.expr(f"explode({pair})").alias("p")).select("id", "p.elements", F.col("p.weights").cast("long").alias("w"))
+    alone = each.groupBy("elements").agg(F.count("*").alias("n"), F.first("id").alias("id"), F.first("w").alias("w")).where("n = 1").groupBy("id").agg(F.sum("w").alias("alone"))
+    total = F.expr("aggregate(weights, 0L, (n, w) -> n + w)") if weighted else F.size("elements").cast("long")
+    return content.withColumn("total", total).join(alone.hint("merge"), "id", "left").withColumn("shared", F.col("total") - F.coalesce("alone", F.lit(0))).drop("alone")
+
+
+def _sketched(content: DataFrame) -> DataFrame:
+    """(id, total, shared, sketch): BITS bits of the id's signature, as longs."""
+    weighted = "weights" in content.columns
+    rows = content.select("id", "total", "shared", "elements", *(["weights"] if weighted else []))
+    out = rows.select("id", "total", "shared", F.array(F.lit(0).cast("long")).alias("sketch")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 512):
+                batch = whole.slice(k, 512)
+                element, row = _row_of(batch.column("elements"))
+                weight = batch.column("weights").flatten().to_numpy() if weighted else np.ones(len(element), np.int64)
+                bits = minhash_bits(bag_minhash(row, element.view(np.uint64), weight.astype(np.int64), batch.num_rows, BITS))
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * bits.shape[1], pa.int32()), pa.array(bits.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], sketch], names=["id", "total", "shared", "sketch"])
+
+    return rows.mapInArrow(run, out)
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """members (key, id, label, ...) of the keys that hold several labels, with m, how many these are."""
+    several = write_table(members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("key", "m"), "mixed-keys")
+    return hot_join(members, several, "key", n="m")
+
+
+def rest_pairs(met: DataFrame, labels: DataFrame, rows: DataFrame, content: DataFrame, known: DataFrame, least: float, sketches: bool = True) -> DataFrame:
     """(a, b): ids of different components that can have similarity `least`, of those (met: key, id) that share a bucket
-    with a third one, their leader, which both have met, and with another component.
+    with a third one, their leader, which both have met; pairs already known (a, b, sim) are left out.
 
-    A prefix join over all of these ids: no pair of one bucket is lost. Of a pair both shared weights (what others have
-    too) bound the overlap, and so do the totals. An element that many prefixes hold is split into blocks of about
-    BLOCK ids, and each pair of blocks is a key of its own.
+    Exact bounds come first, before anything is paired: a pair of similarity `least` has at least least / (1 + least) of
+    both weights together in common, which is no more than either shares with anything. What passes must also, if wanted,
+    have sketches that agree to DEVIATIONS. A bucket is split into blocks of about BLOCK members, and each pair of blocks
+    is a key of its own. A pair that shares several buckets is made in the first one only.
     """
-    own = write_table(met.join(labels.hint("merge"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")), "labelled-members")
-    several = own.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("key", "m")
-    several = write_table(several, "mixed-buckets")
-    ids = hot_join(own, several, "key", n="m").select("id", "label").distinct()
-    mixed = write_table(content.join(ids.hint("merge"), "id"), "mixed-content")
-    release(own, several)
-    prefixes = _prefixes(mixed, least)
-    release(mixed)
-    several = prefixes.groupBy("e").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("e", "m")
-    several = write_table(several, "mixed-elements")
-    dealt = hot_join(prefixes, several, "e", n="m").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    dealt = write_table(dealt.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int")), "dealt-prefixes")
-    release(prefixes, several)
+    own = write_table(_mixed(met.join(labels.hint("merge"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))).drop("m"), "mixed-members")
+    mine = content.join(own.select("id").distinct().hint("merge"), "id", "left_semi")
+    able = shared_weights(mine).where(F.col("shared") >= least * F.col("total") - 1e-9)
+    able = write_table(_sketched(able) if sketches else able.select("id", "total", "shared", F.lit(None).cast("array<long>").alias("sketch")), "able")
+    dealt = _mixed(own.join(able.select("id").hint("merge"), "id")).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    dealt = write_table(dealt.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int")).join(able.hint("merge"), "id").join(rows.select("id", "keys").distinct().hint("merge"), "id"), "dealt-members")
+    release(own, able)
     all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    one = dealt.select("e", F.col("own").alias("i"), all_blocks.alias("j"), F.col("id").alias("a"), F.col("label").alias("x"), F.col("total").alias("s"), F.col("shared").alias("u"))
-    two = dealt.select("e", F.col("own").alias("j"), all_blocks.alias("i"), F.col("id").alias("b"), F.col("label").alias("y"), F.col("total").alias("t"), F.col("shared").alias("v")).hint("merge")
-    together = (one.e == two.e) & (one.i == two.i) & (one.j == two.j) & (F.col("x") < F.col("y"))
-    enough = (F.least("u", "v") >= least / (1 + least) * (F.col("s") + F.col("t")) - 1e-9) & (F.least("s", "t") >= least * F.greatest("s", "t") - 1e-9)
-    pairs = one.join(two, together & enough).select("a", "b").distinct()
+    side = lambda own, other, **names: dealt.select("key", F.col("own").alias(own), all_blocks.alias(other), *[F.col(c).alias(n) for c, n in names.items()])
+    one = side("i", "j", id="a", label="x", total="s", shared="u", sketch="p", keys="g")
+    two = side("j", "i", id="b", label="y", total="t", shared="v", sketch="q", keys="h").hint("merge")
+    fits = (one.key == two.key) & (one.i == two.i) & (one.j == two.j) & (F.col("x") < F.col("y"))
+    fits = fits & (F.least("u", "v") >= least / (1 + least) * (F.col("s") + F.col("t")) - 1e-9) & (F.least("s", "t") >= least * F.greatest("s", "t") - 1e-9)
+    if sketches:
+        differ = (1 - least) / 2
+        most = int(BITS * differ + DEVIATIONS * sqrt(BITS * differ * (1 - differ)))
+        fits = fits & F.expr(f"aggregate(zip_with(p, q, (x, y) -> bit_count(x ^ y)), 0, (n, z) -> n + z) <= {most}")
+    fits = fits & F.expr("element_at(g, cast(array_position(zip_with(g, h, (x, y) -> x = y), true) as int))").eqNullSafe(one.key)
+    pairs = one.join(two, fits).select("a", "b").distinct()
     fresh = write_table(pairs.join(known.select("a", "b").union(known.select("b", "a")).hint("merge"), ["a", "b"], "left_anti"), "rest-pairs")
     release(dealt)
     return fresh
 
 
-def classes(rows: DataFrame, content_of, least: float) -> tuple[DataFrame, DataFrame]:
+def classes(rows: DataFrame, content_of, least: float, sketches: bool = True) -> tuple[DataFrame, DataFrame]:
     """((id, label) of each linked id, content) of rows (id, keys); content_of(ids) gives (id, elements[, weights], ...)."""
     members = buckets(rows)
     first = write_table(leaders(members), "leaders")
@@ -165,7 +189,7 @@ def classes(rows: DataFrame, content_of, least: float) -> tuple[DataFrame, DataF
     known = write_table(similarities(pairs, content), "similarities")
     links = known.where(F.col("sim") >= least)
     labels = components(links)
-    more = rest_pairs(met, labels, content, known, least)
+    more = rest_pairs(met, labels, rows, content, known, least, sketches)
     release(met, pairs)
     if not more.isEmpty():
         extra = write_table(similarities(more, content), "similarities").where(F.col("sim") >= least)

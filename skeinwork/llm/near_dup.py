@@ -60,7 +60,7 @@ def content(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, elements array<long>, weights array<int>")
 
 
-def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS, sketches: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, class_id, class_size, kept, n_shingles.
 
     A class is a component of the links between documents whose multisets of five-word shingles have a weighted Jaccard
@@ -81,7 +81,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, r
         # a merge join at every size: a few ids would be broadcast, many would not, and the plan should not depend on it
         return content(base.join(ids.hint("merge"), base.doc_id == ids.id, "left_semi")).distinct()
 
-    labels, contents = classes(reps, of, least)
+    labels, contents = classes(reps, of, least, sketches)
     sizes = known.groupBy("rep").agg(F.count("*").alias("n"))
     out = hot_join(known.select("doc_id", "rep", "n_shingles"), labels.withColumnRenamed("id", "rep"), "rep", "left", sizes=sizes)
     out = write_table(out.select("doc_id", F.coalesce("label", "rep").alias("class_id"), "n_shingles"), "near-classes")

@@ -171,7 +171,7 @@ def paragraph_content(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return docs.mapInArrow(run, f"id {_KEY}, elements array<long>")
 
 
-def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, span: int = SPAN, line_bands: tuple[int, int] = LINE_BANDS, passage_bands: tuple[int, int] = PASSAGE_BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, span: int = SPAN, line_bands: tuple[int, int] = LINE_BANDS, passage_bands: tuple[int, int] = PASSAGE_BANDS, sketches: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, start, end, source_id) of each paragraph to remove; start and end are code points, end exclusive.
 
     Two paragraphs (see above) of one kind are linked if the sets of their five-word shingles have a Jaccard similarity
@@ -193,7 +193,7 @@ def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int =
         mine = base.join(wanted.hint("merge"), base.doc_id == F.col("of")).select("doc_id", "text", "key", "places")
         return paragraph_content(mine, min_words).distinct()
 
-    labels, content = classes(known.where("keys is not null").select("id", "keys"), of, least)
+    labels, content = classes(known.where("keys is not null").select("id", "keys"), of, least, sketches)
     release(content)
     sizes = known.groupBy("rep").agg(F.count("*").alias("n"))
     out = hot_join(known.select("id", "start", "end", "rep"), labels.withColumnRenamed("id", "rep"), "rep", "left", sizes=sizes).withColumn("label", F.coalesce("label", "rep"))

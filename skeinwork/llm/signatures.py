@@ -103,3 +103,9 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     for k in range(places.shape[2]):
         key = mix64(key * _STEP + places[:, :, k])
     return (key + np.arange(bands, dtype=np.uint64) * _STEP).view(np.int64)
+
+
+def minhash_bits(sig: np.ndarray) -> np.ndarray:
+    """(rows, places / 64) longs that hold one bit of each place of signatures."""
+    bits = (mix64(sig.view(np.uint64)) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(np.int64).reshape(len(sig), sig.shape[1] // 64)
