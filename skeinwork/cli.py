@@ -23,12 +23,10 @@ from .sources.store import Table
 
 def parse_time(text: str) -> int:
     """Epoch milliseconds from digits (10**10 and more are milliseconds) or an ISO time (UTC if it says nothing)."""
-    from datetime import datetime, timezone
+    import pandas as pd
 
-    if text.isdigit():
-        return int(text) if int(text) >= 10**10 else int(text) * 1000
-    at = datetime.fromisoformat(text.replace("Z", "+00:00"))
-    return int((at if at.tzinfo else at.replace(tzinfo=timezone.utc)).timestamp() * 1000)
+    unit = "s" if len(text) <= 10 else "ms"
+    return pd.to_datetime(int(text), unit=unit).value // 10**6 if text.isdecimal() else pd.to_datetime(text, utc=True).value // 10**6
 
 
 def safe_name(text: str) -> str:

@@ -13,8 +13,16 @@ def bucket(key: Column, n: int = BUCKETS) -> Column:
     return F.coalesce(F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(n)), F.lit(0)).cast("long")
 
 
+#: White space at either end of a text, of any alphabet.
+_ENDS = r"(?U)^\s+|\s+$"
+
+
+def stripped(c: Column) -> Column:
+    return F.regexp_replace(c, _ENDS, "")
+
+
 def is_blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | (stripped(c) == "")
 
 
 def matches(pred: Column) -> Column:
@@ -77,7 +85,7 @@ def safe_filename(c: Column) -> Column:
 
 def job_tags(job_id: Column) -> Column:
     """The first four trimmed #-parts of a job id, if there are four and none is blank; else null."""
-    four = F.slice(F.transform(F.split(job_id, "#"), lambda x: F.trim(x)), 1, 4)
+    four = F.slice(F.transform(F.split(job_id, "#"), stripped), 1, 4)
     return F.when((F.size(four) == 4) & F.forall(four, lambda x: x != ""), four)
 
 

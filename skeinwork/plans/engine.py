@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import bucket, is_blank
 from ..operators.aggregates import run_summary
 from ..operators.sessions import SESSION, dirty_sessions, discovery_failures, in_window, whole_sessions
 from ..sources.store import Table
@@ -32,12 +33,13 @@ class Run:
     failures: int = 0
     errors: list[str] = field(default_factory=list)
     windows: dict[int, tuple[int, int]] = field(default_factory=dict)
+    failed_buckets: list[int] = field(default_factory=list)
     keys: DataFrame | None = None
 
     def merge(self, other: Run) -> Run:
         if self.pipeline != other.pipeline:
             raise ValueError("runs of different pipelines")
-        return Run(self.pipeline, self.run_id, self.sessions + other.sessions, self.rows_read + other.rows_read, self.rows_written + other.rows_written, self.failures + other.failures, sorted({*self.errors, *other.errors}), self.windows | other.windows)
+        return Run(self.pipeline, self.run_id, self.sessions + other.sessions, self.rows_read + other.rows_read, self.rows_written + other.rows_written, self.failures + other.failures, sorted({*self.errors, *other.errors}), self.windows | other.windows, sorted({*self.failed_buckets, *other.failed_buckets}))
 
     def report(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "keys"} | {"windows": {str(k): list(v) for k, v in self.windows.items()}}
@@ -65,7 +67,10 @@ class Engine:
         names = sorted({j.strip() for j in jobs})
         if not names or not names[0]:
             raise ValueError("blank job")
-        return self._run(p, self.landing.read().where(F.col("job_id").isin(names)), dry_run)
+        n = self.landing.state()["buckets"]
+        jobs = self.landing.spark.createDataFrame([(j,) for j in names], "job_id string")
+        own = [r[0] for r in jobs.select(bucket(F.col("job_id"), n)).distinct().collect()]
+        return self._run(p, self.landing.read(own, latest=False).where(F.col("job_id").isin(names)), dry_run, buckets=own)
 
     def run_sessions(self, p: Pipeline, keys: DataFrame, dry_run: bool = False) -> Run:
         """keys: (job_id, session_id), as from another run's dirty sessions."""
@@ -75,7 +80,8 @@ class Engine:
         """All sessions with a change after each bucket's committed time, up to the start of the run less the settle delay.
 
         The windows (committed, cutoff] of all buckets are one DataFrame joined to the changes on bucket, so buckets run
-        side by side. A window left active by a failed run is taken again as it was; then a second pass catches up to
+        side by side. Buckets fail alone: those of failed sessions keep their
+        windows, all others are committed. A window left active by a failed run is taken again as it was; then a second pass catches up to
         the cutoff. A row that arrives later than the delay allows, with an older time, is missed, as documented; a range
         run finds it. start_from (inclusive) is where a bucket without a checkpoint begins.
         """
@@ -107,7 +113,7 @@ class Engine:
             bounds = self.landing.spark.createDataFrame([(c.bucket, c.active_window_start_ms, c.active_window_end_ms) for c in windows], "bucket long, after long, upto long")
             changes = self.landing.read([c.bucket for c in windows]).join(F.broadcast(bounds), "bucket").where("source_updated_at > after and source_updated_at <= upto").drop("after", "upto")
             try:
-                one = self._run(p, changes, dry_run, run_id)
+                one = self._run(p, changes, dry_run, run_id, [c.bucket for c in windows])
             except Exception:
                 if not dry_run:
                     self.checkpoints.save([c.failed(started) for c in windows])
@@ -115,7 +121,7 @@ class Engine:
             one.windows = {c.bucket: (c.active_window_start_ms, c.active_window_end_ms) for c in windows}
             total = one if total.sessions == 0 and not total.windows else total.merge(one)
             total.keys = one.keys
-            done = [c.failed(started) if one.failures else c.committed(started) for c in windows]
+            done = [c.failed(started) if c.bucket in one.failed_buckets else c.committed(started) for c in windows]
             if dry_run:
                 return total
             self.checkpoints.save(done)
@@ -126,22 +132,30 @@ class Engine:
 
     # how
 
-    def _run(self, p: Pipeline, changes: DataFrame, dry_run: bool, run_id: str | None = None) -> Run:
+    def _run(self, p: Pipeline, changes: DataFrame, dry_run: bool, run_id: str | None = None, buckets: list[int] | None = None) -> Run:
+        """buckets: those that hold the changes, if it is known; a session is in one bucket, so no other is read."""
+        rows_held = None
         changes = changes.select("id", *SESSION)
         keys = dirty_sessions(changes).persist()
         try:
-            rows = whole_sessions(self.landing.read(latest=False), keys).drop("bucket")
+            rows = whole_sessions(self.landing.read(buckets, latest=False), keys).drop("bucket")
             done = p.process(rows)
-            done = Processed(done.rows.persist(), done.failures, done.outputs)
+            rows_held = done.rows.persist()
+            done = Processed(rows_held, done.failures, done.outputs)
             s = run_summary(done.sessions()).first()
             lost = discovery_failures(changes)
             failures = done.failures.count() + lost.count()
             errors = sorted({*s["errors"], *(r["error"] for r in lost.select("error").distinct().collect())})
+            n = self.landing.state(latest=False)["buckets"]
+            failing = done.failures.select("job_id").union(changes.where(is_blank(F.col("job_id")) | is_blank(F.col("session_id"))).select("job_id"))
+            failed = sorted(r[0] for r in failing.select(bucket(F.col("job_id"), n)).distinct().collect()) if failures else []
             if not dry_run:
                 self._sink(p, done)
-            return Run(p.name, run_id or uuid.uuid4().hex, s["sessions"], s["rows_read"], s["rows_written"], failures, errors, keys=keys)
+            return Run(p.name, run_id or uuid.uuid4().hex, s["sessions"], s["rows_read"], s["rows_written"], failures, errors, failed_buckets=failed, keys=keys)
         finally:
             keys.unpersist()
+            if rows_held is not None:
+                rows_held.unpersist()
 
     def _sink(self, p: Pipeline, done: Processed) -> None:
         stamp = now_ms()

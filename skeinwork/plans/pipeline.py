@@ -99,7 +99,12 @@ class Pipeline:
         outputs = tuple(o for s in self.ordered() for o in s.outputs)
         kinds = {f.name: f.dataType for f in RECORD}
         have = set(rows.columns)
-        need = [c for c in dict.fromkeys([*outputs, *(r for s in self.stages for r in s.required)]) if c not in have]
+        made: set[str] = set()
+        for s in self.ordered():
+            if lacking := [r for r in s.required if r not in have | made]:
+                raise ValueError(f"stage {s.name} needs {', '.join(lacking)}")
+            made |= set(s.outputs)
+        need = [c for c in outputs if c not in have]
         rows = rows.withColumns({c: F.lit(None).cast(kinds[c]) for c in need}) if need else rows
         columns = rows.columns
         invalid = session_errors(rows).where("error is not null").select(*SESSION, "error")

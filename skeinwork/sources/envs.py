@@ -32,13 +32,14 @@ class EnvConfigs:
             rows.append(dict(c))
         if not rows:
             return []
-        first = aggregates.next_id(self.read()).first()[0]
+        base = self.table.state()["version"]  # ids follow from the version that the rows are added to
+        first = aggregates.next_id(self.table.read(version=base)).first()[0]
         now = int(time.time())
         for k, c in enumerate(rows):
             params = c.get("env_params")
             c |= {"id": first + k, "env_id": c.get("env_id") or f"env-{first + k}", "job_id": c.get("job_id") or "", "finished": bool(c.get("finished")), "env_params": "{}" if params is None else params if isinstance(params, str) else json.dumps(params), "created_at": c.get("created_at") or now}
         df = self.spark.createDataFrame([tuple(c.get(f) for f in ENV_CONFIG.fieldNames()) for c in rows], ENV_CONFIG)
-        self.table.append(df)
+        self.table.append(df, base=base)
         return [c["id"] for c in rows]
 
     def page(self, limit: int | None = None, offset: int = 0, where: str | None = None) -> DataFrame:
@@ -46,10 +47,10 @@ class EnvConfigs:
 
     def update(self, env_id: str, values: dict) -> bool:
         values = {k: json.dumps(v) if k == "env_params" and not isinstance(v, str) else v for k, v in values.items()}
-        return self.table.update(f"env_id = '{env_id.replace(chr(39), chr(92) + chr(39))}'", values)["updated"] > 0
+        return self.table.update(F.col("env_id") == F.lit(env_id), values)["updated"] > 0
 
     def delete(self, env_id: str) -> bool:
-        return self.table.delete(f"env_id = '{env_id.replace(chr(39), chr(92) + chr(39))}'") > 0
+        return self.table.delete(F.col("env_id") == F.lit(env_id)) > 0
 
     def clear(self) -> int:
         return self.table.delete("true")

@@ -25,6 +25,14 @@ class Conflict(RuntimeError):
     """Another writer made the version that this one was about to make."""
 
 
+def _predicate(where: str | Column) -> Column:
+    if isinstance(where, Column):
+        return where
+    if not where or not where.strip():
+        raise ValueError("a filter is required")
+    return F.expr(where)
+
+
 class Table:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.folder = spark, Folder(spark, path)
@@ -110,9 +118,9 @@ class Table:
         writer.parquet(f"{self.folder.path}/{name}")
         return {n[3:]: [f"{name}/{n}"] for n in self.folder.names(name) if n.startswith("_b=")}
 
-    def append(self, df: DataFrame, now_ms: int | None = None, publish: bool = False) -> int | None:
-        """Add rows; None (and no version) for an empty batch. Landing rows never carry a publish time, published ones get now_ms."""
-        state = self.state()
+    def append(self, df: DataFrame, now_ms: int | None = None, publish: bool = False, base: int | None = None) -> int | None:
+        """Add rows, to version `base` if it is still the last; None (and no version) for an empty batch. Landing rows never carry a publish time, published ones get now_ms."""
+        state = self.state(base)
         if now_ms is not None:
             df = df.withColumn("serving_updated_at", F.lit(now_ms).cast("long")) if publish else changes.ingest_defaults(df, now_ms)
         df = self._fit(df, state)
@@ -170,11 +178,9 @@ class Table:
     def _touched(self, state: dict, where: Column) -> list[int]:
         return [r[0] for r in self.read(version=state["version"]).where(matches(where)).select("bucket").distinct().collect()]
 
-    def update(self, where: str, values: dict, now_ms: int | None = None) -> dict:
+    def update(self, where: str | Column, values: dict, now_ms: int | None = None) -> dict:
         """Patch the rows that match; which buckets hold any is found first, and only those are written again."""
-        if not where or not where.strip():
-            raise ValueError("a filter is required")
-        state, pred = self.state(), F.expr(where)
+        state, pred = self.state(), _predicate(where)
         changes.check_updates(values, self.schema(state).fieldNames())
         touched = self._touched(state, pred)
         if not touched:
@@ -183,11 +189,9 @@ class Table:
         n = old.where(matches(pred)).count()
         return {"updated": n, "version": self._rewrite(state, touched, changes.updated(old, pred, values, now_ms))}
 
-    def delete(self, where: str) -> int:
+    def delete(self, where: str | Column) -> int:
         """Rows deleted. A null predicate keeps its row; an error is raised, never swallowed."""
-        if not where or not where.strip():
-            raise ValueError("a filter is required")
-        state, pred = self.state(), F.expr(where)
+        state, pred = self.state(), _predicate(where)
         touched = self._touched(state, pred)
         if not touched:
             return 0
