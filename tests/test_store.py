@@ -157,6 +157,27 @@ def test_a_failed_window_is_taken_again(spark, tmp_path):
     assert (c.status, c.committed_until_ms, c.active_window_end_ms) == ("IDLE", 200, None)
 
 
+def test_buckets_fail_alone(spark, tmp_path):
+    landing, serving = landing_and_serving(spark, tmp_path)
+    good = [{"id": f"g{k}", "job_id": f"d#h#m#t#{k}", "session_id": "s", "is_trainable": True, "response": "{}", "source_updated_at": 10} for k in range(3)]
+    landing.append(rows(spark, [*good, {**good[0], "id": "bad", "job_id": "d#h#m#t#bad", "response": "{oops"}]), 1)
+    own = {r.job_id: r.bucket for r in landing.read().collect()}
+    bad = own["d#h#m#t#bad"]
+    assert set(own.values()) - {bad}
+    engine = Engine(landing, serving)
+    run = engine.run_incremental(LANDING_TO_SERVING, start_from=0, started_ms=100)
+    assert run.failures == 1 and run.failed_buckets == [bad] and serving.count() == 3
+    states = {c.bucket: (c.status, c.committed_until_ms) for c in engine.checkpoints.load(LANDING_TO_SERVING.name).values()}
+    assert states == {b: ("FAILED", -1) if b == bad else ("IDLE", 100) for b in own.values()}
+
+
+def test_an_env_id_is_a_value_not_a_filter(spark, tmp_path):
+    envs = EnvConfigs(spark, f"file://{tmp_path}/envs", create=True)
+    envs.save([{"env_name": "one"}, {"env_name": "two", "env_id": "it's \\' or true --"}])
+    assert not envs.delete("\\' or true --") and envs.count() == 2
+    assert envs.delete("it's \\' or true --") and [r.env_name for r in envs.read().collect()] == ["one"]
+
+
 def test_stream_gives_what_a_batch_gives(spark, tmp_path):
     landing, serving = landing_and_serving(spark, tmp_path)
     landing.append(rows(spark, [{"id": f"a{k}", "session_id": f"s{k % 3}", "step_id": k, "is_trainable": k % 2 == 0} for k in range(9)]), 1)
