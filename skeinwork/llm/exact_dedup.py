@@ -32,20 +32,20 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     2. Salted: (digest, salt, full text) groups; a text that a third of the rows share is spread over `salts` tasks.
     3. Global: at most `salts` winners of each text meet by (digest, full text).
     The text itself is a grouping key in each, so two texts with one digest never merge. Rows then take their group by
-    digest, salted again; digests that stand for more than one text (none known for SHA-256) take it by full text.
+    digest and the salts that it has, so a group of one row is one row of that join; digests that stand for more than one text (none known for SHA-256) take it by full text.
     """
     keyed = _keyed(id_and_text(docs, id_col, text_col), salts)
     salted = keyed.groupBy("digest", "salt", "norm").agg(_best(), F.count("*").alias("n"))
-    whole = salted.groupBy("digest", "norm").agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+    whole = salted.groupBy("digest", "norm").agg(F.max("best").alias("best"), F.sum("n").alias("n"), F.collect_set("salt").alias("salts"))
     # A digest's texts, nearly always one: the text itself is carried on only by digests that stand for several.
-    per_digest = whole.groupBy("digest").agg(F.count("*").alias("texts"), F.first("best").alias("best"), F.first("n").alias("n"))
+    per_digest = whole.groupBy("digest").agg(F.count("*").alias("texts"), F.first("best").alias("best"), F.first("n").alias("n"), F.first("salts").alias("salts"))
     groups = write_table(per_digest, "exact-groups")
-    ones = groups.where("texts = 1").select("digest", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "best", "n")
+    ones = groups.where("texts = 1").select("digest", F.explode("salts").alias("salt"), "best", "n")
     rows = keyed.select("doc_id", "digest", "salt")
     found = rows.join(ones, ["digest", "salt"])
     if not groups.where("texts > 1").isEmpty():
         clash = groups.where("texts > 1").select("digest")
-        several = whole.join(clash, "digest", "left_semi").select("digest", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "norm", "best", "n")
+        several = whole.join(clash, "digest", "left_semi").select("digest", F.explode("salts").alias("salt"), "norm", "best", "n")
         more = keyed.join(several, ["digest", "salt", "norm"])
         found = found.select("doc_id", "digest", "best", "n").unionByName(more.select("doc_id", "digest", "best", "n"))
     keep = F.nullif(-F.col("best.neg"), F.lit(2**63 - 1))

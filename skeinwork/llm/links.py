@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import hot_join, release, write_table
-from .signatures import bag_minhash, minhash_bits
+from .signatures import bag_minhash, minhash, minhash_bits
 
 #: Bits of a sketch, one for each place of a signature: they differ with probability (1 - similarity) / 2.
 BITS = 1024
@@ -131,8 +131,9 @@ def _sketched(content: DataFrame) -> DataFrame:
             for k in range(0, whole.num_rows, 512):
                 batch = whole.slice(k, 512)
                 element, row = _row_of(batch.column("elements"))
-                weight = batch.column("weights").flatten().to_numpy() if weighted else np.ones(len(element), np.int64)
-                bits = minhash_bits(bag_minhash(row, element.view(np.uint64), weight.astype(np.int64), batch.num_rows, BITS))
+                element = element.view(np.uint64)
+                sig = bag_minhash(row, element, batch.column("weights").flatten().to_numpy().astype(np.int64), batch.num_rows, BITS) if weighted else minhash(row, element, batch.num_rows, BITS)
+                bits = minhash_bits(sig)
                 sketch = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * bits.shape[1], pa.int32()), pa.array(bits.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], sketch], names=["id", "total", "shared", "sketch"])
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from math import log
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, write_table
+from .common import SPACES, batches_by_bytes, write_table
+from .tokens import piece_bpe_counts
 
 BLOCKS = 256
 #: Share of the greatest entropy (all sources alike) that the mix is to reach, and most times a document may be used.
@@ -18,6 +21,16 @@ def count_words(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "[" + SPACES + "]+"), lambda w: w != "")).cast("long")
 
 
+def count_tokens(text: Column, model_path: str) -> Column:
+    """Tokens of a sentencepiece model, counted about 2 MB of text at a time."""
+
+    def counts(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        return pa.array(np.concatenate([piece_bpe_counts(t["text"], model_path) for t in batches_by_bytes(iter([batch]), 2 << 20)] or [np.zeros(0, np.int64)]), pa.int64())
+
+    return F.arrow_udf(counts, "long")(F.coalesce(text, F.lit("")))
+
+
 def _measured(shares: DataFrame, exponents: list[float], scale: float) -> list[tuple[float, float]]:
     """For each exponent: the entropy of the normalised powers of shares, and the most often any source is repeated."""
     p = F.col("p")
@@ -51,10 +64,11 @@ def bisect_exponent(shares: DataFrame, n_sources: int, scale: float, entropy: fl
     return round(max(low_e, high_r), 6)
 
 
-def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, blocks: int = BLOCKS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", with_row: bool = False) -> DataFrame:
+def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, blocks: int = BLOCKS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", with_row: bool = False, model_path: str | None = None) -> DataFrame:
     """One row per use of a document: doc_id, source, epoch, block_rank, block, n_tokens, weight.
 
-    A source's weight is its share of all tokens (words) to the power found by bisect_exponent, normalised; its quota is
+    Tokens are those of the sentencepiece model at model_path; without one, words. A source's weight is its share of all
+    tokens to the power found by bisect_exponent, normalised; its quota is
     that of the budget (the corpus' tokens, if not given). Each source is dealt into `blocks` blocks by hash, so a source
     with a third of all rows is that many groups. Epoch e is a permutation of a source's blocks; whole epochs use all
     of them, the last one those that fit the rest of the quota and, of the block at its edge, documents (in hash order)
@@ -65,7 +79,7 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if with_row else []
     more = ["row"] if with_row else []
     dealt = F.coalesce(docs[id_col].cast("long"), F.xxhash64(docs[text_col]))
-    named = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), count_words(docs[text_col]).alias("n_tokens"), dealt.alias("dealt"), *row)
+    named = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), (count_tokens(docs[text_col], model_path) if model_path else count_words(docs[text_col])).alias("n_tokens"), dealt.alias("dealt"), *row)
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
     rows = write_table(named.withColumn("key", key).withColumn("block", F.pmod(F.xxhash64("dealt", F.lit(seed)), F.lit(blocks)).cast("int")), "mix-rows")
     held = rows.groupBy("key", "block").agg(F.sum("n_tokens").alias("tokens"))

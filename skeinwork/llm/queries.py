@@ -40,7 +40,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    return mixing.mix(documents(spark, sf_dir), model_path=public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,3 +109,12 @@ def minhash_bits(sig: np.ndarray) -> np.ndarray:
     """(rows, places / 64) longs that hold one bit of each place of signatures."""
     bits = (mix64(sig.view(np.uint64)) & np.uint64(1)).astype(np.uint8)
     return np.packbits(bits, axis=1).view(np.int64).reshape(len(sig), sig.shape[1] // 64)
+
+
+def minhash(row: np.ndarray, element: np.ndarray, n: int, size: int) -> np.ndarray:
+    """(n, size) MinHash values of plain sets, elements by row; a row without elements gets the greatest value."""
+    sig = np.full((n, size), np.iinfo(np.uint64).max)
+    first = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else row
+    for k in range(size if len(row) else 0):
+        sig[row[first], k] = np.minimum.reduceat(mix64(element ^ mix64(np.array([k + 1], np.uint64))), first)
+    return sig

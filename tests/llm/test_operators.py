@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
@@ -361,6 +362,10 @@ def test_mixing(spark, empty):
     assert mixing.mix(empty).count() == 0
     out = mixing.mixed_documents(df, entropy=0.9, repeats=3.0, blocks=16)
     assert out.columns == df.columns and out.count() == len(got)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    counted = {x.doc_id: x.n_tokens for x in mixing.mix(df, blocks=16, model_path=path).collect()}
+    assert counted and all(n == len(model.encode(rows[i][1] or "")) for i, n in counted.items())
 
 
 def test_exponent_meets_entropy_or_the_repetition_limit(spark):
