@@ -4,9 +4,9 @@
    100-byte string lies in exactly one phrase, and copies of a passage are cut alike wherever they stand.
 2. Parse order. Phrases are grouped by content; a group's first occurrence is the dictionary's, and every start in
    a later one is a repeat. This settles copies of whole phrases, the bulk of repetitive text, without looking inside.
-3. Dictionary order. Only dictionary phrases that share a trigger with another can hold a string in common. Their
-   suffixes (cut to 100 bytes) are sorted by a hash, not in byte order; equal neighbours are the strings that
-   several phrases hold, and combined with the phrases' first places they give each string's first place in the corpus.
+3. Dictionary order. Only dictionary phrases that share a trigger with another can hold a string in common. Each
+   trigger's phrases get a suffix array in byte order (suffixes cut to 100 bytes); equal neighbours are the strings
+   that several phrases hold, and with the phrases' first places they give each string's first place in the corpus.
 The parse beyond a phrase is never consulted, for the overlap already holds all that a 100-byte suffix can reach.
 """
 
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, flat_bytes, id_and_text, mix64, write_table
+from .common import batches_by_bytes, flat_bytes, hot_join, id_and_text, mix64, release, write_table
 
 LENGTH = 100  # bytes of a repeated string
 GRAM = 24  # bytes of a trigger
@@ -116,31 +116,28 @@ def _suffixes(texts: list[bytes], n: np.ndarray, length: int) -> tuple[np.ndarra
     return data, which, offset, begin[which] + offset
 
 
-def later_strings(texts: list[bytes], doc: np.ndarray, start: np.ndarray, n: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def later_strings(texts: list[bytes], trigger: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(doc, start) of the strings of dictionary phrases that an earlier place holds too. Phrases of one trigger come together.
 
-    The suffixes are sorted by a hash of their first `length` bytes, then by place; equal neighbours are compared byte by
-    byte, so a hash can't decide alone (were two strings ever to share one, they'd be told apart by their bytes).
+    Each trigger's phrases get a suffix array: their suffixes' first `length` bytes in byte order, equal ones by place.
+    A suffix equal to its neighbour before is a string that starts earlier too.
     """
     data, which, offset, at = _suffixes(texts, n, length)
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = _gram_hashes(data, length)[at]
-    d, s = doc[which], start[which] + offset
-    order = np.lexsort((s, d, key))
-    same = np.append(False, key[order][1:] == key[order][:-1])
-    repeat = np.flatnonzero(same)
-    bad = False
-    for k in range(0, len(repeat), 1 << 16):
-        r = repeat[k : k + (1 << 16)]
-        x, y = at[order[r]], at[order[r - 1]]
-        bad |= bool((np.lib.stride_tricks.sliding_window_view(data, length)[x] != np.lib.stride_tricks.sliding_window_view(data, length)[y]).any())
-    if bad:
-        spelled = [data[a : a + length].tobytes() for a in at.tolist()]
-        order = np.array(sorted(range(len(at)), key=lambda i: (spelled[i], d[i], s[i])))
-        repeat = np.array([i for i in range(1, len(order)) if spelled[order[i]] == spelled[order[i - 1]]], np.int64)
-    later = order[repeat]
-    return d[later], s[later]
+    d, s, group = doc[which], start[which] + offset, trigger[which]
+    by_place = np.lexsort((s, d, group))
+    heads = np.lib.stride_tricks.sliding_window_view(data, length)
+    edges = np.append(np.flatnonzero(np.append(True, group[by_place][1:] != group[by_place][:-1])), len(by_place))
+    later = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        own = by_place[a:b]
+        head = np.ascontiguousarray(heads[at[own]]).view(f"S{length}").ravel()
+        array = np.argsort(head, kind="stable")
+        rows = heads[at[own[array]]]
+        later.append(own[array[1:][(rows[1:] == rows[:-1]).all(axis=1)]])
+    found = np.concatenate(later)
+    return d[found], s[found]
 
 
 def _as_runs(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
@@ -179,7 +176,7 @@ def _small_groups(cut: DataFrame, length: int, chunk: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def out(batch: pa.Table) -> pa.RecordBatch:
-            d, s = later_strings(batch["text"].to_pylist(), batch["doc_id"].to_numpy(), batch["start"].to_numpy(), batch["n"].to_numpy().astype(np.int64), length)
+            d, s = later_strings(batch["text"].to_pylist(), batch["trigger"].to_numpy(), batch["doc_id"].to_numpy(), batch["start"].to_numpy(), batch["n"].to_numpy().astype(np.int64), length)
             return _as_runs(d, s)
 
         rows = 0
@@ -200,7 +197,7 @@ def _small_groups(cut: DataFrame, length: int, chunk: int) -> DataFrame:
 
 
 def _large_groups(cut: DataFrame, length: int) -> DataFrame:
-    """The same for groups of any size: a row for each string, and the least place by an aggregate that combines early."""
+    """The same for groups of any size: a row for each string, its bytes as the key of an aggregate that combines early."""
     kind = pa.schema([("trigger", pa.int64()), ("x", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +207,7 @@ def _large_groups(cut: DataFrame, length: int) -> DataFrame:
                 part = batch.slice(k, 4096)
                 texts = part.column("text").to_pylist()
                 _, which, offset, _ = _suffixes(texts, n[k : k + 4096], length)
-                x = [xxhash.xxh3_128_digest(texts[w][o : o + length]) for w, o in zip(which.tolist(), offset.tolist(), strict=True)]
+                x = [texts[w][o : o + length] for w, o in zip(which.tolist(), offset.tolist(), strict=True)]
                 index = pa.array(which)
                 yield pa.RecordBatch.from_arrays([part.column("trigger").take(index), pa.array(x, pa.binary()), part.column("doc_id").take(index), pa.array(part.column("start").to_numpy()[which] + offset)], schema=kind)
 
@@ -222,12 +219,16 @@ def _large_groups(cut: DataFrame, length: int) -> DataFrame:
 def repeated_runs(base: DataFrame, length: int = LENGTH, segment: int = SEGMENT, large: int = 20_000) -> DataFrame:
     """(doc_id, start, n): runs of n starts of strings that also start earlier, of documents (doc_id, text)."""
     parsed = write_table(phrases(base, length, segment), "phrases")
-    shared = parsed.groupBy("trigger").agg(F.count("*").alias("times"), (F.min("print") != F.max("print")).alias("several")).where("times > 1").select("trigger", "several")
-    again = write_table(parsed.join(shared, "trigger"), "shared-phrases")
+    shared = parsed.groupBy("trigger").agg(F.count("*").alias("times"), (F.min("print") != F.max("print")).alias("several")).where("times > 1")
+    shared = write_table(shared, "shared-triggers")
+    again = write_table(hot_join(parsed, shared, "trigger", n="times").drop("times"), "shared-phrases")
+    release(parsed, shared)
     dictionary = write_table(again.groupBy("trigger", "print").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.first("n").alias("n"), F.first("several").alias("several"), F.count("*").alias("times")), "dictionary")
-    known = dictionary.where("times > 1").select("trigger", "print", "first")
-    copies = again.join(known, ["trigger", "print"]).where("doc_id != first.doc_id or start != first.start").select("doc_id", "start", "n")
-    copies = write_table(copies, "copied-phrases")
+    phrase = F.struct("trigger", "print").alias("phrase")
+    known = dictionary.where("times > 1").select(phrase, "first", "times")
+    copies = hot_join(again.select(phrase, "doc_id", "start", "n"), known, "phrase", n="times")
+    copies = write_table(copies.where("doc_id != first.doc_id or start != first.start").select("doc_id", "start", "n"), "copied-phrases")
+    release(again)
     several = dictionary.where("several").select("trigger", F.col("first.doc_id").alias("doc_id"), F.col("first.start").alias("start"), "n")
     cut = write_table(_cut_out(base, several, length), "dictionary-texts")
     sizes = cut.groupBy("trigger").agg(F.count("*").alias("size")).where(F.col("size") > large).select("trigger")
@@ -236,7 +237,9 @@ def repeated_runs(base: DataFrame, length: int = LENGTH, segment: int = SEGMENT,
         inside = _small_groups(cut, length, large)
     else:
         inside = _small_groups(cut.join(sizes, "trigger", "left_anti"), length, large).unionByName(_large_groups(cut.join(sizes, "trigger", "left_semi"), length))
-    return copies.unionByName(write_table(inside, "dictionary-runs"))
+    inside = write_table(inside, "dictionary-runs")
+    release(dictionary, cut, sizes)
+    return copies.unionByName(inside)
 
 
 _OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -250,9 +253,26 @@ def _covered(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(cover[:-1]) > 0
 
 
-def _with_runs(base: DataFrame, runs: DataFrame) -> DataFrame:
-    lists = runs.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    return base.join(lists, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "runs")
+def _numbered(base: DataFrame) -> DataFrame:
+    """(doc_id, mark, number, rows) of the distinct documents of rows that repeat ids: numbers go by id, then by the text's hash."""
+    found = base.where("doc_id is not null").groupBy("doc_id", F.xxhash64("text").alias("mark")).agg(F.count("*").alias("rows"))
+    return write_table(found.orderBy("doc_id", "mark").withColumn("number", F.monotonically_increasing_id()), "documents")
+
+
+def _with_runs(base: DataFrame, length: int, segment: int, large: int) -> DataFrame:
+    """(doc_id, text, runs) of every row. Ids that come once are documents; otherwise documents are numbered first."""
+    no_id = base.where("doc_id is null").withColumn("runs", F.lit(None).cast("array<struct<start:bigint,n:int>>"))
+    rows = base.where("doc_id is not null")
+    listed = lambda runs: runs.groupBy(F.col("doc_id").alias("number")).agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    if rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        lists = listed(repeated_runs(rows, length, segment, large))
+        return rows.join(lists, F.col("doc_id") == F.col("number"), "left").select("doc_id", "text", "runs").unionByName(no_id)
+    numbers = _numbered(rows).withColumn("key", F.struct("doc_id", "mark")).select("key", "number", "rows")
+    marked = rows.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("mark")))
+    texts = marked.groupBy("key").agg(F.first("text").alias("text")).join(numbers, "key").select(F.col("number").alias("doc_id"), "text")
+    lists = listed(repeated_runs(write_table(texts, "document-texts"), length, segment, large))
+    small = numbers.join(lists, "number", "left").select("key", "rows", "runs")
+    return hot_join(marked, small, "key", n="rows").select("doc_id", "text", "runs").unionByName(no_id)
 
 
 def removed_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", segment: int = SEGMENT, large: int = 20_000) -> DataFrame:
@@ -261,11 +281,10 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     Texts are UTF-8 bytes. A byte goes if a `length`-byte string over it also starts earlier: in a document of smaller
     doc_id, or before in the same one; overlaps count, and all is judged on the input. Null and empty texts, and texts
     under `length` bytes, keep everything. Rows with a null id are left as they are and no earlier place for others.
-    Ids name documents: rows that repeat an id must repeat its text, count as one document and get the same result.
-    Trigger groups of more than `large` dictionary phrases go by rows instead of in one task; the result is the same.
+    Rows that repeat an id and its text are one document and get the same result. Other texts under one id are documents
+    of their own, which follow one another in the order of their texts' hashes. Trigger groups of more than `large` dictionary phrases go by rows instead of in one task; the result is the same.
     """
     base = id_and_text(docs, id_col, text_col)
-    runs = repeated_runs(base.where("doc_id is not null"), length, segment, large)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches_by_bytes(batches, 2 << 20):
@@ -284,4 +303,4 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 out.append((doc_id, len(own), int(gone.sum()), spans, hashlib.sha256(own[~gone]).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _OUT_TYPE, strict=True)], schema=_OUT_TYPE)
 
-    return _with_runs(base, runs).mapInArrow(run, _OUT)
+    return _with_runs(base, length, segment, large).mapInArrow(run, _OUT)

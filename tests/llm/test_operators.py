@@ -460,6 +460,14 @@ def test_repeated_bytes(spark, docs, texts, empty, segment, large):
         df = spark.createDataFrame(rows, "doc_id long, text string")
         got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in prefix_free.removed_bytes(df, segment=segment, large=large).collect()}
         assert got == removed(rows, 100)
+    # an id with several texts: each is a document, in the order of their hashes; equal rows are one document
+    odd = [(i, t) for i, t in more[:8]] + [(more[3][0], more[9][1]), (more[3][0], more[3][1]), (more[5][0], more[10][1]), (more[5][0], more[10][1]), (None, more[3][1]), (None, None)]
+    df = spark.createDataFrame(odd, "doc_id long, text string")
+    known = sorted((x.doc_id, x.mark, x.text) for x in df.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text").distinct().collect())
+    each = removed([(k, t) for k, (_, _, t) in enumerate(known)], 100)
+    want = [(i, *each[next(k for k, x in enumerate(known) if (x[0], x[2]) == (i, t))]) for i, t in odd if i is not None]
+    want += [(0, len(t.encode()), 0, 0, hashlib.sha256(t.encode()).hexdigest()) for t in (more[3][1], "")]
+    assert sorted((x.doc_id or 0, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in prefix_free.removed_bytes(df, segment=segment, large=large).collect()) == sorted(want)
     if large > 3:
         assert prefix_free.removed_bytes(docs).count() == len(texts) and prefix_free.removed_bytes(empty).count() == 0
 
