@@ -88,23 +88,30 @@ def similarities(pairs: DataFrame, content: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(id, label): each linked id and the least id of its component.
 
-    Labels go to the least of the neighbours' and then to their label's label, until none changes; each round is written
-    to the shared folder, and only whether anything changed comes to the driver. An id that very many link to is dealt
-    over tasks, as neighbour and as label.
+    Labels go to the least of the neighbours' and, from the second round on, to their label's label, until no neighbour
+    has a lesser one. An id is a neighbour of itself, so a round is one join and one aggregate; it is written to the
+    shared folder, and only whether anything changed comes to the driver. An id that very many link to is dealt over
+    tasks, as neighbour and as label.
     """
-    edges = write_table(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = write_table(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("label"), F.count("*").alias("n")), "labels")
+    turned = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")])
+    edges = write_table(links.select(F.explode(turned).alias("e")).select("e.a", "e.b").distinct(), "edges")
+    labels = write_table(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label"), F.count("*").alias("n")), "labels")
+    own, first = F.col("a") == F.col("b"), True
     while True:
-        near = hot_join(edges, labels.select(F.col("id").alias("b"), "label", "n"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        hop = write_table(labels.join(near.hint("merge"), "id").select("id", "n", F.col("label").alias("old"), F.least("label", "near").alias("label")), "hops")
-        far = hop.groupBy("label").agg(F.count("*").alias("m")).join(labels.select(F.col("id").alias("label"), F.col("label").alias("far")).hint("merge"), "label")
-        jump = hot_join(hop, far, "label", "left", "m")
-        new = write_table(jump.select("id", "n", F.least("label", "far").alias("label"), (F.least("label", "far") != F.col("old")).alias("moved")), "labels")
-        release(hop, labels)
-        labels = new
-        if new.where("moved").isEmpty():
+        near = hot_join(edges, labels.select(F.col("id").alias("b"), "label", "n"), "b").groupBy(F.col("a").alias("id"))
+        hop = near.agg(F.max(F.when(own, F.col("n"))).alias("n"), F.min(F.when(own, F.col("label"))).alias("old"), F.min("label").alias("label"))
+        hop = write_table(hop.select("id", "n", "label", (F.col("label") != F.col("old")).alias("moved")), "hops")
+        release(labels)
+        if hop.where("moved").isEmpty():
             release(edges)
-            return labels.select("id", "label")
+            return hop.select("id", "label")
+        if first:
+            labels, first = hop, False
+            continue
+        far = hop.groupBy("label").agg(F.count("*").alias("m")).join(hop.select(F.col("id").alias("label"), F.col("label").alias("far")).hint("merge"), "label")
+        jump = hot_join(hop.select("id", "n", "label"), far, "label", "inner", "m")
+        labels = write_table(jump.select("id", "n", F.least("label", "far").alias("label")), "labels")
+        release(hop)
 
 
 def shared_weights(content: DataFrame) -> DataFrame:

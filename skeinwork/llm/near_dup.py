@@ -79,7 +79,8 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, bands: int = BANDS, r
 
     def of(ids: DataFrame) -> DataFrame:
         # a merge join at every size: a few ids would be broadcast, many would not, and the plan should not depend on it
-        return content(base.join(ids.hint("merge"), base.doc_id == ids.id, "left_semi")).distinct()
+        # and rows repeated under one id go while they lie by id, before their shingles make them larger
+        return content(base.join(ids.hint("merge"), base.doc_id == ids.id, "left_semi").distinct())
 
     labels, contents = classes(reps, of, least, sketches)
     sizes = known.groupBy("rep").agg(F.count("*").alias("n"))
