@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
+from . import exact_dedup, filter_audit, mixing, near_dup, packing, paragraphs, prefix_free, quality, resampling, secrets, token_counts, token_files, winnowing
 from .common import documents, shared_folder
 
 
@@ -56,9 +56,21 @@ def op10_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.summary(docs, paragraphs.repeated_paragraphs(docs))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op4_near_dedup, op5_token_counts, op6_token_files, op7_mixing, op8_packing, op9_prefix_free, op10_paragraphs)}
+    return {f.__name__: f for f in (op1_secrets, op2_exact_dedup, op3_quality, op4_near_dedup, op5_token_counts, op6_token_files, op7_mixing, op8_packing, op9_prefix_free, op10_paragraphs, op11_filter_audit, op12_resampling, op13_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op11_filter_audit": filter_audit.ORACLE, "op12_resampling": resampling.ORACLE, "op13_decontamination": winnowing.ORACLE}
