@@ -1,4 +1,4 @@
-"""Command line: query, count, tags, duplicates, update, delete, maintain, describe, create, run."""
+"""Command line: query, count, tags, duplicates, undecodable, update, delete, maintain, describe, create, tables, drop, run."""
 
 from __future__ import annotations
 
@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Workspace, settings
-from .functions.json import decoded, is_json
-from .metrics import timed
+from .functions.columns import bucket_of
+from .functions.json import decoded, is_json, json_rows
+from .metrics import timed, watched
 from .operators import aggregates, changes, reads
 from .plans.engine import now_ms, unserved
 from .plans.pipeline import LANDING_ENRICHMENT, LANDING_TO_SERVING, pipeline
-from .schema import JSON_COLUMNS, LANDING_INDEXES, RECORD
+from .schema import JSON_COLUMNS, LANDING_INDEXES, RECORD, REQUIRED
 from .sources.files import Folder
-from .sources.store import Table
+from .sources.store import list_tables
 
 
 def parse_time(text: str) -> int:
@@ -46,6 +47,7 @@ def undecodable(df: DataFrame) -> DataFrame:
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="skeinwork")
     p.add_argument("--profile", default="test")
+    p.add_argument("--allow-production", action="store_true")
     sub = p.add_subparsers(dest="command", required=True)
 
     def add(name: str, *extra: tuple) -> None:
@@ -65,7 +67,9 @@ def _parser() -> argparse.ArgumentParser:
     add("undecodable", where)
     add("update", where, (("--set",), {"required": True, "help": "JSON object"}), yes)
     add("delete", where, yes)
-    add("maintain", (("--buckets",), {"default": ""}), (("--keep-versions",), {"type": int, "default": 10}))
+    add("maintain", (("--bucket",), {"action": "append", "default": [], "help": "a number or a job id; all, if none is given"}), (("--no-create-missing",), {"action": "store_true"}), (("--no-compact",), {"action": "store_true"}))
+    add("drop", (("--bucket",), {"type": int}), (("--confirm",), {"required": True, "help": "the table's name once more"}))
+    sub.add_parser("tables")
     run = sub.add_parser("run")
     run.add_argument("--pipeline", action="append")
     run.add_argument("--start-from")
@@ -73,9 +77,10 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--to")
     run.add_argument("--filter")
     run.add_argument("--jobs", nargs="*")
+    run.add_argument("--session", nargs=2, action="append", metavar=("JOB_ID", "SESSION_ID"))
+    run.add_argument("--buckets", type=int, nargs="*", help="an incremental run of these alone")
     run.add_argument("--settle-delay-ms", type=int, default=0)
     run.add_argument("--dry-run", action="store_true")
-    run.add_argument("--allow-production", action="store_true")
     run.add_argument("--report-dir")
     return p
 
@@ -83,9 +88,9 @@ def _parser() -> argparse.ArgumentParser:
 def _run(w: Workspace, a: argparse.Namespace) -> int:
     if w.config.production and not (a.allow_production or a.dry_run):
         raise SystemExit("--allow-production is required to write there")
-    modes = sum(map(bool, (a.since or a.to, a.filter, a.jobs)))
-    if modes > 1 or bool(a.since) != bool(a.to):
-        raise SystemExit("choose one of --from with --to, --filter, --jobs, or none for an incremental run")
+    modes = sum(map(bool, (a.since or a.to, a.filter, a.jobs, a.session)))
+    if modes > 1 or bool(a.since) != bool(a.to) or (modes and (a.buckets or a.start_from or a.settle_delay_ms)):
+        raise SystemExit("choose one of --from with --to, --filter, --jobs, --session, or none of these for an incremental run, which alone takes --buckets, --start-from and --settle-delay-ms")
     engine, bad, dirty, served = w.engine(), 0, None, None
     for name in a.pipeline or [LANDING_ENRICHMENT.name, LANDING_TO_SERVING.name]:
         p = pipeline(name)
@@ -96,8 +101,10 @@ def _run(w: Workspace, a: argparse.Namespace) -> int:
                 done = engine.run_filter(p, a.filter, a.dry_run)
             elif a.jobs:
                 done = engine.run_jobs(p, a.jobs, a.dry_run)
+            elif a.session:
+                done = engine.run_sessions(p, w.spark.createDataFrame([tuple(s) for s in a.session], "job_id string, session_id string"), a.dry_run)
             else:
-                done = engine.run_incremental(p, a.settle_delay_ms, parse_time(a.start_from) if a.start_from else None, a.dry_run)
+                done = engine.run_incremental(p, a.settle_delay_ms, parse_time(a.start_from) if a.start_from else None, a.dry_run, buckets=a.buckets or None)
                 if p.mode == "landing":
                     dirty = done.keys
                 else:
@@ -115,25 +122,30 @@ def _run(w: Workspace, a: argparse.Namespace) -> int:
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = _parser().parse_args(args)
-    spark = spark or SparkSession.builder.appName("skeinwork").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = spark or SparkSession.builder.appName("skeinwork").config("spark.sql.session.timeZone", "UTC").enableHiveSupport().getOrCreate()
     w = Workspace(spark, settings(a.profile))
     if a.command == "run":
         return _run(w, a)
-    name = a.table or w.config.landing
     if a.command == "create":
-        Table.create(spark, w.config.path(name), RECORD, indexes=LANDING_INDEXES)
+        print(json.dumps(w.initialize(*([a.table] if a.table else []))))
+        return 0
+    if a.command == "tables":
+        print("\n".join(list_tables(spark, w.config.database)))
         return 0
+    name = a.table or w.config.landing
+    if w.config.production and (a.command == "drop" or getattr(a, "yes", False)) and not a.allow_production:
+        raise SystemExit("--allow-production is required to write there")
     table = w.table(name)
     if a.command == "describe":
         print(json.dumps(table.describe()))
     elif a.command == "query":
-        rows = reads.read(table.read(), a.where, [c.strip() for c in a.columns.split(",") if c.strip()] or None, a.order_by, limit=a.limit)
-        lines = expanded(rows).select(F.to_json(F.struct("*")).alias("value"))
-        if a.output:
-            lines.write.text(a.output)
-        else:
-            for r in lines.toLocalIterator():
-                print(r.value)
+        rows = reads.read(table.read(where=a.where), None, [c.strip() for c in a.columns.split(",") if c.strip()] or None, a.order_by, limit=a.limit)
+        with timed("query", w.config.metrics) as seen:
+            if a.output:
+                json_rows(watched(rows, seen), JSON_COLUMNS).write.text(a.output)
+            else:
+                for r in expanded(rows).select(F.to_json(F.struct("*")).alias("value")).toLocalIterator():
+                    print(r.value)
     elif a.command == "count":
         print(table.count(a.where or None))
     elif a.command == "tags":
@@ -142,24 +154,33 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         aggregates.duplicate_summary(table.read()).show()
         aggregates.duplicates(table.read()).orderBy(F.desc("n"), "id").limit(a.top).show(a.top, False)
     elif a.command == "undecodable":
-        undecodable(reads.read(table.read(), a.where)).show()
+        undecodable(table.read(where=a.where)).show()
     elif a.command == "update":
         values = {k: json.dumps(v, separators=(",", ":")) if isinstance(v, (dict, list)) and k in JSON_COLUMNS else v for k, v in json.loads(a.set).items()}
-        changes.check_updates(values, RECORD.fieldNames())
-        todo = changes.needs_update(table.read().where(a.where), values).count()
+        changes.check_updates(values, RECORD.fieldNames(), REQUIRED)
+        todo = changes.needs_update(table.read(where=a.where), values).count()
         print(json.dumps({"would_change": todo}))
         if a.yes and todo:
             table.update(a.where, values, now_ms())
-            left = changes.needs_update(table.read().where(a.where), values).count()
+            left = changes.needs_update(table.read(where=a.where), values).count()
             print(json.dumps({"left": left}))
             return 1 if left else 0
     elif a.command == "delete":
-        table.read().where(a.where).select("id", "job_id").limit(5).show(5, False)
+        table.read(where=a.where).select("id", "job_id").limit(5).show(5, False)
         print(json.dumps({"rows": table.delete(a.where) if a.yes else table.count(a.where)}))
     elif a.command == "maintain":
-        done = table.compact([int(b) for b in a.buckets.split(",") if b] or None)
-        print(json.dumps(done | {"directories_deleted": table.clean(a.keep_versions), "missing_indexes": table.missing_indexes(LANDING_INDEXES)}))
-        return 1 if done["errors"] else 0
+        if not any(name == t for t in (w.config.landing, w.config.serving)):
+            raise SystemExit(f"maintained are {w.config.landing} and {w.config.serving}")
+        missing = table.missing_indexes(LANDING_INDEXES)
+        for c in [] if a.no_create_missing else missing:
+            table.set_index(c, LANDING_INDEXES[c])
+        done = {} if a.no_compact else table.compact([int(b) if b.isdecimal() else bucket_of(b, table.buckets) for b in a.bucket] or None)
+        print(json.dumps(done | {"created": [] if a.no_create_missing else missing, "missing": table.missing_indexes(LANDING_INDEXES)}))
+        return 1 if done.get("errors") else 0
+    elif a.command == "drop":
+        if a.confirm != name:
+            raise SystemExit("--confirm takes the table's name")
+        table.drop() if a.bucket is None else table.drop_bucket(a.bucket)
     return 0
 
 

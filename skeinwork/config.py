@@ -6,16 +6,19 @@ import os
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from .plans.checkpoints import FileCheckpoints
 from .plans.engine import Engine
 from .sources.envs import EnvConfigs
+from .schema import ENV_CONFIG, LANDING_INDEXES, RECORD
 from .sources.store import Table
 
 
 @dataclass(frozen=True)
 class Settings:
     root: str
+    database: str
     landing: str = "landing"
     serving: str = "serving"
     envs: str = "environments"
@@ -27,7 +30,7 @@ class Settings:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-PROFILES = {"test": Settings("/tmp/skeinwork-tables", "landing_test", "serving_test"), "production": Settings("/data/skeinwork", production=True)}
+PROFILES = {"test": Settings("/data/skeinwork-test", "skeinwork_test", "landing_test", "serving_test"), "production": Settings("/data/skeinwork", "skeinwork", production=True)}
 
 
 def settings(profile: str = "test") -> Settings:
@@ -38,13 +41,35 @@ def settings(profile: str = "test") -> Settings:
 
 
 class Workspace:
-    """The tables of a profile. Closing it leaves the shared session alone."""
+    """The tables of a profile: a database of the session's catalog, kept under root. Closing it leaves the shared session alone."""
 
     def __init__(self, spark: SparkSession, config: Settings) -> None:
         self.spark, self.config = spark, config
 
+    def name(self, table: str) -> str:
+        return f"{self.config.database}.{table}"
+
+    def create(self, table: str, schema: T.StructType, **layout) -> Table:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.config.database} LOCATION '{self.config.root}'")
+        return Table.create(self.spark, self.name(table), schema, **layout)
+
+    def initialize(self, *tables: str) -> list[str]:
+        """Create what is not there yet of the named tables (all, if none is named) and the checkpoint store."""
+        known = {self.config.landing: (RECORD, {"indexes": LANDING_INDEXES}), self.config.serving: (RECORD, {"indexes": LANDING_INDEXES}), self.config.envs: (ENV_CONFIG, {"key": None})}
+        made = [t for t in tables or known if not self.spark.catalog.tableExists(self.name(t))]
+        for t in made:
+            schema, layout = known.get(t, (RECORD, {"indexes": LANDING_INDEXES}))
+            self.create(t, schema, **layout)
+        if self.checkpoints.initialize():
+            made.append(self.config.checkpoints)
+        return made
+
+    @property
+    def checkpoints(self) -> FileCheckpoints:
+        return FileCheckpoints(self.spark, self.config.path(self.config.checkpoints))
+
     def table(self, name: str) -> Table:
-        return Table(self.spark, self.config.path(name))
+        return Table(self.spark, self.name(name))
 
     @property
     def landing(self) -> Table:
@@ -56,10 +81,10 @@ class Workspace:
 
     @property
     def envs(self) -> EnvConfigs:
-        return EnvConfigs(self.spark, self.config.path(self.config.envs))
+        return EnvConfigs(self.spark, self.name(self.config.envs))
 
     def engine(self) -> Engine:
-        return Engine(self.landing, self.serving, FileCheckpoints(self.spark, self.config.path(self.config.checkpoints)), (self.config.landing, self.config.serving))
+        return Engine(self.landing, self.serving, self.checkpoints, (self.config.landing, self.config.serving))
 
     def __enter__(self) -> Workspace:
         return self

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def bucket(key: Column, n: int = BUCKETS) -> Column:
     return F.coalesce(F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(n)), F.lit(0)).cast("long")
 
 
+def bucket_of(key: str, n: int = BUCKETS) -> int:
+    """bucket() of one value, for the driver."""
+    return int(hashlib.md5(key.encode()).hexdigest()[:8], 16) % n
+
+
 #: White space at either end of a text, of any alphabet.
 _ENDS = r"(?U)^\s+|\s+$"
 
@@ -62,7 +69,7 @@ def iso_time(ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def deterministic_id(canonical: Column) -> Column:
+def content_id(canonical: Column) -> Column:
     return F.concat(F.lit("evt_"), F.substring(F.md5(canonical), 1, 16))
 
 

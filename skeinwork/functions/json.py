@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import content_id
+
 
 def is_json(c: Column) -> Column:
     return F.try_parse_json(c).isNotNull()
@@ -43,11 +45,49 @@ def append_json(messages: Column, response: Column) -> Column:
     return F.concat(F.lit("["), both, F.lit("]"))
 
 
+def _loaded(text: str | None):
+    """The value of a JSON text; the text itself where it is none."""
+    try:
+        return None if text is None else json.loads(text)
+    except ValueError:
+        return text
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _links(payloads: pd.Series) -> pd.Series:
+    def visit(value, found: dict) -> None:
+        if isinstance(value, dict):
+            for key, inner in value.items():
+                if key in ("image_url", "input_audio") and isinstance(inner, dict) and isinstance(url := inner.get("url"), str) and url.startswith("s3://"):
+                    found[url] = None
+                visit(inner, found)
+        elif isinstance(value, list):
+            for inner in value:
+                visit(inner, found)
+
+    def one(texts) -> list[str]:
+        found: dict = {}
+        for t in texts:
+            if t and ('"url"' in t or "\\u" in t):  # no other text has a key of that name
+                visit(_loaded(t), found)
+        return list(found)
+
+    return payloads.map(one)
+
+
 def blob_links(*columns: Column) -> Column:
-    """Distinct s3:// links under image_url or input_audio keys, in order of first sight; a link may be the value or its url."""
-    # Fixed pattern: key, then a string or an object with a url.
-    pattern = r'"(?:image_url|input_audio)"\s*:\s*(?:\{[^{}]*?"url"\s*:\s*)?"(s3://[^"]*)"'
-    return F.array_distinct(F.flatten(F.array(*[F.coalesce(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.array().cast("array<string>")) for c in columns])))
+    """Distinct s3:// links, in order of first sight: the url of an object under image_url or input_audio, at any depth.
+
+    A link that stands there as plain text is not taken, and malformed JSON has none. How deep a payload goes is known
+    only once it is read, so this is an Arrow function.
+    """
+    return _links(F.array(*columns))
+
+
+@F.pandas_udf(T.StringType())
+def canonical_json(texts: pd.Series) -> pd.Series:
+    """JSON text with the keys of all objects in order, spelled one way; malformed text becomes a JSON string."""
+    return texts.map(lambda t: None if t is None else json.dumps(_loaded(t), sort_keys=True, ensure_ascii=False))
 
 
 def status_not_200(meta: Column) -> Column:
@@ -83,6 +123,28 @@ def with_member(c: Column, key: str, value: Column) -> Column:
     return F.when(json_kind(c) == "OBJECT", added).otherwise(F.concat(F.lit('{"value":'), F.when(c.isNull(), F.lit("null")).otherwise(quoted), F.lit(","), member, F.lit("}")))
 
 
+def deterministic_id(df: DataFrame, json_columns: tuple[str, ...] = ()) -> Column:
+    """The id that a record's content gives: that of its messages; of a record without any, that of all its fields but
+    created_at and meta_json. Nulls count as not there. The order of keys, and blanks between them, make no difference.
+    """
+    rest = [c for c in df.columns if c not in ("messages", "created_at", "meta_json")]
+    whole = F.to_json(F.struct(*[(decoded(F.col(c)) if c in json_columns else F.col(c)).alias(c) for c in rest])) if rest else F.lit("{}")
+    return content_id(canonical_json(F.coalesce(F.col("messages"), whole) if "messages" in df.columns else whole))
+
+
+def _grown(x):
+    if isinstance(x, str) and x.lstrip()[:1] in ("{", "["):
+        inner = _loaded(x)
+        return x if inner is x else _grown(inner)
+    if isinstance(x, dict):
+        return {k: _grown(v) for k, v in x.items()}
+    return [_grown(v) for v in x] if isinstance(x, list) else x
+
+
+def _compact(x) -> str:
+    return json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+
+
 @F.pandas_udf(T.StringType())
 def expanded_json(texts: pd.Series) -> pd.Series:
     """JSON text with strings that are themselves JSON objects or arrays expanded, however deep; malformed text as it is.
@@ -90,22 +152,40 @@ def expanded_json(texts: pd.Series) -> pd.Series:
     Recursion is beyond column functions, so this is an Arrow function; it is for output, not for filters.
     """
 
-    def grow(x):
-        if isinstance(x, str) and x.lstrip()[:1] in ("{", "["):
-            try:
-                return grow(json.loads(x))
-            except ValueError:
-                return x
-        if isinstance(x, dict):
-            return {k: grow(v) for k, v in x.items()}
-        return [grow(v) for v in x] if isinstance(x, list) else x
-
-    def one(t):
-        if t is None:
-            return None
-        try:
-            return json.dumps(grow(json.loads(t)), ensure_ascii=False, separators=(",", ":"))
-        except ValueError:
-            return t
+    def one(t: str | None) -> str | None:
+        x = _loaded(t)
+        return t if x is t else _compact(_grown(x))
 
     return texts.map(one)
+
+
+def _plain(c: Column, kind: T.DataType) -> Column:
+    """A value as JSON can hold it: NaN is null, bytes are named base64; nested ones too."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(c), c)
+    if isinstance(kind, T.BinaryType):
+        return F.when(c.isNotNull(), F.struct(F.lit("base64").alias("encoding"), F.base64(c).alias("data")))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _plain(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_plain(c[f.name], f.dataType).alias(f.name) for f in kind]))
+    return c
+
+
+def json_rows(df: DataFrame, json_columns: tuple[str, ...]) -> DataFrame:
+    """(value): each row as a JSON object with its nulls; JSON columns as what they hold, expanded however deep.
+
+    NaN is null, bytes are {"encoding": "base64", "data": ...}, times are ISO. Malformed JSON stays a string.
+    """
+    own = [c for c in df.columns if c in json_columns]
+
+    @F.pandas_udf(T.StringType())
+    def grow(rows: pd.Series) -> pd.Series:
+        def one(t: str) -> str:
+            row = json.loads(t)
+            return _compact(row | {c: _grown(row[c]) for c in own})
+
+        return rows.map(one)
+
+    text = F.to_json(F.struct(*[_plain(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema]), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
+    return df.select((grow(text) if own else text).alias("value"))

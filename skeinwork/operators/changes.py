@@ -23,13 +23,16 @@ def check_upsert(source: DataFrame) -> None:
         raise ValueError("an id occurs twice in the batch, or is null")
 
 
-def check_updates(updates: dict, columns: list[str]) -> None:
+def check_updates(updates: dict, columns: list[str], required: list[str] | tuple[str, ...] = ()) -> None:
+    """Refuses what can be known before a row is read: nothing to set, protected or unknown columns, null for a required one."""
     if not updates:
         raise ValueError("no updates")
     if held := sorted(set(updates) & set(PROTECTED)):
         raise ValueError(f"protected: {', '.join(held)}")
     if unknown := sorted(set(updates) - set(columns)):
         raise ValueError(f"unknown: {', '.join(unknown)}")
+    if nulls := sorted(c for c in updates if updates[c] is None and c in required):
+        raise ValueError(f"required: {', '.join(nulls)}")
 
 
 def updated(df: DataFrame, where: Column, updates: dict, touched_ms: int | None = None) -> DataFrame:
@@ -84,7 +87,8 @@ def ingest_defaults(df: DataFrame, now_ms: int) -> DataFrame:
 
     have = set(df.columns)
     get = lambda c, t: F.col(c) if c in have else F.lit(None).cast(t)
-    links = blob_links(*[F.col(c) for c in ("messages", "response", "chosen_trace", "rejected_trace") if c in have]) if have & {"messages", "response", "chosen_trace", "rejected_trace"} else F.array().cast("array<string>")
+    payloads = [F.col(c) for c in ("messages", "response", "chosen_trace", "rejected_trace") if c in have]
+    links = blob_links(*payloads) if payloads else F.array().cast("array<string>")
     old = get("blob_manifest", "array<string>")
     return df.withColumns(
         {

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import bucket, contains_any, has_tags
+from ..functions.json import decoded
 from ..schema import BUCKETS, JSON_COLUMNS
+from ..sources.files import Kept
 
 
 def _where(df: DataFrame, where: str | Column | None) -> DataFrame:
@@ -139,19 +141,60 @@ def check_exportable(df: DataFrame) -> None:
         raise RuntimeError("null id" if nulls else f"id {twice[0]['id']} is not unique")
 
 
-def export_batches(df: DataFrame, batch_size: int = 10_000, columns: list[str] | None = None) -> Iterator[DataFrame]:
-    """Each batch as a DataFrame with its rows in id order; the manifest is made once and kept while batches are given out."""
+def in_id_ranges(df: DataFrame, parts: int) -> DataFrame:
+    """df with `part`: ranges of (bucket, id), each sorted. A bucket of many rows is many ranges."""
+    return df.repartitionByRange(parts, "bucket", "id").sortWithinPartitions("bucket", "id").withColumn("part", F.spark_partition_id())
+
+
+def export_bounds(ranged: DataFrame, batch_size: int) -> DataFrame:
+    """(bucket, batch, n, first_id, last_id, first_part, last_part) of the batches of a table that in_id_ranges made and
+    that was written since: batches in id order that never cross a bucket.
+
+    A row's rank is its rank in its range and what the bucket's earlier ranges hold, so no task sees a whole bucket.
+    """
+    if batch_size < 1:
+        raise ValueError("batch_size must be positive")
+    keys = ranged.select("bucket", "part", "id")
+    counts = keys.groupBy("bucket", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("bucket", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("id")) - 1
+    numbered = keys.join(before, ["bucket", "part"]).withColumn("batch", F.floor((F.col("before") + rank) / batch_size).cast("int"))
+    return numbered.groupBy("bucket", "batch").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min("part").alias("first_part"), F.max("part").alias("last_part"))
+
+
+def export_batches(df: DataFrame, batch_size: int = 10_000, columns: list[str] | None = None, parse_json: bool = False) -> Iterator[DataFrame]:
+    """Each batch as a DataFrame with its rows in id order; `export` on it says which it is and how many rows all have.
+
+    The rows are read once, to a copy that stays as it is until the iterator ends. Null or repeated ids are refused before
+    anything is given out. The copy is laid out by ranges of (bucket, id), so that a batch is a range of ids in one or
+    few files, and its rows are counted before it is given out. JSON columns come as Variant if asked for.
+    """
+    if isinstance(batch_size, bool) or not isinstance(batch_size, int) or batch_size < 1:
+        raise ValueError("batch_size must be a positive integer")
     if columns is not None and not columns:
         raise ValueError("columns is empty")
-    check_exportable(df)
-    manifest = export_manifest(df, batch_size).persist()
+    held = []
     try:
-        for row in manifest.select("bucket", "batch").distinct().orderBy("bucket", "batch").toLocalIterator():
-            ids = manifest.where((F.col("bucket") == row["bucket"]) & (F.col("batch") == row["batch"])).select("bucket", "id")
-            got = df.join(ids, ["bucket", "id"], "left_semi").orderBy("id")
-            yield got.select(*columns) if columns else got
+        copy = Kept(df.select(*dict.fromkeys(["bucket", "id", *(columns or df.columns)])), "export-copy")
+        held.append(copy)
+        check_exportable(copy.rows)
+        total, parts = copy.rows.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = Kept(in_id_ranges(copy.rows, parts), "export-ranges")
+        held.append(ranged)
+        bounds = Kept(export_bounds(ranged.rows, batch_size).orderBy("bucket", "batch"), "export-bounds")
+        held.append(bounds)
+        for b in bounds.rows.orderBy("bucket", "batch").toLocalIterator():
+            inside = F.col("part").between(b["first_part"], b["last_part"]) & (F.col("bucket") == b["bucket"]) & F.col("id").between(b["first_id"], b["last_id"])
+            got = ranged.rows.where(inside)
+            if (n := got.count()) != b["n"]:
+                raise RuntimeError(f"bucket {b['bucket']}, batch {b['batch']}: {n} of {b['n']} rows")
+            out = got.orderBy("id").select(*[decoded(F.col(c)).alias(c) if parse_json and c in JSON_COLUMNS else F.col(c) for c in columns or df.columns])
+            out.export = {"bucket": b["bucket"], "batch": b["batch"], "rows": n, "manifest_rows": total}
+            yield out
     finally:
-        manifest.unpersist()
+        for h in held:
+            h.release()
 
 
 def export_differences(manifest: DataFrame, returned: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.json import with_member
 from ..operators.aggregates import counts_by
+from ..operators.changes import table_differences
 from ..sources.store import Table
 
 
@@ -39,12 +40,26 @@ def smoke_test(source: DataFrame, target: Table, n: int = 10) -> dict:
 
 def ready_to_rebuild(table: Table, archive: DataFrame, schema: T.StructType, buckets: int) -> list[str]:
     """Why a table may not be dropped and made anew after it was archived; empty if it may."""
-    state, why = table.state(), []
-    if table.schema(state) != schema:
+    why, own = [], table.schema()
+    if own != schema:
         why.append("schema differs")
-    if state["buckets"] != buckets:
-        why.append(f"{state['buckets']} buckets, not {buckets}")
+    if table.buckets != buckets:
+        why.append(f"{table.buckets} buckets, not {buckets}")
+    held = {f.name: f.dataType for f in archive.schema}
+    if odd := sorted(f.name for f in own if held.get(f.name) != f.dataType):
+        why.append(f"the archive lacks {', '.join(odd)}")
     have, kept = table.count(), archive.count()
     if have != kept:
         why.append(f"{have} rows, {kept} in the archive")
+    elif not odd and not table_differences(table.read(), archive, [c for c in own.fieldNames() if c != "id"]).isEmpty():
+        why.append("rows differ")
     return why
+
+
+def rebuilt(table: Table, archive: DataFrame, schema: T.StructType, buckets: int) -> Table:
+    """The table emptied and made anew, if the archive holds all of it; refused on any difference, and then left as it is."""
+    if why := ready_to_rebuild(table, archive, schema, buckets):
+        raise RuntimeError("; ".join(why))
+    empty = table.like(f"{table.name}__empty")
+    table.drop()
+    return empty.rename(table.name)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import bucket, is_blank
 from ..operators.aggregates import run_summary
 from ..operators.sessions import SESSION, dirty_sessions, discovery_failures, in_window, whole_sessions
+from ..sources.files import Kept
 from ..sources.store import Table
 from .checkpoints import Checkpoint, MemoryCheckpoints
 from .pipeline import Pipeline, Processed
@@ -61,20 +62,18 @@ class Engine:
         """All sessions with a row that matches, each once."""
         if not where.strip():
             raise ValueError("a filter is required")
-        return self._run(p, self.landing.read().where(F.expr(where)), dry_run)
+        return self._run(p, self.landing.read(where=where), dry_run)
 
     def run_jobs(self, p: Pipeline, jobs: list[str], dry_run: bool = False) -> Run:
         names = sorted({j.strip() for j in jobs})
         if not names or not names[0]:
             raise ValueError("blank job")
-        n = self.landing.state()["buckets"]
-        jobs = self.landing.spark.createDataFrame([(j,) for j in names], "job_id string")
-        own = [r[0] for r in jobs.select(bucket(F.col("job_id"), n)).distinct().collect()]
-        return self._run(p, self.landing.read(own, latest=False).where(F.col("job_id").isin(names)), dry_run, buckets=own)
+        return self._run(p, self.landing.read(where=F.col("job_id").isin(names)), dry_run)
 
     def run_sessions(self, p: Pipeline, keys: DataFrame, dry_run: bool = False) -> Run:
         """keys: (job_id, session_id), as from another run's dirty sessions."""
-        return self._run(p, self.landing.read().join(keys.select(*SESSION).distinct(), list(SESSION), "left_semi"), dry_run)
+        keys = keys.select(*SESSION).distinct()
+        return self._run(p, self.landing.read(self.landing.buckets_of(keys)).join(keys, list(SESSION), "left_semi"), dry_run)
 
     def run_incremental(self, p: Pipeline, settle_delay_ms: int = 0, start_from: int | None = None, dry_run: bool = False, started_ms: int | None = None, buckets: list[int] | None = None) -> Run:
         """All sessions with a change after each bucket's committed time, up to the start of the run less the settle delay.
@@ -82,7 +81,7 @@ class Engine:
         The windows (committed, cutoff] of all buckets are one DataFrame joined to the changes on bucket, so buckets run
         side by side. Buckets fail alone: those of failed sessions keep their
         windows, all others are committed. A window left active by a failed run is taken again as it was; then a second pass catches up to
-        the cutoff. A row that arrives later than the delay allows, with an older time, is missed, as documented; a range
+        the cutoff, in all buckets but those that failed in the first. A row that arrives later than the delay allows, with an older time, is missed, as documented; a range
         run finds it. start_from (inclusive) is where a bucket without a checkpoint begins.
         """
         if settle_delay_ms < 0:
@@ -95,13 +94,13 @@ class Engine:
         for _ in range(2):
             windows = []
             for b in self.landing.partitions():
-                if buckets is not None and b not in buckets:
+                if (buckets is not None and b not in buckets) or b in total.failed_buckets:
                     continue
                 c = known.get(b)
                 if c is None:
                     if start_from is None:
                         raise ValueError(f"bucket {b} has no checkpoint; give start_from")
-                    c = Checkpoint(p.name, p.version, *self.names, b, start_from - 1)
+                    c = Checkpoint(pipeline_name=p.name, pipeline_version=p.version, source_table=self.names[0], target_table=self.names[1], bucket=b, committed_until_ms=start_from - 1)
                 resumed = c.active_window_end_ms is not None and c.active_window_start_ms is not None
                 start, end = (c.active_window_start_ms, c.active_window_end_ms) if resumed else (c.committed_until_ms, cutoff)
                 if end > start:
@@ -119,26 +118,27 @@ class Engine:
                     self.checkpoints.save([c.failed(started) for c in windows])
                 raise
             one.windows = {c.bucket: (c.active_window_start_ms, c.active_window_end_ms) for c in windows}
+            keys = one.keys if total.keys is None else total.keys.union(one.keys).distinct()
             total = one if total.sessions == 0 and not total.windows else total.merge(one)
-            total.keys = one.keys
+            total.keys = keys
             done = [c.failed(started) if c.bucket in one.failed_buckets else c.committed(started) for c in windows]
             if dry_run:
                 return total
             self.checkpoints.save(done)
             known |= {c.bucket: c for c in done}
-            if one.failures:
-                return total
         return total
 
     # how
 
     def _run(self, p: Pipeline, changes: DataFrame, dry_run: bool, run_id: str | None = None, buckets: list[int] | None = None) -> Run:
-        """buckets: those that hold the changes, if it is known; a session is in one bucket, so no other is read."""
+        """buckets: those that hold the changes, where it is known; else the keys say. A session is in one bucket, so no other is read."""
         rows_held = None
-        changes = changes.select("id", *SESSION)
-        keys = dirty_sessions(changes).persist()
+        kept = Kept(changes.select("id", *SESSION), "changed-rows")  # the run's own writes change what the table says
+        changes = kept.rows
+        keys = dirty_sessions(changes)
         try:
-            rows = whole_sessions(self.landing.read(buckets, latest=False), keys).drop("bucket")
+            own = self.landing.buckets_of(keys) if buckets is None else buckets
+            rows = whole_sessions(self.landing.read(own, latest=False), keys).drop("bucket")
             done = p.process(rows)
             rows_held = done.rows.persist()
             done = Processed(rows_held, done.failures, done.outputs)
@@ -146,14 +146,13 @@ class Engine:
             lost = discovery_failures(changes)
             failures = done.failures.count() + lost.count()
             errors = sorted({*s["errors"], *(r["error"] for r in lost.select("error").distinct().collect())})
-            n = self.landing.state(latest=False)["buckets"]
+            n = self.landing.buckets
             failing = done.failures.select("job_id").union(changes.where(is_blank(F.col("job_id")) | is_blank(F.col("session_id"))).select("job_id"))
             failed = sorted(r[0] for r in failing.select(bucket(F.col("job_id"), n)).distinct().collect()) if failures else []
             if not dry_run:
                 self._sink(p, done)
             return Run(p.name, run_id or uuid.uuid4().hex, s["sessions"], s["rows_read"], s["rows_written"], failures, errors, failed_buckets=failed, keys=keys)
         finally:
-            keys.unpersist()
             if rows_held is not None:
                 rows_held.unpersist()
 
@@ -162,9 +161,7 @@ class Engine:
         if p.mode == "serving":
             if self.serving is None:
                 raise ValueError("a serving table is required")
-            records = done.records()
-            if not records.isEmpty():
-                self.serving.upsert(records, stamp)
+            self.serving.upsert(done.records(), stamp, everywhere=False)  # a record keeps its job
         else:
             self.landing.patch(done.changes().drop("changed"), done.outputs, stamp)
 

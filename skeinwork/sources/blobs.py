@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import mimetypes
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,14 @@ def write_blob(spark: SparkSession, path: str, content: bytes) -> str:
     return content_type(path)
 
 
+def upload_file(spark: SparkSession, local: str, path: str, overwrite: bool = True) -> str:
+    """Put a file of the driver's disk into the store, streamed by the file system's own client."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    at = fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(False, overwrite, fs.Path(f"file://{os.path.abspath(local)}"), at)
+    return content_type(path)
+
+
 def blob_exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

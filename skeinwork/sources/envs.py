@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, reads
 from ..schema import ENV_CONFIG
-from .store import Table
+from .files import Folder
+from .store import Exists, Table
 
 
 class EnvConfigs:
-    def __init__(self, spark: SparkSession, path: str, create: bool = False) -> None:
+    def __init__(self, spark: SparkSession, name: str, create: bool = False, path: str | None = None) -> None:
         self.spark = spark
-        self.table = Table.create(spark, path, ENV_CONFIG, key=None) if create else Table(spark, path)
+        self.table = Table.create(spark, name, ENV_CONFIG, path, key=None) if create else Table(spark, name)
 
     def read(self) -> DataFrame:
         return self.table.read().drop("bucket")
@@ -32,14 +33,15 @@ class EnvConfigs:
             rows.append(dict(c))
         if not rows:
             return []
-        base = self.table.state()["version"]  # ids follow from the version that the rows are added to
-        first = aggregates.next_id(self.table.read(version=base)).first()[0]
+        first = aggregates.next_id(self.table.read()).first()[0]
+        if not Folder(self.spark, self.table.location).create(f"_claims/{first}", str(len(rows))):
+            raise Exists(f"another writer has id {first}")  # Spark doesn't read names that begin with _
         now = int(time.time())
         for k, c in enumerate(rows):
             params = c.get("env_params")
             c |= {"id": first + k, "env_id": c.get("env_id") or f"env-{first + k}", "job_id": c.get("job_id") or "", "finished": bool(c.get("finished")), "env_params": "{}" if params is None else params if isinstance(params, str) else json.dumps(params), "created_at": c.get("created_at") or now}
         df = self.spark.createDataFrame([tuple(c.get(f) for f in ENV_CONFIG.fieldNames()) for c in rows], ENV_CONFIG)
-        self.table.append(df, base=base)
+        self.table.append(df)
         return [c["id"] for c in rows]
 
     def page(self, limit: int | None = None, offset: int = 0, where: str | None = None) -> DataFrame:
@@ -47,7 +49,7 @@ class EnvConfigs:
 
     def update(self, env_id: str, values: dict) -> bool:
         values = {k: json.dumps(v) if k == "env_params" and not isinstance(v, str) else v for k, v in values.items()}
-        return self.table.update(F.col("env_id") == F.lit(env_id), values)["updated"] > 0
+        return self.table.update(F.col("env_id") == F.lit(env_id), values) > 0
 
     def delete(self, env_id: str) -> bool:
         return self.table.delete(F.col("env_id") == F.lit(env_id)) > 0

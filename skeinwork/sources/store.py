@@ -1,28 +1,34 @@
-"""Record tables as versioned Parquet: hash buckets as directories, one manifest for each version.
+"""Record tables of Spark's catalog: Parquet, partitioned by a hash bucket of the job, changed by dynamic partition overwrite.
 
-A version is the file _versions/N.json: which directories hold which bucket. A writer adds directories, then creates the
-next version's file; creating it fails if another writer was first, and nothing is ever overwritten, so readers keep
-the version they resolved (a snapshot over all buckets) and a failed or repeated task leaves no trace in it. Changes
-rewrite only the buckets they touch.
+A table is created by CREATE TABLE, read by its name and pruned by its partitions; which column decides a row's bucket,
+how many buckets there are and which columns are required are table properties. Changes rewrite only the buckets they
+touch: Spark writes their new files aside and moves them in when all tasks are done. A plain catalog table has no
+snapshots: a reader that began before a change may have to begin again, and a writer should be alone on a bucket.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import bucket, is_blank, matches
+from ..functions.columns import bucket, bucket_of, is_blank, matches
 from ..operators import changes
 from ..schema import BUCKETS
 from .files import Folder
+from .pruning import pinned_buckets
 
+_REFUSED = "refused: "
+_OWN = "skeinwork."
 
-class Conflict(RuntimeError):
-    """Another writer made the version that this one was about to make."""
+
+class Exists(RuntimeError):
+    """A table of this name, or a claim on these ids, is there already."""
 
 
 def _predicate(where: str | Column) -> Column:
@@ -33,253 +39,308 @@ def _predicate(where: str | Column) -> Column:
     return F.expr(where)
 
 
+def _pairs(values: dict[str, str]) -> str:
+    return ", ".join("'{}'='{}'".format(k, str(v).replace("\\", "\\\\").replace("'", "\\'")) for k, v in values.items())
+
+
+def _bloom(column: str) -> dict[str, str]:
+    return {f"parquet.bloom.filter.enabled#{column}": "true"}
+
+
+def _observed(seen: Observation) -> int:
+    """What an observation counted. Where the optimiser knew that there were no rows, it took the observation away with them."""
+    return seen.get["n"] if seen._jo.get().size() else 0
+
+
 class Table:
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.folder = spark, Folder(spark, path)
-        self._held: dict | None = None
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.name = spark, name
+        if not spark.catalog.tableExists(name):
+            raise FileNotFoundError(f"no table {name}")
 
-    # versions
+    # catalog
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, schema: T.StructType, key: str | None = "job_id", buckets: int = BUCKETS, indexes: dict | None = None) -> Table:
-        out = cls(spark, path)
-        first = {"version": 0, "schema": json.loads(schema.json()), "key": key, "buckets": buckets if key else 1, "indexes": indexes or {}, "parts": {}}
-        if not out.folder.create("_versions/0.json", json.dumps(first)):
-            raise Conflict(f"{path} exists")
-        return out
+    def create(cls, spark: SparkSession, name: str, schema: T.StructType, path: str | None = None, key: str | None = "job_id", buckets: int = BUCKETS, indexes: dict | None = None) -> Table:
+        """A new, empty table; at path if it is given, else where the database keeps its tables.
+
+        Columns to look rows up by (BTREE) get bloom filters in every file; the other kinds need nothing beside min and max.
+        """
+        if spark.catalog.tableExists(name):
+            raise Exists(f"{name} exists")
+        indexes = indexes or {}
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        options = {"compression": "zstd", "partitionOverwriteMode": "dynamic"} | {k: v for c, kind in indexes.items() if kind == "BTREE" for k, v in _bloom(c).items()}
+        own = {"key": key or "", "buckets": buckets if key else 1, "required": ",".join(f.name for f in schema if not f.nullable)} | {f"index.{c}": k for c, k in indexes.items()}
+        location = f" LOCATION '{path}'" if path else ""
+        spark.sql(f"CREATE TABLE {name} ({columns}, bucket BIGINT) USING parquet OPTIONS ({_pairs(options)}) PARTITIONED BY (bucket){location} TBLPROPERTIES ({_pairs({_OWN + k: v for k, v in own.items()})})")
+        return cls(spark, name)
+
+    def like(self, name: str) -> Table:
+        """A new, empty table with this one's columns and properties."""
+        return Table.create(self.spark, name, self.schema(), key=self.key, buckets=self.buckets, indexes=self.indexes)
+
+    def properties(self) -> dict[str, str]:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+        return {r["key"].removeprefix(_OWN): r["value"] for r in rows if r["key"].startswith(_OWN)}
+
+    @property
+    def key(self) -> str | None:
+        return self.properties()["key"] or None
+
+    @property
+    def buckets(self) -> int:
+        return int(self.properties()["buckets"])
+
+    @property
+    def indexes(self) -> dict[str, str]:
+        return {k.removeprefix("index."): v for k, v in self.properties().items() if k.startswith("index.")}
+
+    @property
+    def location(self) -> str:
+        return json.loads(self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name} AS JSON").first()[0])["location"]
+
+    def schema(self) -> T.StructType:
+        """The columns without `bucket`; required ones are not nullable."""
+        required = set(self.properties()["required"].split(","))
+        return T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in self.spark.table(self.name).schema if f.name != "bucket"])
+
+    def partitions(self) -> list[int]:
+        return sorted(int(r[0].rpartition("=")[2]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect())
+
+    def add_columns(self, columns: dict[str, str]) -> list[str]:
+        """Nullable columns that are not there yet; rows written before read null."""
+        have = {c.lower() for c in self.spark.table(self.name).columns}
+        new = {c: t for c, t in columns.items() if c.lower() not in have}
+        if new:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({', '.join(f'`{c}` {t}' for c, t in new.items())})")
+        return list(new)
+
+    def set_index(self, column: str, kind: str) -> None:
+        """A layout hint that later writes and compactions follow."""
+        if kind not in ("BTREE", "BITMAP", "LABEL_LIST") or column not in self.schema().fieldNames():
+            raise ValueError(f"{kind} on {column}")
+        if kind == "BTREE":
+            self.spark.sql(f"ALTER TABLE {self.name} SET SERDEPROPERTIES ({_pairs(_bloom(column))})")
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({_pairs({f'{_OWN}index.{column}': kind})})")
+
+    def missing_indexes(self, expected: dict[str, str]) -> list[str]:
+        return sorted(set(expected) - set(self.indexes))
+
+    def drop_bucket(self, b: int) -> None:
+        """Gone from the catalog and, for a table at a path of its own too, from the store."""
+        where = self.location
+        self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (bucket={b})")
+        Folder(self.spark, where).delete(f"bucket={b}")
+
+    def drop(self) -> None:
+        where = self.location
+        self.spark.sql(f"DROP TABLE {self.name}")
+        Folder(self.spark, where).delete("")
+
+    def rename(self, name: str) -> Table:
+        self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {name}")
+        return Table(self.spark, name)
 
-    def versions(self) -> list[int]:
-        return sorted(int(n[:-5]) for n in self.folder.names("_versions") if n.endswith(".json"))
-
-    def state(self, version: int | None = None, latest: bool = True) -> dict:
-        """A version's manifest; with latest=False the one this handle resolved before, if any."""
-        if version is None and not latest and self._held:
-            return self._held
-        known = self.versions()
-        if not known:
-            raise FileNotFoundError(f"{self.folder.path} is no table")
-        self._held = self.folder.read_json(f"_versions/{known[-1] if version is None else version}.json")
-        return self._held
-
-    def _commit(self, state: dict, **new) -> int:
-        nxt = state | new | {"version": state["version"] + 1}
-        if not self.folder.create(f"_versions/{nxt['version']}.json", json.dumps(nxt)):
-            raise Conflict(f"version {nxt['version']} of {self.folder.path} was made meanwhile")
-        self._held = nxt
-        return nxt["version"]
+    def describe(self) -> dict:
+        return {"key": self.key, "buckets": self.buckets, "existing": self.partitions(), "indexes": self.indexes, "schema": self.schema().simpleString()}
 
     # reads
 
-    def schema(self, state: dict | None = None) -> T.StructType:
-        return T.StructType.fromJson((state or self.state())["schema"])
+    def read(self, buckets: list[int] | None = None, where: str | Column | None = None, latest: bool = True) -> DataFrame:
+        """All columns and `bucket`, of given buckets or of those that a filter's job_id pins; no other is listed.
 
-    def read(self, buckets: list[int] | None = None, version: int | None = None, latest: bool = True) -> DataFrame:
-        """All columns and `bucket`. Old files without a later column give nulls there; other buckets' directories are not listed."""
-        state = self.state(version, latest)
-        schema = T.StructType([*self.schema(state).fields, T.StructField("bucket", T.LongType())])
-        paths = [f"{self.folder.path}/{p}" for b, ps in state["parts"].items() if buckets is None or int(b) in buckets for p in ps]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])).parquet(*paths)
+        latest also sees what other sessions wrote; without it Spark may use the listing it has.
+        """
+        if latest:
+            self.spark.catalog.refreshTable(self.name)
+        df = self.spark.table(self.name)
+        if where is not None and not (isinstance(where, str) and not where.strip()):
+            df = df.where(where)
+            key = self.key
+            if buckets is None and key:
+                buckets = pinned_buckets(df, key, self.buckets)
+        return df if buckets is None else df.where(F.col("bucket").isin([int(b) for b in buckets]))
 
     def read_job(self, job_id: str, latest: bool = True) -> DataFrame:
-        n = self.state(latest=latest)["buckets"]
-        b = self.spark.range(1).select(bucket(F.lit(job_id), n)).first()[0]
-        return self.read([b], latest=False).where((F.col("bucket") == b) & (F.col("job_id") == job_id))
+        """One job's rows: its bucket alone is listed, other jobs of the bucket are filtered out."""
+        return self.read([bucket_of(job_id, self.buckets)], latest=latest).where(F.col("job_id") == job_id)
 
-    def partitions(self) -> list[int]:
-        return sorted(int(b) for b, ps in self.state()["parts"].items() if ps)
+    def buckets_of(self, keys: DataFrame) -> list[int]:
+        """The buckets of the jobs in keys; as many as there are buckets at most."""
+        return sorted(r[0] for r in keys.select(bucket(F.col("job_id"), self.buckets)).distinct().collect())
 
     def count(self, where: str | Column | None = None) -> int:
-        df = self.read()
-        return (df if where is None else df.where(where)).count()
+        return self.read(where=where).count()
 
     # writes
 
-    def _fit(self, df: DataFrame, state: dict) -> DataFrame:
-        """Exactly the table's columns and types: lacking ones are null, null in a required one is refused by a check."""
-        have = set(df.columns)
-        fields = self.schema(state).fields
-        out = df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
-        b = bucket(F.col(state["key"]), state["buckets"]) if state["key"] else F.lit(0).cast("long")
-        return out.withColumn("bucket", b)
-
-    def _write(self, df: DataFrame, state: dict, per_bucket: bool = False) -> dict[str, list[str]]:
-        """Write rows by bucket to a new directory; its buckets and their paths. The columns to look rows up by get
-        bloom filters, and files are sorted by id, so that min/max statistics skip row groups too."""
-        name = f"data/{uuid.uuid4().hex}"
-        out = df.withColumn("_b", F.col("bucket"))
-        if per_bucket:
-            out = out.repartition("_b").sortWithinPartitions("_b", "id")
-        writer = out.write.partitionBy("_b").option("compression", "zstd")
-        for c, kind in state["indexes"].items():
-            if kind == "BTREE":
-                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-        writer.parquet(f"{self.folder.path}/{name}")
-        return {n[3:]: [f"{name}/{n}"] for n in self.folder.names(name) if n.startswith("_b=")}
-
-    def append(self, df: DataFrame, now_ms: int | None = None, publish: bool = False, base: int | None = None) -> int | None:
-        """Add rows, to version `base` if it is still the last; None (and no version) for an empty batch. Landing rows never carry a publish time, published ones get now_ms."""
-        state = self.state(base)
+    def _fit(self, df: DataFrame) -> DataFrame:
+        """Exactly the table's columns and types, and the row's bucket. What is lacking is null, NaN in a whole number's
+        place is null, and what a table must not hold ends the write: null in a required column, a blank id."""
+        kinds = {f.name: f.dataType for f in df.schema}
+        columns = []
+        for f in self.schema():
+            c = F.col(f"`{f.name}`") if f.name in kinds else F.lit(None)
+            if isinstance(kinds.get(f.name), T.FractionalType) and not isinstance(kinds[f.name], T.DecimalType) and isinstance(f.dataType, T.IntegralType):
+                c = F.when(~F.isnan(c), c)
+            c = c.cast(f.dataType)
+            if not f.nullable:
+                c = F.coalesce(c, F.raise_error(F.lit(f"{_REFUSED}null in {f.name}")).cast(f.dataType))
+            if f.name == "id" and isinstance(f.dataType, T.StringType):
+                c = F.when(is_blank(c), F.raise_error(F.lit(f"{_REFUSED}blank id")).cast("string")).otherwise(c)
+            columns.append(c.alias(f.name))
+        out = df.select(*columns)
+        key = self.key
+        return out.withColumn("bucket", bucket(F.col(key), self.buckets) if key else F.lit(0).cast("long"))
+
+    def _write(self, fitted: DataFrame, replace: bool) -> int:
+        """Rows written. A bucket's rows meet in as many tasks as their size asks for, and files are sorted by id, so
+        that their min and max let lookups skip them."""
+        seen = Observation()
+        out = fitted.select(*self.spark.table(self.name).columns).observe(seen, F.count(F.lit(1)).alias("n"))
+        out = out.hint("rebalance", "bucket").sortWithinPartitions("bucket", *(["id"] if "id" in out.columns else []))
+        try:
+            out.write.mode("overwrite" if replace else "append").insertInto(self.name)
+        except Exception as e:
+            if said := re.search(_REFUSED + r"([^\n]*?)(?: SQLSTATE|\n|$)", str(e)):
+                raise ValueError(said[1]) from None
+            raise
+        return _observed(seen)
+
+    def append(self, df: DataFrame, now_ms: int | None = None, publish: bool = False) -> int:
+        """Add rows and say how many. Landing rows never carry a publish time, published ones get now_ms."""
         if now_ms is not None:
             df = df.withColumn("serving_updated_at", F.lit(now_ms).cast("long")) if publish else changes.ingest_defaults(df, now_ms)
-        df = self._fit(df, state)
-        required = [f.name for f in self.schema(state).fields if not f.nullable]
-        if required and not df.where(" or ".join(f"`{c}` is null" for c in required)).isEmpty():
-            raise ValueError(f"null in one of {', '.join(required)}")
-        new = self._write(df, state)
-        if not new:
-            return None
-        parts = {b: [*state["parts"].get(b, []), *new.get(b, [])] for b in {*state["parts"], *new}}
-        return self._commit(state, parts=parts)
-
-    def _rewrite(self, state: dict, touched: list[int], df: DataFrame) -> int:
-        new = self._write(df, state, per_bucket=True)
-        parts = {b: ps for b, ps in state["parts"].items() if int(b) not in touched} | new
-        return self._commit(state, parts=parts)
-
-    def upsert(self, source: DataFrame, now_ms: int, everywhere: bool = False) -> int | None:
-        """Replace or add whole rows by id. By default an id is looked for in the bucket of its job; `everywhere` also
-        finds it under another job, at the cost of reading every bucket's ids."""
+        return self._write(self._fit(df), replace=False)
+
+    def upsert(self, source: DataFrame, now_ms: int, everywhere: bool = True) -> int:
+        """Replace or add whole rows by id. An id is looked for in every bucket, by its id column alone; where jobs never
+        change (`everywhere=False`), the buckets of the batch's jobs do."""
         changes.check_upsert(source)
-        state = self.state()
-        fresh = self._fit(source.withColumn("serving_updated_at", F.lit(now_ms).cast("long")), state).persist()
+        fresh = self._fit(source.withColumn("serving_updated_at", F.lit(now_ms).cast("long"))).persist()
         try:
-            touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most as many as buckets
-            if everywhere:
-                moved = self.read(version=state["version"]).select("id", "bucket").join(fresh.select("id"), "id", "left_semi")
-                touched = sorted({*touched, *(r[0] for r in moved.select("bucket").distinct().collect())})
+            touched = {r[0] for r in fresh.select("bucket").distinct().collect()}  # at most as many as buckets
             if not touched:
-                return None
-            old = self.read(touched, state["version"])
-            return self._rewrite(state, touched, changes.upserted(old, fresh))
+                return 0
+            if everywhere:
+                moved = self.read().select("id", "bucket").join(fresh.select("id"), "id", "left_semi")
+                touched |= {r[0] for r in moved.select("bucket").distinct().collect()}
+            old = self.read(sorted(touched))
+            emptied = touched - {r[0] for r in changes.upserted(old.select("id", "bucket"), fresh.select("id", "bucket")).select("bucket").distinct().collect()} if everywhere else set()
+            n = fresh.count()
+            self._write(self._fit(changes.upserted(old, fresh)), replace=True)
+            for b in emptied:
+                self.drop_bucket(b)
+            return n
         finally:
             fresh.unpersist()
 
-    def patch(self, patches: DataFrame, columns: tuple[str, ...], now_ms: int) -> int | None:
+    def patch(self, patches: DataFrame, columns: tuple[str, ...], now_ms: int) -> int:
         """Set `columns` of the rows that patches (id, job_id, columns...) name, and their source_updated_at.
 
         A patch may set null: that a row has one decides, not its values. Only buckets with patches are written again.
         """
-        state = self.state()
-        fresh = patches.select(F.col("id").alias("__id"), bucket(F.col("job_id"), state["buckets"]).alias("__bucket"), *[F.col(c).alias(f"__{c}") for c in columns]).persist()
+        fresh = patches.select(F.col("id").alias("__id"), bucket(F.col("job_id"), self.buckets).alias("__bucket"), *[F.col(c).alias(f"__{c}") for c in columns]).persist()
         try:
             touched = [r[0] for r in fresh.select("__bucket").distinct().collect()]
             if not touched:
-                return None
-            old = self.read(touched, state["version"])
+                return 0
+            old = self.read(touched)
             both = old.join(fresh, F.col("id") == F.col("__id"), "left")
             hit = F.col("__id").isNotNull()
             new = {c: F.when(hit, F.col(f"__{c}")).otherwise(F.col(c)) for c in columns} | {"source_updated_at": F.when(hit, F.lit(now_ms).cast("long")).otherwise(F.col("source_updated_at"))}
-            return self._rewrite(state, touched, both.select(*[new[c].alias(c) if c in new else F.col(c) for c in old.columns]))
+            seen = Observation()
+            out = both.observe(seen, F.count_if(hit).alias("n")).select(*[new[c].alias(c) if c in new else F.col(c) for c in old.columns])
+            self._write(self._fit(out), replace=True)
+            return _observed(seen)
         finally:
             fresh.unpersist()
 
-    def _touched(self, state: dict, where: Column) -> list[int]:
-        return [r[0] for r in self.read(version=state["version"]).where(matches(where)).select("bucket").distinct().collect()]
+    def _matching(self, where: Column) -> dict[int, int]:
+        """Rows that match, by bucket; where the filter pins jobs, only their buckets are looked at."""
+        return {r["bucket"]: r["count"] for r in self.read(where=where).groupBy("bucket").count().collect()}
 
-    def update(self, where: str | Column, values: dict, now_ms: int | None = None) -> dict:
-        """Patch the rows that match; which buckets hold any is found first, and only those are written again."""
-        state, pred = self.state(), _predicate(where)
-        changes.check_updates(values, self.schema(state).fieldNames())
-        touched = self._touched(state, pred)
-        if not touched:
-            return {"updated": 0, "version": state["version"]}
-        old = self.read(touched, state["version"])
-        n = old.where(matches(pred)).count()
-        return {"updated": n, "version": self._rewrite(state, touched, changes.updated(old, pred, values, now_ms))}
+    def update(self, where: str | Column, values: dict, now_ms: int | None = None) -> int:
+        """Patch the rows that match and say how many; which buckets hold any is found first, and only those are written again."""
+        pred = _predicate(where)
+        schema = self.schema()
+        changes.check_updates(values, schema.fieldNames(), [f.name for f in schema if not f.nullable])
+        found = self._matching(pred)
+        if found:
+            self._write(self._fit(changes.updated(self.read(sorted(found)), pred, values, now_ms)), replace=True)
+        return sum(found.values())
 
     def delete(self, where: str | Column) -> int:
         """Rows deleted. A null predicate keeps its row; an error is raised, never swallowed."""
-        state, pred = self.state(), _predicate(where)
-        touched = self._touched(state, pred)
-        if not touched:
-            return 0
-        old = self.read(touched, state["version"])
-        n = old.where(matches(pred)).count()
-        self._rewrite(state, touched, changes.deleted(old, pred))
-        return n
+        pred = _predicate(where)
+        found = self._matching(pred)
+        if found:
+            held = {r["bucket"]: r["count"] for r in self.read(sorted(found)).groupBy("bucket").count().collect()}
+            if left := sorted(b for b in found if held[b] > found[b]):
+                self._write(self._fit(changes.deleted(self.read(left), matches(pred))), replace=True)
+            for b in sorted(set(found) - set(left)):
+                self.drop_bucket(b)
+        return sum(found.values())
 
     # maintenance
 
+    def files(self) -> dict[int, int]:
+        """Files of each bucket."""
+        out: dict[int, int] = {}
+        for f in self.read().inputFiles():
+            b = int(re.search(r"/bucket=(\d+)/", f)[1])
+            out[b] = out.get(b, 0) + 1
+        return out
+
     def compact(self, buckets: list[int] | None = None) -> dict:
-        """One sorted directory for each bucket; a summary with the buckets done and directories saved."""
-        state = self.state()
-        wanted = [b for b in self.partitions() if buckets is None or b in buckets]
-        unknown = sorted(set(buckets or []) - set(wanted))
-        before = sum(len(state["parts"][str(b)]) for b in wanted)
+        """Write buckets again, sorted by id and in as few files as their size asks for; a summary with what was done."""
+        before = self.files()
+        wanted = sorted(b for b in before if buckets is None or b in buckets)
         if wanted:
-            self._rewrite(state, wanted, self.read(wanted, state["version"]))
-        return {"buckets": wanted, "directories_before": before, "directories_after": len(wanted), "errors": [f"bucket {b} does not exist" for b in unknown]}
-
-    def clean(self, keep_versions: int = 10) -> int:
-        """Delete versions older than the last keep_versions, and directories that no kept version names."""
-        known = self.versions()
-        kept = known[-keep_versions:]
-        alive = {p.split("/")[1] for v in kept for ps in self.folder.read_json(f"_versions/{v}.json")["parts"].values() for p in ps}
-        for v in known[: -len(kept)]:
-            self.folder.delete(f"_versions/{v}.json")
-        dead = [n for n in self.folder.names("data") if n not in alive]
-        for n in dead:
-            self.folder.delete(f"data/{n}")
-        return len(dead)
+            self._write(self._fit(self.read(wanted)), replace=True)
+        after = self.files()
+        return {"buckets": wanted, "files_before": sum(before[b] for b in wanted), "files_after": sum(after.get(b, 0) for b in wanted), "errors": [f"bucket {b} does not exist" for b in sorted(set(buckets or []) - set(wanted))]}
 
-    def add_columns(self, columns: dict[str, str]) -> list[str]:
-        """Nullable columns that are not there yet; rows written before read null."""
-        state = self.state()
-        have = self.schema(state)
-        new = [c for c in columns if c not in have.fieldNames()]
-        for c in new:
-            have = have.add(c, T._parse_datatype_string(columns[c]), True)
-        if new:
-            self._commit(state, schema=json.loads(have.json()))
-        return new
 
-    def set_index(self, column: str, kind: str) -> None:
-        """A layout hint that later writes and compactions follow."""
-        state = self.state()
-        if kind not in ("BTREE", "BITMAP", "LABEL_LIST") or column not in self.schema(state).fieldNames():
-            raise ValueError(f"{kind} on {column}")
-        self._commit(state, indexes=state["indexes"] | {column: kind})
-
-    def missing_indexes(self, expected: dict[str, str]) -> list[str]:
-        return sorted(set(expected) - set(self.state()["indexes"]))
-
-    def drop_bucket(self, b: int) -> None:
-        state = self.state()
-        self._commit(state, parts={k: v for k, v in state["parts"].items() if int(k) != b})
-
-    def drop(self) -> None:
-        self.folder.delete("")
-
-    def describe(self) -> dict:
-        s = self.state()
-        return {"version": s["version"], "key": s["key"], "buckets": s["buckets"], "existing": self.partitions(), "indexes": s["indexes"], "schema": self.schema(s).simpleString()}
-
-
-def list_tables(spark: SparkSession, root: str) -> list[str]:
-    folder = Folder(spark, root)
-    return [n for n in folder.names() if folder.exists(f"{n}/_versions/0.json")]
+def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
+    """The record tables of a database."""
+    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    return [n for n in names if "buckets" in Table(spark, f"{database}.{n}").properties()]
 
 
 def repartitioned(source: DataFrame, target: Table, drop_blank: bool = True, days: list[str] | None = None) -> dict:
-    """Copy a day-partitioned source into a hash-bucketed table: old type names mapped, blank jobs dropped (or refused), counts verified."""
+    """Lay a day-partitioned source out anew in a hash-bucketed table: old type names mapped, blank jobs dropped (or refused).
+
+    All is written to a table aside first; its schema and its counts by type are compared with the source's, and only
+    then it takes the target's name. What had that name stays as a backup. If anything fails before, the target is as it was.
+    """
     rows = source if days is None else source.where(F.col("dt").isin(days))
-    blank = rows.where(is_blank(F.col("job_id")))
-    n_blank = blank.count()
-    if n_blank and not drop_blank:
-        raise ValueError(f"{n_blank} rows have no job_id")
-    kept = rows.where(~is_blank(F.col("job_id"))).replace("Test", "RL", ["dataset_type"])
-    want, before = kept.count(), target.count()
-    target.append(kept)
-    got = target.count() - before
-    if got != want:
-        raise RuntimeError(f"wrote {got} of {want} rows")
-    return {"rows": got, "dropped": n_blank}
+    kind = F.when(F.col("dataset_type") == "Test", "RL").otherwise(F.col("dataset_type"))
+    blank = is_blank(F.col("job_id"))
+    counts = {r["k"]: (r["kept"], r["dropped"]) for r in rows.groupBy(kind.alias("k")).agg(F.count_if(~blank).alias("kept"), F.count_if(blank).alias("dropped")).collect()}  # a row for each type
+    dropped = sum(d for _, d in counts.values())
+    if dropped and not drop_blank:
+        raise ValueError(f"{dropped} rows have no job_id")
+    aside = target.like(f"{target.name}__staging_{uuid.uuid4().hex[:8]}")
+    try:
+        aside.append(rows.where(~blank).withColumn("dataset_type", kind))
+        got = {r["dataset_type"]: r["count"] for r in aside.read().groupBy("dataset_type").count().collect()}
+        want = {k: n for k, (n, _) in counts.items() if n}
+        if got != want or aside.schema() != target.schema():
+            raise RuntimeError(f"wrote {got}, not {want}")
+    except Exception:
+        aside.drop()
+        raise
+    name, backup = target.name, f"{target.name}__backup_{time.time_ns() // 10**6}"
+    target.rename(backup)
+    aside.rename(name)
+    return {"rows": sum(got.values()), "dropped": dropped, "types": got, "backup": backup}
 
 
 def archive(source: DataFrame, path: str, key: str = "dt") -> list[dict]:
-    """Copy a table partition by partition to Parquet at path: complete partitions are skipped, partial ones refused.
+    """Copy a table partition by partition to Parquet at path: complete partitions are skipped, partial ones refused, and
+    so is a copy of other columns.
 
     One aggregate finds what is missing and one write copies all of it; a second aggregate verifies.
     """
@@ -287,7 +348,12 @@ def archive(source: DataFrame, path: str, key: str = "dt") -> list[dict]:
 
     spark = source.sparkSession
     folder = Folder(spark, path)
-    copy = spark.read.schema(source.schema).parquet(path) if any(n.startswith(f"{key}=") for n in folder.names()) else spark.createDataFrame([], source.schema)
+    there = any(n.startswith(f"{key}=") for n in folder.names())
+    if there:
+        held = {f.name: f.dataType for f in spark.read.parquet(path).schema}
+        if odd := sorted(f.name for f in source.schema if f.name != key and held.get(f.name) != f.dataType) + sorted(set(held) - set(source.columns)):
+            raise RuntimeError(f"the copy's columns differ: {odd}")
+    copy = spark.read.schema(source.schema).parquet(path) if there else spark.createDataFrame([], source.schema)
     state = compare_counts(source, copy, key).collect()  # a row for each partition
     if partial := [r[key] for r in state if r["state"] == "partial"]:
         raise RuntimeError(f"partial: {partial}")

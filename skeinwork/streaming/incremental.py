@@ -2,40 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.sessions import SESSION, dirty_sessions, whole_sessions
 from ..plans.pipeline import Pipeline
 from ..sources.store import Table
 
 
-def new_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-
-
 def publish_available(landing: Table, serving: Table, pipeline: Pipeline, checkpoint: str, clock) -> None:
     """Process all sessions that have rows in files not seen before, and stop (Trigger.AvailableNow).
 
-    A micro-batch gives dirty keys only; whole sessions are read from the table's latest version. Rewritten buckets are
+    A micro-batch gives dirty keys only; whole sessions are read from the buckets of their jobs. Rewritten buckets are
     new files, so their sessions are dirty again, and publishing them again changes nothing but the publish time; a
     batch that is repeated after a failure does the same.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
         keys = dirty_sessions(batch.select(*SESSION))
-        records = pipeline.process(whole_sessions(landing.read(), keys).drop("bucket")).records()
-        if not records.isEmpty():
-            serving.upsert(records, clock())
+        rows = whole_sessions(landing.read(landing.buckets_of(keys)), keys).drop("bucket")
+        serving.upsert(pipeline.process(rows).records(), clock(), everywhere=False)
 
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in landing.schema()])
-    stream = new_rows(landing.spark, f"{landing.folder.path}/data", schema)
+    stream = landing.spark.readStream.table(landing.name)
     stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def buffered_append(stream: DataFrame, table: Table, checkpoint: str, now_ms) -> None:
-    """Append a stream's rows in micro-batches, each one version of the table."""
+    """Append a stream's rows in micro-batches, each one append to the table."""
 
     def handle(batch: DataFrame, _: int) -> None:
         table.append(batch, now_ms())

@@ -1,10 +1,11 @@
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from skeinwork.functions.json import expanded_json, with_member
-from skeinwork.plans.checks import ready_to_rebuild, smoke_test
+from skeinwork.plans.checks import ready_to_rebuild, rebuilt, smoke_test
 from skeinwork.schema import RECORD
 from skeinwork.sources.store import Table
 
@@ -21,11 +22,19 @@ def test_json_members_and_expansion(spark):
 
 def test_round_trip_and_gates(spark, tmp_path):
     source = rows(spark, [{"id": f"r{k}", "job_id": f"j{k % 2}"} for k in range(12)]).withColumn("dt", F.lit("2024-01-01")).withColumn("source_updated_at", F.lit(1).cast("long"))
-    target = Table.create(spark, f"file://{tmp_path}/t", RECORD, buckets=4)
+    target = Table.create(spark, f"t_{uuid.uuid4().hex[:12]}", RECORD, buckets=4)
     assert smoke_test(source, target, 5) == {"job_id": "j0-smoke", "rows": 5}
     with pytest.raises(RuntimeError):
         smoke_test(source, target, 50)
     target.append(source)
     with pytest.raises(RuntimeError):
         smoke_test(source, target, 5)
-    assert ready_to_rebuild(target, source, RECORD, 4) == [] and ready_to_rebuild(target, source.limit(3), RECORD, 8) == ["4 buckets, not 8", "12 rows, 3 in the archive"]
+    whole = spark.createDataFrame(target.read().drop("bucket").collect(), RECORD)
+    assert ready_to_rebuild(target, whole, RECORD, 4) == []
+    assert ready_to_rebuild(target, whole.limit(3), RECORD, 8) == ["4 buckets, not 8", "12 rows, 3 in the archive"]
+    for other in (whole.withColumn("agent_model", F.lit("z")), whole.drop("tags"), whole.limit(3)):
+        with pytest.raises(RuntimeError):
+            rebuilt(target, other, RECORD, 4)
+    assert target.count() == 12
+    again = rebuilt(target, whole, RECORD, 4)
+    assert again.name == target.name and again.count() == 0 and again.append(whole) == 12

@@ -1,20 +1,30 @@
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from skeinwork import cli, metrics
 from skeinwork.schema import RECORD
-from skeinwork.sources.store import Table
+from skeinwork.sources.store import list_tables
 
 from .test_store import rows
 
 
+def landing(spark):
+    return cli.Workspace(spark, cli.settings("test")).landing
+
+
+def serving(spark):
+    return cli.Workspace(spark, cli.settings("test")).serving
+
+
 @pytest.fixture
 def root(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("SKEINWORK_ROOT", f"file://{tmp_path}")
-    assert cli.main(["create"], spark) == 0 and cli.main(["create", "--table", "serving_test"], spark) == 0
-    table = Table(spark, f"file://{tmp_path}/landing_test")
+    monkeypatch.setenv("SKEINWORK_DATABASE", "d" + tmp_path.name.replace("-", "_") + uuid.uuid4().hex[:6])
+    assert cli.main(["create"], spark) == 0
+    table = landing(spark)
     table.append(rows(spark, [{"id": "a0", "session_id": "a", "source_updated_at": 10}, {"id": "a1", "session_id": "a", "step_id": 1, "is_session_completed": True, "messages": '[{"role":"user","content":"q"},1]', "source_updated_at": 10, "tags": ["x", "y"]}, {"id": "b0", "session_id": "b", "messages": "{oops", "source_updated_at": 10}]), 1)
     return tmp_path
 
@@ -24,14 +34,14 @@ def test_reports_and_changes(spark, root, capsys):
     assert capsys.readouterr().out.strip() == "2"
     assert cli.main(["query", "--where", "id = 'b0'", "--columns", "id,messages,tags"], spark) == 0
     assert json.loads(capsys.readouterr().out) == {"id": "b0", "messages": "{oops"}
-    assert cli.undecodable(Table(spark, f"file://{root}/landing_test").read()).first().messages == 1
-    for command in (["tags"], ["duplicates"], ["describe"], ["undecodable"], ["maintain", "--keep-versions", "1"]):
+    assert cli.undecodable(landing(spark).read()).first().messages == 1
+    for command in (["tags"], ["duplicates"], ["describe"], ["undecodable"], ["tables"], ["maintain"], ["maintain", "--bucket", "d#h#m#t#x", "--no-create-missing"]):
         assert cli.main(command, spark) == 0
     capsys.readouterr()
     assert cli.main(["update", "--where", "id = 'b0'", "--set", '{"messages": [1, 2], "is_trainable": null}', "--yes"], spark) == 0
     assert capsys.readouterr().out.split("\n")[:2] == ['{"would_change": 1}', '{"left": 0}']
-    assert cli.main(["delete", "--where", "id = 'b0'"], spark) == 0 and Table(spark, f"file://{root}/landing_test").count() == 3
-    assert cli.main(["delete", "--where", "id = 'b0'", "--yes"], spark) == 0 and Table(spark, f"file://{root}/landing_test").count() == 2
+    assert cli.main(["delete", "--where", "id = 'b0'"], spark) == 0 and landing(spark).count() == 3
+    assert cli.main(["delete", "--where", "id = 'b0'", "--yes"], spark) == 0 and landing(spark).count() == 2
 
 
 def test_run_hands_changed_sessions_on(spark, root, capsys):
@@ -40,7 +50,7 @@ def test_run_hands_changed_sessions_on(spark, root, capsys):
     with pytest.raises(SystemExit):
         cli.main(["--profile", "production", "run"], spark)
     assert cli.main(["run", "--start-from", "0", "--report-dir", f"file://{root}/reports"], spark) == 0
-    served = Table(spark, f"file://{root}/serving_test").read()
+    served = serving(spark).read()
     assert [r.id for r in served.collect()] == ["a1"] and len(list((root / "reports").glob("*.json"))) == 2
     assert served.first().search_text.startswith('[{"role"') and served.schema["tags"].dataType == RECORD["tags"].dataType
 
