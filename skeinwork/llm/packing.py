@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,46 +54,68 @@ class Pool:
 
         The open sequence takes, of the pieces that fit what is left of every limit, the one whose vector of sizes has
         the largest dot product with what is left (all in parts of the limits). If none fits and `cut` tokens or more
-        are left, it takes the beginning of the piece of the largest product, cut to what is left.
+        are left, it takes the beginning of the piece of the largest product, cut to what is left. Pieces of the same
+        sizes are alike, so kinds of sizes are looked at, of which T waiting tokens can make few, and not pieces; of a
+        kind the one that waits longest is taken.
         """
         most = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], float)
-        size, loss = self.end - self.start, self._loss()
+        (size, loss), kind = np.unique(np.stack([self.end - self.start, self._loss()]), axis=1, return_inverse=True)
+        order = np.argsort(kind, kind="stable")
+        waiting = [deque(x.tolist()) for x in np.split(order, np.cumsum(np.bincount(kind, minlength=len(size)))[:-1])] if len(size) else []
+        known = {(a, b): k for k, (a, b) in enumerate(zip(size.tolist(), loss.tolist(), strict=True))}
+        size, loss = size.astype(float), loss.astype(float)
         alive = size > 0
-        total = int(size.sum())
+        total = self.tokens
         while total > leave:
             left, out = most.copy(), []
             while left[1] >= 1 and left[0] >= 1 and total:
                 product = np.where(alive, size * (left[0] / most[0] ** 2) + loss * (left[2] / most[2] ** 2), -1.0)
                 fits = alive & (size <= left[0]) & (loss <= left[2])
                 if fits.any():
-                    i = int(np.argmax(np.where(fits, product, -1.0)))
-                    take = int(size[i])
+                    k = int(np.argmax(np.where(fits, product, -1.0)))
+                    i, take = waiting[k][0], int(size[k])
                 else:
-                    room = left[0]
-                    if room < self.limits.cut and out:
+                    if left[0] < self.limits.cut and out:
                         break
-                    i = int(np.argmax(product))
+                    k = int(np.argmax(product))
+                    i = waiting[k][0]
                     # the longest beginning within both limits: `free` tokens at most come without loss
-                    begin = int(self.start[i])
-                    take = int(min(size[i], room, left[2] + max(0, int(self.free[i]) - begin)))
+                    take = int(min(size[k], left[0], left[2] + max(0, int(self.free[i]) - int(self.start[i]))))
                     if take < 1:
                         break
                 begin = int(self.start[i])
                 out.append((int(self.who[i]), begin, begin + take))
-                used = max(0, begin + take - max(begin, int(self.free[i])))
-                left -= (take, 1, used)
-                self.start[i] += take
-                size[i] -= take
-                loss[i] = max(0, int(self.end[i]) - max(int(self.start[i]), int(self.free[i])))
-                alive[i] = size[i] > 0
+                left -= (take, 1, max(0, begin + take - max(begin, int(self.free[i]))))
                 total -= take
+                waiting[k].popleft()
+                alive[k] = bool(waiting[k])
+                self.start[i] += take
+                if self.start[i] < self.end[i]:
+                    rest = (int(self.end[i] - self.start[i]), int(self._loss(i)))
+                    if rest not in known:
+                        known[rest] = len(waiting)
+                        waiting.append(deque())
+                        size, loss, alive = np.append(size, rest[0]), np.append(loss, rest[1]), np.append(alive, True)
+                    waiting[known[rest]].append(i)
+                    alive[known[rest]] = True
             yield out
+        held = self.end > self.start
         for k in ("who", "start", "end", "free"):
-            setattr(self, k, getattr(self, k)[alive])
+            setattr(self, k, getattr(self, k)[held])
+
+
+def without_padding(sequences: Iterator[list[tuple[int, int, int]]], limits: Limits) -> Iterator[list[tuple[int, int, int]]]:
+    """Sequences that a limit other than tokens has closed, or that are the last, as parts of power-of-two lengths, which
+    need no padding; those that are full but for less than `cut` tokens stay whole."""
+    for sequence in sequences:
+        if limits.tokens - sum(b - a for _, a, b in sequence) < limits.cut:
+            yield sequence
+        else:
+            yield from power_of_two_parts(sequence, limits.tokens)
 
 
 def power_of_two_parts(sequence: list[tuple[int, int, int]], tokens: int) -> Iterator[list[tuple[int, int, int]]]:
-    """A last, partly filled sequence as sequences of power-of-two lengths, which need no padding."""
+    """A partly filled sequence as sequences of power-of-two lengths."""
     sequence = list(sequence)
     left = sum(b - a for _, a, b in sequence)
     while left:
@@ -114,8 +137,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, limits: Limits |
 
     An example is a text's ids and end_id (a null or empty text: end_id alone); free_col says how many ids at its
     beginning bear no loss (a prompt; 1 if not given, for nothing predicts the first id). Each task packs what it reads:
-    a pool of one batch and what an earlier one left, so memory is bounded and nothing is shuffled. Its last sequence
-    is cut to powers of two. sequence_id is unique over tasks. Repeated rows and null ids are packed as they come; an
+    a pool of one batch and what an earlier one left, so memory is bounded and nothing is shuffled. Sequences that
+    the limits on segments or loss close early, and the last one, are cut to powers of two. sequence_id is unique over tasks. Repeated rows and null ids are packed as they come; an
     example longer than a sequence, however long, is cut.
     """
     limits = limits or Limits()
@@ -148,15 +171,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, limits: Limits |
                 names[counter + k] = doc_id
             pool.add(np.arange(counter, counter + n), np.diff(bounds) + 1, skip.astype(np.int64))
             counter += n
-            yield rows(pool.fill(32 * limits.tokens))
+            yield rows(without_padding(pool.fill(32 * limits.tokens), limits))
             waiting = set(pool.who.tolist())
             ids, names = {k: v for k, v in ids.items() if k in waiting}, {k: v for k, v in names.items() if k in waiting}
-        held = None
         for sequence in pool.fill(0):
-            if held is not None:
-                yield rows([held])
-            held = sequence
-        if held is not None:
-            yield rows(power_of_two_parts(held, limits.tokens))
+            yield rows(without_padding([sequence], limits))
 
     return base.mapInArrow(run, SCHEMA)

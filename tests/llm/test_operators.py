@@ -426,6 +426,61 @@ def test_packing(docs, texts, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def filled_by_hand(sizes, frees, limits):
+    """Sequences of (example, start, end), looking at every waiting piece for each choice."""
+    wait = [[k, 0, n, f] for k, (n, f) in enumerate(zip(sizes, frees, strict=True)) if n]
+    bears = lambda p, end: max(0, end - max(p[1], p[3]))
+    out = []
+    while wait:
+        left, seq = [limits.tokens, limits.segments, limits.loss], []
+        while wait and left[0] >= 1 and left[1] >= 1:
+            score = lambda p: (p[2] - p[1]) * (left[0] / limits.tokens**2) + bears(p, p[2]) * (left[2] / limits.loss**2)
+            fit = [p for p in wait if p[2] - p[1] <= left[0] and bears(p, p[2]) <= left[2]]
+            if not fit and left[0] < limits.cut and seq:
+                break
+            p = max(fit or wait, key=score)
+            end = p[2] if fit else p[1] + min(p[2] - p[1], left[0], left[2] + max(0, p[3] - p[1]))
+            if end <= p[1]:
+                break
+            seq.append((p[0], p[1], end))
+            left = [left[0] - (end - p[1]), left[1] - 1, left[2] - bears(p, end)]
+            p[1] = end
+            wait = [q for q in wait if q[1] < q[2]]
+        out.append(seq)
+    return out
+
+
+def test_pool_takes_what_a_look_at_every_piece_takes():
+    r = random.Random(4)
+    for limits in (packing.Limits(100, 6, 100, 4), packing.Limits(64, 5, 40, 8), packing.Limits(50, 64, 20, 3)):
+        for _ in range(15):
+            sizes = [r.choice([1, 2, 7, 30, 55, 140, r.randrange(1, 90)]) for _ in range(r.randrange(1, 40))]
+            frees = [r.choice([1, 1, 10]) for _ in sizes]
+            pool = packing.Pool(limits)
+            pool.add(np.arange(len(sizes)), np.array(sizes), np.array(frees))
+            got, want = list(pool.fill(0)), filled_by_hand(sizes, frees, limits)
+            kinds = lambda seqs: [[b - a for _, a, b in s] for s in seqs]  # noqa: E731  pieces of the same sizes are alike
+            assert kinds(got) == kinds(want) and not pool.tokens
+
+
+def test_short_texts_are_packed_without_padding_and_in_time(spark):
+    import time
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    few = spark.createDataFrame([(k, f"short text {k}") for k in range(4000)], "doc_id long, text string").coalesce(1)
+    rows = packing.pack(few, path).collect()
+    sequences = collections.Counter()
+    for x in rows:
+        sequences[x.sequence_id] += x.length
+    tokens = sum(sequences.values())
+    assert sum(0 if n & (n - 1) == 0 else 4096 - n for n in sequences.values()) <= 0.02 * tokens
+    assert sum(x.doc_tokens for x in rows if x.start == 0) == tokens
+    pool, r = packing.Pool(packing.Limits()), random.Random(2)
+    pool.add(np.arange(100_000), np.array([r.randrange(3, 400) for _ in range(100_000)]), np.ones(100_000, np.int64))
+    began, want = time.time(), pool.tokens
+    assert sum(b - a for s in pool.fill(0) for _, a, b in s) == want and time.time() - began < 60
+
+
 # 9
 
 
