@@ -165,12 +165,18 @@ def rest_pairs(met: DataFrame, labels: DataFrame, rows: DataFrame, content: Data
     own = write_table(_mixed(met.join(labels.hint("merge"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))).drop("m"), "mixed-members")
     mine = content.join(own.select("id").distinct().hint("merge"), "id", "left_semi")
     able = shared_weights(mine).where(F.col("shared") >= least * F.col("total") - 1e-9)
-    able = write_table(_sketched(able) if sketches else able.select("id", "total", "shared", F.lit(None).cast("array<long>").alias("sketch")), "able")
+    if sketches:
+        # written first, so that as many Python tasks begin as the rows ask for, and not as many as a join's partitions
+        weights = write_table(able, "shared-weights")
+        able = write_table(_sketched(weights), "able")
+        release(weights)
+    else:
+        able = write_table(able.select("id", "total", "shared", F.lit(None).cast("array<long>").alias("sketch")), "able")
     dealt = _mixed(own.join(able.select("id").hint("merge"), "id")).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     dealt = write_table(dealt.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int")).join(able.hint("merge"), "id").join(rows.select("id", "keys").distinct().hint("merge"), "id"), "dealt-members")
     release(own, able)
     all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    side = lambda own, other, **names: dealt.select("key", F.col("own").alias(own), all_blocks.alias(other), *[F.col(c).alias(n) for c, n in names.items()])
+    side = lambda own, other, **names: dealt.select("key", F.col("own").alias(own), all_blocks.alias(other), *[F.col(c).alias(n) for c, n in names.items()]).repartition("key", "i", "j")  # noqa: E731  blocks are small, so none needs to be split
     one = side("i", "j", id="a", label="x", total="s", shared="u", sketch="p", keys="g")
     two = side("j", "i", id="b", label="y", total="t", shared="v", sketch="q", keys="h").hint("merge")
     fits = (one.key == two.key) & (one.i == two.i) & (one.j == two.j) & (F.col("x") < F.col("y"))
@@ -178,7 +184,8 @@ def rest_pairs(met: DataFrame, labels: DataFrame, rows: DataFrame, content: Data
     if sketches:
         differ = (1 - least) / 2
         most = int(BITS * differ + DEVIATIONS * sqrt(BITS * differ * (1 - differ)))
-        fits = fits & F.expr(f"aggregate(zip_with(p, q, (x, y) -> bit_count(x ^ y)), 0, (n, z) -> n + z) <= {most}")
+        bits = " + ".join(f"bit_count(p[{k}] ^ q[{k}])" for k in range(BITS // 64))  # spelled out: this is done for all pairs within the bounds
+        fits = fits & F.expr(f"{bits} <= {most}")
     fits = fits & F.expr("element_at(g, cast(array_position(zip_with(g, h, (x, y) -> x = y), true) as int))").eqNullSafe(one.key)
     pairs = one.join(two, fits).select("a", "b").distinct()
     fresh = write_table(pairs.join(known.select("a", "b").union(known.select("b", "a")).hint("merge"), ["a", "b"], "left_anti"), "rest-pairs")
