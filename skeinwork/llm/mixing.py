@@ -105,6 +105,12 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     return used.select("doc_id", "source", F.col("epoch").cast("int").alias("epoch"), "block_rank", "block", "n_tokens", "weight", *more)
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs with each row as often as the mix uses it, with all their columns; the row is carried through the mix."""
-    return mix(docs, id_col=id_col, with_row=True, **options).select("row.*")
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", seed: int = 7, **options) -> DataFrame:
+    """docs with each row as often as the mix uses it, with all their columns, in the order of the mix.
+
+    Partitions are ranges of (epoch, block_rank), so what reads them in turn meets the sources' blocks side by side, in
+    the shares of the mix; within a rank, documents of all sources are in hash order (repeated and null ids as they
+    come). A rank may be many partitions.
+    """
+    order = ["epoch", "block_rank", F.xxhash64("doc_id", F.lit(seed))]
+    return mix(docs, id_col=id_col, seed=seed, with_row=True, **options).repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")

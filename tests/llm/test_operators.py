@@ -368,6 +368,65 @@ def test_mixing(spark, empty):
     assert counted and all(n == len(model.encode(rows[i][1] or "")) for i, n in counted.items())
 
 
+def signed_hash(*values):
+    """Spark's hash of a row of longs and ints (Python's int and numpy's int32)."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(int(v).to_bytes(4 if isinstance(v, np.int32) else 8, "little", signed=True), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def mixed_by_hand(rows, weights, blocks, seed=7):
+    """(doc_id, epoch, block_rank) of each use: whole permutations of blocks, then what fits the rest of the quota."""
+    i32 = np.int32
+    size = lambda t: len(re.findall(SPLIT, t or ""))
+    budget, out = sum(size(t) for _, t, _ in rows), []
+    for source, weight in weights.items():
+        own = collections.defaultdict(list)
+        for i, t, s in rows:
+            if s == source:
+                own[signed_hash(i, i32(seed)) % blocks].append((signed_hash(i, i32(seed + 2)), i, size(t)))
+        tokens = sum(n for b in own.values() for _, _, n in b)
+        left, epoch = int(np.floor(budget * weight)), 0
+        while left >= 0:
+            most, before = min(left, tokens), 0
+            for rank, b in enumerate(sorted(own, key=lambda b: (signed_hash(epoch, i32(b), i32(seed + 1)), b)), 1):
+                upto = 0
+                for _, i, n in sorted(own[b]) if most > before else []:
+                    upto += n
+                    if upto <= most - before:
+                        out.append((i, epoch, rank))
+                before += upto if most > before else sum(n for *_, n in own[b])
+            left, epoch = left - tokens, epoch + 1
+    return collections.Counter(out)
+
+
+def test_mixing_uses_the_rows_of_the_permutations(spark):
+    r = random.Random(9)
+    rows = [(k * 7, prose(r, r.randrange(1, 30)), s) for k, s in enumerate(["hot"] * 200 + ["a"] * 50 + ["b"] * 12 + [None] * 25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for blocks, entropy in ((8, 0.97), (32, 0.8)):
+        got = mixing.mix(df, entropy=entropy, blocks=blocks).collect()
+        assert collections.Counter((x.doc_id, x.epoch, x.block_rank) for x in got) == mixed_by_hand(rows, {x.source: x.weight for x in got}, blocks)
+
+
+def test_mixed_documents_come_in_the_order_of_the_mix(spark):
+    r = random.Random(10)
+    rows = [(k, prose(r, 10, False), s) for k, s in enumerate(["hot"] * 150 + ["a"] * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    place = collections.defaultdict(list)
+    for x in mixing.mix(df, blocks=8).collect():
+        place[x.doc_id].append((x.epoch, x.block_rank))
+    out = [x.doc_id for x in mixing.mixed_documents(df, blocks=8).collect()]
+    at = [sorted(place[i]) for i in out]
+    seen = collections.Counter()
+    order = []
+    for i, p in zip(out, at, strict=True):
+        order.append(p[seen[i]])
+        seen[i] += 1
+    assert order == sorted(order) and seen == {i: len(p) for i, p in place.items()}
+
+
 def test_exponent_meets_entropy_or_the_repetition_limit(spark):
     p = [0.7, 0.2, 0.07, 0.03]
     shares = spark.createDataFrame([(str(k), x) for k, x in enumerate(p)], "key string, p double")
@@ -426,28 +485,29 @@ def test_packing(docs, texts, empty):
     assert packing.pack(empty, path).count() == 0
 
 
-def filled_by_hand(sizes, frees, limits):
-    """Sequences of (example, start, end), looking at every waiting piece for each choice."""
-    wait = [[k, 0, n, f] for k, (n, f) in enumerate(zip(sizes, frees, strict=True)) if n]
-    bears = lambda p, end: max(0, end - max(p[1], p[3]))
-    out = []
-    while wait:
-        left, seq = [limits.tokens, limits.segments, limits.loss], []
-        while wait and left[0] >= 1 and left[1] >= 1:
-            score = lambda p: (p[2] - p[1]) * (left[0] / limits.tokens**2) + bears(p, p[2]) * (left[2] / limits.loss**2)
-            fit = [p for p in wait if p[2] - p[1] <= left[0] and bears(p, p[2]) <= left[2]]
-            if not fit and left[0] < limits.cut and seq:
-                break
-            p = max(fit or wait, key=score)
-            end = p[2] if fit else p[1] + min(p[2] - p[1], left[0], left[2] + max(0, p[3] - p[1]))
-            if end <= p[1]:
-                break
-            seq.append((p[0], p[1], end))
-            left = [left[0] - (end - p[1]), left[1] - 1, left[2] - bears(p, end)]
-            p[1] = end
-            wait = [q for q in wait if q[1] < q[2]]
-        out.append(seq)
-    return out
+def check_choices(sequences, sizes, frees, limits):
+    """Each piece is one of those that a look at every waiting piece finds best (equal ones may go in any order)."""
+    wait = {k: [0, n, f] for k, (n, f) in enumerate(zip(sizes, frees, strict=True)) if n}
+    bears = lambda p, end: max(0, end - max(p[0], p[2]))
+    for sequence in sequences:
+        left = [limits.tokens, limits.segments, limits.loss]
+
+        def score(p):
+            return (p[1] - p[0]) * (left[0] / limits.tokens**2) + bears(p, p[1]) * (left[2] / limits.loss**2)  # noqa: B023
+
+        for who, begin, end in sequence:
+            p = wait[who]
+            fit = [q for q in wait.values() if q[1] - q[0] <= left[0] and bears(q, q[1]) <= left[2]]
+            assert begin == p[0] and left[1] >= 1 and (fit or begin == end or left[0] >= limits.cut or end - begin <= limits.tokens)
+            assert score(p) >= max(map(score, fit or wait.values())) - 1e-12 and (not fit or any(p is q for q in fit))
+            assert end == (p[1] if fit else p[0] + min(p[1] - p[0], left[0], left[2] + max(0, p[2] - p[0])))
+            left = [left[0] - (end - begin), left[1] - 1, left[2] - bears(p, end)]
+            p[0] = end
+            if p[0] == p[1]:
+                del wait[who]
+        fits = any(q[1] - q[0] <= left[0] and bears(q, q[1]) <= left[2] for q in wait.values())
+        assert not wait or left[1] < 1 or left[0] < 1 or (not fits and (left[0] < limits.cut or left[2] < 1))
+    assert not wait
 
 
 def test_pool_takes_what_a_look_at_every_piece_takes():
@@ -458,9 +518,8 @@ def test_pool_takes_what_a_look_at_every_piece_takes():
             frees = [r.choice([1, 1, 10]) for _ in sizes]
             pool = packing.Pool(limits)
             pool.add(np.arange(len(sizes)), np.array(sizes), np.array(frees))
-            got, want = list(pool.fill(0)), filled_by_hand(sizes, frees, limits)
-            kinds = lambda seqs: [[b - a for _, a, b in s] for s in seqs]  # noqa: E731  pieces of the same sizes are alike
-            assert kinds(got) == kinds(want) and not pool.tokens
+            check_choices(list(pool.fill(0)), sizes, frees, limits)
+            assert not pool.tokens
 
 
 def test_short_texts_are_packed_without_padding_and_in_time(spark):
