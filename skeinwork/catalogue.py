@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .adapters import DOC, ENV, EV, REC, conversation_records, document_records, env_configs, event_records, table
 from .functions import columns as C
@@ -14,6 +16,15 @@ from .operators import aggregates as A
 from .operators import changes as X
 from .operators import reads as R
 from .operators import sessions as S
+from .plans.checkpoints import FileCheckpoints
+from .plans.engine import Engine
+from .plans.pipeline import LANDING_ENRICHMENT, LANDING_TO_SERVING
+from .schema import JSON_COLUMNS, RECORD
+from .sources.blobs import missing_blobs as find_missing_blobs
+from .sources.files import Kept, shared_folder
+from .sources.store import Table, archive, repartitioned
+from .streaming.incremental import late_rows as find_late_rows
+from .streaming.incremental import publish_available
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -37,6 +48,19 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)
 
 
+def record_table(rows: DataFrame, schema: T.StructType | None = None) -> Table:
+    """A record table of the catalog that holds the rows, kept in the shared folder."""
+    spark, name = rows.sparkSession, f"skeinwork_query_{uuid.uuid4().hex}"
+    out = Table.create(spark, name, schema or T.StructType([f for f in rows.schema if f.name != "bucket"]), f"{shared_folder(spark)}/skeinwork/{name}")
+    out.append(rows)
+    return out
+
+
+def enriched(spark: SparkSession, d: str) -> DataFrame:
+    """Conversation records as the enrichment pipeline leaves them."""
+    return LANDING_ENRICHMENT.process(conversation_records(spark, d).withColumns({"source_updated_at": F.lit(1), "rejected_trace": F.lit(None).cast("string")})).rows.drop("__patched", "__before_is_trainable")
+
+
 # Reads
 
 
@@ -62,12 +86,12 @@ def list_partitions(spark, d):
 
 @query(f"with {EV} select id, step_id from ev where job_id = 'click#h1#m2#t1#x'")
 def bucket_pruned_lookup(spark, d):
-    return R.of_job(event_records(spark, d), "click#h1#m2#t1#x").select("id", "step_id")
+    return record_table(event_records(spark, d)).read(where="job_id = 'click#h1#m2#t1#x'").select("id", "step_id")
 
 
 @query(f"with {EV} select id, job_id from ev where job_id in ('click#h1#m2#t1#x', 'view#h0#m0#t0#x')")
 def bucket_pruned_jobs(spark, d):
-    return event_records(spark, d).where(R.jobs_in_buckets(["click#h1#m2#t1#x", "view#h0#m0#t0#x"])).select("id", "job_id")
+    return record_table(event_records(spark, d)).read(where="job_id = 'click#h1#m2#t1#x' or job_id in ('view#h0#m0#t0#x')").select("id", "job_id")
 
 
 @query(f"with {EV} select job_id, count(*) n from ev group by job_id")
@@ -129,8 +153,8 @@ def export_manifest(spark, d):
 
 @query(f"with {EV}, m as (select bucket, id, reward, ((row_number() over (partition by bucket order by id) - 1) // 50)::int batch from ev where is_terminal) select bucket, batch, count(*) n, min(id) first_id, max(id) last_id from m group by bucket, batch")
 def export_batches(spark, d):
-    ev = event_records(spark, d).where("is_terminal")
-    return R.export_manifest(ev, 50).groupBy("bucket", "batch").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    ev = event_records(spark, d).where("is_terminal").select("bucket", "id", "reward")
+    return R.export_bounds(Kept(R.in_id_ranges(ev, 16), "export-ranges").rows, 50).select("bucket", "batch", "n", "first_id", "last_id")
 
 
 @query(f"with {EV} select id, 'missing' side from ev where created_at % 97 = 0 and not is_terminal union all select id, 'unexpected' from ev where created_at % 97 = 1 and is_terminal")
@@ -236,6 +260,70 @@ def conditional_update(spark, d):
     return X.updated(ev, F.col("reward") > 90, {"reward": 0.0}, 1700000000000)
 
 
+@query(f"with {EV}, src as (select case when created_at % 5 = 0 then 'new-'||id else id end id, case when created_at % 7 = 0 then 'moved' else job_id end job_id, reward + 1000 reward from ev where created_at % 3 = 0) select id, job_id, reward from ev where id not in (select id from src) union all select id, job_id, reward from src")
+def table_upsert(spark, d):
+    ev = event_records(spark, d).select("id", "job_id", "reward", "created_at")
+    t = record_table(ev.select("id", "job_id", "reward"))
+    t.upsert(ev.where("created_at % 3 = 0").selectExpr("if(created_at % 5 = 0, concat('new-', id), id) id", "if(created_at % 7 = 0, 'moved', job_id) job_id", "reward + 1000 reward"), 1700000000000)
+    return t.read().select("id", "job_id", "reward")
+
+
+@query(f"with {EV} select id, case when reward > 90 and job_id like 'purchase%' then 0.0 else reward end reward, case when reward > 90 and job_id like 'purchase%' then 1700000000000 else source_updated_at end source_updated_at from ev")
+def table_update(spark, d):
+    t = record_table(event_records(spark, d).select("id", "job_id", "reward", "source_updated_at"))
+    t.update("reward > 90 and job_id like 'purchase%'", {"reward": 0.0}, 1700000000000)
+    return t.read().select("id", "reward", "source_updated_at")
+
+
+@query(f"with {EV} select id, job_id from ev where job_id <> 'view#h0#m0#t0#x' and not (reward < 50 and is_terminal)")
+def table_delete(spark, d):
+    t = record_table(event_records(spark, d).select("id", "job_id", "reward", "is_terminal"))
+    t.delete("job_id = 'view#h0#m0#t0#x'")  # looks at one bucket
+    t.delete("reward < 50 and is_terminal")
+    return t.read().select("id", "job_id")
+
+
+@query(f"with {EV} select id, case when created_at % 3 = 0 then case when created_at % 2 = 0 then reward + 1 end else reward end reward, case when created_at % 3 = 0 then 1700000000000 else source_updated_at end source_updated_at from ev")
+def table_patch(spark, d):
+    ev = event_records(spark, d).select("id", "job_id", "reward", "created_at", "source_updated_at")
+    t = record_table(ev.drop("created_at"))
+    t.patch(ev.where("created_at % 3 = 0").selectExpr("id", "job_id", "if(created_at % 2 = 0, reward + 1, null) reward"), ("reward",), 1700000000000)
+    return t.read().select("id", "reward", "source_updated_at")
+
+
+@query(f"with {EV} select bucket, count(*) n, min(id) first_id, max(reward) most from ev group by bucket")
+def table_compact(spark, d):
+    ev = event_records(spark, d).select("id", "job_id", "reward")
+    t = record_table(ev.where("reward < 50"))
+    t.append(ev.where("not reward < 50"))
+    if t.compact()["errors"]:
+        raise RuntimeError("not compacted")
+    return t.read().groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("reward").alias("most"))
+
+
+@query(f"with {EV} select case when is_terminal then 'RL' else 'SFT' end dataset_type, bucket, count(*) n from ev where dt in ('2024-01-03', '2024-01-04') and id not like '%9' group by 1, 2")
+def table_repartition(spark, d):
+    by_day = event_records(spark, d).selectExpr("id", "dt", "if(is_terminal, 'Test', 'SFT') dataset_type", "if(id like '%9', ' ', job_id) job_id")
+    t = record_table(by_day.limit(0))
+    repartitioned(by_day, t, days=["2024-01-03", "2024-01-04"])
+    return t.read().groupBy("dataset_type", "bucket").agg(F.count("*").alias("n"))
+
+
+@query(f"with {EV} select dt, count(*) n, sum(length(id))::bigint chars from ev where dt < '2024-01-20' group by dt")
+def archive_copy(spark, d):
+    days, path = event_records(spark, d).select("id", "dt").where("dt < '2024-01-20'"), f"{shared_folder(spark)}/skeinwork/archive-{uuid.uuid4().hex}"
+    for part in (days.where("dt < '2024-01-10'"), days):  # the second call copies the days that lack
+        archive(part, path)
+    return spark.read.schema(days.schema).parquet(path).groupBy("dt").agg(F.count("*").alias("n"), F.sum(F.length("id")).alias("chars"))
+
+
+@query("select conv_id id, 's3://b/' || conv_id || '-' || turn path from conversations where (conv_id + turn) % 5 = 0")
+def missing_blobs(spark, d):
+    c = table(spark, d, "conversations").selectExpr("conv_id", "turn", "concat('s3://b/', conv_id, '-', turn) path")
+    records = c.groupBy(F.col("conv_id").alias("id")).agg(F.collect_list("path").alias("blob_manifest"))
+    return find_missing_blobs(records, c.where("(conv_id + turn) % 5 <> 0")).select("id", "path")
+
+
 @query(f"with {DOC} select id from doc where is_trainable is distinct from true")
 def noop_update_elimination(spark, d):
     return X.needs_update(document_records(spark, d), {"is_trainable": True}).select("id")
@@ -349,7 +437,7 @@ def trainable_chain_tails(spark, d):
 
 @query(f"with recursive {REC}, {_FOLD}, {_GATE} select rec.id, case when gate.ok then exists(select 1 from tails where sid = rec.session_id and tails.step_id = rec.step_id) end is_trainable from rec join gate using (session_id)")
 def landing_enrichment(spark, d):
-    return S.with_trainability(conversation_records(spark, d)).select("id", "is_trainable")
+    return enriched(spark, d).select("id", "is_trainable")
 
 
 _TRACE = "'['||substr(messages, 2, length(messages) - 2)||','||response||']'"
@@ -377,13 +465,87 @@ _PUBLISHED = f"with recursive {REC}, {_FOLD}, {_GATE}, pub as (select rec.id, re
 
 @query(f"{_PUBLISHED} select id, chosen_trace, concat_ws(chr(10), chosen_trace, agent_model, meta_json) search_text, string_split(job_id, '#')[1:4] tags from pub")
 def landing_to_serving(spark, d):
-    rows, _ = S.published(S.with_trainability(conversation_records(spark, d)))
-    return rows.select("id", "chosen_trace", "search_text", "tags")
+    return LANDING_TO_SERVING.process(enriched(spark, d)).records().select("id", "chosen_trace", "search_text", "tags")
+
+
+@query(f"{_PUBLISHED} select id, chosen_trace, concat_ws(chr(10), chosen_trace, agent_model, meta_json) search_text, string_split(job_id, '#')[1:4] tags from pub")
+def incremental_publish(spark, d):
+    landing, serving = record_table(conversation_records(spark, d).limit(0), RECORD), record_table(conversation_records(spark, d).limit(0), RECORD)
+    landing.append(conversation_records(spark, d).withColumns({"dataset_type": F.lit("RL"), "created_at": F.lit(1_700_000_000)}), 1_700_000_000_000)
+    engine = Engine(landing, serving)
+    for p in (LANDING_ENRICHMENT, LANDING_TO_SERVING):
+        if engine.run_incremental(p, start_from=0).failures:
+            raise RuntimeError(f"{p.name} failed")
+    return serving.read().select("id", "chosen_trace", "search_text", "tags")
+
+
+def landing_and_serving(spark: SparkSession, d: str) -> tuple[Table, Table]:
+    """Enriched records as a landing table, each conversation changed at one of ten times, and an empty serving table."""
+    at = F.expr("1000L * (cast(substr(session_id, 2) as int) % 10)")
+    rows = enriched(spark, d).withColumns({"dataset_type": F.lit("RL"), "created_at": F.lit(1_700_000_000), "dt": F.lit("2023-11-14"), "source_updated_at": at})
+    return record_table(rows, RECORD), record_table(spark.createDataFrame([], RECORD), RECORD)
+
+
+def published_ids(serving: Table) -> DataFrame:
+    return serving.read().select("id", F.size("tags").alias("n_tags"))
+
+
+@query(f"{_PUBLISHED} select id, 4 n_tags from pub where substr(session_id, 2)::int % 10 between 3 and 5")
+def range_publish(spark, d):
+    landing, serving = landing_and_serving(spark, d)
+    Engine(landing, serving).run_range(LANDING_TO_SERVING, 3000, 5000)
+    return published_ids(serving)
+
+
+@query(f"{_PUBLISHED} select id, 4 n_tags from pub where job_id in ('conv#chat#m1#task0#x', 'conv#chat#m2#task2#x')")
+def job_publish(spark, d):
+    landing, serving = landing_and_serving(spark, d)
+    Engine(landing, serving).run_jobs(LANDING_TO_SERVING, ["conv#chat#m1#task0#x", " conv#chat#m2#task2#x "])
+    return published_ids(serving)
+
+
+@query(f"{_PUBLISHED} select id, 4 n_tags from pub where session_id in (select session_id from rec where step_id = 5 and agent_model <> 'model-2')")
+def filter_publish(spark, d):
+    landing, serving = landing_and_serving(spark, d)
+    Engine(landing, serving).run_filter(LANDING_TO_SERVING, "step_id = 5 and agent_model <> 'model-2'")
+    return published_ids(serving)
+
+
+@query(f"{_PUBLISHED} select id, 4 n_tags from pub where substr(session_id, 2)::int % 13 = 0")
+def session_publish(spark, d):
+    landing, serving = landing_and_serving(spark, d)
+    Engine(landing, serving).run_sessions(LANDING_TO_SERVING, landing.read().where("cast(substr(session_id, 2) as int) % 13 = 0").select("job_id", "session_id"))
+    return published_ids(serving)
+
+
+@query(f"{_PUBLISHED} select id, 4 n_tags from pub")
+def stream_publish(spark, d):
+    landing, serving = landing_and_serving(spark, d)
+    publish_available(landing, serving, LANDING_TO_SERVING, f"{shared_folder(spark)}/skeinwork/stream-{uuid.uuid4().hex}", lambda: 1_700_000_000_000)
+    return published_ids(serving)
+
+
+@query(f"with {REC} select distinct 'landing_to_serving_pipeline|2|landing|serving|' || b id, b::int bucket, 'IDLE' status, 6000::bigint committed_until_ms from (select ('0x' || substr(md5(job_id), 1, 8))::bigint % 128 b from rec)")
+def incremental_checkpoints(spark, d):
+    landing, serving = landing_and_serving(spark, d)
+    store = FileCheckpoints(spark, f"{shared_folder(spark)}/skeinwork/checkpoints-{uuid.uuid4().hex}")
+    store.initialize()
+    engine = Engine(landing, serving, store)
+    for started in (4000, 6000):
+        engine.run_incremental(LANDING_TO_SERVING, start_from=0, started_ms=started)
+    return store.frame(spark).select("id", "bucket", "status", "committed_until_ms")
+
+
+@query(f"with {EV} select id, source_updated_at from ev where (bucket % 2 = 0 and source_updated_at <= 1704240000000) or (bucket % 2 = 1 and source_updated_at <= 1704100000000)")
+def late_rows(spark, d):
+    ev = event_records(spark, d).select("id", "bucket", "source_updated_at")
+    committed = ev.select("bucket").distinct().withColumn("committed_until_ms", F.expr("if(bucket % 2 = 0, 1704240000000, 1704100000000)"))
+    return find_late_rows(ev, committed).select("id", "source_updated_at")
 
 
 @query(f"{_PUBLISHED}, g as (select rec.session_id, count(*) rows_read, (select count(*) from pub where pub.session_id = rec.session_id) rows_written, case when any_value(not gate.ok) then 'skipped' end error from rec join gate using (session_id) group by 1) select count(*) sessions, sum(rows_read)::bigint rows_read, sum(rows_written)::bigint rows_written, count_if(error is not null)::bigint failures, list_sort(list_distinct(list(error))) errors from g")
 def run_summary(spark, d):
-    rec = S.with_trainability(conversation_records(spark, d))
+    rec = enriched(spark, d)
     each = rec.groupBy(*S.SESSION).agg(F.count("*").alias("rows_read"), F.count_if("is_trainable").alias("rows_written"), F.when(F.bool_and(F.col("is_trainable").isNull()), "skipped").alias("error"))
     return A.run_summary(each)
 
@@ -397,9 +559,17 @@ def checkpoint_identity(spark, d):
     return ev.select("id", C.checkpoint_identity("p", "dt", "a", "b", "bucket").alias("identity"))
 
 
-@query(f"with {REC} select id, 'evt_'||substr(md5(messages), 1, 16) event_id from rec")
+_KEYS_IN_ORDER = r"""with said as (select conv_id, turn, '{"content": ' || to_json(text) || ', "role": ' || to_json(role) || '}' j from conversations),
+ whole as (select conv_id, '[' || string_agg(j, ', ' order by turn) || ']' messages, count(*) n from said group by conv_id)"""
+
+
+@query(_KEYS_IN_ORDER + """ select conv_id, 'evt_' || substr(md5(case when conv_id % 4 = 3 then '{"n": ' || n || ', "tag": "t' || conv_id % 9 || '"}' else messages end), 1, 16) event_id from whole""")
 def deterministic_id(spark, d):
-    return conversation_records(spark, d).select("id", C.deterministic_id(F.col("messages")).alias("event_id"))
+    said = F.to_json(F.struct("role", F.col("text").alias("content")))  # keys out of order
+    whole = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", said.alias("j")))).alias("m"), F.count("*").alias("n"))
+    text = F.concat(F.lit(" [ "), F.array_join(F.transform("m", lambda x: x.j), " , "), F.lit("]"))
+    rec = whole.select("conv_id", F.expr("concat('t', conv_id % 9)").alias("tag"), "n", F.when(F.col("conv_id") % 4 < 3, text).alias("messages"), F.lit("{}").alias("meta_json"), F.col("conv_id").alias("created_at"))
+    return rec.select("conv_id", J.deterministic_id(rec.drop("conv_id")).alias("event_id"))
 
 
 @query("with t as (select event_id, case when event_id % 4 = 0 then (epoch_us(ts)//1000000)::varchar when event_id % 4 = 1 then (epoch_us(ts)//1000)::varchar when event_id % 4 = 2 then strftime(ts, '%Y-%m-%dT%H:%M:%SZ') else 'soon' end s, epoch_us(ts) us from events) select event_id, case when event_id % 4 = 1 then us // 1000 when event_id % 4 = 3 then null else us // 1000000 * 1000 end ms from t")
@@ -419,15 +589,24 @@ def dt_derivation(spark, d):
     return table(spark, d, "events").select("event_id", C.day_of_seconds(F.unix_seconds(F.col("ts").cast("timestamp"))).alias("dt"))
 
 
-@query("""select conv_id, turn, case when turn % 3 = 0 then ['s3://b/' || conv_id || '.png'] when turn % 3 = 1 then ['s3://b/' || conv_id || '.wav', 's3://b/x.png'] else []::varchar[] end links from conversations""")
+@query("""select conv_id, turn, case when turn % 4 = 0 then ['s3://b/' || conv_id || '.png'] when turn % 4 = 1 then ['s3://b/x.png', 's3://b/' || turn || '.wav'] else []::varchar[] end links from conversations""")
 def blob_manifest(spark, d):
     c = table(spark, d, "conversations")
-    a = F.expr("""concat('[{"type":"image_url","image_url":{"detail":"low","url":"s3://b/', conv_id, '.png"}},{"image_url":"https://x/y.png"}]')""")
-    b = F.expr("""concat('{"input_audio": "s3://b/', conv_id, '.wav", "image_url":{"url":"s3://b/x.png"}}')""")
-    m = F.when(F.col("turn") % 3 == 0, a).when(F.col("turn") % 3 == 1, b)
+    a = F.expr("""concat('[{"type":"image_url","image_url":{"detail":"low","url":"s3://b/', conv_id, '.png"}},{"image_url":{"url":"https://x/y.png"}}]')""")
+    # deep ones, an escaped slash, one under a link's own object, and plain texts under the same keys
+    b = F.expr(r"""concat('{"input_audio": "s3://b/', conv_id, '.wav", "a":[{"b":[[{"image_url":{"url":"s3:\\/\\/b/x.png", "c":{"d":{"input_audio":{"url":"s3://b/', turn, '.wav"}}}}}]]}], "url":"s3://b/z"}')""")
+    m = F.when(F.col("turn") % 4 == 0, a).when(F.col("turn") % 4 == 1, b).when(F.col("turn") % 4 == 2, F.concat(a, F.lit("]")))
     return c.select("conv_id", "turn", J.blob_links(m, m).alias("links"))
 
 
+@query(f"""with {REC} select '{{"id":"' || id || '","step_id":' || step_id || ',"reward":' || case when step_id % 3 = 0 then 'null' else (step_id / 2)::double::varchar end || ',"raw":{{"encoding":"base64","data":"' || base64(encode(id)) || '"}},"tags":null,"meta_json":' ||
+ case when meta_json like '%429%' then '{{"env_state":{{"status_code":429}}}}' else '{{"status_code":"200"}}' end || ',"response":' || case when step_id % 2 = 0 then response else '"{{oops"' end || '}}' "value" from rec""")
+def json_output(spark, d):
+    odd = {"reward": F.expr("if(step_id % 3 = 0, double('nan'), step_id / 2)"), "raw": F.col("id").cast("binary"), "tags": F.lit(None).cast("array<string>"), "response": F.expr("if(step_id % 2 = 0, response, '{oops')")}
+    rows = conversation_records(spark, d).withColumns(odd).select("id", "step_id", "reward", "raw", "tags", "meta_json", "response")
+    return J.json_rows(rows, JSON_COLUMNS)
+
+
 @query("select page_id, case when page_id % 3 = 0 then true else false end is_json, case when page_id % 3 = 0 then 'OBJECT' end kind from pages")
 def json_decode_status(spark, d):
     said = F.expr("case page_id % 3 when 0 then to_json(named_struct('url', url)) when 1 then concat('{', url) else null end")

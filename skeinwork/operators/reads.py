@@ -7,9 +7,9 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import bucket, contains_any, has_tags
+from ..functions.columns import contains_any, has_tags
 from ..functions.json import decoded
-from ..schema import BUCKETS, JSON_COLUMNS
+from ..schema import JSON_COLUMNS
 from ..sources.files import Kept
 
 
@@ -32,17 +32,6 @@ def read(df: DataFrame, where: str | Column | None = None, columns: list[str] |
     return out.select(*columns) if columns else out
 
 
-def jobs_in_buckets(job_ids: list[str], n: int = BUCKETS) -> Column:
-    """job_id in (...) together with the buckets that follow from it, so that directories can be skipped."""
-    wanted = F.array(*[F.lit(j) for j in job_ids])
-    return F.col("job_id").isin(job_ids) & F.array_contains(F.transform(wanted, lambda j: bucket(j, n)), F.col("bucket"))
-
-
-def of_job(df: DataFrame, job_id: str, n: int = BUCKETS) -> DataFrame:
-    """One job's rows: its bucket alone is scanned, other jobs of that bucket are filtered out."""
-    return df.where((F.col("bucket") == bucket(F.lit(job_id), n)) & (F.col("job_id") == job_id))
-
-
 def by_id(df: DataFrame, record_id: str) -> DataFrame:
     return df.where(F.col("id") == record_id).limit(1)
 

@@ -92,33 +92,7 @@ def trainability(rows: DataFrame) -> DataFrame:
     return each.select(*SESSION, (passes & error.isNull()).alias("selected"), error.alias("error"), "tails")
 
 
-def with_trainability(rows: DataFrame) -> DataFrame:
-    """rows with is_trainable set in every row of a selected session."""
-    t = trainability(rows)
-    out = rows.join(t, list(SESSION), "left")
-    flag = F.when(F.col("selected"), F.array_contains("tails", F.col("step_id")))
-    old = F.col("is_trainable") if "is_trainable" in rows.columns else F.lit(None).cast("boolean")
-    return out.withColumn("is_trainable", F.when(F.coalesce("selected", F.lit(False)), flag).otherwise(old)).drop("selected", "error", "tails")
-
-
 def trace_error(rows_id: str = "id") -> Column:
     """Why a trainable row's trace can't be built, or null."""
     fine = F.coalesce(json_kind(F.col("messages")) == "ARRAY", F.lit(False))
     return F.when(~fine, F.concat(F.col(rows_id), F.lit(": messages is not a JSON array"))).when(~F.coalesce(is_json(F.col("response")), F.lit(False)), F.concat(F.col(rows_id), F.lit(": response is not JSON")))
-
-
-def published(rows: DataFrame, now_ms: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records, failures): trainable rows with chosen_trace, search_text and tags.
-
-    A row that breaks a rule voids its session's output; its failure is the first of the session in step order.
-    """
-    have = set(rows.columns)
-    text = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
-    chosen = rows.where("is_trainable").withColumn("__error", trace_error())
-    failures = chosen.where("__error is not null").groupBy(*SESSION).agg(F.min_by("__error", "step_id").alias("error"))
-    good = chosen.join(failures.select(*SESSION), list(SESSION), "left_anti").drop("__error")
-    good = good.withColumn("chosen_trace", append_json(F.col("messages"), F.col("response")))
-    good = good.withColumn("search_text", joined_text(F.col("chosen_trace"), text("rejected_trace"), text("agent_model"), text("meta_json"))).withColumn("tags", job_tags(F.col("job_id")))
-    if now_ms is not None:
-        good = good.withColumn("serving_updated_at", F.lit(now_ms).cast("long"))
-    return good, failures

@@ -44,6 +44,20 @@ def test_reports_and_changes(spark, root, capsys):
     assert cli.main(["delete", "--where", "id = 'b0'", "--yes"], spark) == 0 and landing(spark).count() == 2
 
 
+def test_json_output_and_named_sessions(spark, root, capsys):
+    assert cli.main(["query", "--where", "job_id = 'd#h#m#t#x' and id = 'a0'", "--columns", "id,meta_json,reward", "--output", f"file://{root}/out"], spark) == 0
+    assert [json.loads(r.value) for r in spark.read.text(f"file://{root}/out").collect()] == [{"id": "a0", "meta_json": {}, "reward": None}]
+    capsys.readouterr()
+    assert cli.main(["run", "--pipeline", "landing_enrichment_pipeline", "--session", "d#h#m#t#x", "a", "--dry-run"], spark) == 0
+    assert json.loads(capsys.readouterr().out)["rows_written"] == 2
+    with pytest.raises(SystemExit):
+        cli.main(["run", "--session", "j", "s", "--buckets", "1"], spark)
+    for wrong in (["drop", "--confirm", "other"], ["maintain", "--table", "environments"]):
+        with pytest.raises(SystemExit):
+            cli.main(wrong, spark)
+    assert cli.main(["drop", "--confirm", "landing_test"], spark) == 0 and "landing_test" not in list_tables(spark, cli.settings("test").database)
+
+
 def test_run_hands_changed_sessions_on(spark, root, capsys):
     with pytest.raises(SystemExit):
         cli.main(["run", "--filter", "true", "--jobs", "x"], spark)
@@ -65,5 +79,9 @@ def test_times_names_and_metrics(spark, tmp_path):
         raise ValueError
     with metrics.timed("lost", "/nowhere/x"):
         pass
-    got = metrics.summary(spark, path).first()
-    assert (got.calls, got.errors, got.rows) == (2, 1, 5) and F.lit(1) is not None
+    with metrics.timed("copy", path) as m:
+        metrics.watched(spark.createDataFrame([("é", 1, ["ab", "c"]), (None, None, None)], "s string, n long, l array<string>"), m).write.format("noop").mode("overwrite").save()
+    assert (m["rows"], m["bytes"]) == (2, 13) and m["mb_per_s"] > 0
+    got = {r.api: r for r in metrics.summary(spark, path).collect()}
+    assert (got["read"].calls, got["read"].errors, got["read"].rows) == (2, 1, 5)
+    assert (got["copy"].bytes, got[None].calls, got[None].rows) == (13, 3, 7) and got["copy"].mb_per_s > 0

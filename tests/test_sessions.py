@@ -49,9 +49,9 @@ def test_status_gate(spark, meta, bad):
 def test_traces_links_and_decoding(spark):
     df = spark.createDataFrame([('[{"b":1,"a":2.50}]', '{"z":1,"y":[]}'), ("[]", '[1, 2]'), ("[ ]", '"x"')], "m string, r string")
     assert [r[0] for r in df.select(append_json(F.col("m"), F.col("r"))).collect()] == ['[{"b":1,"a":2.50},{"z":1,"y":[]}]', "[1, 2]", '["x"]']
-    doc = json.dumps([{"content": [{"image_url": {"url": "s3://a/1"}}, {"input_audio": "s3://a/2"}, {"image_url": "s3://a/1"}, {"other": "s3://a/3"}]}])
-    got = spark.createDataFrame([(doc, None)], "m string, r string").select(blob_links(F.col("m"), F.col("r"))).first()[0]
-    assert got == ["s3://a/1", "s3://a/2"]
+    doc = json.dumps([{"content": [{"image_url": {"url": "s3://a/1"}}, {"input_audio": {"url": "s3://a/2", "x": [{"y": {"image_url": {"url": "s3://a/4"}}}]}}, {"image_url": {"url": "s3://a/1"}}, {"other": {"url": "s3://a/3"}}, {"image_url": "s3://a/5"}, {"image_url": {"url": "http://a/6"}}, {"image_url": [{"url": "s3://a/7"}]}]}])
+    df = spark.createDataFrame([(doc, None), (doc[:-1], '{"input_audio":{"url":"s3://a/8"}}'), (None, None), ('"s3://a/9"', "{}")], "m string, r string")
+    assert [r[0] for r in df.select(blob_links(F.col("m"), F.col("r"))).collect()] == [["s3://a/1", "s3://a/2", "s3://a/4"], ["s3://a/8"], [], []]
     got = spark.createDataFrame([('{"a":1}',), ("{oops",), (None,)], "m string").select(F.to_json(decoded(F.col("m"))).alias("x")).collect()
     assert [r.x for r in got] == ['{"a":1}', '"{oops"', None]
 

@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from skeinwork.functions.columns import bucket, bucket_of
+from skeinwork.functions.columns import bucket, bucket_of, event_id
 from skeinwork.operators.reads import export_batches, page, pages, search
 from skeinwork.plans.checkpoints import Checkpoint, CheckpointError, FileCheckpoints
 from skeinwork.plans.engine import Engine, unserved
@@ -16,7 +16,7 @@ from skeinwork.sources.envs import EnvConfigs
 from skeinwork.sources.files import Folder
 from skeinwork.sources.pruning import pinned_buckets
 from skeinwork.sources.store import Exists, Table, archive, list_tables, repartitioned
-from skeinwork.streaming.incremental import publish_available
+from skeinwork.streaming.incremental import buffered_append, late_rows, publish_available
 
 
 def rows(spark, items):
@@ -274,6 +274,36 @@ def test_stream_gives_what_a_batch_gives(spark, tmp_path):
     assert first == ["a0", "a2", "a4", "a6", "a8"] and serving.count() == 6
 
 
+def test_a_buffered_stream_is_appended(spark, table, tmp_path):
+    source = rows(spark, [{"id": f"r{k}", "job_id": f"j{k % 3}"} for k in range(12)])
+    source.repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = lambda: spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    buffered_append(stream(), table, f"{tmp_path}/ck", lambda: 9)
+    buffered_append(stream(), table, f"{tmp_path}/ck", lambda: 10)  # nothing new
+    assert sorted(r.id for r in table.read().collect()) == sorted(f"r{k}" for k in range(12)) and {r.source_updated_at for r in table.read().collect()} == {9}
+
+
+def test_rows_that_come_too_late_are_found(spark):
+    changes = spark.createDataFrame([("a", 0, 5), ("b", 0, 11), ("c", 1, 5), ("d", 2, 5)], "id string, bucket long, source_updated_at long")
+    committed = spark.createDataFrame([(0, 10), (1, 4)], "bucket long, committed_until_ms long")
+    assert [r.id for r in late_rows(changes, committed).collect()] == ["a"]
+
+
+def test_event_ids(spark):
+    got = [r[0] for r in spark.range(50).select(event_id()).collect()]
+    assert len(set(got)) == 50 and all(re.fullmatch(r"evt_\d{10}_[0-9a-f]{8}", x) for x in got)
+
+
+def test_env_ids_are_claimed_once(spark, tmp_path):
+    name = f"env_{uuid.uuid4().hex[:12]}"
+    env = EnvConfigs(spark, name, create=True)
+    env.save({"env_name": "a"})
+    Folder(spark, env.table.location).create("_claims/2", "1")  # another writer is at it
+    with pytest.raises(Exists):
+        env.save({"env_name": "b"})
+    assert env.count() == 1
+
+
 def test_env_configs(spark, tmp_path):
     env = EnvConfigs(spark, f"env_{uuid.uuid4().hex[:12]}", create=True, path=f"file://{tmp_path}/env")
     assert env.save([{"env_name": "e", "env_params": {"a": 1}}, {"env_name": " f ", "image": " i "}]) == [1, 2]
@@ -292,6 +322,8 @@ def test_blobs(spark, tmp_path):
     path = f"file://{tmp_path}/b/x.png"
     assert blobs.write_blob(spark, path, b"abc") == "image/png" and blobs.blob_exists(spark, path) and not blobs.blob_exists(spark, path + "x")
     assert blobs.read_blobs(spark, [path]).select("length").first()[0] == 3
+    (tmp_path / "local.wav").write_bytes(b"12345")
+    assert blobs.upload_file(spark, f"{tmp_path}/local.wav", f"file://{tmp_path}/b/y.wav").startswith("audio/") and blobs.read_blobs(spark, f"file://{tmp_path}/b", "*.wav").first().length == 5
 
 
 def test_checkpoints_are_compared_and_set(spark, tmp_path):
