@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,6 +44,24 @@ def shuffle_cleanup(spark: SparkSession):
             spark.conf.set(CLEANUP, before)
 
 
+_SCRATCH: contextvars.ContextVar[list | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch():
+    """Tables that operators write within it go when it ends, so act on what they return inside it.
+
+    Without it, what a returned DataFrame reads stays in the shared folder.
+    """
+    held: list = []
+    token = _SCRATCH.set(held)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        release(*held)
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
@@ -51,6 +70,8 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.written_to = path
+    if (held := _SCRATCH.get()) is not None:
+        held.append(table)
     return table
 
 

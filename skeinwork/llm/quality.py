@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .common import batches_by_bytes, flat_bytes, id_and_text, word_ids, word_spans
 
@@ -178,3 +179,53 @@ def keep_good(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
 
 
 
+
+
+#: Bound of the sample that bands are fitted on, and how far they reach beyond it at either end, as a share.
+SAMPLE_DOCS, MARGIN = 4000, 0.06
+
+
+def _ratios(docs: DataFrame, bands: Bands, batch_bytes: int) -> DataFrame:
+    """(chunk, size, ratio) of each text and, of those longer than a chunk, of each chunk that is judged."""
+    free = Bands(rows=((0, 0.0, float("inf")),), chunk=1 << 62, level=bands.level)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches_by_bytes(batches, batch_bytes):
+            data, bounds = flat_bytes(table.column("text"))
+            cuts = [np.append(np.arange(a, b, bands.chunk), b) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True) if b - a > bands.chunk]
+            for chunk, pieces in ((False, [bounds]), (True, cuts)):
+                for edges in pieces:
+                    size, ratio = np.diff(edges), compression(data[edges[0] : edges[-1]], edges - edges[0], free)["ratio"]
+                    on = size >= (bands.chunk // 2 if chunk else 1)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(int(on.sum()), chunk)), pa.array(size[on]), pa.array(ratio[on])], ["chunk", "size", "ratio"])
+
+    return docs.mapInArrow(run, "chunk boolean, size long, ratio double")
+
+
+def fit_bands(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, margin: float = MARGIN, bands: Bands | None = None, batch_bytes: int = 4 << 20) -> Bands:
+    """Bands for documents like those labelled good: the range of their ratios in each size class of `bands`, and `margin` beyond.
+
+    The sample is sample_docs documents labelled good at most, those of smallest id; one aggregate over it gives a
+    least and greatest ratio for each class. Texts under the second class's size are judged by the most ratio alone. A
+    class without a document takes the limits of the one before it (the first ones: of the one after), so longer texts than any labelled
+    one are judged as the longest are. Null ids, labels and texts are left out; without a good document nothing is rejected.
+    """
+    bands = bands or Bands()
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().orderBy("doc_id").limit(sample_docs)
+    text = id_and_text(docs).where("text != ''").join(F.broadcast(good), "doc_id", "left_semi").select("text")
+    both = (bands.rows, bands.of_chunks())
+
+    def which(rows: tuple[tuple[int, float, float], ...]) -> Column:
+        return F.size(F.filter(F.array(*[F.lit(r[0]).cast("long") for r in rows]), lambda x: x <= F.col("size"))) - 1
+
+    classes = _ratios(text, bands, batch_bytes).withColumn("k", F.when(F.col("chunk"), which(both[1])).otherwise(which(both[0])))
+    found = {(r["chunk"], r["k"]): (r["a"], r["b"]) for r in classes.groupBy("chunk", "k").agg(F.min("ratio").alias("a"), F.max("ratio").alias("b")).collect()}
+    out = []
+    for chunk, rows in zip((False, True), both, strict=True):
+        have = [found.get((chunk, k)) for k in range(len(rows))]
+        for k in range(1, len(have)):
+            have[k] = have[k] or have[k - 1]
+        for k in reversed(range(len(have) - 1)):
+            have[k] = have[k] or have[k + 1]
+        out.append(tuple((r[0], 0.0 if k == 0 or h is None else h[0] * (1 - margin), float("inf") if h is None else h[1] * (1 + margin)) for k, (r, h) in enumerate(zip(rows, have, strict=True))))
+    return Bands(rows=out[0], chunk=bands.chunk, bad_chunks=bands.bad_chunks, level=bands.level, chunk_rows=out[1])

@@ -13,7 +13,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from skeinwork.llm import exact_dedup, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
+from skeinwork.llm import common, exact_dedup, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
 from skeinwork.llm import queries as registered
 from skeinwork.llm.common import batches_by_bytes
 
@@ -173,6 +173,32 @@ def test_compression_bands(spark):
     assert got[4].n_bad_chunks > 0
 
 
+def test_fitted_bands_hold_on_the_other_half(spark, empty):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    bands = quality.fit_bands(docs, labels.where("doc_id % 2 = 0"))
+    assert [r[0] for r in bands.rows] == [r[0] for r in quality.ROWS] and all(a <= b for _, a, b in bands.rows + bands.chunk_rows)
+    judged = quality.judge(docs, bands).where("not base_failed").join(labels.where("doc_id % 2 = 1"), "doc_id").groupBy("quality").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()
+    n = {r.quality: (r.n, r.kept) for r in judged}
+    assert n[1][1] >= 0.98 * n[1][0] and n[0][1] <= 0.6 * n[0][0]
+    none = quality.fit_bands(empty, labels)
+    assert all(a == 0 and b == float("inf") for _, a, b in none.rows) and quality.judge(docs, none).where("not kept and not base_failed").count() == 0
+    # one good text of one class: the others take its limits, and extra columns don't matter
+    one = quality.fit_bands(docs.where("length(text) between 1000 and 1400").limit(1).withColumn("size", F.lit(1)), docs.select("doc_id", F.lit(1).alias("quality")).union(spark.createDataFrame([(None, 1)], "doc_id long, quality int")))
+    assert len({b for _, _, b in one.rows}) == 1
+
+
+def test_scratch_tables_go_and_others_stay(spark, docs):
+    import pathlib
+
+    root = pathlib.Path(common.shared_folder(spark).removeprefix("file://"), "skeinwork")
+    before = set(root.iterdir()) if root.exists() else set()
+    with common.scratch():
+        inside = sorted(map(tuple, near_dup.near_duplicates(docs).collect()))
+    assert set(root.iterdir()) == before
+    out = near_dup.near_duplicates(docs)
+    assert sorted(map(tuple, out.collect())) == inside and set(root.iterdir()) > before
+
+
 def test_production_bands_reject_noise_and_repeats_and_keep_prose(spark, sf_dir):
     import base64
 
