@@ -154,7 +154,7 @@ def export_manifest(spark, d):
 @query(f"with {EV}, m as (select bucket, id, reward, ((row_number() over (partition by bucket order by id) - 1) // 50)::int batch from ev where is_terminal) select bucket, batch, count(*) n, min(id) first_id, max(id) last_id from m group by bucket, batch")
 def export_batches(spark, d):
     ev = event_records(spark, d).where("is_terminal").select("bucket", "id", "reward")
-    return R.export_bounds(Kept(R.in_id_ranges(ev, 16), "export-ranges").rows, 50).select("bucket", "batch", "n", "first_id", "last_id")
+    return R.export_bounds(Kept(R.in_ranges(ev, "bucket", "id", parts=16), "export-ranges").rows, 50).select("bucket", "batch", "n", "first_id", "last_id")
 
 
 @query(f"with {EV} select id, 'missing' side from ev where created_at % 97 = 0 and not is_terminal union all select id, 'unexpected' from ev where created_at % 97 = 1 and is_terminal")

@@ -85,18 +85,24 @@ def cursor(page_of: DataFrame) -> DataFrame:
 
 
 def pages(df: DataFrame, size: int = 10_000, **bounds) -> Iterator[DataFrame]:
-    """Pages until one is short. Only each page's cursor (one row) comes to the driver."""
-    after = None
-    while True:
-        got = page(df, after, size, **bounds).cache()
-        n = got.count()
-        if n:
-            yield got
-        if n < size:
-            got.unpersist()
-            return
-        after = tuple(cursor(got).first())
-        got.unpersist()
+    """All pages in (created_at, id) order, of the rows as they are when the first is asked for.
+
+    The rows are read once, to a copy laid out by ranges of the order, and a page is a part of one or few ranges; only
+    the pages' numbers come to the driver, one after the other. Repeated rows and nulls are on one page each, as they
+    come. page() reads one page of a live table.
+    """
+    if size < 1:
+        raise ValueError("size must be positive")
+    rows = _where(df.where(in_range(bounds.get("start"), bounds.get("end"))), bounds.get("where"))
+    held = [Kept(in_ranges(rows, "created_at", "id"), "pages")]
+    try:
+        held.append(Kept(_numbered(held[0].rows, size, ("created_at", "id")), "numbered-pages"))
+        numbered = held[1].rows
+        for b in numbered.groupBy("batch").agg(F.min("part").alias("a"), F.max("part").alias("b")).orderBy("batch").toLocalIterator():
+            yield numbered.where(F.col("part").between(b["a"], b["b"]) & (F.col("batch") == b["batch"])).orderBy("created_at", "id").drop("part", "batch")
+    finally:
+        for h in held:
+            h.release()
 
 
 def latest(df: DataFrame, where: str | None = None) -> DataFrame:
@@ -104,14 +110,36 @@ def latest(df: DataFrame, where: str | None = None) -> DataFrame:
     return _where(df, where).orderBy(F.desc("created_at"), "id").limit(1)
 
 
-def page_numbers(df: DataFrame, size: int, parts: int = 200) -> DataFrame:
-    """Each row's page in (created_at, id) order, without one task seeing all rows: ranges, their counts, then ranks within."""
-    ranged = df.repartitionByRange(parts, "created_at", "id").withColumn("part", F.spark_partition_id())
-    within = Window.partitionBy("part").orderBy("created_at", "id")
-    ranked = ranged.withColumn("rank", F.row_number().over(within))
-    counts = ranked.groupBy("part").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
-    return ranked.join(F.broadcast(before), "part").withColumn("page", F.floor((F.col("before") + F.col("rank") - 1) / size)).drop("part", "rank", "before")
+def in_ranges(df: DataFrame, *order: str, parts: int | None = None) -> DataFrame:
+    """df with `part`: ranges of the order, each sorted; however many rows a value has, ranges are alike if the order tells rows apart.
+
+    Where ranges begin is sampled anew whenever Spark runs this, so write it before more than one thing is read from it.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+
+
+def _numbered(ranged: DataFrame, size: int, order: tuple[str, ...], within: tuple[str, ...] = ()) -> DataFrame:
+    """ranged with `batch`: a row's rank, which is its rank in its range and what earlier ranges hold, over size."""
+    counts = ranged.groupBy(*within, "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*within).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each range
+    before = counts.select(*within, "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy(*within, "part").orderBy(*order)) - 1
+    return ranged.join(before, [*within, "part"]).withColumn("batch", F.floor((F.col("__before") + rank) / size)).drop("__before")
+
+
+def range_bounds(ranged: DataFrame, size: int, order: tuple[str, ...], within: tuple[str, ...] = ()) -> DataFrame:
+    """(within..., batch, n, first, last, first_part, last_part) of successive batches of `size` rows of a table of in_ranges."""
+    if size < 1:
+        raise ValueError("the size must be positive")
+    keys = _numbered(ranged.select(*within, "part", *order), size, order, within)
+    return keys.groupBy(*within, "batch").agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"), F.min("part").alias("first_part"), F.max("part").alias("last_part"))
+
+
+def page_numbers(df: DataFrame, size: int, parts: int | None = None) -> DataFrame:
+    """Each row's page in (created_at, id) order, without one task seeing all rows."""
+    ranged = Kept(in_ranges(df, "created_at", "id", parts=parts), "numbered-pages").rows
+    return _numbered(ranged, size, ("created_at", "id")).withColumnRenamed("batch", "page").drop("part")
 
 
 def export_manifest(df: DataFrame, batch_size: int) -> DataFrame:
@@ -130,26 +158,10 @@ def check_exportable(df: DataFrame) -> None:
         raise RuntimeError("null id" if nulls else f"id {twice[0]['id']} is not unique")
 
 
-def in_id_ranges(df: DataFrame, parts: int) -> DataFrame:
-    """df with `part`: ranges of (bucket, id), each sorted. A bucket of many rows is many ranges."""
-    return df.repartitionByRange(parts, "bucket", "id").sortWithinPartitions("bucket", "id").withColumn("part", F.spark_partition_id())
-
-
 def export_bounds(ranged: DataFrame, batch_size: int) -> DataFrame:
-    """(bucket, batch, n, first_id, last_id, first_part, last_part) of the batches of a table that in_id_ranges made and
-    that was written since: batches in id order that never cross a bucket.
-
-    A row's rank is its rank in its range and what the bucket's earlier ranges hold, so no task sees a whole bucket.
-    """
-    if batch_size < 1:
-        raise ValueError("batch_size must be positive")
-    keys = ranged.select("bucket", "part", "id")
-    counts = keys.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("bucket", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("id")) - 1
-    numbered = keys.join(before, ["bucket", "part"]).withColumn("batch", F.floor((F.col("before") + rank) / batch_size).cast("int"))
-    return numbered.groupBy("bucket", "batch").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min("part").alias("first_part"), F.max("part").alias("last_part"))
+    """(bucket, batch, n, first_id, last_id, first_part, last_part) of the batches of a table of in_ranges(bucket, id):
+    in id order, and never over two buckets. No task sees a whole bucket."""
+    return range_bounds(ranged, batch_size, ("id",), ("bucket",)).select("bucket", F.col("batch").cast("int").alias("batch"), "n", F.col("first.id").alias("first_id"), F.col("last.id").alias("last_id"), "first_part", "last_part")
 
 
 def export_batches(df: DataFrame, batch_size: int = 10_000, columns: list[str] | None = None, parse_json: bool = False) -> Iterator[DataFrame]:
@@ -168,8 +180,8 @@ def export_batches(df: DataFrame, batch_size: int = 10_000, columns: list[str] |
         copy = Kept(df.select(*dict.fromkeys(["bucket", "id", *(columns or df.columns)])), "export-copy")
         held.append(copy)
         check_exportable(copy.rows)
-        total, parts = copy.rows.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranged = Kept(in_id_ranges(copy.rows, parts), "export-ranges")
+        total = copy.rows.count()
+        ranged = Kept(in_ranges(copy.rows, "bucket", "id"), "export-ranges")
         held.append(ranged)
         bounds = Kept(export_bounds(ranged.rows, batch_size).orderBy("bucket", "batch"), "export-bounds")
         held.append(bounds)

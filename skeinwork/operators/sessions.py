@@ -11,14 +11,18 @@ from ..functions.json import append_json, fingerprints, is_json, json_kind, stat
 SESSION = ("job_id", "session_id")
 
 
+def key_error() -> Column:
+    """What a changed row's session key lacks, or null."""
+    return F.when(is_blank(F.col("job_id")), "blank job_id").when(is_blank(F.col("session_id")), "blank session_id")
+
+
 def dirty_sessions(changes: DataFrame) -> DataFrame:
     """Distinct keys of changed rows; rows without a whole key go to discovery_failures."""
-    return changes.where(~is_blank(F.col("job_id")) & ~is_blank(F.col("session_id"))).select(*SESSION).distinct()
+    return changes.where(key_error().isNull()).select(*SESSION).distinct()
 
 
 def discovery_failures(changes: DataFrame) -> DataFrame:
-    blank = F.when(is_blank(F.col("job_id")), "blank job_id").otherwise("blank session_id")
-    return changes.where(is_blank(F.col("job_id")) | is_blank(F.col("session_id"))).select("id", F.lit("__discovery__").alias("stage"), blank.alias("error"))
+    return changes.where(key_error().isNotNull()).select("id", F.lit("__discovery__").alias("stage"), key_error().alias("error"))
 
 
 def whole_sessions(landing: DataFrame, keys: DataFrame) -> DataFrame:

@@ -9,9 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import bucket, is_blank
+from ..functions.columns import bucket
 from ..operators.aggregates import run_summary
-from ..operators.sessions import SESSION, dirty_sessions, discovery_failures, in_window, whole_sessions
+from ..operators.sessions import SESSION, dirty_sessions, in_window, key_error, whole_sessions
 from ..sources.files import Kept
 from ..sources.store import Table
 from .checkpoints import Checkpoint, MemoryCheckpoints
@@ -143,12 +143,11 @@ class Engine:
             rows_held = done.rows.persist()
             done = Processed(rows_held, done.failures, done.outputs)
             s = run_summary(done.sessions()).first()
-            lost = discovery_failures(changes)
-            failures = done.failures.count() + lost.count()
-            errors = sorted({*s["errors"], *(r["error"] for r in lost.select("error").distinct().collect())})
-            n = self.landing.buckets
-            failing = done.failures.select("job_id").union(changes.where(is_blank(F.col("job_id")) | is_blank(F.col("session_id"))).select("job_id"))
-            failed = sorted(r[0] for r in failing.select(bucket(F.col("job_id"), n)).distinct().collect()) if failures else []
+            lost = changes.where(key_error().isNotNull()).select("job_id", key_error().alias("error"))
+            failing = done.failures.select("job_id", F.lit(None).cast("string").alias("error")).unionByName(lost)
+            told = failing.groupBy(bucket(F.col("job_id"), self.landing.buckets).alias("b"), "error").agg(F.count("*").alias("n")).collect()  # three rows a bucket at most
+            failures, failed = sum(r["n"] for r in told), sorted({r["b"] for r in told})
+            errors = sorted({*s["errors"], *(r["error"] for r in told if r["error"])})
             if not dry_run:
                 self._sink(p, done)
             return Run(p.name, run_id or uuid.uuid4().hex, s["sessions"], s["rows_read"], s["rows_written"], failures, errors, failed_buckets=failed, keys=keys)

@@ -57,6 +57,10 @@ class Table:
         self.spark, self.name = spark, name
         if not spark.catalog.tableExists(name):
             raise FileNotFoundError(f"no table {name}")
+        fixed = self.properties()  # these are given when the table is made, and never change
+        self.key: str | None = fixed.get("key") or None
+        self.buckets = int(fixed.get("buckets", 0))
+        self.required = {c for c in fixed.get("required", "").split(",") if c}
 
     # catalog
 
@@ -84,14 +88,6 @@ class Table:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
         return {r["key"].removeprefix(_OWN): r["value"] for r in rows if r["key"].startswith(_OWN)}
 
-    @property
-    def key(self) -> str | None:
-        return self.properties()["key"] or None
-
-    @property
-    def buckets(self) -> int:
-        return int(self.properties()["buckets"])
-
     @property
     def indexes(self) -> dict[str, str]:
         return {k.removeprefix("index."): v for k, v in self.properties().items() if k.startswith("index.")}
@@ -102,8 +98,7 @@ class Table:
 
     def schema(self) -> T.StructType:
         """The columns without `bucket`; required ones are not nullable."""
-        required = set(self.properties()["required"].split(","))
-        return T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in self.spark.table(self.name).schema if f.name != "bucket"])
+        return T.StructType([T.StructField(f.name, f.dataType, f.name not in self.required) for f in self.spark.table(self.name).schema if f.name != "bucket"])
 
     def partitions(self) -> list[int]:
         return sorted(int(r[0].rpartition("=")[2]) for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect())
@@ -157,9 +152,8 @@ class Table:
         df = self.spark.table(self.name)
         if where is not None and not (isinstance(where, str) and not where.strip()):
             df = df.where(where)
-            key = self.key
-            if buckets is None and key:
-                buckets = pinned_buckets(df, key, self.buckets)
+            if buckets is None and self.key:
+                buckets = pinned_buckets(df, self.key, self.buckets)
         return df if buckets is None else df.where(F.col("bucket").isin([int(b) for b in buckets]))
 
     def read_job(self, job_id: str, latest: bool = True) -> DataFrame:
@@ -191,8 +185,7 @@ class Table:
                 c = F.when(is_blank(c), F.raise_error(F.lit(f"{_REFUSED}blank id")).cast("string")).otherwise(c)
             columns.append(c.alias(f.name))
         out = df.select(*columns)
-        key = self.key
-        return out.withColumn("bucket", bucket(F.col(key), self.buckets) if key else F.lit(0).cast("long"))
+        return out.withColumn("bucket", bucket(F.col(self.key), self.buckets) if self.key else F.lit(0).cast("long"))
 
     def _write(self, fitted: DataFrame, replace: bool) -> int:
         """Rows written. A bucket's rows meet in as many tasks as their size asks for, and files are sorted by id, so
@@ -306,7 +299,7 @@ class Table:
 def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
     """The record tables of a database."""
     names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
-    return [n for n in names if "buckets" in Table(spark, f"{database}.{n}").properties()]
+    return [n for n in names if Table(spark, f"{database}.{n}").buckets]
 
 
 def repartitioned(source: DataFrame, target: Table, drop_blank: bool = True, days: list[str] | None = None) -> dict:
