@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -53,24 +54,23 @@ def _loaded(text: str | None):
         return text
 
 
+#: Members that can hold a link.
+LINK_MEMBERS = ("image_url", "input_audio")
+
+
+def _members(value) -> Iterator[tuple]:
+    """(key, value) of every member of every object within a JSON value, in the order of its text; list items by number."""
+    for key, inner in value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ():
+        yield key, inner
+        yield from _members(inner)
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _links(payloads: pd.Series) -> pd.Series:
-    def visit(value, found: dict) -> None:
-        if isinstance(value, dict):
-            for key, inner in value.items():
-                if key in ("image_url", "input_audio") and isinstance(inner, dict) and isinstance(url := inner.get("url"), str) and url.startswith("s3://"):
-                    found[url] = None
-                visit(inner, found)
-        elif isinstance(value, list):
-            for inner in value:
-                visit(inner, found)
-
     def one(texts) -> list[str]:
-        found: dict = {}
-        for t in texts:
-            if t and ('"url"' in t or "\\u" in t):  # no other text has a key of that name
-                visit(_loaded(t), found)
-        return list(found)
+        values = [_loaded(t) for t in texts if t and ('"url"' in t or "\\u" in t)]  # no other text has a member of that name
+        urls = (inner.get("url") for v in values for key, inner in _members(v) if key in LINK_MEMBERS and isinstance(inner, dict))
+        return list(dict.fromkeys(u for u in urls if isinstance(u, str) and u.startswith("s3://")))
 
     return payloads.map(one)
 
