@@ -13,7 +13,7 @@ from .common import documents, shared_folder
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    llr = secrets.fit(secrets.labelled_samples(spark, secrets.ordinary_words(docs, labels)))
+    llr = secrets.fit(secrets.labelled_samples(docs, labels))
     return secrets.find_secrets(docs, llr)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text
@@ -24,62 +25,52 @@ LEAST_STRETCH = 16
 CANDIDATE = r"[A-Za-z0-9+/_=.-]{%d,}" % LEAST
 #: Log-likelihood ratio (nats) a random string needs: in all, and for each character.
 LEAST_LLR, LEAST_LLR_EACH = 10.0, 0.35
-#: Bound of the labelled sample: random strings made, and labelled good documents whose words count as ordinary.
-SAMPLE_STRINGS, SAMPLE_DOCS = 2000, 400
-
-# Parts of ordinary identifiers.
-PARTS = (
-    "account active array batch buffer build cache channel client column config connection content context controller "
-    "count create current data database default delete description document element email encoder error event example "
-    "export factory field file filter format function group handler header http image index input instance interface "
-    "item label length library limit list loader local manager message method model module name network number object "
-    "option output page parameter parser path pattern permission pipeline process project property provider query record "
-    "reference register release remote request response result schema search server service session setting source "
-    "status storage string system table target template test thread time token type update upload user utility value "
-    "version view window worker"
-).split()
-
-
-def labelled_samples(spark: SparkSession, ordinary: DataFrame | None = None) -> DataFrame:
-    """(s, random): SAMPLE_STRINGS strings of random bytes in four spellings, as many identifiers, and words given."""
-    parts = F.split(F.lit(" ".join(PARTS)), " ")
-    n = len(PARTS)
-
-    def part(k: int) -> Column:
-        return F.element_at(parts, (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n)) + 1).cast("int"))
-
-    digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
-    base64 = F.base64(F.unhex(digest))
-    ids = spark.range(SAMPLE_STRINGS)
-    kind = F.pmod("id", F.lit(4))
-    random = ids.select(F.when(kind == 0, base64).when(kind == 1, F.translate(base64, "+/=", "")).when(kind == 2, F.translate(base64, "+/=", "-_")).otherwise(F.substring(digest, 1, 40)).alias("s"), F.lit(True).alias("random"))
-    a, b, c = part(1), part(2), part(3)
-    kind = F.pmod("id", F.lit(6))
+#: Bound of the labelled sample: documents with a label, those of smallest id.
+SAMPLE_DOCS = 4000
+#: Share of the uniform law in the model of random strings; the labelled samples have the rest.
+UNIFORM = 0.5
+#: Share of single characters' rates in the model of ordinary strings, for pairs that the samples lack.
+SINGLE = 0.3
+#: Copies of ALPHABET in a private-use area, which stand for characters that a base span covers.
+COVERED = "".join(chr(0xE000 + k) for k in range(len(ALPHABET)))
+
+
+def labelled_samples(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(s, random): strings for the two models, from at most sample_docs labelled documents (those of smallest id).
+
+    Random are the values that the base patterns find in them, whatever their label. Ordinary is what is left of those
+    labelled good: words of six characters or more, and identifiers, each spelled from three words that follow each
+    other, in one of six usual ways. Without labels there are no rows; null labels count as not good, null ids are left out.
+    """
+    chosen = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("__good")).orderBy("doc_id").limit(sample_docs)
+    text = id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("text", "__good")
+    values = [F.expr(f"filter(regexp_extract_all(text, '{_quoted(p)}', {g}), x -> char_length(x) >= {ASSIGN_LEAST})") for p, g in ((ASSIGN, 2), (ACCESS, 0), (HEX, 0))]
+    random = text.select(F.explode(F.array_distinct(F.concat(*values))).alias("s"), F.lit(True).alias("random"))
+    left = text.where("__good = 1").select("text")
+    for p in (ASSIGN, ACCESS, HEX):
+        left = left.select(F.regexp_replace("text", p, " ").alias("text"))
+    words = left.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_.=-]{6,}"), F.lit(0))).alias("s"))
+    plain = left.select(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0)).alias("w"))
+    threes = plain.where("size(w) >= 3").select(F.explode(F.expr("transform(sequence(0, size(w) div 3 - 1), k -> transform(slice(w, 3 * k + 1, 3), x -> lower(x)))")).alias("w"))
+    a, b, c = (F.col("w")[k] for k in range(3))
+    kind = F.pmod(F.xxhash64("w"), F.lit(6))
     named = (
-        F.when(kind == 0, F.concat_ws("_", a, b, c))
+        F.when(kind == 0, F.concat_ws("_", "w"))
         .when(kind == 1, F.concat(a, F.initcap(b), F.initcap(c)))
-        .when(kind == 2, F.concat_ws("-", a, b, c))
-        .when(kind == 3, F.concat_ws(".", a, b, c))
+        .when(kind == 2, F.concat_ws("-", "w"))
+        .when(kind == 3, F.concat_ws(".", "w"))
         .when(kind == 4, F.concat_ws("/", a, b, F.concat(c, F.lit("."), F.substring(a, 1, 2))))
-        .otherwise(F.upper(F.concat_ws("_", a, b, c)))
+        .otherwise(F.upper(F.concat_ws("_", "w")))
     )
-    out = random.unionByName(ids.select(named.alias("s"), F.lit(False).alias("random")))
-    return out if ordinary is None else out.unionByName(ordinary.select("s", F.lit(False).alias("random")))
-
-
-def ordinary_words(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Words of at most sample_docs documents labelled good (those of smallest id), without what the base patterns find."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().orderBy("doc_id").limit(sample_docs)
-    text = id_and_text(docs).join(F.broadcast(good), "doc_id", "left_semi").select("text")
-    for p in (ASSIGN, ACCESS, HEX):
-        text = text.select(F.regexp_replace("text", p, " ").alias("text"))
-    return text.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=.-]{6,}"), F.lit(0))).alias("s"))
+    return random.unionByName(words.unionByName(threes.select(named.alias("s"))).select("s", F.lit(False).alias("random")))
 
 
 def fit(samples: DataFrame) -> list[float]:
-    """Log-likelihood ratios of character pairs, random over ordinary, row by row of ALPHABET; add-one smoothing.
+    """Log-likelihood ratios of character pairs, random over ordinary, row by row of ALPHABET.
 
-    One aggregate over the samples gives at most 2 * len(ALPHABET) ** 2 counts, whatever the samples' size.
+    Rates have add-one smoothing. SINGLE parts of an ordinary one are the second character's own rate, since a bounded
+    sample lacks pairs that other ordinary words have. UNIFORM parts of a random one are the uniform law: labelled
+    secrets are of few kinds, and those of others are random too. No samples: all ratios are 0. One aggregate over the samples gives at most 2 * len(ALPHABET) ** 2 counts, whatever the samples' size.
     """
     size = len(ALPHABET)
     code = f"transform(split(s, ''), c -> locate(c, '{ALPHABET}'))"
@@ -87,11 +78,13 @@ def fit(samples: DataFrame) -> list[float]:
     rows = pairs.where("p.x > 0 and p.y > 0").groupBy("random", "p.x", "p.y").count().collect()
     count = {(r["random"], r["x"], r["y"]): r["count"] for r in rows}
     out = []
+    every = sum(count[k] for k in count if not k[0])
+    single = [(sum(count.get((False, x, y), 0) for x in range(1, size + 1)) + 1) / (every + size) for y in range(1, size + 1)]
     for x in range(1, size + 1):
         total = {r: sum(count.get((r, x, y), 0) for y in range(1, size + 1)) for r in (True, False)}
         for y in range(1, size + 1):
             rate = {r: (count.get((r, x, y), 0) + 1) / (total[r] + size) for r in (True, False)}
-            out.append(math.log(rate[True] / rate[False]))
+            out.append(math.log((UNIFORM / size + (1 - UNIFORM) * rate[True]) / (SINGLE * single[y - 1] + (1 - SINGLE) * rate[False])))
     return out
 
 
@@ -99,21 +92,57 @@ _STRUCT = "start:int,kind:int,end:int"
 _NONE = f"cast(array() as array<struct<{_STRUCT}>>)"
 
 
-def _spans(kind: int, pattern: str, values: int = 0, keep: str = "true") -> str:
+def _quoted(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("'", "\\'")
+
+
+#: Running sums are folds over stretches of this many numbers, since an array that grows is copied for each number.
+STRETCH = 64
+
+
+def _running(numbers: str, levels: int = 3) -> str:
+    """SQL for the running sums of an array: within stretches, then of the stretches' sums, `levels` deep.
+
+    With three levels the work for n numbers is n * STRETCH, up to STRETCH ** 4 of them.
+    """
+    x, w, o = (f"{c}{levels}" for c in "xwo")
+    fold = "aggregate({}, named_struct('t', 0, 'o', cast(array() as array<int>)), (a, v) -> named_struct('t', a.t + v, 'o', concat(a.o, array(a.t + v))), a -> a.o)".format
+    if not levels:
+        return fold(numbers)
+    stretches = f"transform(sequence(0, cast((size({x}) - 1) div {STRETCH} as int)), k -> {fold(f'slice({x}, k * {STRETCH} + 1, {STRETCH})')})"
+    sums = _running(f"transform({w}, b -> b[size(b) - 1])", levels - 1)
+    moved = f"flatten(transform({w}, (b, k) -> transform(b, v -> v + if(k = 0, 0, {o}[k - 1]))))"
+    long = f"transform(array({stretches}), {w} -> transform(array({sums}), {o} -> {moved})[0])[0]"
+    return f"transform(array({numbers}), {x} -> if(size({x}) <= {STRETCH}, {fold(x)}, {long}))[0]"
+
+
+def _matches(pattern: str, values: int, text: str) -> str:
+    """SQL for a text's matches m, their group `values` v, and what is before, between and after them g."""
+    p = _quoted(pattern)
+    return f"array(named_struct('m', regexp_extract_all({text}, '{p}', 0), 'v', regexp_extract_all({text}, '{p}', {values}), 'g', split({text}, '{p}', -1)))"
+
+
+def _spans(kind: int, pattern: str, values: int = 0, keep: str = "true", text: str = "text") -> str:
     """SQL for the spans of a pattern's matches, leftmost and non-overlapping, in code points.
 
-    What lies between the matches (split) and the matches themselves give all lengths, which one fold adds up.
+    What lies between the matches (split) and the matches themselves give all lengths, and their running sums the ends.
     `keep` judges match i by s.v, the pattern's group `values`.
     """
-    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    begin = "a.at + char_length(s.g[i])"
-    end = f"{begin} + char_length(s.m[i])"
-    fold = (
-        f"aggregate(sequence(0, size(s.m) - 1), named_struct('at', 0, 'out', {_NONE}), (a, i) -> named_struct('at', {end}, 'out', "
-        f"if({keep}, concat(a.out, array(named_struct('start', {begin}, 'kind', {kind}, 'end', {end}))), a.out)), a -> a.out)"
-    )
-    once = f"array(named_struct('m', regexp_extract_all(text, '{quoted}', 0), 'v', regexp_extract_all(text, '{quoted}', {values}), 'g', split(text, '{quoted}', -1)))"
-    return f"if(rlike(text, '{quoted}'), transform({once}, s -> {fold})[0], {_NONE})"
+    ends = _running("zip_with(slice(s.g, 1, size(s.m)), s.m, (x, y) -> char_length(x) + char_length(y))")
+    each = f"transform(s.m, (x, i) -> named_struct('start', e[i] - char_length(x), 'kind', {kind}, 'end', e[i]))"
+    found = f"transform(array({ends}), e -> filter({each}, (x, i) -> {keep}))[0]"
+    return f"if(rlike({text}, '{_quoted(pattern)}'), transform({_matches(pattern, values, text)}, s -> {found})[0], {_NONE})"
+
+
+def _with_copies(chars: str) -> str:
+    """A class of characters that takes their copies of COVERED as well."""
+    return f"[{chars}{''.join(COVERED[k] for k, c in enumerate(ALPHABET) if re.fullmatch(f'[{chars}]', c))}]"
+
+
+def _covered(pattern: str, values: int = 0, keep: str = "true") -> str:
+    """SQL for the text with the copies of COVERED in place of the characters of each kept match."""
+    both = f"zip_with(slice(s.g, 1, size(s.m)), transform(s.m, (x, i) -> if({keep}, translate(x, '{ALPHABET}', '{COVERED}'), x)), (x, y) -> concat(x, y))"
+    return f"if(rlike(text, '{_quoted(pattern)}'), transform({_matches(pattern, values, 'text')}, s -> concat(array_join({both}, ''), s.g[size(s.m)]))[0], text)"
 
 
 def find_secrets(docs: DataFrame, llr: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,25 +158,21 @@ def find_secrets(docs: DataFrame, llr: list[float], id_col: str = "doc_id", text
     """
     table = ",".join(f"{x:.6g}" for x in llr)
     size = len(ALPHABET)
-    base = id_and_text(docs, id_col, text_col)
-    found = base.select(
+    kept = f"char_length(s.v[i]) >= {ASSIGN_LEAST}"
+    found = id_and_text(docs, id_col, text_col).select(
         "doc_id",
         "text",
-        F.expr(_spans(0, ASSIGN, 2, f"char_length(s.v[i]) >= {ASSIGN_LEAST}")).alias("assign"),
+        F.expr(_spans(0, ASSIGN, 2, kept)).alias("assign"),
         F.expr(f"if(contains(text, 'AKIA'), {_spans(1, ACCESS)}, {_NONE})").alias("access"),
         F.expr(_spans(2, HEX)).alias("hex"),
-        F.expr(_spans(3, CANDIDATE)).alias("candidates"),
-    )
-    found = found.select("doc_id", "assign", "access", "hex", F.expr("array_sort(concat(assign, access, hex))").alias("base"), F.expr("if(size(candidates) = 0, cast(array() as array<struct<start:int,kind:int,end:int,s:string>>), zip_with(candidates, regexp_extract_all(text, '%s', 0), (c, s) -> named_struct('start', c.start, 'kind', c.kind, 'end', c.end, 's', s)))" % CANDIDATE).alias("candidates"))
-    # what the base spans leave of each run, in code points of the text
-    cut = "filter(base, b -> c.start < b.end and b.start < c.end)"
-    gaps = (
-        f"aggregate({cut}, named_struct('at', c.start, 'out', cast(array() as array<struct<start:int,end:int>>)), (a, b) -> named_struct('at', greatest(a.at, b.end), "
-        f"'out', if(b.start - a.at >= {LEAST}, concat(a.out, array(named_struct('start', a.at, 'end', b.start))), a.out)), "
-        f"a -> if(c.end - a.at >= {LEAST}, concat(a.out, array(named_struct('start', a.at, 'end', c.end))), a.out))"
     )
-    piece = f"flatten(transform(candidates, c -> transform({gaps}, g -> named_struct('start', g.start, 'end', g.end, 's', substring(c.s, g.start - c.start + 1, g.end - g.start)))))"
-    found = found.withColumn("pieces", F.expr(piece))
+    found = found.withColumn("base", F.expr("array_sort(concat(assign, access, hex))"))
+    # runs of ALPHABET outside the base spans: copies (none of them the text's own) cover these, and later patterns take the copies, so their spans stay
+    covered = found.withColumn("text", F.when(F.col("text").rlike(f"[{COVERED}]"), F.translate("text", COVERED, "!" * len(COVERED))).otherwise(F.col("text")))
+    access, hexes = "".join(map(_with_copies, (*"AKIA", "A-Z0-9"))) + "{14,}", _with_copies("0-9a-f") + "{16,}"
+    for how in (_covered(ASSIGN, 2, kept), _covered(access), _covered(hexes)):
+        covered = covered.withColumn("text", F.when(F.size("base") > 0, F.expr(how)).otherwise(F.col("text")))
+    found = covered.withColumn("pieces", F.expr(f"zip_with({_spans(3, CANDIDATE)}, regexp_extract_all(text, '{CANDIDATE}', 0), (c, s) -> named_struct('start', c.start, 'end', c.end, 's', s))"))
     code = f"transform(split(c.s, ''), x -> locate(x, '{ALPHABET}'))"
     ratios = f"zip_with(slice(k, 1, size(k) - 1), slice(k, 2, size(k) - 1), (x, y) -> t[(x - 1) * {size} + y - 1])"
     # one fold: the sum of all pairs; the running stretch (begin, sum over the limit) and the best one so far

@@ -73,7 +73,80 @@ def base_spans(t):
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return secrets.fit(secrets.labelled_samples(spark))
+    """Fitted on the labelled documents of the small table; the tests' own strings are not among them."""
+    sf = "/root/testdata/sf0.01"
+    return secrets.fit(secrets.labelled_samples(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")))
+
+
+NAMES = "account buffer channel database encoder factory handler instance library message number object parser query record schema template upload value window".split()
+
+
+def markov_spans(t, model):
+    """The Markov spans of a text, by character and by loop."""
+    covered = list(t)
+    for s in filter(None, base_spans(t).split(",")):
+        _, a, b = s.split(":")
+        covered[int(a) : int(b)] = "\0" * (int(b) - int(a))
+    code, size, out = secrets.ALPHABET, len(secrets.ALPHABET), []
+    for m in re.finditer("[A-Za-z0-9+/_=.-]{20,}", "".join(covered)):
+        x = [model[code.index(a) * size + code.index(b)] for a, b in zip(m[0], m[0][1:])]
+        x = [float(f"{v:.6g}") for v in x]
+        if sum(x) >= max(secrets.LEAST_LLR, secrets.LEAST_LLR_EACH * len(x)):
+            out.append((m.start(), m.end()))
+            continue
+        best, start, end, run, begin = 0.0, 0, 0, 0.0, 0
+        for k, v in enumerate(x):
+            begin, run = (begin if run > 0 else k), max(run, 0.0) + v
+            if run > best:
+                best, start, end = run, begin, k + 2
+        if end - start >= secrets.LEAST_STRETCH and best >= max(secrets.LEAST_LLR, secrets.LEAST_LLR_EACH * (end - start - 1)):
+            out.append((m.start() + start, m.start() + end))
+    return [f"markov:{a}:{b}" for a, b in out]
+
+
+def test_markov_spans_equal_a_loop(spark, model):
+    r = random.Random(3)
+    parts = ["token=", "AKIA", "api_key: ", "apikey", " ", "\n", "/", "_", "\ue005", "\ue03a", "🙂", "é"] + NAMES[:6]
+
+    def piece():
+        k = r.randrange(6)
+        n = r.choice([3, 11, 15, 16, 20, 40])
+        return r.choice(parts) if k < 3 else "".join(r.choice("0123456789abcdef") for _ in range(n)) if k == 3 else "".join(r.choice(secrets.ALPHABET) for _ in range(n)) if k == 4 else "".join(r.choice("ABCDEFGHIJ0123456789") for _ in range(n))
+
+    rows = [(k, "".join(piece() for _ in range(r.choice([1, 4, 12, 40, 400])))) for k in range(400)]
+    rows += [(400, "ab12" * 3 + "abcapi_key=" + "Zq9" * 12), (401, "AKIA" + "Q" * 12 + "0123456789" * 3 + "Zq9x" * 8)]
+    got = {x.doc_id: x for x in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    found = 0
+    for k, t in rows:
+        assert got[k].base_sha256 == hashlib.sha256(base_spans(t).encode()).hexdigest()
+        want = markov_spans(t, model)
+        assert [s for s in got[k].spans.split(",") if s.startswith("markov")] == want, (k, t)
+        found += len(want)
+    assert found > 200
+
+
+def test_secrets_of_one_text_with_very_many_spans(spark, model):
+    r = random.Random(4)
+    texts = [(1, " ".join(f"{r.getrandbits(64):016x}" for _ in range(60_000))), (2, " ".join("".join(r.choice(secrets.ALPHABET) for _ in range(24)) for _ in range(20_000))), (1, "token=" + "x" * 12), (None, None)]
+    rows = secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    got = {(x.doc_id, len(x.spans) > 100): x for x in rows}
+    assert len(rows) == 4 and got[1, True].n_hex == 60_000 and got[None, False].spans == "" and got[1, False].spans == "assign:0:18"
+    for k in (0, 1):
+        i, t = texts[k]
+        assert got[i, True].base_sha256 == hashlib.sha256(base_spans(t).encode()).hexdigest()
+        assert [s for s in got[i, True].spans.split(",") if s.startswith("markov")] == markov_spans(t, model)
+
+
+def test_models_of_labelled_documents(spark):
+    key = hashlib.sha1(b"k").hexdigest()
+    docs = spark.createDataFrame([(1, f"the quick brown foxes token={key} jumped", "x"), (2, f"secret: {key[:20]} bad words here", "x"), (3, "never labelled words", "x"), (4, None, "x"), (None, "no id at all", "x")], "doc_id long, text string, s string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (4, 1), (None, 1), (9, 1)], "doc_id long, quality int")
+    rows = secrets.labelled_samples(docs, labels).collect()
+    assert sorted(r.s for r in rows if r.random) == sorted([key, key[:20]])
+    plain = [r.s for r in rows if not r.random]
+    assert {"brown", "foxes", "jumped"} - {"brown", "foxes"} <= set(plain) and len(plain) == 2 and not any("bad" in s.lower() for s in plain)
+    assert {r.s for r in secrets.labelled_samples(docs, labels, 1).collect() if r.random} == {key}
+    assert max(map(abs, secrets.fit(secrets.labelled_samples(docs, labels.where("false"))))) < 1e-9
 
 
 def test_secrets_equal_the_patterns(docs, texts, model, empty):
@@ -91,7 +164,7 @@ def test_markov_models_tell_held_out_strings_apart(spark, model):
 
     r = random.Random(99)
     rand = [base64.b64encode(r.randbytes(24)).decode().rstrip("=") for _ in range(200)]
-    plain = [r.choice(["_", "-", "."]).join(r.choice(secrets.PARTS) for _ in range(4)) for _ in range(200)] + ["internationalisation", "verantwortungsbewusstsein", "/usr/local/share/applications/x"]
+    plain = [r.choice(["_", "-", "."]).join(r.choice(NAMES) for _ in range(4)) for _ in range(200)] + ["internationalisation", "verantwortungsbewusstsein", "/usr/local/share/applications/x"]
     df = spark.createDataFrame([(k, f"see {s} there") for k, s in enumerate(rand + plain)], "doc_id long, text string")
     got = {x.doc_id: x for x in secrets.find_secrets(df, model).collect()}
     hits = sum(got[k].n_markov for k in range(200))
