@@ -526,6 +526,15 @@ def test_mixed_documents_come_in_the_order_of_the_mix(spark):
     assert order == sorted(order) and seen == {i: len(p) for i, p in place.items()}
 
 
+def test_blocks_follow_the_greatest_source(spark):
+    rows = [(k, "word " * (k % 7), "hot" if k % 3 else None) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    most = sum(k % 7 for k in range(300) if k % 3)
+    got, want = (sorted(map(str, mixing.mix(df, **how).collect())) for how in ({"blocks": 2, "block_tokens": 40}, {"blocks": -(-most // 40)}))
+    assert got == want and len({x.split("block=")[1].split(",")[0] for x in got}) > 2
+    assert sorted(map(str, mixing.mix(df, blocks=64, block_tokens=10**9).collect())) == sorted(map(str, mixing.mix(df, blocks=64).collect()))
+
+
 def test_exponent_meets_entropy_or_the_repetition_limit(spark):
     p = [0.7, 0.2, 0.07, 0.03]
     shares = spark.createDataFrame([(str(k), x) for k, x in enumerate(p)], "key string, p double")
@@ -770,6 +779,37 @@ def test_paragraphs(spark, docs, texts, empty):
     assert none.count() == 0 and paragraphs.summary(empty, none).count() == 0
 
 
+def test_the_registered_bands_find_edited_passages(spark):
+    """The query's own bands against all pairs: nothing more goes, and nearly all of what is not verbatim too."""
+    r = random.Random(17)
+    rows, k = [], 0
+    for n in (51, 70, 120):
+        for _ in range(20):
+            passage = " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+            for share in (0.0, 0.02, 0.05):
+                rows.append((k, " ".join(f"z{r.randrange(10**6)}" for _ in range(r.randrange(1, 60))) + " " + edited(r, passage, share) + " " + " ".join(f"y{r.randrange(10**6)}" for _ in range(r.randrange(1, 60)))))
+                k += 1
+    # pairs of sets that differ at an end alone: never equal, similarity 0.88
+    for _ in range(150):
+        words = [f"v{r.randrange(10**6)}" for _ in range(20)]
+        rows += [(k, " ".join(words)), (k + 1, " ".join([f"u{r.randrange(10**6)}", *words[1:]]))]
+        k += 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = {"line_bands": (1, 40)}  # lines share no band unless they are equal, so passages are judged by themselves
+    got = {x.doc_id: x.spans for x in paragraphs.summary(df, paragraphs.repeated_paragraphs(df, **lines)).collect()}
+    want = removed_passages(rows)
+    places = lambda spans: {p for a, b in spans for p in range(a, b)}
+    hit = wanted = 0
+    for i, _ in rows:
+        have = places([tuple(map(int, x.split(":"))) for x in got[i].split(",") if x])
+        due = places(want[i][0])
+        assert have <= due
+        hit, wanted = hit + len(have), wanted + len(due)
+    pairs = [i for i, _ in rows[180:] if want[i][0]]
+    found = sum(bool(got[i]) for i in pairs)
+    assert len(pairs) == 150 and found >= 0.9 * len(pairs) and hit >= 0.95 * wanted, (found, hit, wanted)
+
+
 def test_a_passage_of_51_words_is_found_wherever_it_stands(spark):
     r = random.Random(8)
     rows = []
