@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from .common import SPACES, batches_by_bytes, write_table
 from .tokens import piece_bpe_counts
 
-BLOCKS = 256
+#: Least blocks of a source, and tokens of a block of the greatest source where that asks for more.
+BLOCKS, BLOCK_TOKENS = 256, 50_000_000
 #: Share of the greatest entropy (all sources alike) that the mix is to reach, and most times a document may be used.
 ENTROPY, REPEATS = 0.95, 4.0
 
@@ -64,13 +65,13 @@ def bisect_exponent(shares: DataFrame, n_sources: int, scale: float, entropy: fl
     return round(max(low_e, high_r), 6)
 
 
-def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, blocks: int = BLOCKS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", with_row: bool = False, model_path: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, blocks: int = BLOCKS, block_tokens: int = BLOCK_TOKENS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", with_row: bool = False, model_path: str | None = None) -> DataFrame:
     """One row per use of a document: doc_id, source, epoch, block_rank, block, n_tokens, weight.
 
     Tokens are those of the sentencepiece model at model_path; without one, words. A source's weight is its share of all
     tokens to the power found by bisect_exponent, normalised; its quota is
-    that of the budget (the corpus' tokens, if not given). Each source is dealt into `blocks` blocks by hash, so a source
-    with a third of all rows is that many groups. Epoch e is a permutation of a source's blocks; whole epochs use all
+    that of the budget (the corpus' tokens, if not given). Each source is dealt into blocks by hash, `blocks` of them or
+    as many as hold about block_tokens each in the greatest source, so a block is one task's work at any size. Epoch e is a permutation of a source's blocks; whole epochs use all
     of them, the last one those that fit the rest of the quota and, of the block at its edge, documents (in hash order)
     up to it: a source misses its quota by less than one document. A null source is a source of its own. Sources without
     a token have no weight and give no rows; null or empty texts of others go with their block. Repeated rows are used
@@ -81,10 +82,12 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     dealt = F.coalesce(docs[id_col].cast("long"), F.xxhash64(docs[text_col]))
     named = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), (count_tokens(docs[text_col], model_path) if model_path else count_words(docs[text_col])).alias("n_tokens"), dealt.alias("dealt"), *row)
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
-    rows = write_table(named.withColumn("key", key).withColumn("block", F.pmod(F.xxhash64("dealt", F.lit(seed)), F.lit(blocks)).cast("int")), "mix-rows")
+    rows = write_table(named.withColumn("key", key), "mix-rows")
+    sources = write_table(rows.groupBy("key").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "mix-sources")
+    total, n, most = sources.agg(F.sum("tokens"), F.count("*"), F.max("tokens")).first()
+    blocks = max(blocks, -(-(most or 0) // block_tokens))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("dealt", F.lit(seed)), F.lit(blocks)).cast("int"))
     held = rows.groupBy("key", "block").agg(F.sum("n_tokens").alias("tokens"))
-    sources = write_table(held.groupBy("key").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "mix-sources")
-    total, n = sources.agg(F.sum("tokens"), F.count("*")).first()
     if not n:
         return rows.select("doc_id", "source", F.lit(0).alias("epoch"), F.lit(0).alias("block_rank"), "block", "n_tokens", F.lit(0.0).alias("weight"), *more).where(F.lit(False))
     budget = int(budget or total)
