@@ -168,7 +168,7 @@ def find_secrets(docs: DataFrame, llr: list[float], id_col: str = "doc_id", text
     )
     found = found.withColumn("base", F.expr("array_sort(concat(assign, access, hex))"))
     # runs of ALPHABET outside the base spans: copies (none of them the text's own) cover these, and later patterns take the copies, so their spans stay
-    covered = found.withColumn("text", F.when(F.col("text").rlike(f"[{COVERED}]"), F.translate("text", COVERED, "!" * len(COVERED))).otherwise(F.col("text")))
+    covered = found.withColumn("text", F.when(F.col("text").rlike(f"[{COVERED[0]}-{COVERED[-1]}]"), F.translate("text", COVERED, "!" * len(COVERED))).otherwise(F.col("text")))
     access, hexes = "".join(map(_with_copies, (*"AKIA", "A-Z0-9"))) + "{14,}", _with_copies("0-9a-f") + "{16,}"
     for how in (_covered(ASSIGN, 2, kept), _covered(access), _covered(hexes)):
         covered = covered.withColumn("text", F.when(F.size("base") > 0, F.expr(how)).otherwise(F.col("text")))
