@@ -11,14 +11,15 @@ dealt over tasks in every join.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hot_join, release, write_table
+from .common import HOT_KEYS, HOT_ROWS, hot_join, release, write_table
 from .signatures import bag_minhash, minhash, minhash_bits
 
 #: Bits of a sketch, one for each place of a signature: they differ with probability (1 - similarity) / 2.
@@ -27,6 +28,31 @@ BITS = 1024
 DEVIATIONS = 3.5
 #: Members of a mixed bucket that one task compares with as many others.
 BLOCK = 512
+#: Parts of the space of keys that are looked at for hot ones.
+PARTS = 1 << 16
+
+
+def shared_rows(keys: DataFrame, *rows: DataFrame) -> list[DataFrame]:
+    """Tables of all rows of whose key (a 64-bit hash) there are several, with n, how many; no key is in two of `rows`, and
+    keys has the keys of all, as its only column.
+
+    Rows are dealt by key once, those of one DataFrame after those of another, and each key is counted where its rows lie.
+    Keys in parts of the key space (PARTS of them) with over 1/HOT_KEYS of all rows are counted before and joined instead,
+    so that a hot key is dealt over tasks.
+    """
+    part = F.pmod("key", F.lit(PARTS))
+    sizes = write_table(keys.groupBy(part.alias("part")).agg(F.count("*").alias("n")), "key-parts")
+    cut = max(HOT_ROWS, (sizes.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
+    hot = [r.part for r in sizes.where(F.col("n") > cut).collect()]  # HOT_KEYS at most
+    release(sizes)
+    same = F.count("*").over(Window.partitionBy("key"))
+    out = [write_table((r.where(~part.isin(hot)) if hot else r).withColumn("n", same).where("n > 1"), "shared-rows") for r in rows]
+    if hot:
+        counts = write_table(keys.where(part.isin(hot)).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "hot-keys")
+        rest = reduce(DataFrame.unionByName, [r.where(part.isin(hot)) for r in rows])
+        out.append(write_table(hot_join(rest, counts, "key"), "shared-rows"))
+        release(counts)
+    return out
 
 
 def buckets(rows: DataFrame) -> DataFrame:
@@ -114,6 +140,21 @@ def components(links: DataFrame) -> DataFrame:
         release(hop)
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, label) as components() gives them once these links (a, b) are there too: components of labels, not of ids."""
+    ends = write_table(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(labels.hint("merge"), "id", "left").select("id", F.coalesce("label", "id").alias("label"), F.col("label").isNull().alias("fresh")), "ends")
+    pairs = links.select("a", "b")
+    for side, to in (("a", "x"), ("b", "y")):
+        pairs = hot_join(pairs, ends.select(F.col("id").alias(side), F.col("label").alias(to)), side, sizes=links.groupBy(side).agg(F.count("*").alias("n")))
+    moved = components(pairs.where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    every = labels.select("id", "label").unionByName(ends.where("fresh").select("id", "label"))
+    moved = moved.select(F.col("id").alias("label"), F.col("label").alias("to"))
+    out = hot_join(every, moved, "label", "left", sizes=every.groupBy("label").agg(F.count("*").alias("n")))
+    out = write_table(out.select("id", F.coalesce("to", "label").alias("label")), "labels")
+    release(ends)
+    return out
+
+
 def shared_weights(content: DataFrame) -> DataFrame:
     """content (id, label, elements[, weights]) with total, an id's weight, and shared, that of elements which others have too.
 
@@ -160,7 +201,7 @@ def rest_pairs(met: DataFrame, labels: DataFrame, rows: DataFrame, content: Data
     Exact bounds come first, before anything is paired: a pair of similarity `least` has at least least / (1 + least) of
     both weights together in common, which is no more than either shares with anything. What passes must also, if wanted,
     have sketches that agree to DEVIATIONS. A bucket is split into blocks of about BLOCK members, and each pair of blocks
-    is a key of its own. A pair that shares several buckets is made in the first one only.
+    is a key of its own. A pair that shares several buckets is made in that of the least key only.
     """
     own = write_table(_mixed(met.join(labels.hint("merge"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))).drop("m"), "mixed-members")
     mine = content.join(own.select("id").distinct().hint("merge"), "id", "left_semi")
@@ -186,7 +227,7 @@ def rest_pairs(met: DataFrame, labels: DataFrame, rows: DataFrame, content: Data
         most = int(BITS * differ + DEVIATIONS * sqrt(BITS * differ * (1 - differ)))
         bits = " + ".join(f"bit_count(p[{k}] ^ q[{k}])" for k in range(BITS // 64))  # spelled out: this is done for all pairs within the bounds
         fits = fits & F.expr(f"{bits} <= {most}")
-    fits = fits & F.expr("element_at(g, cast(array_position(zip_with(g, h, (x, y) -> x = y), true) as int))").eqNullSafe(one.key)
+    fits = fits & F.expr("array_min(array_intersect(g, h))").eqNullSafe(one.key)
     pairs = one.join(two, fits).select("a", "b").distinct()
     fresh = write_table(pairs.join(known.select("a", "b").union(known.select("b", "a")).hint("merge"), ["a", "b"], "left_anti"), "rest-pairs")
     release(dealt)
@@ -209,6 +250,6 @@ def classes(rows: DataFrame, content_of, least: float, sketches: bool = True) ->
     if not more.isEmpty():
         extra = write_table(similarities(more, content), "similarities").where(F.col("sim") >= least)
         if not extra.isEmpty():
-            labels = components(links.unionByName(extra))
+            labels = joined(labels, extra)
     release(known, more)
     return labels, content

@@ -7,11 +7,17 @@ each SPAN successive places the one of least hash begins a paragraph of MIN_WORD
 as they come, but begin three words apart at least, so that no two of a text are alike for their overlap. A passage of 51
 words (MIN_WORDS + SPAN - 1 and two on either side) holds a whole one, cut alike in every text that has the passage. All that lie
 in a repeated passage go; up to REACH words at its ends, where none is whole, can stay.
+
+Lines are banded. Passages have as many words as each other, so two of 20 words that are LEAST alike differ by one shingle
+on either side at most; and if either repeats none of its three-word runs, its shingles follow each other in one way only, so
+that the other holds all of its words but the first or but the last, in their order. Such pairs meet by a hash of 19 words,
+without bands and with none lost (see _runs_decide). Only passages that do repeat a three-word run are banded too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches_by_bytes, flat_bytes, hot_join, id_and_text, mix64, release, word_hashes, word_ids, word_spans, write_table
-from .links import classes
+from .links import classes, shared_rows
 from .near_dup import _lists, _rows
 from .signatures import band_keys
 
@@ -30,13 +36,12 @@ SPAN = 28
 REACH = SPAN + 3  # in passages of which no paragraph is lost, the words at either end that none covers
 WIDTH = 5  # words of a shingle
 #: Bands and places in each, tuned for recall: at similarity 0.8 two lines share a band with probability 0.995, two
-#: passages within lines with 0.943. Passages have as many words as each other, so most that are not equal but 0.8 alike
-#: differ by one shingle on either side (0.88), and share one with 0.990.
+#: passages that both repeat a three-word run with 0.943 (0.990 at 0.88). Other passages need none.
 LINE_BANDS, PASSAGE_BANDS = (10, 4), (4, 3)
 
 _KEY = "struct<doc_id:long,place:long>"
 _KEY_TYPE = pa.struct([("doc_id", pa.int64()), ("place", pa.int64())])
-_MARKED = pa.schema([("id", _KEY_TYPE), ("start", pa.int32()), ("end", pa.int32()), ("print", pa.binary()), ("keys", pa.list_(pa.int64()))])
+_MARKED = pa.schema([("id", _KEY_TYPE), ("start", pa.int32()), ("end", pa.int32()), ("hashes", pa.list_(pa.int64()))])
 _CONTENT = pa.schema([("id", _KEY_TYPE), ("elements", pa.list_(pa.int64()))])
 
 
@@ -117,6 +122,38 @@ def _signatures(words: _Words, first: np.ndarray, end: np.ndarray, size: int) ->
     return out
 
 
+def _runs_decide(size: int, least: float) -> bool:
+    """Whether two passages of `size` words that are `least` alike have size - 1 words running in common, unless both repeat
+    a run of WIDTH - 2 words.
+
+    Let A, of n shingles, repeat none, so that its shingles are n different ones and B, that has c of them and u others,
+    has c >= least * (n + u). As c + u <= n, u is at most n * (1 - least) / (1 + least); let that be less than 2. Within B a
+    shingle of A can be followed by the next of A or by the other one, e. What e leads back to would have to begin with
+    the WIDTH - 2 words that end the shingle before e: in A these stand in one place, where e would be A's own shingle. So
+    B's shingles of A are one run, with e at one end (at both, A would repeat what e begins and ends with), or B is A.
+    """
+    return (size - WIDTH + 1) * (1 - least) / (1 + least) < 2
+
+
+def _runs(hashes: np.ndarray) -> np.ndarray:
+    """(rows, 2): 64-bit hashes of each row's words but the last and but the first; one function of the words for both."""
+    out = np.zeros((len(hashes), 2), np.uint64)
+    for side in (0, 1):
+        for k in range(side, hashes.shape[1] - 1 + side):
+            out[:, side] = mix64(out[:, side] * np.uint64(0x9E3779B97F4A7C15) + hashes[:, k])
+    return out
+
+
+def _repeats(hashes: np.ndarray) -> np.ndarray:
+    """Which rows of word hashes hold a run of WIDTH - 2 words twice."""
+    n = hashes.shape[1] - WIDTH + 3
+    run = np.zeros((len(hashes), max(n, 0)), np.uint64)
+    for k in range(WIDTH - 2):
+        run = run * np.uint64(0x9E3779B97F4A7C15) + hashes[:, k : k + n]
+    run = np.sort(run, axis=1)
+    return (run[:, 1:] == run[:, :-1]).any(axis=1)
+
+
 def _ids(table: pa.Table, words: _Words, first: np.ndarray, kind: int) -> pa.StructArray:
     """doc_id, and place: 31 bits of the text's hash, 31 of the paragraph's first word, and its kind (1: within lines)."""
     row = words.rows[first]
@@ -124,9 +161,13 @@ def _ids(table: pa.Table, words: _Words, first: np.ndarray, kind: int) -> pa.Str
     return pa.StructArray.from_arrays([table["doc_id"].combine_chunks().take(pa.array(row)), pa.array(place)], fields=list(_KEY_TYPE))
 
 
-def marked_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN, line_bands: tuple[int, int] = LINE_BANDS, passage_bands: tuple[int, int] = PASSAGE_BANDS) -> DataFrame:
-    """(id, start, end, print, keys) of each paragraph of documents (doc_id, text, key): its place in code points, a hash of
-    its words, and its band keys."""
+def marked_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int = MIN_WORDS, span: int = SPAN, line_bands: tuple[int, int] = LINE_BANDS, passage_bands: tuple[int, int] = PASSAGE_BANDS) -> DataFrame:
+    """(id, start, end, hashes) of each paragraph of documents (doc_id, text, key): its place in code points, and its hashes.
+
+    The first two hashes are its print, 128 bits: equal for equal words. They are followed by its band keys, if it has any.
+    A passage's print is that of its words but the last and but the first, and both are keys as well.
+    """
+    decided = _runs_decide(min_words, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches_by_bytes(batches, 2 << 20):
@@ -134,15 +175,21 @@ def marked_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, span: int = S
             points = np.append(0, np.cumsum((words.data & 0xC0) != 0x80))
             first, end = words.lines()
             long = end - first >= min_words
+            first, end = first[long], end[long]
+            prints = b"".join(xxhash.xxh3_128_digest(words.hash[x:y].tobytes()) for x, y in zip(first.tolist(), end.tolist(), strict=True))
+            lines = np.hstack([np.frombuffer(prints, np.int64).reshape(-1, 2), band_keys(_signatures(words, first, end, line_bands[0] * line_bands[1]), line_bands[0])])
             inner = words.passages(min_words, span)
-            for kind, a, b, (bands, rows) in ((0, first[long], end[long], line_bands), (1, inner, inner + min_words, passage_bands)):
-                keys = band_keys(_signatures(words, a, b, bands * rows), bands) ^ kind
-                base = points[words.bounds[words.rows[a]]]
-                seed = bytes([kind])
-                prints = [xxhash.xxh3_128_digest(seed + words.hash[x:y].tobytes()) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([_ids(table, words, a, kind), pa.array(points[words.starts[a]] - base, pa.int32()), pa.array(points[words.ends[b - 1]] - base, pa.int32()), pa.array(prints, pa.binary()), _rows(keys, pa.int64())], schema=_MARKED)
+            hashes = words.hash[inner[:, None] + np.arange(min_words)]
+            runs = _runs(hashes).view(np.int64)
+            banded = _repeats(hashes) if decided else np.ones(len(inner), bool)
+            some = inner[banded]
+            bands = band_keys(_signatures(words, some, some + min_words, passage_bands[0] * passage_bands[1]), passage_bands[0]) ^ 1
+            plain = inner[~banded]
+            for kind, x, y, own in ((0, first, end, lines), (1, plain, plain + min_words, runs[~banded]), (1, some, some + min_words, np.hstack([runs[banded], bands]))):
+                base = points[words.bounds[words.rows[x]]]
+                yield pa.RecordBatch.from_arrays([_ids(table, words, x, kind), pa.array(points[words.starts[x]] - base, pa.int32()), pa.array(points[words.ends[y - 1]] - base, pa.int32()), _rows(own, pa.int64())], schema=_MARKED)
 
-    return docs.mapInArrow(run, f"id {_KEY}, start int, end int, print binary, keys array<long>")
+    return docs.mapInArrow(run, f"id {_KEY}, start int, end int, hashes array<long>")
 
 
 def paragraph_content(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -182,20 +229,29 @@ def repeated_paragraphs(docs: DataFrame, least: float = LEAST, min_words: int =
     document is removed there too. An empty table gives no rows.
     """
     base = id_and_text(docs, id_col, text_col).where("doc_id is not null").withColumn("key", text_key(F.col("text")))
-    marked = write_table(marked_paragraphs(base, min_words, span, line_bands, passage_bands), "paragraphs")
+    marked = write_table(marked_paragraphs(base, least, min_words, span, line_bands, passage_bands), "paragraphs")
+    # a paragraph none of whose keys another has is alike to none; equal ones share all of theirs
+    kind = F.col("id.place").bitwiseAND(1)
+    keys = F.when(kind == 1, F.col("hashes")).otherwise(F.expr("slice(hashes, 3, size(hashes))"))
+    each = marked.select("id", "start", "end", F.struct(F.col("hashes")[0].alias("x"), F.col("hashes")[1].alias("y")).alias("print"), F.explode(keys).alias("key"))
+    met = shared_rows(marked.select(F.explode(keys).alias("key")), each.where(kind == 0), each.where(kind == 1))
+    release(marked)
     # of paragraphs with the same words the first stands for all
-    same = write_table(marked.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1"), "same-paragraphs")
-    named = hot_join(marked, same, "print", "left").withColumn("rep", F.coalesce("rep", "id"))
-    known = write_table(named.select("id", "start", "end", "rep", F.when(F.col("rep") == F.col("id"), F.col("keys")).alias("keys")), "known-paragraphs")
-    release(marked, same)
+    all_met = reduce(DataFrame.unionByName, met)
+    same = write_table(all_met.groupBy("print").agg(F.min("id").alias("rep"), F.max("id").alias("last"), F.count("*").alias("n")).where("rep != last").drop("last"), "same-paragraphs")
+    named = write_table(hot_join(all_met, same, "print", "left").select("key", "id", "start", "end", F.coalesce("rep", "id").alias("rep")), "named-paragraphs")
+    release(*met, same)
+    known = write_table(named.select("id", "start", "end", "rep").distinct(), "known-paragraphs")
+    firsts = write_table(named.where("id = rep").groupBy("id").agg(F.collect_set("key").alias("keys")), "first-paragraphs")
+    release(named)
 
     def of(ids: DataFrame) -> DataFrame:
         wanted = ids.groupBy(F.col("id.doc_id").alias("of")).agg(F.collect_list("id.place").alias("places"))
         mine = base.join(wanted.hint("merge"), base.doc_id == F.col("of")).select("doc_id", "text", "key", "places")
         return paragraph_content(mine, min_words).distinct()
 
-    labels, content = classes(known.where("keys is not null").select("id", "keys"), of, least, sketches)
-    release(content)
+    labels, content = classes(firsts, of, least, sketches)
+    release(content, firsts)
     sizes = known.groupBy("rep").agg(F.count("*").alias("n"))
     out = hot_join(known.select("id", "start", "end", "rep"), labels.withColumnRenamed("id", "rep"), "rep", "left", sizes=sizes).withColumn("label", F.coalesce("label", "rep"))
     gone = out.where("id != label").select("id.doc_id", F.shiftright("id.place", 32).alias("text"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("label.doc_id").alias("source_id"))

@@ -13,7 +13,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from skeinwork.llm import common, exact_dedup, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
+from skeinwork.llm import common, exact_dedup, links, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
 from skeinwork.llm import queries as registered
 from skeinwork.llm.common import batches_by_bytes
 
@@ -810,6 +810,70 @@ def test_the_registered_bands_find_edited_passages(spark):
     assert len(pairs) == 150 and found >= 0.9 * len(pairs) and hit >= 0.95 * wanted, (found, hit, wanted)
 
 
+def test_passages_alike_but_for_an_end_word_are_all_found(spark):
+    """Similarity 0.88, each pair by itself: the first word differs, or the last one, or one begins a word later."""
+    r = random.Random(23)
+    rows = []
+    for k in range(0, 1200, 2):
+        words = [f"v{r.randrange(10**6)}" for _ in range(20)]
+        rows += [(k, " ".join(words)), (k + 1, " ".join([["u", *words[1:]], [*words[:-1], "u"], [*words[1:], "u"]][k // 2 % 3]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = paragraphs.repeated_paragraphs(df, line_bands=(1, 40))  # few lines share a band unless they are equal
+    assert sorted({(x.source_id, x.doc_id) for x in gone.collect()}) == [(k, k + 1) for k in range(0, 1200, 2)]
+
+
+def test_passages_that_repeat_no_three_words_meet_by_runs():
+    """Where runs are said to decide, each pair of enough similarity has one in common; words of few kinds, turned and edited."""
+    r = random.Random(3)
+    rows = []
+    for k in range(3000):
+        kinds = r.choice((1, 2, 3, 5, 8, 20))
+        if k % 3:  # a period, so that one set of shingles can be begun anywhere
+            period = [r.randrange(kinds) for _ in range(r.randrange(1, 21))]
+            words = (period * 42)[:42]
+        else:
+            words = [r.randrange(kinds) for _ in range(42)]
+        at = r.randrange(20)
+        rows.append(words[at : at + 20])
+        rows.append(words[(b := r.randrange(20)) : b + 20])
+        other = list(rows[-2])
+        other[r.choice((0, 0, 1, 10, 18, 19, 19))] = r.randrange(kinds + 1)
+        rows.append(other)
+    hashes = np.array([[xxhash.xxh3_64_intdigest(str(w)) for w in x] for x in rows], np.uint64)
+    runs, repeats = paragraphs._runs(hashes), paragraphs._repeats(hashes)
+    assert paragraphs._runs_decide(20, 0.8) and not paragraphs._runs_decide(20, 0.7) and not paragraphs._runs_decide(40, 0.8)
+    assert [bool(x) for x in repeats] == [len({tuple(x[k : k + 3]) for k in range(18)}) < 18 for x in rows]
+    sets = [{tuple(x[k : k + 5]) for k in range(16)} for x in rows]
+    close = unequal = 0
+    for k in range(0, len(rows), 3):
+        for i, j in ((k, k + 1), (k, k + 2), (k + 1, k + 2)):
+            alike = len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+            if alike and not (repeats[i] and repeats[j]):
+                close, unequal = close + 1, unequal + (rows[i] != rows[j])
+                assert set(runs[i]) & set(runs[j]), (rows[i], rows[j])
+    assert unequal > 100, (close, unequal)
+
+
+def test_hot_and_cold_keys_are_shared_alike(spark):
+    """Rows of keys with several rows, whether counted where they lie or, in the parts that hold a hot key, joined."""
+    keys = [7] * 3000 + [7 + links.PARTS, -5, -5, 9 - links.PARTS] + [*range(1000, 2500), *range(2000, 2700)]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key long, id long")
+    tables = links.shared_rows(rows.select("key"), rows.where("key >= 0"), rows.where("key < 0"))
+    got = sorted((x.id, x.key, x.n) for t in tables for x in t.collect())
+    count = collections.Counter(keys)
+    assert got == [(i, k, count[k]) for i, k in enumerate(keys) if count[k] > 1]
+
+
+def test_links_that_come_later_join_components(spark):
+    r = random.Random(12)
+    pairs = [tuple(sorted(r.sample(range(120), 2))) for _ in range(90)]
+    early, late = pairs[:60], pairs[60:]
+    made = lambda x: spark.createDataFrame(x, "a long, b long")
+    got = {x.id: x.label for x in links.joined(links.components(made(early)), made(late)).collect()}
+    ids = sorted({i for p in pairs for i in p})
+    assert got == components(ids, pairs)
+
+
 def test_a_passage_of_51_words_is_found_wherever_it_stands(spark):
     r = random.Random(8)
     rows = []
