@@ -50,7 +50,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, held, doc_ids, ids, sizes = TaskContext.get().partitionId(), 0, 0, [], [], []
-        for table in batches_by_bytes(batches, 4 << 20):
+        for table in batches_by_bytes(batches, 8 << 20):
             flat, bounds = word_bpe_ids(table["text"], tokenizer_path)
             for k, doc_id in enumerate(table["doc_id"].to_pylist()):
                 own = np.append(flat[bounds[k] : bounds[k + 1]], np.uint16(end_id))

@@ -26,13 +26,13 @@ class _Known:
     def __init__(self) -> None:
         self.words, self.flat, self.size = pa.array([], pa.large_binary()), np.zeros(0, np.uint16), np.zeros(0, np.int64)
 
-    def look_up(self, distinct: pa.Array, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def look_up(self, distinct: pa.Array, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat, first, size): each distinct word's ids are flat[first : first + size]; unknown words are encoded in one call."""
         at = pc.index_in(distinct, value_set=self.words)
         new = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
         at = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         fresh = distinct.take(pa.array(new))
-        flat, size = encode(fresh.cast(pa.large_string()).to_pylist()) if len(new) else (np.zeros(0, np.uint16), np.zeros(0, np.int64))
+        flat, size = encode(fresh) if len(new) else (np.zeros(0, np.uint16), np.zeros(0, np.int64))
         known = len(self.words)
         at[new] = known + np.arange(len(new))
         if known + len(new) > CACHE_WORDS and known:
@@ -95,31 +95,52 @@ def _pieces(data: np.ndarray, bounds: np.ndarray, cut: np.ndarray) -> tuple[np.n
     return starts[order], ends, rows
 
 
-def _word_bpe(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _word_bpe(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words, end to end, and how many each has. Words of letters alone go in long lines of many: such a word
-    is one run of the model's pre-tokenizer, so exactly its last id is one that ends a word, which tells them apart."""
+    is one run of the model's pre-tokenizer, so exactly its last id is one that ends a word, which tells them apart.
+    The normalizer leaves words of a to z as they are and the pre-tokenizer cuts them at spaces alone, so that lines of
+    these need the library's BPE model only."""
     model = tokenizer(path)
     if path + "#ends" not in _models:
+        from tokenizers import Tokenizer, pre_tokenizers
+
         _models[path + "#ends"] = np.array([t.endswith("</w>") for t, _ in sorted(model.get_vocab().items(), key=lambda x: x[1])])
-    ends = _models[path + "#ends"]
-    plain = [k for k, w in enumerate(words) if w.isalpha()]
-    rest = [k for k, w in enumerate(words) if not w.isalpha()]
-    lines = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-    flat, size, order = [], [], []
-    for line, e in zip(lines, model.encode_batch_fast([" ".join([words[k] for k in line]) for line in lines], add_special_tokens=False), strict=True):
-        ids = np.array(e.ids, np.uint16)
-        stop = np.flatnonzero(ends[ids]) + 1
-        if len(stop) != len(line):  # not one run each, after all
-            rest += line
-            continue
-        flat.append(ids)
-        size.append(np.diff(stop, prepend=0))
-        order += line
-    for k, e in zip(rest, model.encode_batch_fast([words[k] for k in rest], add_special_tokens=False), strict=True):
+        _models[path + "#plain"] = Tokenizer(model.model)
+        _models[path + "#plain"].pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    ends, plain_model = _models[path + "#ends"], _models[path + "#plain"]
+    data, bounds = flat_bytes(words)
+    other = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data < 97) | (data > 122), out=other[1:])
+    is_plain = (other[bounds[1:]] == other[bounds[:-1]]) & (bounds[1:] > bounds[:-1])
+    flat, size, order, rest = [], [], [], np.flatnonzero(~is_plain).tolist()
+
+    def take(lines: list, found: list) -> None:
+        for line, e in zip(lines, found, strict=True):
+            ids = np.array(e.ids, np.uint16)
+            stop = np.flatnonzero(ends[ids]) + 1
+            if len(stop) != len(line):  # not one run each, after all
+                rest.extend(line)
+                continue
+            flat.append(ids)
+            size.append(np.diff(stop, prepend=0))
+            order.append(np.array(line))
+
+    plain = np.flatnonzero(is_plain)
+    letters, at = flat_bytes(words.take(pa.array(plain)))
+    text = np.full(len(letters) + len(plain), 32, np.uint8)  # a space after each word
+    text[np.arange(len(letters)) + np.repeat(np.arange(len(plain)), np.diff(at))] = letters
+    at = at + np.arange(len(plain) + 1)
+    cuts = list(range(0, len(plain), 512)) + [len(plain)]
+    take([plain[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], plain_model.encode_batch_fast([text[at[a] : at[b] - 1].tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], add_special_tokens=False))
+    spelt = dict(zip(rest, words.take(pa.array(rest, pa.int64())).cast(pa.large_string()).to_pylist(), strict=True))
+    alpha, rest = [k for k, w in spelt.items() if w.isalpha()], [k for k, w in spelt.items() if not w.isalpha()]
+    lines = [alpha[i : i + 512] for i in range(0, len(alpha), 512)]
+    take(lines, model.encode_batch_fast([" ".join([spelt[k] for k in line]) for line in lines], add_special_tokens=False))
+    for k, e in zip(rest, model.encode_batch_fast([spelt[k] for k in rest], add_special_tokens=False), strict=True):
         flat.append(np.array(e.ids, np.uint16))
         size.append(np.array([len(e.ids)]))
-        order.append(k)
-    flat, size, order = np.concatenate(flat), np.concatenate(size), np.array(order)
+        order.append(np.array([k]))
+    flat, size, order = np.concatenate(flat), np.concatenate(size), np.concatenate(order)
     first = np.cumsum(size) - size
     back = np.argsort(order)
     return flat[_spread(first[back], size[back])], size[back]
@@ -176,7 +197,7 @@ def piece_bpe_counts(texts: pa.ChunkedArray | pa.Array, path: str) -> np.ndarray
     starts, ends, rows = _pieces(data, bounds, cut)
     words, distinct = word_ids(data, starts, ends)
     # the "ids" kept for a piece are its count, in two 16-bit halves
-    halves = lambda w: (np.array([len(x) for x in model.encode(w, num_threads=1)], np.uint32).view(np.uint16), np.full(len(w), 2, np.int64))
+    halves = lambda w: (np.array([len(x) for x in model.encode(w.cast(pa.large_string()).to_pylist(), num_threads=1)], np.uint32).view(np.uint16), np.full(len(w), 2, np.int64))
     flat, first, _ = _caches.setdefault(path, _Known()).look_up(distinct, halves)
     counts = flat[first].astype(np.int64) + (flat[first + 1].astype(np.int64) << 16) if len(first) else np.zeros(0, np.int64)
     each = counts[words]

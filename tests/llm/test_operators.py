@@ -8,12 +8,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from skeinwork.llm import common, exact_dedup, links, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files
+from skeinwork.llm import common, exact_dedup, links, mixing, near_dup, packing, paragraphs, prefix_free, quality, secrets, token_counts, token_files, tokens
 from skeinwork.llm import queries as registered
 from skeinwork.llm.common import batches_by_bytes
 
@@ -412,6 +413,54 @@ def test_range_coder_round_trips():
     assert sum(map(len, encode(text))) < 0.35 * 2 * len(text)
 
 
+def test_range_coder_takes_few_steps():
+    """A block's strands are coded side by side, so that numpy is called far less often than once for each id."""
+    import sys
+
+    from skeinwork.llm.range_coder import decode, encode
+
+    ids, calls = (np.random.default_rng(2).zipf(1.3, 4096) % 49_408).astype(np.uint16), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "c_call"
+
+    sys.setprofile(count)
+    try:
+        back = decode(encode(ids), len(ids))
+    finally:
+        sys.setprofile(None)
+    assert (back == ids).all() and calls < 5 * len(ids)
+
+
+def test_range_coder_strands_write_one_slot():
+    """Strands that meet one context in one step, blocks above 4,096 ids, and blocks that no number of strands divides."""
+    from skeinwork.llm.range_coder import decode, encode
+
+    r = np.random.default_rng(3)
+    for block, n in ((4096, 3 * 4096 + 5), (8192, 20_000), (65_536, 70_000), (100, 1234), (33, 500), (1, 9)):
+        for ids in (r.integers(0, 3, n), np.repeat(r.integers(0, 49_408, n // 5 + 1), 5)[:n], np.full(n, 65_534)):
+            ids = ids.astype(np.uint16)
+            assert (decode(encode(ids, block), n, block) == ids).all()
+    for block in (0, 65_537):
+        with pytest.raises(ValueError, match="can be coded"):
+            encode(ids, block)
+
+
+def test_plain_words_by_the_model_alone():
+    """Words of a to z meet only the library's BPE model; their ids, and all others', are those of the whole tokenizer."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, r = Tokenizer.from_file(path), random.Random(9)
+    plain = ["".join(r.choice("onreihwlzqx") for _ in range(r.randrange(1, 24))) for _ in range(1500)] + ["a", "startoftext", "z" * 3000]
+    other = ["Äpfel", "naïve", "ſ", "日本語", "x1y2", "don't", "'s", "ÀB", "a_b", "9", "e\u0301t\u00e9", "K", "\u2028x"]
+    for words in (plain, other, plain + other, plain[:1], other[:1]):
+        flat, size = tokens._word_bpe(path, pa.array([w.encode() for w in words], pa.large_binary()))
+        ends = np.cumsum(size)
+        assert [flat[b - n : b].tolist() for b, n in zip(ends, size, strict=True)] == [whole.encode(w, add_special_tokens=False).ids for w in words]
+
+
 def test_token_files(spark, docs, texts, empty, tmp_path):
     from tokenizers import Tokenizer
 
